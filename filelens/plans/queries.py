@@ -183,7 +183,7 @@ def q_expand_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.encode("text", "UTF-8").alias("content"),
     )
     packed = archives.pack_archives(members)
-    out = archives.expand_archives(packed)
+    out = archives.expand_archives(packed, num_partitions=spark.sparkContext.defaultParallelism)
     return out.select(P.folder_name("archive").alias("source"), "member", "length",
                       F.md5("content").alias("content_md5"))
 

@@ -43,12 +43,16 @@ def _unsafe(name: str) -> bool:
 
 
 def expand_archives(archives: DataFrame, path: str = "path", content: str = "content",
-                    batch_bytes: int = DEFAULT_BATCH_BYTES) -> DataFrame:
+                    batch_bytes: int = DEFAULT_BATCH_BYTES, num_partitions: int | None = None) -> DataFrame:
     """One row per archive member: ``(archive, dest, member, length, content)``.
 
     Directory entries are skipped.  A member name that is absolute or climbs
     with ``..`` raises, since a consumer writing ``dest/member`` would leave
     ``dest``.  ``dest`` is the archive path minus its suffix.
+
+    ``num_partitions`` spreads the archive rows round-robin first - useful
+    when the archives were produced by few tasks; a ``binaryFile`` scan of
+    large archives already gives each its own task.
     """
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -71,18 +75,22 @@ def expand_archives(archives: DataFrame, path: str = "path", content: str = "con
             if rows:
                 yield pd.DataFrame(rows, columns=["archive", "member", "length", "content"])
 
-    members = archives.select(path, content).mapInPandas(expand, MEMBER_SCHEMA)
+    source = archives.select(path, content)
+    if num_partitions:
+        source = source.repartition(num_partitions)
+    members = source.mapInPandas(expand, MEMBER_SCHEMA)
     return members.select("archive", P.archive_dest("archive").alias("dest"), "member", "length", "content")
 
 
 def pack_archives(members: DataFrame, archive: str = "archive", member: str = "member",
-                  content: str = "content", max_bytes: int = DEFAULT_BATCH_BYTES) -> DataFrame:
+                  content: str = "content", max_bytes: int = 16 << 20, compress_level: int = 1) -> DataFrame:
     """Zip member rows into archives, ``(path, length, content)``.
 
     Packing runs per input partition without a shuffle: rows of one archive
     name that sit in one task are split into parts of at most ``max_bytes``
     named ``<stem>/part-<task>-<n>.zip``, so a name holding a large share of
     the rows still yields many bounded archives built by many tasks.
+    Members are deflated at ``compress_level`` (0 stores them).
     """
     from pyspark import TaskContext
 
@@ -106,7 +114,9 @@ def pack_archives(members: DataFrame, archive: str = "archive", member: str = "m
             for name, mem, data in zip(pdf[archive], pdf[member], pdf[content]):
                 if name not in open_parts:
                     buf = io.BytesIO()
-                    open_parts[name] = (buf, zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED), 0)
+                    method = zipfile.ZIP_DEFLATED if compress_level > 0 else zipfile.ZIP_STORED
+                    zf = zipfile.ZipFile(buf, "w", method, compresslevel=compress_level or None)
+                    open_parts[name] = (buf, zf, 0)
                 buf, zf, size = open_parts[name]
                 zf.writestr(mem, bytes(data))
                 size += len(data)

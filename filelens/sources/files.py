@@ -144,7 +144,8 @@ def apply_rule(df: DataFrame, root: str, rule: str = "subdirs", path: str = "ful
     * ``no_zip``    - ``root`` is a directory; every file below it whose name
       does not end in ``.zip``, at any depth.
     * ``one_level`` - ``root`` is a glob of folders; the files directly inside
-      each matched folder not ending in ``.zip``.
+      each matched folder not ending in ``.zip`` (names starting with ``.``
+      excluded, as ``folder/*`` does).
     * ``all``       - every file below ``root`` (a directory).
 
     A wildcard at the start of a segment does not match a leading dot, as
@@ -157,8 +158,9 @@ def apply_rule(df: DataFrame, root: str, rule: str = "subdirs", path: str = "ful
         return df.filter(p.rlike(f"^{g}/.+$") & ~top.endswith(".zip"))
     if rule == "one_level":
         g = P.glob_to_regex(root.rstrip("/"))
+        # ``folder/*``: direct children, names starting with '.' excluded
         top = F.regexp_extract(p, f"^({g})/[^/]+$", 1)
-        return df.filter(p.rlike(f"^{g}/[^/]+$") & ~top.endswith(".zip"))
+        return df.filter(p.rlike(f"^{g}/(?!\\.)[^/]+$") & ~top.endswith(".zip"))
     base = root.rstrip("/") + "/"
     under = p.startswith(base) & (F.length(p) > len(base))
     if rule == "no_zip":

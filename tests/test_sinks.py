@@ -1,0 +1,53 @@
+from __future__ import annotations
+
+import glob
+import os
+
+from filelens.session import local_dir, scratch_path
+from filelens.sinks import tables as K
+from filelens.sources import tables as S
+
+
+def _orders(spark):
+    return spark.range(0, 100).selectExpr("id AS o_orderkey", "CAST(id * 1.5 AS DOUBLE) AS price",
+                                          "CASE WHEN id % 2 = 0 THEN 'O' ELSE 'F' END AS status")
+
+
+def test_parquet_gzip_roundtrip(spark):
+    path = K.write_parquet(_orders(spark), scratch_path(spark, "gz"), compression="gzip")
+    assert glob.glob(os.path.join(local_dir(path), "*.gz.parquet"))
+    back = S.read_catalogue(spark, path)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, _orders(spark).collect()))
+
+
+def test_json_records(spark):
+    path = K.write_json(_orders(spark), scratch_path(spark, "json"))
+    back = spark.read.schema("o_orderkey bigint, price double, status string").json(path)
+    assert back.count() == 100
+
+
+def test_save_table_and_list(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS fl_test")
+    name = K.save_table(_orders(spark), "fl_test.orders_copy", path=scratch_path(spark, "tbl"))
+    K.save_table(_orders(spark), "fl_test.orders_copy", mode="overwrite", path=scratch_path(spark, "tbl2"))
+    assert S.read_table(spark, name).count() == 100
+    K.parquet_to_table(spark, K.write_parquet(_orders(spark), scratch_path(spark, "p")), "fl_test.from_parquet")
+    _orders(spark).createOrReplaceTempView("temp_orders")
+    listed = [(r.table_schema, r.table_name) for r in S.list_tables(spark, "fl_test").collect()]
+    assert listed == [("fl_test", "from_parquet"), ("fl_test", "orders_copy")]
+
+
+def test_create_table_ddl(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS fl_test")
+    K.create_table(spark, "fl_test.file_data", K.CATALOGUE_JDBC_TYPES.replace("VARCHAR(4096)", "STRING")
+                   .replace("VARCHAR(20)", "STRING").replace("VARCHAR(255)", "STRING"),
+                   location=scratch_path(spark, "ddl"))
+    assert spark.table("fl_test.file_data").columns == ["full_path", "file_id", "file_name", "folder_name",
+                                                       "file_size"]
+
+
+def test_jdbc_options():
+    opts = K.jdbc_options("jdbc:postgresql://db/x", "file_data", {"user": "u"}, batchsize=5, num_partitions=10,
+                          column_types=K.CATALOGUE_JDBC_TYPES)
+    assert opts["truncate"] == "true" and opts["batchsize"] == "5" and opts["numPartitions"] == "10"
+    assert opts["createTableColumnTypes"].startswith("full_path") and opts["user"] == "u"
