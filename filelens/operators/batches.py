@@ -26,9 +26,13 @@ def global_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "r
     """0-based position of each row in the total order of ``order_by``."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    keys = [F.col(c) for c in order_by]
-    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
-    ordered = ranged.sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id())
+    # Ties on the key are broken by input position, so the order is total and
+    # the range shuffle can cut even a key that holds a third of the rows
+    # into several partitions.
+    tagged = df.withColumn("_tb", F.monotonically_increasing_id())
+    keys = [F.col(c) for c in order_by] + [F.col("_tb")]
+    ranged = tagged.repartitionByRange(num_partitions, *keys) if num_partitions else tagged.repartitionByRange(*keys)
+    ordered = ranged.sortWithinPartitions(*keys).drop("_tb").withColumn("_mid", F.monotonically_increasing_id())
     ordered = ordered.checkpoint(eager=True)
     ordered = ordered.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS)).withColumn(
         "_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))

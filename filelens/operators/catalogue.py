@@ -73,6 +73,14 @@ def file_catalogue(paths: DataFrame, path: str = "full_path", size: str = "file_
     return with_file_columns(paths.select(path, size), path, size)
 
 
+def catalogue_files(spark, root: str, rule: str = "subdirs", pattern: str | None = None,
+                    complete: bool = False) -> DataFrame:
+    """List a tree and build its catalogue in one lazy plan."""
+    from filelens.sources.files import scan_files
+
+    return file_catalogue(scan_files(spark, root, rule=rule, pattern=pattern, complete=complete))
+
+
 def _check_key_types(left: DataFrame, right: DataFrame, key: str) -> None:
     lt = left.schema[key].dataType
     rt = right.schema[key].dataType
@@ -103,18 +111,12 @@ def select_label_fields(labels: DataFrame, fields: Sequence[tuple[str, str]] = L
     Selecting ``a.b.c`` from a nested struct lets Parquet / JSON readers
     prune every other field.
     """
-    cols = []
-    for src, dst in fields:
-        parts = src.split(".")
-        c = F.col(f"`{parts[0]}`")
-        for part in parts[1:]:
-            c = c.getField(part)
-        cols.append(c.alias(dst))
-    return labels.select(*cols)
-
-
-def _nested(df_col: str) -> Column:
-    parts = df_col.split(".")
+    return labels.select(*[_nested(src).alias(dst) for src, dst in fields])
+
+
+def _nested(field_path: str) -> Column:
+    """``a.b.c`` as a nested field reference (names may hold any character)."""
+    parts = field_path.split(".")
     c = F.col(f"`{parts[0]}`")
     for part in parts[1:]:
         c = c.getField(part)

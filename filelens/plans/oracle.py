@@ -183,4 +183,7 @@ FROM documents""",
     "table_roundtrip": f"SELECT {ORDERS_COLS} FROM orders",
     "parquet_gzip_roundtrip": f"SELECT {ORDERS_COLS} FROM orders",
     "json_records": DOC_CATALOGUE,
+    "label_paths": f"""
+SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS file_id, {PATH} AS label_paths
+FROM documents WHERE doc_id % 6 = 4""",
 }

@@ -212,6 +212,27 @@ def q_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl.read_labels(spark, path, schema=catalogue.CATALOGUE_SCHEMA, multi_line=False)
 
 
+def q_label_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = td.documents_as_files(spark, sf_dir)
+    return scan.label_path_table(scan.match_name(files, "*.json"))
+
+
+def q_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save the three catalogues as tables of a fresh database, then list it."""
+    from filelens.session import scratch_path
+    db = sinks.unique_table_name("filelens_catalogues")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    sets = {
+        "documents": td.documents_as_files(spark, sf_dir),
+        "pages": td.pages_as_files(spark, sf_dir),
+        "conversations": td.conversations_as_files(spark, sf_dir),
+    }
+    for name, listing in sets.items():
+        sinks.save_table(catalogue.file_catalogue(listing), f"{db}.{name}_files",
+                         path=scratch_path(spark, f"{name}-files"))
+    return srcs.list_tables(spark, db)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_catalogue": q_file_catalogue,
     "url_catalogue": q_url_catalogue,
@@ -242,4 +263,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_roundtrip": q_table_roundtrip,
     "parquet_gzip_roundtrip": q_parquet_gzip_roundtrip,
     "json_records": q_json_records,
+    "label_paths": q_label_paths,
+    "list_tables": q_list_tables,
 }

@@ -206,10 +206,15 @@ def scan_files(spark: SparkSession, root: str, rule: str = "subdirs", pattern: s
         load_root = root if rule in ("subdirs", "one_level") else root.rstrip("/")
         listing = list_files(spark, load_root)
     if pattern:
-        listing = listing.filter(P.file_name("full_path").rlike("^" + P.glob_to_regex(pattern) + "$"))
+        listing = match_name(listing, pattern)
     return apply_rule(listing, root, rule)
 
 
+def match_name(df: DataFrame, pattern: str, path: str = "full_path") -> DataFrame:
+    """Keep rows whose file name matches a glob such as ``*.json``."""
+    return df.filter(P.file_name(path).rlike("^" + P.glob_to_regex(pattern) + "$"))
+
+
 def _one_level_complete(spark: SparkSession, tops: Sequence[str]) -> DataFrame:
     def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -225,10 +230,14 @@ def _one_level_complete(spark: SparkSession, tops: Sequence[str]) -> DataFrame:
 
 
 def label_paths(spark: SparkSession, root: str, pattern: str = "*.json", complete: bool = False) -> DataFrame:
-    """Label files of one folder as ``(file_id, label_paths)``.
+    """Label files of one folder as ``(file_id, label_paths)``."""
+    return label_path_table(scan_files(spark, root, rule="all", pattern=pattern, complete=complete))
+
+
+def label_path_table(listing: DataFrame, path: str = "full_path") -> DataFrame:
+    """``(file_id, label_paths)`` of a label listing.
 
     The id uses the older rule (``p.split('.')[-2].split('/')[-1]``) that the
     label scan was written with.
     """
-    listing = scan_files(spark, root, rule="all", pattern=pattern, complete=complete)
-    return listing.select(P.file_id_legacy("full_path").alias("file_id"), F.col("full_path").alias("label_paths"))
+    return listing.select(P.file_id_legacy(path).alias("file_id"), F.col(path).alias("label_paths"))

@@ -93,3 +93,14 @@ def test_hot_key_constraint_counts(spark):
         "id AS file_size")
     out = constraints.check_constraints(file_catalogue(df)).collect()
     assert [(r.violation, r.file_id, r.n_rows) for r in out] == [("primary_key", "hot", 1000)]
+
+
+def test_assign_batches_hot_key_is_split(spark):
+    # a third of the rows share one sort key: the range shuffle still spreads them
+    df = spark.range(0, 3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE format_string('k%05d', id) END AS k")
+    out = batches.assign_batches(df, ["k"], size=10)
+    rows = out.collect()
+    assert sorted(r.row_index for r in rows) == list(range(3000))
+    hot = [r.row_index for r in rows if r.k == "hot"]
+    assert sorted(hot) == list(range(0, 1000))  # 'hot' sorts before every 'k…' key
+    assert {r.batch_id for r in rows if r.k == "hot"} == set(range(100))
