@@ -221,7 +221,7 @@ def q_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Save the three catalogues as tables of a fresh database, then list it."""
     from filelens.session import scratch_path
     db = sinks.unique_table_name("filelens_catalogues")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, 'catalogues-db')}'")
     sets = {
         "documents": td.documents_as_files(spark, sf_dir),
         "pages": td.pages_as_files(spark, sf_dir),

@@ -73,9 +73,10 @@ def create_table(spark: SparkSession, name: str, columns_ddl: str, using: str =
     return name
 
 
-def parquet_to_table(spark: SparkSession, path: str, name: str, mode: str = "overwrite") -> str:
-    """Load a Parquet folder into a catalog table."""
-    return save_table(spark.read.parquet(path), name, mode=mode)
+def parquet_to_table(spark: SparkSession, path: str, name: str, mode: str = "overwrite",
+                     location: str | None = None) -> str:
+    """Load a Parquet folder into a catalog table (external at ``location``)."""
+    return save_table(spark.read.parquet(path), name, mode=mode, path=location)
 
 
 # The target-table DDL of the catalogue, as database column types.

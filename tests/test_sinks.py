@@ -26,23 +26,29 @@ def test_json_records(spark):
     assert back.count() == 100
 
 
+def _database(spark):
+    db = K.unique_table_name("fl_test")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'db')}'")
+    return db
+
+
 def test_save_table_and_list(spark):
-    spark.sql("CREATE DATABASE IF NOT EXISTS fl_test")
-    name = K.save_table(_orders(spark), "fl_test.orders_copy", path=scratch_path(spark, "tbl"))
-    K.save_table(_orders(spark), "fl_test.orders_copy", mode="overwrite", path=scratch_path(spark, "tbl2"))
+    db = _database(spark)
+    name = K.save_table(_orders(spark), f"{db}.orders_copy", path=scratch_path(spark, "tbl"))
+    K.save_table(_orders(spark), f"{db}.orders_copy", mode="overwrite", path=scratch_path(spark, "tbl2"))
     assert S.read_table(spark, name).count() == 100
-    K.parquet_to_table(spark, K.write_parquet(_orders(spark), scratch_path(spark, "p")), "fl_test.from_parquet")
+    K.parquet_to_table(spark, K.write_parquet(_orders(spark), scratch_path(spark, "p")), f"{db}.from_parquet")
     _orders(spark).createOrReplaceTempView("temp_orders")
-    listed = [(r.table_schema, r.table_name) for r in S.list_tables(spark, "fl_test").collect()]
-    assert listed == [("fl_test", "from_parquet"), ("fl_test", "orders_copy")]
+    listed = [(r.table_schema, r.table_name) for r in S.list_tables(spark, db).collect()]
+    assert listed == [(db, "from_parquet"), (db, "orders_copy")]
 
 
 def test_create_table_ddl(spark):
-    spark.sql("CREATE DATABASE IF NOT EXISTS fl_test")
-    K.create_table(spark, "fl_test.file_data", K.CATALOGUE_JDBC_TYPES.replace("VARCHAR(4096)", "STRING")
+    db = _database(spark)
+    K.create_table(spark, f"{db}.file_data", K.CATALOGUE_JDBC_TYPES.replace("VARCHAR(4096)", "STRING")
                    .replace("VARCHAR(20)", "STRING").replace("VARCHAR(255)", "STRING"),
                    location=scratch_path(spark, "ddl"))
-    assert spark.table("fl_test.file_data").columns == ["full_path", "file_id", "file_name", "folder_name",
+    assert spark.table(f"{db}.file_data").columns == ["full_path", "file_id", "file_name", "folder_name",
                                                        "file_size"]
 
 
