@@ -19,23 +19,39 @@ DOC_ROOT = "/data"
 CONV_ROOT = "/conversations"
 
 
+# Column types of the driver's tables (TESTDATA.md).  Declaring
+# them means no Parquet footer is read while a query is planned.
+TABLE_SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table; declared schema where known, inferred otherwise."""
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def doc_extension(doc_id) -> F.Column:
-    m = F.pmod(doc_id, F.lit(len(DOC_EXTENSIONS)))
-    expr = F.when(m == 0, F.lit(DOC_EXTENSIONS[0]))
-    for i, ext in enumerate(DOC_EXTENSIONS[1:], start=1):
-        expr = expr.when(m == i, F.lit(ext))
-    return expr
+def doc_extension_sql(doc_id: str = "doc_id") -> str:
+    """SQL text of the extension rule (one expression, parsed once)."""
+    branches = " ".join(f"WHEN {i} THEN '{ext}'" for i, ext in enumerate(DOC_EXTENSIONS))
+    return f"CASE pmod({doc_id}, {len(DOC_EXTENSIONS)}) {branches} END"
 
 
-def doc_path(source="source", lang="lang", doc_id="doc_id") -> F.Column:
+def doc_path(source: str = "source", lang: str = "lang", doc_id: str = "doc_id") -> F.Column:
     """``/data/<source>/<lang>/doc_<id>.<ext>``."""
-    return F.concat(
-        F.lit(DOC_ROOT + "/"), F.col(source), F.lit("/"), F.col(lang),
-        F.lit("/doc_"), F.col(doc_id).cast("string"), F.lit("."), doc_extension(F.col(doc_id)),
+    return F.expr(
+        f"concat('{DOC_ROOT}/', {source}, '/', {lang}, '/doc_', CAST({doc_id} AS STRING), '.', "
+        f"{doc_extension_sql(doc_id)})"
     )
 
 
@@ -58,11 +74,10 @@ def pages_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversations_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing over ``conversations``: ``/conversations/<conv>/<turn>_<role>.txt``."""
     conv = table(spark, sf_dir, "conversations")
-    path = F.concat(
-        F.lit(CONV_ROOT + "/"), F.col("conv_id").cast("string"), F.lit("/"),
-        F.col("turn").cast("string"), F.lit("_"), F.col("role"), F.lit(".txt"),
+    return conv.selectExpr(
+        f"concat('{CONV_ROOT}/', CAST(conv_id AS STRING), '/', CAST(turn AS STRING), '_', role, '.txt') AS full_path",
+        "CAST(octet_length(text) AS BIGINT) AS file_size",
     )
-    return conv.select(path.alias("full_path"), F.octet_length("text").cast("bigint").alias("file_size"))
 
 
 def labels_as_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

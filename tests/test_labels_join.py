@@ -99,3 +99,30 @@ def test_parse_labels(spark):
     df = spark.createDataFrame([('{"k": 5}',), ("not json",)], "props string")
     out = L.parse_labels(df, "props", "k bigint").select("props.k").collect()
     assert [r.k for r in out] == [5, None]
+
+
+def test_deep_flatten_matches_json_normalize(spark, tmp_path):
+    """Multi-file read + flatten(".") equals per-file json_normalize + concat."""
+    import pandas as pd
+
+    from filelens.functions.flatten import flatten
+
+    docs = [_doc(1), {"id": "img_2", "image": {"size": {"width": 3}}, "extra": {"a": {"b": 1}}},
+            {"id": "img_3", "dataset": {"result": "x"}, "empty": {}}]
+    for i, doc in enumerate(docs):
+        (tmp_path / f"d{i}.json").write_text(json.dumps(doc, indent=1))
+    expected = pd.concat([pd.json_normalize(d) for d in docs], ignore_index=True)
+    got = flatten(spark.read.option("multiLine", "true").json(str(tmp_path)), sep=".").toPandas()
+    assert sorted(got.columns) == sorted(expected.columns)
+    key = "id"
+    e = expected.set_index(key).sort_index()
+    g = got.set_index(key).sort_index()[e.columns]
+    for col in e.columns:
+        for a, b in zip(e[col], g[col]):
+            assert (pd.isna(a) and pd.isna(b)) or a == b, (col, a, b)
+
+
+def test_top_level_array_file(spark, tmp_path):
+    (tmp_path / "arr.json").write_text(json.dumps([_doc(1), _doc(2)], indent=1))
+    df = L.read_labels(spark, str(tmp_path))
+    assert sorted(r["id"] for r in df.collect()) == ["img_1", "img_2"]
