@@ -5,6 +5,12 @@ the whole catalogue stays inside whole-stage codegen: no Python worker, no
 per-row filesystem call.  Semantics follow Python's ``os.path`` on POSIX
 paths (``basename``, ``splitext``, ``dirname``), which the tests check on a
 table of awkward paths.
+
+The hot rules (name, id, folder, archive destination) use byte-level string
+functions (``substring_index``, ``ltrim``, ``left``, ``rtrim``) rather than
+regular expressions: an unanchored pattern such as ``([^/]+)/+[^/]*$`` is
+retried from every start position, which made the folder rule about three
+times slower than everything else in the catalogue together.
 """
 
 from __future__ import annotations
@@ -14,14 +20,11 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Patterns that define the id / folder / archive rules.
+# Rules (fixed by the reference's os.path usage):
 #   file id  = basename without its last extension; leading dots are not an
 #              extension (".bashrc" stays, "c.tar.gz" -> "c.tar", "b." -> "b")
 #   folder   = last component of the directory part; repeated "/" collapse
 #   archive  = the whole path with the file id rule applied to its last segment
-SPLITEXT_PATTERN = r"(?s)^(\.*[^.].*)\.[^.]*$"
-FOLDER_PATTERN = r"([^/]+)/+[^/]*$"
-ARCHIVE_DEST_PATTERN = r"(?s)(^|/)(\.*[^./][^/]*)\.[^./]*$"
 URI_SCHEME_PATTERN = r"^file:(//)?"
 
 
@@ -34,14 +37,30 @@ def file_name(path: Column | str) -> Column:
     return F.substring_index(_c(path), "/", -1)
 
 
+def _suffix_len(name: Column) -> Column:
+    """Length of the last extension of a basename, dot included; 0 if none.
+
+    A name has an extension when a '.' remains after its leading dots are
+    removed; the extension is then everything after the last '.'.
+    """
+    has_ext = F.instr(F.ltrim(name, F.lit(".")), ".") > 0
+    return F.when(has_ext, F.length(F.substring_index(name, ".", -1)) + 1).otherwise(F.lit(0))
+
+
 def file_id(path: Column | str) -> Column:
     """Basename without its last extension (``os.path.splitext`` rule)."""
-    return F.regexp_replace(file_name(path), SPLITEXT_PATTERN, "$1")
+    name = file_name(path)
+    return F.left(name, F.length(name) - _suffix_len(name))
 
 
 def folder_name(path: Column | str) -> Column:
-    """Basename of the dirname; '' when the path has no directory part."""
-    return F.regexp_extract(_c(path), FOLDER_PATTERN, 1)
+    """Basename of the dirname; '' when the path has no directory part.
+
+    The dirname is the path minus its basename, with trailing '/' removed.
+    """
+    p = _c(path)
+    dirname = F.left(p, F.length(p) - F.length(file_name(p)))
+    return F.substring_index(F.rtrim(dirname, F.lit("/")), "/", -1)
 
 
 def extension(path: Column | str) -> Column:
@@ -74,7 +93,8 @@ def folder_legacy(path: Column | str) -> Column:
 
 def archive_dest(path: Column | str) -> Column:
     """Destination directory of an archive: the path minus its last suffix."""
-    return F.regexp_replace(_c(path), ARCHIVE_DEST_PATTERN, "$1$2")
+    p = _c(path)
+    return F.left(p, F.length(p) - _suffix_len(file_name(p)))
 
 
 def strip_uri(path: Column | str) -> Column:

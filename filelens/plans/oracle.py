@@ -71,6 +71,31 @@ LONG_TYPES = [("jpg", 1), ("jpeg", 2), ("png", 0), ("csv", 3), ("json", 4)]
 
 ORDERS_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
 
+LI_EXT = ("CASE (l_orderkey + l_linenumber) % 6 WHEN 0 THEN 'png' WHEN 1 THEN 'jpg' WHEN 2 THEN 'jpeg' "
+          "WHEN 3 THEN 'csv' WHEN 4 THEN 'json' ELSE 'tar.gz' END")
+LI_STEM = ("'part_' || CAST(l_partkey AS VARCHAR) || '_' || CAST(l_orderkey AS VARCHAR) || '_' "
+           "|| CAST(l_linenumber AS VARCHAR)")
+LI_CATALOGUE = f"""
+SELECT '/lineitem/' || l_returnflag || '/' || l_linestatus || '/' || CAST(l_suppkey AS VARCHAR) || '/'
+         || {LI_STEM} || '.' || {LI_EXT} AS full_path,
+       {LI_STEM} || CASE WHEN (l_orderkey + l_linenumber) % 6 = 5 THEN '.tar' ELSE '' END AS file_id,
+       {LI_STEM} || '.' || {LI_EXT} AS file_name,
+       CAST(l_suppkey AS VARCHAR) AS folder_name,
+       CAST(l_quantity AS BIGINT) * 1024 AS file_size
+FROM lineitem"""
+
+
+def _li_type_counts() -> str:
+    m = "(l_orderkey + l_linenumber) % 6"
+    inner = f"""
+SELECT l_returnflag AS flag, count(*) AS n_files, CAST(sum(CAST(l_quantity AS BIGINT) * 1024) AS BIGINT) AS total_bytes,
+       count(*) FILTER (WHERE {m} = 0) AS png_count, count(*) FILTER (WHERE {m} IN (1, 2)) AS jpg_count,
+       count(*) FILTER (WHERE {m} = 3) AS csv_count, count(*) FILTER (WHERE {m} = 4) AS json_count,
+       count(*) FILTER (WHERE {m} = 5) AS etc_count
+FROM lineitem GROUP BY l_returnflag"""
+    return f"SELECT *, {_fmt('total_bytes')} AS total_size FROM ({inner})"
+
+
 SQL: dict[str, str] = {
     "file_catalogue": DOC_CATALOGUE,
     "url_catalogue": _url_catalogue(),
@@ -183,6 +208,8 @@ FROM documents""",
     "table_roundtrip": f"SELECT {ORDERS_COLS} FROM orders",
     "parquet_gzip_roundtrip": f"SELECT {ORDERS_COLS} FROM orders",
     "json_records": DOC_CATALOGUE,
+    "lineitem_catalogue": LI_CATALOGUE,
+    "lineitem_type_counts": _li_type_counts(),
     "label_paths": f"""
 SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS file_id, {PATH} AS label_paths
 FROM documents WHERE doc_id % 6 = 4""",

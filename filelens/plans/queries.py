@@ -212,6 +212,15 @@ def q_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl.read_labels(spark, path, schema=catalogue.CATALOGUE_SCHEMA, multi_line=False)
 
 
+def q_lineitem_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalogue.file_catalogue(td.lineitem_as_files(spark, sf_dir))
+
+
+def q_lineitem_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = td.lineitem_as_files(spark, sf_dir).withColumn("flag", F.split("full_path", "/").getItem(2))
+    return stats.type_counts(files, stats.BUCKETS_A1, size="file_size", by=["flag"])
+
+
 def q_label_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = td.documents_as_files(spark, sf_dir)
     return scan.label_path_table(scan.match_name(files, "*.json"))
@@ -264,5 +273,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parquet_gzip_roundtrip": q_parquet_gzip_roundtrip,
     "json_records": q_json_records,
     "label_paths": q_label_paths,
+    "lineitem_catalogue": q_lineitem_catalogue,
+    "lineitem_type_counts": q_lineitem_type_counts,
     "list_tables": q_list_tables,
 }

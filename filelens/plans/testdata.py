@@ -28,6 +28,9 @@ TABLE_SCHEMAS = {
     "conversations": "conv_id bigint, turn bigint, role string, text string",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
               "o_orderdate timestamp_ntz, o_orderpriority string",
 }
@@ -65,6 +68,19 @@ def documents_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(doc_path().alias("full_path"), F.col("n_chars").cast("bigint").alias("file_size"))
 
 
+def lineitem_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A larger listing over ``lineitem`` (six times ``orders``):
+    ``/lineitem/<returnflag>/<linestatus>/<suppkey>/part_<partkey>_<orderkey>_<line>.<ext>``,
+    size ``quantity * 1024``."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.selectExpr(
+        "concat('/lineitem/', l_returnflag, '/', l_linestatus, '/', CAST(l_suppkey AS STRING), '/part_', "
+        "CAST(l_partkey AS STRING), '_', CAST(l_orderkey AS STRING), '_', CAST(l_linenumber AS STRING), '.', "
+        f"{doc_extension_sql('l_orderkey + l_linenumber')}) AS full_path",
+        "CAST(l_quantity AS BIGINT) * 1024 AS file_size",
+    )
+
+
 def pages_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing over ``pages``: the URL is the path, the HTML byte length the size."""
     pages = table(spark, sf_dir, "pages")
