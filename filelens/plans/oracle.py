@@ -208,6 +208,7 @@ FROM documents""",
     "table_roundtrip": f"SELECT {ORDERS_COLS} FROM orders",
     "parquet_gzip_roundtrip": f"SELECT {ORDERS_COLS} FROM orders",
     "json_records": DOC_CATALOGUE,
+    "partitioned_catalogue": f"SELECT *, 'pages' AS dataset FROM ({_url_catalogue()})",
     "lineitem_catalogue": LI_CATALOGUE,
     "lineitem_type_counts": _li_type_counts(),
     "label_paths": f"""

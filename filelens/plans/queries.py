@@ -221,6 +221,20 @@ def q_lineitem_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.type_counts(files, stats.BUCKETS_A1, size="file_size", by=["flag"])
 
 
+def q_partitioned_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the three catalogues partitioned by dataset, read one back: the
+    scan prunes the other datasets' folders (PartitionFilters)."""
+    from filelens.session import scratch_path
+    sets = {
+        "documents": catalogue.file_catalogue(td.documents_as_files(spark, sf_dir)),
+        "pages": catalogue.file_catalogue(td.pages_as_files(spark, sf_dir)),
+        "conversations": catalogue.file_catalogue(td.conversations_as_files(spark, sf_dir)),
+    }
+    path = sinks.write_parquet(catalogue.catalogue_datasets(sets), scratch_path(spark, "catalogues"),
+                               partition_by=["dataset"])
+    return srcs.read_catalogue(spark, path).filter(F.col("dataset") == "pages")
+
+
 def q_label_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = td.documents_as_files(spark, sf_dir)
     return scan.label_path_table(scan.match_name(files, "*.json"))
@@ -272,6 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_roundtrip": q_table_roundtrip,
     "parquet_gzip_roundtrip": q_parquet_gzip_roundtrip,
     "json_records": q_json_records,
+    "partitioned_catalogue": q_partitioned_catalogue,
     "label_paths": q_label_paths,
     "lineitem_catalogue": q_lineitem_catalogue,
     "lineitem_type_counts": q_lineitem_type_counts,
