@@ -83,14 +83,18 @@ def expand_archives(archives: DataFrame, path: str = "path", content: str = "con
 
 
 def pack_archives(members: DataFrame, archive: str = "archive", member: str = "member",
-                  content: str = "content", max_bytes: int = 16 << 20, compress_level: int = 1) -> DataFrame:
+                  content: str = "content", max_bytes: int = 16 << 20, compress_level: int = 1,
+                  max_open: int = 32) -> DataFrame:
     """Zip member rows into archives, ``(path, length, content)``.
 
     Packing runs per input partition without a shuffle: rows of one archive
     name that sit in one task are split into parts of at most ``max_bytes``
     named ``<stem>/part-<task>-<n>.zip``, so a name holding a large share of
     the rows still yields many bounded archives built by many tasks.
-    Members are deflated at ``compress_level`` (0 stores them).
+    Members are deflated at ``compress_level`` (0 stores them).  At most
+    ``max_open`` parts are built at once per task (the oldest is closed
+    first), so memory stays below ``max_open * max_bytes`` however many
+    archive names a task sees.
     """
     from pyspark import TaskContext
 
@@ -112,6 +116,8 @@ def pack_archives(members: DataFrame, archive: str = "archive", member: str = "m
 
         for pdf in batches:
             for name, mem, data in zip(pdf[archive], pdf[member], pdf[content]):
+                if name not in open_parts and len(open_parts) >= max_open:
+                    yield close(next(iter(open_parts)))
                 if name not in open_parts:
                     buf = io.BytesIO()
                     method = zipfile.ZIP_DEFLATED if compress_level > 0 else zipfile.ZIP_STORED

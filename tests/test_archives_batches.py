@@ -59,6 +59,10 @@ def test_pack_expand_roundtrip(spark):
     out = archives.expand_archives(packed)
     rows = out.select("member", "length").collect()
     assert sorted((r.member, r.length) for r in rows) == sorted((f"m/{i}.txt", 2 * i) for i in range(500))
+    # few open parts per task: more, smaller archives, same members
+    few = archives.expand_archives(archives.pack_archives(members, max_open=1, compress_level=0))
+    assert sorted((r.member, r.length) for r in few.select("member", "length").collect()) == sorted(
+        (f"m/{i}.txt", 2 * i) for i in range(500))
 
 
 def test_assign_batches_matches_row_number(spark):
