@@ -13,7 +13,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "filelens") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "filelens",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A local session tuned like the target cluster (AQE on, UI off, UTC)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -29,6 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
         .config("spark.driver.memory", "8g")
     )
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

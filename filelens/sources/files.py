@@ -88,27 +88,30 @@ def walk_files(spark: SparkSession, tops: Sequence[str], follow_links: bool = Fa
                num_partitions: int | None = None) -> DataFrame:
     """Executor-side walk of the given top-level directories.
 
-    Stage 1 lists each top one level (files emitted, sub-directories kept);
-    stage 2 spreads the sub-directories round-robin over the tasks and walks
-    each subtree.  Rows are yielded in bounded pandas batches.
+    A linear plan of two listing stages: stage 1 reads each top once and
+    turns it into work units - ``(top, "files")`` for its own files and
+    ``(sub, "tree")`` for each sub-directory; the units are spread
+    round-robin; stage 2 lists the files of each ``files`` unit and walks
+    each ``tree`` unit.  One huge top-level folder thus becomes many tasks.
+    Rows are yielded in bounded pandas batches.
     """
     n = num_partitions or spark.sparkContext.defaultParallelism
-    out_schema = "full_path string, file_size bigint, is_dir boolean"
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows: list[tuple[str, int | None, bool]] = []
+            rows: list[tuple[str, str]] = []
             for top in pdf["top"]:
-                files, dirs = _walk_one_level(top, follow_links)
-                rows.extend((p, s, False) for p, s in files)
-                rows.extend((d, None, True) for d in dirs)
-            yield pd.DataFrame(rows, columns=["full_path", "file_size", "is_dir"])
+                _files, dirs = _walk_one_level(top, follow_links)
+                rows.append((top, "files"))
+                rows.extend((d, "tree") for d in dirs)
+            yield pd.DataFrame(rows, columns=["dir", "mode"])
 
     def walk(batches: Iterator[pd.DataFrame], batch_rows: int = 10_000) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             buf: list[tuple[str, int]] = []
-            for top in pdf["full_path"]:
-                for row in _walk_tree(top, follow_links):
+            for d, mode in zip(pdf["dir"], pdf["mode"]):
+                found = iter(_walk_one_level(d, follow_links)[0]) if mode == "files" else _walk_tree(d, follow_links)
+                for row in found:
                     buf.append(row)
                     if len(buf) >= batch_rows:
                         yield pd.DataFrame(buf, columns=["full_path", "file_size"])
@@ -117,11 +120,8 @@ def walk_files(spark: SparkSession, tops: Sequence[str], follow_links: bool = Fa
                 yield pd.DataFrame(buf, columns=["full_path", "file_size"])
 
     top_df = spark.createDataFrame([(t,) for t in tops], "top string").repartition(max(1, min(n, len(tops) or 1)))
-    level1 = top_df.mapInPandas(expand, out_schema)
-    direct = level1.filter(~F.col("is_dir")).select("full_path", "file_size")
-    subdirs = level1.filter(F.col("is_dir")).select("full_path").repartition(n)
-    deep = subdirs.mapInPandas(walk, "full_path string, file_size bigint")
-    return direct.unionByName(deep)
+    work = top_df.mapInPandas(units, "dir string, mode string").repartition(n)
+    return work.mapInPandas(walk, "full_path string, file_size bigint")
 
 
 def top_entries(root_glob: str) -> list[str]:
