@@ -102,6 +102,13 @@ def strip_uri(path: Column | str) -> Column:
     return F.regexp_replace(_c(path), URI_SCHEME_PATTERN, "")
 
 
+def top_folder(path: Column | str, n: int) -> Column:
+    """The ``n``-th '/'-separated piece of a path (0-based; piece 0 of an
+    absolute path is ''), e.g. the dataset folder ``src3`` of
+    ``/data/src3/en/x.png`` for ``n=2``."""
+    return F.substring_index(F.substring_index(_c(path), "/", n + 1), "/", -1)
+
+
 def path_depth(path: Column | str) -> Column:
     """Number of '/'-separated pieces, as bigint."""
     return F.size(F.split(_c(path), "/")).cast("bigint")

@@ -18,6 +18,7 @@ from filelens.functions.flatten import flatten
 from filelens.functions.sizes import format_bytes
 from filelens.operators import batches, catalogue, constraints, stats
 from filelens.plans import testdata as td
+from filelens.session import scratch_path
 from filelens.sinks import tables as sinks
 from filelens.sources import archives
 from filelens.sources import files as scan
@@ -81,7 +82,7 @@ def q_type_counts_a3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_type_counts_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = td.documents_as_files(spark, sf_dir)
-    files = files.withColumn("source", F.split("full_path", "/").getItem(2))
+    files = files.withColumn("source", P.top_folder("full_path", 2))
     return stats.type_counts(files, stats.BUCKETS_A2, size="file_size", by=["source"])
 
 
@@ -191,14 +192,12 @@ def q_expand_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = td.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    from filelens.session import scratch_path
     name = sinks.save_table(orders, sinks.unique_table_name("orders_copy"),
                             path=scratch_path(spark, "orders-table"))
     return srcs.read_table(spark, name)
 
 
 def q_parquet_gzip_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from filelens.session import scratch_path
     orders = td.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     path = sinks.write_parquet(orders, scratch_path(spark, "orders-gzip"), compression="gzip")
@@ -206,7 +205,6 @@ def q_parquet_gzip_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from filelens.session import scratch_path
     files = catalogue.file_catalogue(td.documents_as_files(spark, sf_dir))
     path = sinks.write_json(files, scratch_path(spark, "catalogue-json"))
     return lbl.read_labels(spark, path, schema=catalogue.CATALOGUE_SCHEMA, multi_line=False)
@@ -217,14 +215,13 @@ def q_lineitem_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_lineitem_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = td.lineitem_as_files(spark, sf_dir).withColumn("flag", F.split("full_path", "/").getItem(2))
+    files = td.lineitem_as_files(spark, sf_dir).withColumn("flag", P.top_folder("full_path", 2))
     return stats.type_counts(files, stats.BUCKETS_A1, size="file_size", by=["flag"])
 
 
 def q_partitioned_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the three catalogues partitioned by dataset, read one back: the
     scan prunes the other datasets' folders (PartitionFilters)."""
-    from filelens.session import scratch_path
     sets = {
         "documents": catalogue.file_catalogue(td.documents_as_files(spark, sf_dir)),
         "pages": catalogue.file_catalogue(td.pages_as_files(spark, sf_dir)),
@@ -242,7 +239,6 @@ def q_label_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Save the three catalogues as tables of a fresh database, then list it."""
-    from filelens.session import scratch_path
     db = sinks.unique_table_name("filelens_catalogues")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, 'catalogues-db')}'")
     sets = {
