@@ -203,8 +203,12 @@ def scan_files(spark: SparkSession, root: str, rule: str = "subdirs", pattern: s
         else:
             listing = walk_files(spark, [root.rstrip("/")], follow_links=(rule == "no_zip"))
     else:
-        # the name pattern also goes into the listing itself (pathGlobFilter)
-        load_root = root if rule in ("subdirs", "one_level") else root.rstrip("/")
+        # The name pattern also goes into the listing itself (pathGlobFilter).
+        # A folder root is handed over as ``root/*``: Spark expands the glob
+        # into one path per child and, past
+        # spark.sql.sources.parallelPartitionDiscovery.threshold paths, lists
+        # the subtrees in a distributed job instead of on the driver.
+        load_root = root if rule in ("subdirs", "one_level") else root.rstrip("/") + "/*"
         listing = list_files(spark, load_root, pattern=pattern)
     if pattern:
         listing = match_name(listing, pattern)
