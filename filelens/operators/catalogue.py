@@ -81,6 +81,15 @@ def catalogue_files(spark, root: str, rule: str = "subdirs", pattern: str | None
     return file_catalogue(scan_files(spark, root, rule=rule, pattern=pattern, complete=complete))
 
 
+def catalogue_roots(spark, roots: Mapping[str, str], rule: str = "subdirs", complete: bool = False,
+                    name: str = "dataset") -> DataFrame:
+    """Catalogue several dataset roots into one table tagged by dataset name
+    (``{"cctv": "/mnt/cctv/*", "sand": "/mnt/sand/*"}``); report it with
+    ``table_shape(df, by=["dataset"], size="file_size")``."""
+    return catalogue_datasets(
+        {key: catalogue_files(spark, root, rule=rule, complete=complete) for key, root in roots.items()}, name)
+
+
 def _check_key_types(left: DataFrame, right: DataFrame, key: str) -> None:
     lt = left.schema[key].dataType
     rt = right.schema[key].dataType
