@@ -28,14 +28,9 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from filelens.functions import paths as P
 
-LISTING_SCHEMA = T.StructType(
-    [T.StructField("full_path", T.StringType(), False), T.StructField("file_size", T.LongType(), True)]
-)
-
 RULES = ("subdirs", "no_zip", "one_level", "all")
 
 
@@ -170,17 +165,6 @@ def apply_rule(df: DataFrame, root: str, rule: str = "subdirs", path: str = "ful
     raise ValueError(f"unknown rule {rule!r}; expected one of {RULES}")
 
 
-def _glob_base(root: str) -> str:
-    """Longest leading part of a glob without wildcards, as a directory."""
-    parts = root.split("/")
-    fixed: list[str] = []
-    for part in parts:
-        if any(ch in part for ch in "*?["):
-            break
-        fixed.append(part)
-    return "/".join(fixed) or "/"
-
-
 def scan_files(spark: SparkSession, root: str, rule: str = "subdirs", pattern: str | None = None,
                complete: bool = False) -> DataFrame:
     """List a tree and keep what ``rule`` returns; ``(full_path, file_size)``.

@@ -108,3 +108,13 @@ def test_assign_batches_hot_key_is_split(spark):
     hot = [r.row_index for r in rows if r.k == "hot"]
     assert sorted(hot) == list(range(0, 1000))  # 'hot' sorts before every 'k…' key
     assert {r.batch_id for r in rows if r.k == "hot"} == set(range(100))
+
+
+def test_bucket_column_and_pandas_preview(spark):
+    from filelens.operators.stats import BUCKETS_A3, bucket_column
+
+    df = spark.createDataFrame([("/a/x.png",), ("/a/y.jpeg",), ("/a/z.csv",), ("/a.png/file",)], "full_path string")
+    got = [r.b for r in df.select(bucket_column("full_path", BUCKETS_A3).alias("b")).collect()]
+    assert got == ["png", "jpg", "etc", "etc"]
+    pdf = batches.to_pandas_preview(df, 2, ["full_path"])
+    assert list(pdf["full_path"]) == ["/a.png/file", "/a/x.png"]

@@ -126,3 +126,20 @@ def test_top_level_array_file(spark, tmp_path):
     (tmp_path / "arr.json").write_text(json.dumps([_doc(1), _doc(2)], indent=1))
     df = L.read_labels(spark, str(tmp_path))
     assert sorted(r["id"] for r in df.collect()) == ["img_1", "img_2"]
+
+
+def test_declared_schema_agrees_with_inference(spark, label_dir):
+    """The declared label DDL names the same nested fields Spark infers."""
+    inferred = L.infer_schema(spark, label_dir)
+    declared = spark.createDataFrame([], L.LABEL_DDL).schema
+
+    def leaves(schema, prefix=""):
+        out = set()
+        for f in schema.fields:
+            if hasattr(f.dataType, "fields"):
+                out |= leaves(f.dataType, prefix + f.name + ".")
+            else:
+                out.add(prefix + f.name)
+        return out
+
+    assert leaves(declared) <= leaves(inferred)
