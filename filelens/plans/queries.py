@@ -18,7 +18,7 @@ from filelens.functions.flatten import flatten
 from filelens.functions.sizes import format_bytes
 from filelens.operators import batches, catalogue, constraints, stats
 from filelens.plans import testdata as td
-from filelens.session import scratch_path
+from filelens.session import default_parallelism, scratch_path
 from filelens.sinks import tables as sinks
 from filelens.sources import archives
 from filelens.sources import files as scan
@@ -184,7 +184,7 @@ def q_expand_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.encode("text", "UTF-8").alias("content"),
     )
     packed = archives.pack_archives(members)
-    out = archives.expand_archives(packed, num_partitions=spark.sparkContext.defaultParallelism)
+    out = archives.expand_archives(packed, num_partitions=default_parallelism(spark))
     return out.select(P.folder_name("archive").alias("source"), "member", "length",
                       F.md5("content").alias("content_md5"))
 

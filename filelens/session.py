@@ -38,8 +38,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect one."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", None) or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -49,15 +60,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     already set on the context).  Only a local session - tests, the bench -
     gets a fresh temporary folder of its own.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is None:
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not set on this session")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if _is_local(spark):
+    if sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="filelens-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError(

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filelens.functions import paths as P
+from filelens.session import default_parallelism
 
 RULES = ("subdirs", "no_zip", "one_level", "all")
 
@@ -90,7 +91,7 @@ def walk_files(spark: SparkSession, tops: Sequence[str], follow_links: bool = Fa
     each ``tree`` unit.  One huge top-level folder thus becomes many tasks.
     Rows are yielded in bounded pandas batches.
     """
-    n = num_partitions or spark.sparkContext.defaultParallelism
+    n = num_partitions or default_parallelism(spark)
 
     def units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -213,7 +214,7 @@ def _one_level_complete(spark: SparkSession, tops: Sequence[str]) -> DataFrame:
                 rows.extend(files)
             yield pd.DataFrame(rows, columns=["full_path", "file_size"])
 
-    n = max(1, min(spark.sparkContext.defaultParallelism, len(tops) or 1))
+    n = max(1, min(default_parallelism(spark), len(tops) or 1))
     return spark.createDataFrame([(t,) for t in tops], "top string").repartition(n).mapInPandas(
         one, "full_path string, file_size bigint")
 
