@@ -100,3 +100,38 @@ def test_hot_key_join_keeps_multiplicity(spark):
         assert out.count() == 1000 * 2 + 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_aqe_splits_hot_key_in_label_join(spark):
+    """With a key holding a third of the file rows, AQE marks the join skewed
+    and splits that partition; the result is unchanged."""
+    import contextlib
+    import io
+
+    from filelens.operators.catalogue import join_labels
+
+    files = spark.range(0, 60000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('f', CAST(id AS STRING)) END AS file_id",
+        "repeat(CAST(id AS STRING), 20) AS pad")
+    labels = spark.range(0, 60000).selectExpr(
+        "CASE WHEN id = 0 THEN 'hot' ELSE concat('f', CAST(id AS STRING)) END AS file_id", "id AS quality")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        joined = join_labels(files, labels, drop_key=False)
+        rows = joined.collect()  # runs this Dataset's adaptive plan to its final form
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            joined.explain()
+        assert len(rows) == 60000 and sum(r.file_id == "hot" for r in rows) == 20000
+        assert "skew=true" in buf.getvalue()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

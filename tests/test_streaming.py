@@ -26,3 +26,19 @@ def test_incremental_catalogue(spark, tmp_path):
     q.awaitTermination(120)
     rows = spark.read.parquet(out).collect()
     assert sorted(r.file_id for r in rows) == ["a", "b", "c"]  # nothing catalogued twice
+
+
+def test_type_counts_on_a_stream(spark, tmp_path):
+    """The batch report applies unchanged to the streaming catalogue."""
+    from filelens.operators.stats import BUCKETS_A2, type_counts
+
+    root = str(tmp_path / "arrivals")
+    for name, size in [("a.png", 1), ("b.jpg", 2), ("c.jpeg", 3), ("d.json", 4)]:
+        _write(f"{root}/TS1/{name}", b"x" * size)
+    counts = type_counts(catalogue_stream(spark, root), BUCKETS_A2, size="file_size")
+    out = scratch_path(spark, "counts-ckpt")
+    q = (counts.writeStream.outputMode("complete").format("memory").queryName("fl_type_counts")
+         .option("checkpointLocation", out).trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    row = spark.table("fl_type_counts").first()
+    assert (row.n_files, row.total_bytes, row.png_count, row.jpg_count, row.etc_count) == (4, 10, 1, 2, 1)
