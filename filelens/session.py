@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -95,3 +96,36 @@ def local_dir(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``filelens`` importable in the Python workers of this application.
+
+    Operators that run Python on the executors (``mapInPandas``) need the
+    package there.  The package's sources are zipped once per application
+    and handed to Spark (``addPyFile``, or ``addArtifacts`` on Spark
+    Connect), which distributes them with the job - the same as
+    ``--py-files``.
+    """
+    sc = _context(spark)
+    key = sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    archive = os.path.join(tempfile.mkdtemp(prefix="filelens-pyfiles-"), "filelens.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, base))
+    if sc is not None:
+        sc.addPyFile(archive)
+    else:
+        spark.addArtifacts(archive, pyfile=True)
+    _SHIPPED.add(key)

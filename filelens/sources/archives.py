@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filelens.functions import paths as P
+from filelens.session import ship_package
 
 MEMBER_SCHEMA = "archive string, member string, length bigint, content binary"
 PACKED_SCHEMA = "path string, length bigint, content binary"
@@ -75,6 +76,7 @@ def expand_archives(archives: DataFrame, path: str = "path", content: str = "con
             if rows:
                 yield pd.DataFrame(rows, columns=["archive", "member", "length", "content"])
 
+    ship_package(archives.sparkSession)
     source = archives.select(path, content)
     if num_partitions:
         source = source.repartition(num_partitions)
@@ -132,6 +134,7 @@ def pack_archives(members: DataFrame, archive: str = "archive", member: str = "m
         for name in list(open_parts):
             yield close(name)
 
+    ship_package(members.sparkSession)
     return members.select(archive, member, content).mapInPandas(pack, PACKED_SCHEMA)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filelens.functions import paths as P
-from filelens.session import default_parallelism
+from filelens.session import default_parallelism, ship_package
 
 RULES = ("subdirs", "no_zip", "one_level", "all")
 
@@ -115,6 +115,7 @@ def walk_files(spark: SparkSession, tops: Sequence[str], follow_links: bool = Fa
             if buf:
                 yield pd.DataFrame(buf, columns=["full_path", "file_size"])
 
+    ship_package(spark)
     top_df = spark.createDataFrame([(t,) for t in tops], "top string").repartition(max(1, min(n, len(tops) or 1)))
     work = top_df.mapInPandas(units, "dir string, mode string").repartition(n)
     return work.mapInPandas(walk, "full_path string, file_size bigint")
@@ -214,6 +215,7 @@ def _one_level_complete(spark: SparkSession, tops: Sequence[str]) -> DataFrame:
                 rows.extend(files)
             yield pd.DataFrame(rows, columns=["full_path", "file_size"])
 
+    ship_package(spark)
     n = max(1, min(default_parallelism(spark), len(tops) or 1))
     return spark.createDataFrame([(t,) for t in tops], "top string").repartition(n).mapInPandas(
         one, "full_path string, file_size bigint")
