@@ -26,6 +26,15 @@ from filelens.sources import labels as lbl
 from filelens.sources import tables as srcs
 
 
+def _three_catalogues(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three datasets of the multi-dataset report, each as a catalogue."""
+    return {
+        "documents": catalogue.file_catalogue(td.documents_as_files(spark, sf_dir)),
+        "pages": catalogue.file_catalogue(td.pages_as_files(spark, sf_dir)),
+        "conversations": catalogue.file_catalogue(td.conversations_as_files(spark, sf_dir)),
+    }
+
+
 def q_file_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.file_catalogue(td.documents_as_files(spark, sf_dir))
 
@@ -153,11 +162,7 @@ def q_union_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_catalogue_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = {
-        "documents": catalogue.file_catalogue(td.documents_as_files(spark, sf_dir)),
-        "pages": catalogue.file_catalogue(td.pages_as_files(spark, sf_dir)),
-        "conversations": catalogue.file_catalogue(td.conversations_as_files(spark, sf_dir)),
-    }
+    sets = _three_catalogues(spark, sf_dir)
     return stats.table_shape(catalogue.catalogue_datasets(sets), by=["dataset"], size="file_size")
 
 
@@ -222,11 +227,7 @@ def q_lineitem_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_partitioned_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the three catalogues partitioned by dataset, read one back: the
     scan prunes the other datasets' folders (PartitionFilters)."""
-    sets = {
-        "documents": catalogue.file_catalogue(td.documents_as_files(spark, sf_dir)),
-        "pages": catalogue.file_catalogue(td.pages_as_files(spark, sf_dir)),
-        "conversations": catalogue.file_catalogue(td.conversations_as_files(spark, sf_dir)),
-    }
+    sets = _three_catalogues(spark, sf_dir)
     path = sinks.write_parquet(catalogue.catalogue_datasets(sets), scratch_path(spark, "catalogues"),
                                partition_by=["dataset"])
     return srcs.read_catalogue(spark, path).filter(F.col("dataset") == "pages")
@@ -241,14 +242,8 @@ def q_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Save the three catalogues as tables of a fresh database, then list it."""
     db = sinks.unique_table_name("filelens_catalogues")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, 'catalogues-db')}'")
-    sets = {
-        "documents": td.documents_as_files(spark, sf_dir),
-        "pages": td.pages_as_files(spark, sf_dir),
-        "conversations": td.conversations_as_files(spark, sf_dir),
-    }
-    for name, listing in sets.items():
-        sinks.save_table(catalogue.file_catalogue(listing), f"{db}.{name}_files",
-                         path=scratch_path(spark, f"{name}-files"))
+    for name, cat in _three_catalogues(spark, sf_dir).items():
+        sinks.save_table(cat, f"{db}.{name}_files", path=scratch_path(spark, f"{name}-files"))
     return srcs.list_tables(spark, db)
 
 
