@@ -100,16 +100,30 @@ def _check_key_types(left: DataFrame, right: DataFrame, key: str) -> None:
         )
 
 
-def join_labels(files: DataFrame, labels: DataFrame, key: str = "file_id", drop_key: bool = True) -> DataFrame:
+def labels_fit(labels: DataFrame, max_rows: int) -> bool:
+    """True when ``labels`` has at most ``max_rows`` rows.
+
+    Counts at most ``max_rows + 1`` rows (a ``limit`` before the count), so
+    the check stops early on a large table.
+    """
+    return labels.limit(max_rows + 1).count() <= max_rows
+
+
+def join_labels(files: DataFrame, labels: DataFrame, key: str = "file_id", drop_key: bool = True,
+                broadcast_max_rows: int | None = None) -> DataFrame:
     """Inner equi-join of files and labels; many-to-many multiplicity kept.
 
-    No strategy is forced: with AQE the runtime size of the labels side
-    decides between broadcast (under ``autoBroadcastJoinThreshold``) and a
-    sort-merge join, and a key holding a large share of the rows is split by
-    AQE's skew-join handling.  Key types must agree up front, so a numeric
-    JSON id never turns into an implicit cast of the path-derived side.
+    With ``broadcast_max_rows`` the labels side is broadcast only after a
+    measured check that it has at most that many rows (label rows have a
+    fixed, declared width, so this bounds its bytes); beyond it the join is
+    a sort-merge join whose skewed key partitions AQE splits.  Without it the
+    planner decides from its size estimate (``autoBroadcastJoinThreshold``).
+    Key types must agree up front, so a numeric JSON id never turns into an
+    implicit cast of the path-derived side.
     """
     _check_key_types(files, labels, key)
+    if broadcast_max_rows is not None and labels_fit(labels, broadcast_max_rows):
+        labels = F.broadcast(labels)
     joined = files.join(labels, on=key, how="inner")
     return joined.drop(key) if drop_key else joined
 
@@ -148,9 +162,11 @@ def flag_quality(labels: DataFrame, rules: Sequence[tuple[str, str, str, float]]
 
 
 def label_catalogue(files: DataFrame, labels: DataFrame,
-                    fields: Sequence[tuple[str, str]] = LABEL_FIELDS) -> DataFrame:
+                    fields: Sequence[tuple[str, str]] = LABEL_FIELDS,
+                    broadcast_max_rows: int | None = None) -> DataFrame:
     """Files joined to selected label fields, join key dropped."""
-    return join_labels(files, select_label_fields(labels, fields), key=fields[0][1], drop_key=True)
+    return join_labels(files, select_label_fields(labels, fields), key=fields[0][1], drop_key=True,
+                       broadcast_max_rows=broadcast_max_rows)
 
 
 def union_labels(frames: Sequence[DataFrame]) -> DataFrame:

@@ -19,6 +19,10 @@ from filelens.functions.sizes import format_bytes
 from filelens.operators import batches, catalogue, constraints, stats
 from filelens.plans import testdata as td
 from filelens.session import default_parallelism, scratch_path
+
+# Label sides up to this many rows are broadcast after a measured check;
+# larger ones are joined by sort-merge with AQE skew splitting.
+LABEL_BROADCAST_MAX_ROWS = 500_000
 from filelens.sinks import tables as sinks
 from filelens.sources import archives
 from filelens.sources import files as scan
@@ -141,7 +145,8 @@ def q_select_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_label_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = catalogue.file_catalogue(td.documents_as_files(spark, sf_dir))
     labels = td.labels_as_documents(spark, sf_dir)
-    return catalogue.join_labels(files, labels, key="file_id", drop_key=True)
+    return catalogue.join_labels(files, labels, key="file_id", drop_key=True,
+                                 broadcast_max_rows=LABEL_BROADCAST_MAX_ROWS)
 
 
 def q_meta_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +154,7 @@ def q_meta_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields, join key dropped."""
     files = catalogue.file_catalogue(td.documents_as_files(spark, sf_dir))
     labels = td.part_as_labels(spark, sf_dir, id_prefix="doc_")
-    return catalogue.label_catalogue(files, labels)
+    return catalogue.label_catalogue(files, labels, broadcast_max_rows=LABEL_BROADCAST_MAX_ROWS)
 
 
 def q_union_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

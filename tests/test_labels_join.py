@@ -143,3 +143,27 @@ def test_declared_schema_agrees_with_inference(spark, label_dir):
         return out
 
     assert leaves(declared) <= leaves(inferred)
+
+
+def test_broadcast_only_after_measured_check(spark):
+    import contextlib
+    import io
+
+    files = spark.range(0, 100).selectExpr("concat('f', CAST(id AS STRING)) AS file_id", "id AS file_size")
+    labels = spark.range(0, 100, 2).selectExpr("concat('f', CAST(id AS STRING)) AS file_id", "id AS quality")
+    assert C.labels_fit(labels, 50) and not C.labels_fit(labels, 49)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = {}
+        for bound in (50, 10):
+            out = C.join_labels(files, labels, broadcast_max_rows=bound)
+            buf = io.StringIO()
+            with contextlib.redirect_stdout(buf):
+                out.explain()
+            plans[bound] = buf.getvalue()
+            assert out.count() == 50
+        assert "BroadcastHashJoin" in plans[50]
+        assert "BroadcastHashJoin" not in plans[10] and "SortMergeJoin" in plans[10]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
