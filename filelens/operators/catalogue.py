@@ -116,14 +116,17 @@ def join_labels(files: DataFrame, labels: DataFrame, key: str = "file_id", drop_
     With ``broadcast_max_rows`` the labels side is broadcast only after a
     measured check that it has at most that many rows (label rows have a
     fixed, declared width, so this bounds its bytes); beyond it the join is
-    a sort-merge join whose skewed key partitions AQE splits.  Without it the
+    pinned to a sort-merge join (``shuffle_merge`` hint), whose skewed key
+    partitions AQE splits.  Without it the
     planner decides from its size estimate (``autoBroadcastJoinThreshold``).
     Key types must agree up front, so a numeric JSON id never turns into an
     implicit cast of the path-derived side.
     """
     _check_key_types(files, labels, key)
-    if broadcast_max_rows is not None and labels_fit(labels, broadcast_max_rows):
-        labels = F.broadcast(labels)
+    if broadcast_max_rows is not None:
+        # measured: broadcast when it fits; otherwise forbid a broadcast the
+        # planner might pick from a compressed-size estimate
+        labels = F.broadcast(labels) if labels_fit(labels, broadcast_max_rows) else labels.hint("shuffle_merge")
     joined = files.join(labels, on=key, how="inner")
     return joined.drop(key) if drop_key else joined
 
