@@ -27,12 +27,14 @@ MODES = ("PERMISSIVE", "FAILFAST", "DROPMALFORMED")
 
 def read_labels(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType = LABEL_DDL,
                 multi_line: bool = True, mode: str = "PERMISSIVE", corrupt_column: str | None = None,
-                with_path: bool = False) -> DataFrame:
+                with_path: bool = False, pattern: str | None = None, recursive: bool = False) -> DataFrame:
     """Read many JSON files in one job (one document per file by default).
 
     ``mode="FAILFAST"`` stops at the first malformed file; the default
     keeps going and leaves nulls, and ``corrupt_column`` keeps the raw text
     of bad records.  ``with_path`` adds ``label_path`` (the file read).
+    ``pattern`` (e.g. ``"*.json"``) and ``recursive`` select label files in
+    nested folders mixed with other files; both act in the listing.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -42,6 +44,10 @@ def read_labels(spark: SparkSession, paths: str | Sequence[str], schema: str | T
         else:
             schema = f"{schema}, {corrupt_column} string"
     reader = spark.read.schema(schema).option("multiLine", str(multi_line).lower()).option("mode", mode)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     paths_list = [paths] if isinstance(paths, str) else list(paths)

@@ -167,3 +167,15 @@ def test_broadcast_only_after_measured_check(spark):
         assert "BroadcastHashJoin" not in plans[10] and "SortMergeJoin" in plans[10]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_nested_label_folders_with_pattern(spark, tmp_path):
+    for i, sub in enumerate(["a", "a/b", "k=v"]):
+        d = tmp_path / sub
+        d.mkdir(parents=True, exist_ok=True)
+        (d / f"img_{i}.json").write_text(json.dumps(_doc(i), indent=1))
+        (d / f"img_{i}.png").write_bytes(b"\x89PNG")
+    df = L.read_labels(spark, str(tmp_path), pattern="*.json", recursive=True, with_path=True)
+    rows = df.collect()
+    assert sorted(r["id"] for r in rows) == ["img_0", "img_1", "img_2"]
+    assert all(r["label_path"].endswith(".json") for r in rows)
