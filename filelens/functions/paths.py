@@ -109,6 +109,14 @@ def top_folder(path: Column | str, n: int) -> Column:
     return F.substring_index(F.substring_index(_c(path), "/", n + 1), "/", -1)
 
 
+def uri_to_path(uri: Column | str) -> Column:
+    """A percent-escaped file URI (``_metadata.file_path``) as a plain path.
+
+    '+' is literal in a URI path, so it is protected before decoding.
+    """
+    return strip_uri(F.url_decode(F.replace(_c(uri), F.lit("+"), F.lit("%2B"))))
+
+
 def path_depth(path: Column | str) -> Column:
     """Number of '/'-separated pieces, as bigint."""
     return F.size(F.split(_c(path), "/")).cast("bigint")

@@ -40,7 +40,7 @@ def read_labels(spark: SparkSession, paths: str | Sequence[str], schema: str | T
         raise ValueError(f"mode must be one of {MODES}")
     if corrupt_column:
         if isinstance(schema, T.StructType):
-            schema = schema.add(corrupt_column, T.StringType())
+            schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
         else:
             schema = f"{schema}, {corrupt_column} string"
     reader = spark.read.schema(schema).option("multiLine", str(multi_line).lower()).option("mode", mode)
@@ -53,7 +53,7 @@ def read_labels(spark: SparkSession, paths: str | Sequence[str], schema: str | T
     paths_list = [paths] if isinstance(paths, str) else list(paths)
     df = reader.json(paths_list)
     if with_path:
-        df = df.withColumn("label_path", P.strip_uri(F.col("_metadata.file_path")))
+        df = df.withColumn("label_path", P.uri_to_path(F.col("_metadata.file_path")))
     return df
 
 

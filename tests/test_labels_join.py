@@ -179,3 +179,19 @@ def test_nested_label_folders_with_pattern(spark, tmp_path):
     rows = df.collect()
     assert sorted(r["id"] for r in rows) == ["img_0", "img_1", "img_2"]
     assert all(r["label_path"].endswith(".json") for r in rows)
+
+
+def test_label_path_is_plain_text(spark, tmp_path):
+    d = tmp_path / "라벨 데이터"
+    d.mkdir()
+    (d / "a+b 1.json").write_text(json.dumps(_doc(1)))
+    row = L.read_labels(spark, str(d), with_path=True).first()
+    assert row["label_path"] == str(d / "a+b 1.json")
+
+
+def test_corrupt_column_leaves_given_schema_alone(spark, bad_dir):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("id", T.StringType())])
+    L.read_labels(spark, bad_dir, schema=schema, corrupt_column="_bad").count()
+    assert schema.fieldNames() == ["id"]
