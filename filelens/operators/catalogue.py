@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,7 +73,7 @@ def file_catalogue(paths: DataFrame, path: str = "full_path", size: str = "file_
     return with_file_columns(paths.select(path, size), path, size)
 
 
-def catalogue_files(spark, root: str, rule: str = "subdirs", pattern: str | None = None,
+def catalogue_files(spark: SparkSession, root: str, rule: str = "subdirs", pattern: str | None = None,
                     complete: bool = False) -> DataFrame:
     """List a tree and build its catalogue in one lazy plan."""
     from filelens.sources.files import scan_files
@@ -81,7 +81,7 @@ def catalogue_files(spark, root: str, rule: str = "subdirs", pattern: str | None
     return file_catalogue(scan_files(spark, root, rule=rule, pattern=pattern, complete=complete))
 
 
-def catalogue_roots(spark, roots: Mapping[str, str], rule: str = "subdirs", complete: bool = False,
+def catalogue_roots(spark: SparkSession, roots: Mapping[str, str], rule: str = "subdirs", complete: bool = False,
                     name: str = "dataset") -> DataFrame:
     """Catalogue several dataset roots into one table tagged by dataset name
     (``{"cctv": "/mnt/cctv/*", "sand": "/mnt/sand/*"}``); report it with

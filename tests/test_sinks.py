@@ -135,3 +135,17 @@ def test_aqe_splits_hot_key_in_label_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_read_jdbc_needs_bounds_for_partitioned_reads(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        S.read_jdbc(spark, "jdbc:postgresql://db/x", "file_data", partition_column="file_size")
+
+
+def test_write_modes_checked(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        K.save_table(_orders(spark), "x", mode="replace")
