@@ -116,3 +116,27 @@ def test_glob_to_regex(spark, glob, path, hit):
     assert bool(re.match(pattern, path)) is hit
     if not posixpath.basename(path).startswith("."):
         assert fnmatch.fnmatchcase(path, glob) is hit or "/" in path[len(posixpath.dirname(glob)) + 1:]
+
+
+def test_random_paths_match_python(spark):
+    """5,000 random paths over an alphabet rich in '.', '/' and spaces."""
+    import random
+
+    rng = random.Random(20261202)
+    alphabet = ["a", "b", ".", ".", "/", "/", " ", "한", "_", "-", "+", "="]
+    paths = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 14))) for _ in range(5000)})
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    rows = df.select(
+        "p", P.file_name("p").alias("name"), P.file_id("p").alias("id"), P.folder_name("p").alias("folder"),
+        P.extension("p").alias("ext"), P.file_id_legacy("p").alias("lid"), P.folder_legacy("p").alias("lfolder"),
+        P.archive_dest("p").alias("dest"),
+    ).collect()
+    bad = []
+    for r in rows:
+        p = r.p
+        want = (posixpath.basename(p), py_file_id(p), py_folder(p), p.split(".")[-1], py_legacy_id(p),
+                py_legacy_folder(p), py_archive_dest(p))
+        got = (r.name, r.id, r.folder, r.ext, r.lid, r.lfolder, r.dest)
+        if got != want:
+            bad.append((p, got, want))
+    assert not bad[:5]
