@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from filelens.functions import paths as P
 from filelens.operators.catalogue import with_file_columns
+from filelens.sources.labels import LABEL_DDL
 
 # The schema of Spark's binaryFile source.
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -48,3 +49,18 @@ def append_catalogue(stream: DataFrame, path: str, checkpoint: str, available_no
         writer = writer.partitionBy(*partition_by)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start(path)
+
+
+def label_stream(spark: SparkSession, root: str, schema: str = LABEL_DDL, pattern: str = "*.json",
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """Label documents arriving below ``root``, parsed under ``schema``.
+
+    Join the stream to a static catalogue with
+    :func:`filelens.operators.catalogue.label_catalogue` (a stream-static
+    inner join: each micro-batch of new labels meets the whole catalogue).
+    """
+    reader = (spark.readStream.schema(schema).option("multiLine", "true")
+              .option("recursiveFileLookup", "true").option("pathGlobFilter", pattern))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.json(root)

@@ -42,3 +42,34 @@ def test_type_counts_on_a_stream(spark, tmp_path):
     q.awaitTermination(120)
     row = spark.table("fl_type_counts").first()
     assert (row.n_files, row.total_bytes, row.png_count, row.jpg_count, row.etc_count) == (4, 10, 1, 2, 1)
+
+
+def test_arriving_labels_join_static_catalogue(spark, tmp_path):
+    import json
+
+    from filelens.operators.catalogue import file_catalogue, label_catalogue
+    from filelens.streaming.arrivals import label_stream
+
+    files = file_catalogue(spark.createDataFrame(
+        [("/d/TS/img_1.png", 10), ("/d/TS/img_2.png", 20), ("/d/TS/img_3.png", 30)],
+        "full_path string, file_size bigint"))
+    root = tmp_path / "labels"
+
+    def label(i):
+        return {"id": f"img_{i}", "image": {"size": {"width": i, "height": 2 * i}},
+                "dataset": {"quality1": 2.5, "quality2": 1.0, "quality3": 1.0, "quality4": 1.0, "result": "ok"}}
+
+    _write(str(root / "b1" / "img_1.json"), json.dumps(label(1)).encode())
+    out, ckpt = scratch_path(spark, "lab-out"), scratch_path(spark, "lab-ckpt")
+
+    def run():
+        joined = label_catalogue(files, label_stream(spark, str(root)))
+        q = (joined.writeStream.format("parquet").option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start(out))
+        q.awaitTermination(120)
+
+    run()
+    _write(str(root / "b2" / "img_3.json"), json.dumps(label(3)).encode())
+    run()
+    rows = sorted((r.full_path, r.width) for r in spark.read.parquet(out).collect())
+    assert rows == [("/d/TS/img_1.png", 1), ("/d/TS/img_3.png", 3)]
