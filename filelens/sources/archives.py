@@ -44,44 +44,62 @@ def _unsafe(name: str) -> bool:
 
 
 def expand_archives(archives: DataFrame, path: str = "path", content: str = "content",
-                    batch_bytes: int = DEFAULT_BATCH_BYTES, num_partitions: int | None = None) -> DataFrame:
+                    batch_bytes: int = DEFAULT_BATCH_BYTES, num_partitions: int | None = None,
+                    errors: str = "raise") -> DataFrame:
     """One row per archive member: ``(archive, dest, member, length, content)``.
 
     Directory entries are skipped.  A member name that is absolute or climbs
     with ``..`` raises, since a consumer writing ``dest/member`` would leave
     ``dest``.  ``dest`` is the archive path minus its suffix.
 
+    ``errors="record"`` keeps going past an unreadable archive: it yields
+    one row for it with null member fields and the reason in an extra
+    ``error`` column, so no input disappears silently.
+
     ``num_partitions`` spreads the archive rows round-robin first - useful
     when the archives were produced by few tasks; a ``binaryFile`` scan of
     large archives already gives each its own task.
     """
+    if errors not in ("raise", "record"):
+        raise ValueError("errors must be 'raise' or 'record'")
+    record = errors == "record"
+    cols = ["archive", "member", "length", "content"] + (["error"] if record else [])
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows: list[tuple[str, str, int, bytes]] = []
+            rows: list[tuple] = []
             size = 0
             for archive, blob in zip(pdf[path], pdf[content]):
-                with zipfile.ZipFile(io.BytesIO(blob)) as zf:
+                try:
+                    zf = zipfile.ZipFile(io.BytesIO(blob))
+                except zipfile.BadZipFile as exc:
+                    if not record:
+                        raise ValueError(f"not a zip archive: {archive}") from exc
+                    rows.append((archive, None, None, None, f"bad zip: {exc}"))
+                    continue
+                with zf:
                     for info in zf.infolist():
                         if info.is_dir():
                             continue
                         if _unsafe(info.filename):
                             raise ValueError(f"unsafe member name {info.filename!r} in {archive}")
                         data = zf.read(info)
-                        rows.append((archive, info.filename, len(data), data))
+                        rows.append((archive, info.filename, len(data), data) + ((None,) if record else ()))
                         size += len(data)
                         if size >= batch_bytes:
-                            yield pd.DataFrame(rows, columns=["archive", "member", "length", "content"])
+                            yield pd.DataFrame(rows, columns=cols)
                             rows, size = [], 0
             if rows:
-                yield pd.DataFrame(rows, columns=["archive", "member", "length", "content"])
+                yield pd.DataFrame(rows, columns=cols)
 
     ship_package(archives.sparkSession)
     source = archives.select(path, content)
     if num_partitions:
         source = source.repartition(num_partitions)
-    members = source.mapInPandas(expand, MEMBER_SCHEMA)
-    return members.select("archive", P.archive_dest("archive").alias("dest"), "member", "length", "content")
+    schema = MEMBER_SCHEMA + (", error string" if record else "")
+    members = source.mapInPandas(expand, schema)
+    extra = ["error"] if record else []
+    return members.select("archive", P.archive_dest("archive").alias("dest"), "member", "length", "content", *extra)
 
 
 def pack_archives(members: DataFrame, archive: str = "archive", member: str = "member",

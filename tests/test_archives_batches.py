@@ -118,3 +118,16 @@ def test_bucket_column_and_pandas_preview(spark):
     assert got == ["png", "jpg", "etc", "etc"]
     pdf = batches.to_pandas_preview(df, 2, ["full_path"])
     assert list(pdf["full_path"]) == ["/a.png/file", "/a/x.png"]
+
+
+def test_bad_archive_raises_or_is_recorded(spark):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as zf:
+        zf.writestr("ok.txt", b"fine")
+    df = spark.createDataFrame([("/z/good.zip", buf.getvalue()), ("/z/bad.zip", b"not a zip")],
+                               "path string, content binary")
+    with pytest.raises(Exception, match="not a zip"):
+        archives.expand_archives(df).collect()
+    rows = sorted(archives.expand_archives(df, errors="record").select("archive", "member", "error").collect())
+    assert [(r.archive, r.member) for r in rows] == [("/z/bad.zip", None), ("/z/good.zip", "ok.txt")]
+    assert rows[0].error.startswith("bad zip") and rows[1].error is None
