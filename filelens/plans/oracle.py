@@ -143,6 +143,8 @@ SELECT CAST(p_partkey AS VARCHAR) AS id,
        p_retailprice / 250.0::DOUBLE AS "dataset.quality3", CAST(p_size AS DOUBLE) AS "dataset.quality4",
        p_brand AS "dataset.result"
 FROM part""",
+    "flatten_map": """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events""",
     "json_labels": """
 SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
     "select_labels": """

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filelens.functions import paths as P
-from filelens.functions.flatten import flatten
+from filelens.functions.flatten import flatten, flatten_map
 from filelens.functions.sizes import format_bytes
 from filelens.operators import batches, catalogue, constraints, stats
 from filelens.plans import testdata as td
@@ -129,6 +129,13 @@ def q_flatten_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(td.part_as_labels(spark, sf_dir), sep=".", depth=None)
 
 
+def q_flatten_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map-typed label column flattened into one column per key."""
+    events = td.table(spark, sf_dir, "events").select("event_id", "props")
+    parsed = lbl.parse_labels(events, "props", "map<string,bigint>")
+    return flatten_map(parsed, "props")
+
+
 def q_json_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = td.table(spark, sf_dir, "events")
     parsed = lbl.parse_labels(events, "props", "k bigint")
@@ -269,6 +276,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "archive_dest": q_archive_dest,
     "flatten_one": q_flatten_one,
     "flatten_deep": q_flatten_deep,
+    "flatten_map": q_flatten_map,
     "json_labels": q_json_labels,
     "select_labels": q_select_labels,
     "label_catalogue": q_label_catalogue,

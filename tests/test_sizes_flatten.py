@@ -72,3 +72,15 @@ def test_flatten_case_clash_raises(spark):
     df = spark.createDataFrame([((1,), 2)], "a struct<B:int>, a_b int")
     with pytest.raises(ValueError):
         flatten(df, sep="_", depth=1)
+
+
+def test_flatten_map_discovers_keys(spark):
+    from filelens.functions.flatten import flatten_map
+
+    df = spark.createDataFrame([(1, {"a": "x", "b": "y"}), (2, {"a": "z"})], "id int, m map<string,string>")
+    out = flatten_map(df, "m")
+    assert out.columns == ["id", "m_a", "m_b"]
+    assert [tuple(r) for r in out.orderBy("id").collect()] == [(1, "x", "y"), (2, "z", None)]
+    with pytest.raises(ValueError):
+        flatten_map(df, "m", max_keys=1)
+    assert flatten_map(df, "m", keys=["b"]).columns == ["id", "m_b"]
