@@ -1,0 +1,50 @@
+"""The batch label-join flow on real files: image folders ``TS*`` plus a
+label folder -> catalogue -> labels -> join -> saved table -> type report."""
+
+from __future__ import annotations
+
+import json
+import os
+
+from filelens.operators.catalogue import catalogue_files, label_catalogue
+from filelens.operators.stats import BUCKETS_A3, type_counts
+from filelens.session import scratch_path
+from filelens.sinks.tables import save_table, unique_table_name
+from filelens.sources.labels import read_labels
+from filelens.sources.tables import read_table
+
+
+def _write(path, data):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as f:
+        f.write(data)
+
+
+def test_image_label_table(spark, tmp_path):
+    root = tmp_path / "data"
+    sizes = {}
+    for folder, names in {"TS_01": ["A1.png", "A2.jpg"], "TS_02": ["B1.jpeg", "B2.png", "notes.txt"]}.items():
+        for i, name in enumerate(names):
+            data = b"x" * (100 * (i + 1))
+            _write(str(root / "image" / folder / name), data)
+            sizes[name] = len(data)
+    _write(str(root / "image" / "other" / "C1.png"), b"c")  # not matched by TS*
+    for stem, q1 in [("A1", 2.7), ("A2", 2.1), ("B1", 3.0), ("B2", 2.4), ("Z9", 1.0)]:
+        doc = {"id": stem, "image": {"size": {"width": 64, "height": 48}},
+               "dataset": {"quality1": q1, "quality2": 1.5, "quality3": 2.0, "quality4": 9.0, "result": "pass"}}
+        _write(str(root / "label_data" / f"{stem}.json"), json.dumps(doc, indent=2).encode())
+
+    files = catalogue_files(spark, str(root / "image" / "TS*"), rule="one_level")
+    labels = read_labels(spark, str(root / "label_data" / "*.json"), mode="FAILFAST")
+    table = label_catalogue(files, labels, broadcast_max_rows=1000)
+    name = save_table(table, unique_table_name("tb_meta_info"), path=scratch_path(spark, "tb"))
+    back = read_table(spark, name)
+
+    rows = {r.file_name: r for r in back.collect()}
+    assert sorted(rows) == ["A1.png", "A2.jpg", "B1.jpeg", "B2.png"]  # notes.txt has no label, Z9 no file
+    assert rows["B1.jpeg"]["밀도"] == 3.0 and rows["A1.png"].folder_name == "TS_01"
+    assert back.columns == ["full_path", "file_name", "folder_name", "file_size", "width", "height",
+                            "밀도", "흡수율", "안전성", "잔입자_통과량", "target_data"]
+    report = type_counts(back, BUCKETS_A3, size="file_size").first()
+    assert (report.n_files, report.png_count, report.jpg_count, report.etc_count) == (4, 2, 2, 0)
+    assert report.total_bytes == sum(sizes[n] for n in rows)
