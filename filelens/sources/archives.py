@@ -159,3 +159,56 @@ def pack_archives(members: DataFrame, archive: str = "archive", member: str = "m
 def _strip_suffix(name: str) -> str:
     root, ext = posixpath.splitext(name)
     return root if ext else name
+
+
+def expand_archive_files(spark: SparkSession, root: str, pattern: str = "*.zip",
+                         num_partitions: int | None = None,
+                         batch_bytes: int = DEFAULT_BATCH_BYTES) -> DataFrame:
+    """Members of the archives directly inside ``root``, read by path.
+
+    For archives on a mount every executor sees.  Stage 1 opens each
+    archive and reads only its central directory, giving one row per member;
+    the member rows are spread round-robin; stage 2 reads each task's
+    members, opening every archive once per task.  One archive holding a
+    large share of the data is thus read by many tasks, and memory is bound
+    by the largest member rather than by the archive (no 2 GB row limit).
+    Same output as :func:`expand_archives`.
+    """
+    from filelens.session import default_parallelism
+
+    ship_package(spark)
+    n = num_partitions or default_parallelism(spark)
+    listed = scan_archives(spark, root, pattern).select("path")
+
+    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows: list[tuple[str, str, int]] = []
+            for archive in pdf["path"]:
+                with zipfile.ZipFile(archive) as zf:
+                    for info in zf.infolist():
+                        if info.is_dir():
+                            continue
+                        if _unsafe(info.filename):
+                            raise ValueError(f"unsafe member name {info.filename!r} in {archive}")
+                        rows.append((archive, info.filename, info.file_size))
+            yield pd.DataFrame(rows, columns=["archive", "member", "size"])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out: list[tuple[str, str, int, bytes]] = []
+            size = 0
+            for archive, group in pdf.groupby("archive", sort=False):
+                with zipfile.ZipFile(archive) as zf:
+                    for name in group["member"]:
+                        data = zf.read(name)
+                        out.append((archive, name, len(data), data))
+                        size += len(data)
+                        if size >= batch_bytes:
+                            yield pd.DataFrame(out, columns=["archive", "member", "length", "content"])
+                            out, size = [], 0
+            if out:
+                yield pd.DataFrame(out, columns=["archive", "member", "length", "content"])
+
+    member_rows = listed.mapInPandas(members, "archive string, member string, size bigint").repartition(n)
+    got = member_rows.mapInPandas(read, MEMBER_SCHEMA)
+    return got.select("archive", P.archive_dest("archive").alias("dest"), "member", "length", "content")

@@ -131,3 +131,21 @@ def test_bad_archive_raises_or_is_recorded(spark):
     rows = sorted(archives.expand_archives(df, errors="record").select("archive", "member", "error").collect())
     assert [(r.archive, r.member) for r in rows] == [("/z/bad.zip", None), ("/z/good.zip", "ok.txt")]
     assert rows[0].error.startswith("bad zip") and rows[1].error is None
+
+
+def test_expand_archive_files_matches_row_expansion(spark, zip_dir, tmp_path):
+    by_rows = archives.expand_archives(archives.scan_archives(spark, zip_dir))
+    by_path = archives.expand_archive_files(spark, zip_dir, num_partitions=3)
+    key = lambda r: (r.archive, r.member, r.length, bytes(r.content))
+    assert sorted(map(key, by_path.collect())) == sorted(map(key, by_rows.collect()))
+    # one big archive is read by several tasks
+    big = tmp_path / "big"
+    big.mkdir()
+    with zipfile.ZipFile(big / "hot.zip", "w") as zf:
+        for i in range(64):
+            zf.writestr(f"m{i}.bin", bytes([i % 256]) * 1000)
+    out = archives.expand_archive_files(spark, str(big), num_partitions=8)
+    from pyspark.sql import functions as F
+
+    assert out.count() == 64
+    assert out.groupBy(F.spark_partition_id()).count().count() > 1
