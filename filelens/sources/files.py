@@ -11,9 +11,10 @@ Two listers produce the same ``(full_path string, file_size bigint)`` table:
 * :func:`walk_files` - an executor-side walk for exact parity with a POSIX
   walk (hidden, ``_name`` and empty files included).  Top-level entries are
   listed on the driver (one directory read), expanded one level on the
-  executors, then every sub-directory is walked by its own task, so one
-  huge top-level folder is split across many tasks.  Needs the tree mounted
-  on every executor.
+  executors, every sub-directory is walked by its own task, and the
+  per-file ``stat`` calls are spread over all tasks, so neither one huge
+  folder tree nor one huge flat folder stays in one task.  Needs the tree
+  mounted on every executor.
 
 The reference's three listing behaviours are then predicates over one
 listing (:func:`apply_rule`), not three walkers.
@@ -70,26 +71,36 @@ def _walk_one_level(top: str, follow_links: bool) -> tuple[list[tuple[str, int]]
     return files, dirs
 
 
-def _walk_tree(top: str, follow_links: bool) -> Iterator[tuple[str, int]]:
-    for dirpath, _dirnames, filenames in os.walk(top, followlinks=follow_links):
-        for name in filenames:
-            full = os.path.join(dirpath, name)
-            try:
-                yield full, os.stat(full).st_size
-            except FileNotFoundError:
-                continue
+def _file_names(top: str, mode: str, follow_links: bool) -> Iterator[str]:
+    """File paths of one work unit without a ``stat`` per file: ``scandir``
+    reports the entry type from the directory itself."""
+    if mode == "files":
+        try:
+            with os.scandir(top) as it:
+                for entry in it:
+                    if entry.is_file(follow_symlinks=True):
+                        yield entry.path
+        except NotADirectoryError:
+            return
+    else:
+        for dirpath, _dirnames, filenames in os.walk(top, followlinks=follow_links):
+            for name in filenames:
+                yield os.path.join(dirpath, name)
 
 
 def walk_files(spark: SparkSession, tops: Sequence[str], follow_links: bool = False,
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, recursive: bool = True) -> DataFrame:
     """Executor-side walk of the given top-level directories.
 
-    A linear plan of two listing stages: stage 1 reads each top once and
-    turns it into work units - ``(top, "files")`` for its own files and
-    ``(sub, "tree")`` for each sub-directory; the units are spread
-    round-robin; stage 2 lists the files of each ``files`` unit and walks
-    each ``tree`` unit.  One huge top-level folder thus becomes many tasks.
-    Rows are yielded in bounded pandas batches.
+    A linear plan of three stages.  Stage 1 reads each top once and turns it
+    into work units - ``(top, "files")`` for its own files and
+    ``(sub, "tree")`` for each sub-directory - spread round-robin.  Stage 2
+    lists the file paths of each unit (no per-file ``stat``).  Stage 3
+    spreads the paths round-robin and reads their sizes, so even one flat
+    folder holding a third of all files has its ``stat`` calls - the slow
+    part on network file systems - done by every task.  Rows move in
+    bounded pandas batches.  ``recursive=False`` lists only the files
+    directly inside each top.
     """
     n = num_partitions or default_parallelism(spark)
 
@@ -97,28 +108,39 @@ def walk_files(spark: SparkSession, tops: Sequence[str], follow_links: bool = Fa
         for pdf in batches:
             rows: list[tuple[str, str]] = []
             for top in pdf["top"]:
-                _files, dirs = _walk_one_level(top, follow_links)
                 rows.append((top, "files"))
-                rows.extend((d, "tree") for d in dirs)
+                if recursive:
+                    _files, dirs = _walk_one_level(top, follow_links)
+                    rows.extend((d, "tree") for d in dirs)
             yield pd.DataFrame(rows, columns=["dir", "mode"])
 
-    def walk(batches: Iterator[pd.DataFrame], batch_rows: int = 10_000) -> Iterator[pd.DataFrame]:
+    def names(batches: Iterator[pd.DataFrame], batch_rows: int = 50_000) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            buf: list[tuple[str, int]] = []
+            buf: list[str] = []
             for d, mode in zip(pdf["dir"], pdf["mode"]):
-                found = iter(_walk_one_level(d, follow_links)[0]) if mode == "files" else _walk_tree(d, follow_links)
-                for row in found:
-                    buf.append(row)
+                for path in _file_names(d, mode, follow_links):
+                    buf.append(path)
                     if len(buf) >= batch_rows:
-                        yield pd.DataFrame(buf, columns=["full_path", "file_size"])
+                        yield pd.DataFrame({"full_path": buf})
                         buf = []
             if buf:
-                yield pd.DataFrame(buf, columns=["full_path", "file_size"])
+                yield pd.DataFrame({"full_path": buf})
+
+    def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows: list[tuple[str, int]] = []
+            for path in pdf["full_path"]:
+                try:
+                    rows.append((path, os.stat(path).st_size))
+                except FileNotFoundError:  # removed since it was listed
+                    continue
+            yield pd.DataFrame(rows, columns=["full_path", "file_size"])
 
     ship_package(spark)
     top_df = spark.createDataFrame([(t,) for t in tops], "top string").repartition(max(1, min(n, len(tops) or 1)))
     work = top_df.mapInPandas(units, "dir string, mode string").repartition(n)
-    return work.mapInPandas(walk, "full_path string, file_size bigint")
+    paths = work.mapInPandas(names, "full_path string").repartition(n)
+    return paths.mapInPandas(sizes, "full_path string, file_size bigint")
 
 
 def top_entries(root_glob: str) -> list[str]:
@@ -183,7 +205,7 @@ def scan_files(spark: SparkSession, root: str, rule: str = "subdirs", pattern: s
         if rule in ("subdirs", "one_level"):
             tops = [t for t in top_entries(root) if os.path.isdir(t)]
             if rule == "one_level":
-                listing = _one_level_complete(spark, tops)
+                listing = walk_files(spark, tops, recursive=False)
             else:
                 listing = walk_files(spark, tops, follow_links=False)
         else:
@@ -206,21 +228,6 @@ def match_name(df: DataFrame, pattern: str, path: str = "full_path") -> DataFram
     return df.filter(P.file_name(path).rlike("^" + P.glob_to_regex(pattern) + "$"))
 
 
-def _one_level_complete(spark: SparkSession, tops: Sequence[str]) -> DataFrame:
-    def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows: list[tuple[str, int]] = []
-            for top in pdf["top"]:
-                files, _ = _walk_one_level(top, follow_links=False)
-                rows.extend(files)
-            yield pd.DataFrame(rows, columns=["full_path", "file_size"])
-
-    ship_package(spark)
-    n = max(1, min(default_parallelism(spark), len(tops) or 1))
-    return spark.createDataFrame([(t,) for t in tops], "top string").repartition(n).mapInPandas(
-        one, "full_path string, file_size bigint")
-
-
 def label_paths(spark: SparkSession, root: str, pattern: str = "*.json", complete: bool = False) -> DataFrame:
     """Label files of one folder as ``(file_id, label_paths)``."""
     return label_path_table(scan_files(spark, root, rule="all", pattern=pattern, complete=complete))
