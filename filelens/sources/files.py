@@ -56,19 +56,13 @@ def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str | No
     return df.select(P.strip_uri("path").alias("full_path"), F.col("length").cast("bigint").alias("file_size"))
 
 
-def _walk_one_level(top: str, follow_links: bool) -> tuple[list[tuple[str, int]], list[str]]:
-    files: list[tuple[str, int]] = []
-    dirs: list[str] = []
+def _subdirs(top: str, follow_links: bool) -> list[str]:
+    """Sub-directories of ``top`` (entry types come from ``scandir``, no ``stat``)."""
     try:
         with os.scandir(top) as it:
-            for entry in it:
-                if entry.is_dir(follow_symlinks=follow_links):
-                    dirs.append(entry.path)
-                elif entry.is_file(follow_symlinks=True):
-                    files.append((entry.path, entry.stat(follow_symlinks=True).st_size))
+            return [entry.path for entry in it if entry.is_dir(follow_symlinks=follow_links)]
     except NotADirectoryError:
-        pass
-    return files, dirs
+        return []
 
 
 def _file_names(top: str, mode: str, follow_links: bool) -> Iterator[str]:
@@ -110,8 +104,7 @@ def walk_files(spark: SparkSession, tops: Sequence[str], follow_links: bool = Fa
             for top in pdf["top"]:
                 rows.append((top, "files"))
                 if recursive:
-                    _files, dirs = _walk_one_level(top, follow_links)
-                    rows.extend((d, "tree") for d in dirs)
+                    rows.extend((d, "tree") for d in _subdirs(top, follow_links))
             yield pd.DataFrame(rows, columns=["dir", "mode"])
 
     def names(batches: Iterator[pd.DataFrame], batch_rows: int = 50_000) -> Iterator[pd.DataFrame]:
