@@ -28,12 +28,19 @@ DEFAULT_BATCH_BYTES = 64 << 20
 def scan_archives(spark: SparkSession, root: str, pattern: str = "*.zip") -> DataFrame:
     """Archives directly inside ``root`` as ``(path, length, content)``.
 
-    The name pattern is pushed into the listing; the content column is read
-    lazily, one file per row.
+    The listing is the one-level glob ``root/<pattern>`` (nothing below it
+    is listed); the content column is read lazily, one file per row.  A
+    folder without archives gives an empty table.
     """
+    from pyspark.errors import AnalysisException
+
     base = root.rstrip("/")
-    df = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option(
-        "recursiveFileLookup", "true").load(base)
+    try:
+        df = spark.read.format("binaryFile").load(f"{base}/{pattern}")
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return spark.createDataFrame([], PACKED_SCHEMA)
     df = df.select(P.strip_uri("path").alias("path"), F.col("length").cast("bigint").alias("length"), "content")
     return df.filter(F.col("path").rlike("^" + P.glob_to_regex(base) + "/[^/]+$"))
 

@@ -149,3 +149,9 @@ def test_expand_archive_files_matches_row_expansion(spark, zip_dir, tmp_path):
 
     assert out.count() == 64
     assert out.groupBy(F.spark_partition_id()).count().count() > 1
+
+
+def test_scan_archives_empty_folder(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "x.txt").write_text("no zip here")
+    assert archives.scan_archives(spark, str(tmp_path / "none")).count() == 0
