@@ -46,13 +46,22 @@ def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str | No
     """``binaryFile`` listing of ``root`` (a path, glob or list of them).
 
     ``pattern`` is a file-name glob pushed into the listing
-    (``pathGlobFilter``), e.g. ``"*.json"``.
+    (``pathGlobFilter``), e.g. ``"*.json"``.  A root that matches nothing
+    gives an empty listing.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
+    from pyspark.errors import AnalysisException
+
     roots = [root] if isinstance(root, str) else list(root)
-    df = reader.load(roots)
+    try:
+        df = reader.load(roots)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        # a glob matching nothing lists nothing (an empty catalogue, not an error)
+        return spark.createDataFrame([], "full_path string, file_size bigint")
     return df.select(P.strip_uri("path").alias("full_path"), F.col("length").cast("bigint").alias("file_size"))
 
 
