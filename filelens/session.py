@@ -105,16 +105,19 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``filelens`` importable in the Python workers of this application.
 
     Operators that run Python on the executors (``mapInPandas``) need the
-    package there.  The package's sources are zipped once per application
-    and handed to Spark (``addPyFile``, or ``addArtifacts`` on Spark
-    Connect), which distributes them with the job - the same as
-    ``--py-files``.
+    package there.  When it runs from a source checkout, its ``.py`` files
+    are zipped on the driver once per application and handed to Spark
+    (``addPyFile``, or ``addArtifacts`` on Spark Connect), which serves them
+    to the executors - the same as ``--py-files``.  An installed package is
+    left alone.
     """
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    if "site-packages" in pkg_dir.split(os.sep):
+        return  # installed as a package: executors have it the same way
     sc = _context(spark)
     key = sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
     if key in _SHIPPED:
         return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
     base = os.path.dirname(pkg_dir)
     archive = os.path.join(tempfile.mkdtemp(prefix="filelens-pyfiles-"), "filelens.zip")
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
