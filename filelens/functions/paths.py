@@ -123,40 +123,49 @@ def path_depth(path: Column | str) -> Column:
 
 
 def glob_to_regex(pattern: str) -> str:
-    """Translate a shell glob into an anchored Java/RE2 regex.
+    """Translate a shell glob into an anchored Java/RE2-style regex body.
 
     ``*`` and ``?`` never cross '/', and - as in Python's ``glob`` - a
-    wildcard at the start of a segment does not match a leading '.'.
-    ``[...]`` classes are passed through.  The result matches the whole
-    glob, so callers append ``(/.*)?$`` or similar.
+    segment whose pattern does not start with a literal '.' never matches a
+    name starting with '.'.  ``[...]`` classes are passed through
+    (``[!...]`` negates).  Callers wrap the result (``^...$``).
     """
     out: list[str] = []
     i, n = 0, len(pattern)
     seg_start = True
     while i < n:
         ch = pattern[i]
-        if ch == "*":
-            out.append("(?!\\.)[^/]*" if seg_start else "[^/]*")
+        if seg_start and ch != "/":
+            if ch != ".":
+                out.append("(?!\\.)")
             seg_start = False
+        if ch == "*":
+            out.append("[^/]*")
         elif ch == "?":
-            out.append("[^/.]" if seg_start else "[^/]")
-            seg_start = False
+            out.append("[^/]")
         elif ch == "[":
-            j = pattern.find("]", i + 1)
+            k = i + 1
+            if pattern[k : k + 1] == "!":
+                k += 1
+            if pattern[k : k + 1] == "]":  # a ']' first in the class is literal
+                k += 1
+            j = pattern.find("]", k)
             if j == -1:
                 out.append(re.escape(ch))
             else:
                 body = pattern[i + 1 : j]
-                if body.startswith("!"):
-                    body = "^" + body[1:]
-                out.append("[" + body.replace("\\", "\\\\") + "]")
+                negate = body.startswith("!")
+                if negate:
+                    body = body[1:]
+                # '-' keeps its range meaning; everything special to a Java
+                # class is escaped; a negated class never matches '/'
+                esc = "".join("\\" + c if c in "\\[]&^" else c for c in body)
+                out.append("[^/" + esc + "]" if negate else "[" + esc + "]")
                 i = j
-            seg_start = False
         elif ch == "/":
             out.append("/")
             seg_start = True
         else:
             out.append(re.escape(ch))
-            seg_start = False
         i += 1
     return "".join(out)

@@ -103,19 +103,58 @@ def test_strip_uri(spark):
         ("/d/f?.png", "/d/f1.png", True),
         ("/d/[ab]*", "/d/b1", True),
         ("/d/[!ab]*", "/d/b1", False),
+        ("/d/[.]x", "/d/.x", False),
+        ("/d/[!a]", "/d//", False),
     ],
 )
 def test_glob_to_regex(spark, glob, path, hit):
-    import fnmatch
     import re
 
     pattern = "^" + P.glob_to_regex(glob) + "$"
     df = spark.createDataFrame([(path,)], "p string")
     assert df.select(F.col("p").rlike(pattern)).first()[0] is hit
-    # Python's re agrees with Java's regex on these patterns.
     assert bool(re.match(pattern, path)) is hit
-    if not posixpath.basename(path).startswith("."):
-        assert fnmatch.fnmatchcase(path, glob) is hit or "/" in path[len(posixpath.dirname(glob)) + 1:]
+    assert py_glob_match(glob, path) is hit
+
+
+def py_glob_match(pattern, path):
+    """Python's glob rule: segment by segment fnmatch; a name starting with
+    '.' only matches a pattern segment starting with '.'."""
+    import fnmatch
+
+    ps, xs = pattern.split("/"), path.split("/")
+    if len(ps) != len(xs):
+        return False
+    for p, x in zip(ps, xs):
+        if p == "" or x == "":
+            if p != x:
+                return False
+            continue
+        if not fnmatch.fnmatchcase(x, p) or (x.startswith(".") and not p.startswith(".")):
+            return False
+    return True
+
+
+def test_random_globs_match_python_glob(spark):
+    import random
+    import re
+
+    rng = random.Random(7)
+    pieces = ["a", "b", ".", "*", "?", "[ab]", "[!a]", "[]a]", "[.]", "-"]
+    names = ["a", "b", ".", "-", "]"]
+    pairs = set()
+    for _ in range(4000):
+        segs = rng.randint(1, 3)
+        pat = "/".join("".join(rng.choice(pieces) for _ in range(rng.randint(1, 3))) for _ in range(segs))
+        path = "/".join("".join(rng.choice(names) for _ in range(rng.randint(1, 3))) for _ in range(segs))
+        pairs.add(("/" + pat, "/" + path))
+    rows = [(g, "^" + P.glob_to_regex(g) + "$", x) for g, x in sorted(pairs)]
+    df = spark.createDataFrame(rows, "g string, rx string, x string")
+    got = {(r.g, r.x): r.hit for r in df.selectExpr("g", "x", "x RLIKE rx AS hit").collect()}
+    bad = [(g, x) for g, rx, x in rows
+           if not (got[(g, x)] == bool(re.match(rx, x)) == py_glob_match(g, x))]
+    assert not bad[:5]
+    assert sum(got.values()) > 50  # the sample does contain matches
 
 
 def test_random_paths_match_python(spark):
