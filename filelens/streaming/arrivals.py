@@ -7,6 +7,10 @@ column expressions derive id, name and folder, and the rows are appended to
 a Parquet table.  The checkpoint location records which files were already
 catalogued, so a restarted query - or one whose executors were lost -
 continues without duplicates.
+
+The file source lists the watched tree on every trigger, so for a very large
+tree point it at where new files arrive (for example a glob over date
+folders) and bound how far back it looks with ``max_file_age``.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, co
 
 
 def catalogue_stream(spark: SparkSession, root: str, pattern: str | None = None,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
+                     max_files_per_trigger: int | None = None, max_file_age: str | None = None) -> DataFrame:
     """Streaming catalogue rows ``(full_path, file_id, file_name, folder_name,
     file_size, modified)`` for every file that appears below ``root``."""
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("recursiveFileLookup", "true")
@@ -32,6 +36,8 @@ def catalogue_stream(spark: SparkSession, root: str, pattern: str | None = None,
         reader = reader.option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_file_age:
+        reader = reader.option("maxFileAge", max_file_age)  # e.g. "7d"
     files = reader.load(root).select(
         P.strip_uri("path").alias("full_path"),
         F.col("length").cast("bigint").alias("file_size"),
