@@ -34,9 +34,12 @@ def flat_columns(schema: T.StructType, sep: str = "_", depth: int | None = None)
     return out
 
 
-def _field(path: list[str]) -> Column:
-    c = F.col(f"`{path[0]}`")
-    for name in path[1:]:
+def nested_field(path: str | list[str]) -> Column:
+    """A nested field reference from ``"a.b.c"`` or ``["a", "b", "c"]``;
+    each name is taken literally (names may contain any character)."""
+    parts = path.split(".") if isinstance(path, str) else path
+    c = F.col(f"`{parts[0]}`")
+    for name in parts[1:]:
         c = c.getField(name)
     return c
 
@@ -60,7 +63,7 @@ def flatten(df: DataFrame, sep: str = "_", depth: int | None = None, case_sensit
                 f"flattened name {name!r} comes from both {'.'.join(seen[key])!r} and {'.'.join(path)!r}"
             )
         seen[key] = path
-    return df.select(*[_field(path).alias(name) for name, path in leaves])
+    return df.select(*[nested_field(path).alias(name) for name, path in leaves])
 
 
 def flatten_map(df: DataFrame, column: str, keys: list[str] | None = None, sep: str = "_",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filelens.functions import paths as P
+from filelens.functions.flatten import nested_field
 
 CATALOGUE_COLUMNS = ("full_path", "file_id", "file_name", "folder_name", "file_size")
 CATALOGUE_SCHEMA = T.StructType(
@@ -137,16 +138,7 @@ def select_label_fields(labels: DataFrame, fields: Sequence[tuple[str, str]] = L
     Selecting ``a.b.c`` from a nested struct lets Parquet / JSON readers
     prune every other field.
     """
-    return labels.select(*[_nested(src).alias(dst) for src, dst in fields])
-
-
-def _nested(field_path: str) -> Column:
-    """``a.b.c`` as a nested field reference (names may hold any character)."""
-    parts = field_path.split(".")
-    c = F.col(f"`{parts[0]}`")
-    for part in parts[1:]:
-        c = c.getField(part)
-    return c
+    return labels.select(*[nested_field(src).alias(dst) for src, dst in fields])
 
 
 def flag_quality(labels: DataFrame, rules: Sequence[tuple[str, str, str, float]] = QUALITY_RULES,
@@ -159,7 +151,7 @@ def flag_quality(labels: DataFrame, rules: Sequence[tuple[str, str, str, float]]
     ops = {">=": Column.__ge__, "<=": Column.__le__, ">": Column.__gt__, "<": Column.__lt__}
     out = labels
     for name, src, op, bound in rules:
-        c = F.col(f"`{fields[src]}`") if fields and src in fields else _nested(src)
+        c = F.col(f"`{fields[src]}`") if fields and src in fields else nested_field(src)
         out = out.withColumn(name, ops[op](c, F.lit(bound)))
     return out
 
