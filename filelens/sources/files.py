@@ -91,7 +91,7 @@ def _file_names(top: str, mode: str, follow_links: bool) -> Iterator[str]:
                 yield os.path.join(dirpath, name)
 
 
-def walk_files(spark: SparkSession, tops: Sequence[str], follow_links: bool = False,
+def walk_files(spark: SparkSession, tops: Sequence[str] | DataFrame, follow_links: bool = False,
                num_partitions: int | None = None, recursive: bool = True) -> DataFrame:
     """Executor-side walk of the given top-level directories.
 
@@ -103,7 +103,8 @@ def walk_files(spark: SparkSession, tops: Sequence[str], follow_links: bool = Fa
     folder holding a third of all files has its ``stat`` calls - the slow
     part on network file systems - done by every task.  Rows move in
     bounded pandas batches.  ``recursive=False`` lists only the files
-    directly inside each top.
+    directly inside each top.  ``tops`` is a list of folders or a DataFrame
+    with a ``top`` column (see :func:`glob_tops`).
     """
     n = num_partitions or default_parallelism(spark)
 
@@ -139,12 +140,51 @@ def walk_files(spark: SparkSession, tops: Sequence[str], follow_links: bool = Fa
             yield pd.DataFrame(rows, columns=["full_path", "file_size"])
 
     ship_package(spark)
-    top_df = spark.createDataFrame([(t,) for t in tops], "top string").repartition(max(1, min(n, len(tops) or 1)))
+    if isinstance(tops, DataFrame):
+        top_df = tops.select("top").repartition(n)
+    else:
+        top_df = spark.createDataFrame([(t,) for t in tops], "top string").repartition(max(1, min(n, len(tops) or 1)))
     work = top_df.mapInPandas(units, "dir string, mode string").repartition(n)
     paths = work.mapInPandas(names, "full_path string").repartition(n)
     return paths.mapInPandas(sizes, "full_path string, file_size bigint")
 
 
+def glob_tops(spark: SparkSession, root_glob: str, skip_zip: bool = True) -> DataFrame:
+    """Folders matched by ``root_glob`` as a DataFrame ``(top)``.
+
+    When only the last segment has wildcards (``/data/image/TS*``), the
+    parent folder is read on an executor and matched there, so the matched
+    names never pass through the driver.  Otherwise the glob is expanded on
+    the driver.  Names ending in ``.zip`` are skipped unless ``skip_zip`` is
+    false; hidden names follow the glob rule.
+    """
+    import posixpath
+
+    parent, last = posixpath.split(root_glob.rstrip("/"))
+    magic = set("*?[")
+    if not parent or magic & set(parent) or not magic & set(last):
+        tops = [t for t in top_entries(root_glob) if os.path.isdir(t) and not (skip_zip and t.endswith(".zip"))]
+        return spark.createDataFrame([(t,) for t in tops], "top string")
+    regex = "^" + P.glob_to_regex(last) + "$"
+
+    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import re
+
+        rx = re.compile(regex)
+        for pdf in batches:
+            found: list[str] = []
+            for folder in pdf["parent"]:
+                with os.scandir(folder) as it:
+                    for entry in it:
+                        if rx.match(entry.name) and entry.is_dir(follow_symlinks=True) and not (
+                                skip_zip and entry.name.endswith(".zip")):
+                            found.append(entry.path)
+            yield pd.DataFrame({"top": found})
+
+    ship_package(spark)
+    return spark.createDataFrame([(parent,)], "parent string").mapInPandas(match, "top string")
+
+
 def top_entries(root_glob: str) -> list[str]:
     """Entries matched by a glob (driver-side, one directory level)."""
     return sorted(_glob.glob(root_glob))
@@ -205,7 +245,7 @@ def scan_files(spark: SparkSession, root: str, rule: str = "subdirs", pattern: s
         raise ValueError(f"unknown rule {rule!r}; expected one of {RULES}")
     if complete:
         if rule in ("subdirs", "one_level"):
-            tops = [t for t in top_entries(root) if os.path.isdir(t)]
+            tops = glob_tops(spark, root)
             if rule == "one_level":
                 listing = walk_files(spark, tops, recursive=False)
             else:
