@@ -19,7 +19,6 @@ from filelens.functions.sizes import format_bytes
 from filelens.operators import batches, catalogue, constraints, stats
 from filelens.plans import testdata as td
 from filelens.session import default_parallelism, scratch_path
-
 from filelens.sinks import tables as sinks
 from filelens.sources import archives
 from filelens.sources import files as scan
