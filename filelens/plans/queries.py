@@ -242,7 +242,7 @@ def q_partitioned_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     sets = _three_catalogues(spark, sf_dir)
     path = sinks.write_parquet(catalogue.catalogue_datasets(sets), scratch_path(spark, "catalogues"),
                                partition_by=["dataset"])
-    return srcs.read_catalogue(spark, path).filter(F.col("dataset") == "pages")
+    return srcs.read_catalogue(spark, path, datasets=["pages"])
 
 
 def q_label_paths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
+def read_catalogue(spark: SparkSession, path: str, datasets: list[str] | None = None,
+                   partition: str = "dataset") -> DataFrame:
     """A saved catalogue (Parquet, any compression) - filters and column
-    choices downstream are pushed into the scan."""
-    return spark.read.parquet(path)
+    choices downstream are pushed into the scan.  ``datasets`` keeps only
+    those values of the partition column, so only their folders are read."""
+    df = spark.read.parquet(path)
+    if datasets is not None:
+        df = df.filter(F.col(partition).isin(*datasets))
+    return df
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
