@@ -9,8 +9,9 @@ Two listers produce the same ``(full_path string, file_size bigint)`` table:
   HDFS and object stores.  Like every Spark file source it skips names
   starting with ``.`` or ``_`` and zero-length files.
 * :func:`walk_files` - an executor-side walk for exact parity with a POSIX
-  walk (hidden, ``_name`` and empty files included).  Top-level entries are
-  listed on the driver (one directory read), expanded one level on the
+  walk (hidden, ``_name`` and empty files included).  Top-level folders
+  come from :func:`glob_tops` (matched on an executor when only the last
+  segment of the glob has wildcards), are expanded one level on the
   executors, every sub-directory is walked by its own task, and the
   per-file ``stat`` calls are spread over all tasks, so neither one huge
   folder tree nor one huge flat folder stays in one task.  Needs the tree
