@@ -155,3 +155,17 @@ def test_scan_archives_empty_folder(spark, tmp_path):
     (tmp_path / "none").mkdir()
     (tmp_path / "none" / "x.txt").write_text("no zip here")
     assert archives.scan_archives(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_type_counts_with_a_hot_group(spark):
+    from filelens.operators.stats import BUCKETS_A1, type_counts
+
+    df = spark.range(0, 3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('g', CAST(id % 50 AS STRING)) END AS grp",
+        "concat('/d/f', CAST(id AS STRING), CASE WHEN id % 2 = 0 THEN '.png' ELSE '.json' END) AS full_path",
+        "id AS file_size")
+    rows = {r.grp: r for r in type_counts(df, BUCKETS_A1, size="file_size", by=["grp"]).collect()}
+    hot = rows["hot"]
+    assert hot.n_files == 1000 and hot.png_count == 500 and hot.json_count == 500
+    assert hot.total_bytes == sum(range(0, 3000, 3))
+    assert sum(r.n_files for r in rows.values()) == 3000
