@@ -2,7 +2,7 @@
 
     python -m filelens.cli catalogue ROOT OUT [--rule subdirs] [--format json|parquet] [--complete]
     python -m filelens.cli report ROOT [--rule subdirs] [--buckets a1|a2|a3]
-    python -m filelens.cli labels ROOT LABELS OUT [--rule one_level]
+    python -m filelens.cli labels ROOT LABELS OUT [--rule one_level] [--report a3]
 
 The session comes from ``SparkSession.builder.getOrCreate()`` - use
 ``spark-submit`` options (master, ``spark.checkpoint.dir``, memory) to
@@ -51,6 +51,8 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--complete", action="store_true", help="walk on executors (hidden/empty files too)")
     for p in (cat, lab):
         p.add_argument("--format", choices=("json", "parquet"), default="parquet")
+    lab.add_argument("--report", choices=sorted(BUCKETS), default=None,
+                     help="also print counts and bytes of the joined table")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("filelens").getOrCreate()
@@ -62,6 +64,10 @@ def main(argv: list[str] | None = None) -> int:
     else:
         table = label_catalogue(files, read_labels(spark, args.labels, pattern="*.json", recursive=True))
         _write(table, args.out, args.format)
+        if args.report:
+            # report on the written table, so the join is not computed twice
+            written = spark.read.json(args.out) if args.format == "json" else spark.read.parquet(args.out)
+            stats.type_counts(written, BUCKETS[args.report], size="file_size").show(truncate=False)
     return 0
 
 

@@ -48,3 +48,19 @@ def test_image_label_table(spark, tmp_path):
     report = type_counts(back, BUCKETS_A3, size="file_size").first()
     assert (report.n_files, report.png_count, report.jpg_count, report.etc_count) == (4, 2, 2, 0)
     assert report.total_bytes == sum(sizes[n] for n in rows)
+
+
+def test_cli_labels_with_report(spark, tmp_path, capsys):
+    from filelens import cli
+
+    root = tmp_path / "data"
+    _write(str(root / "image" / "TS_01" / "A1.png"), b"x" * 10)
+    _write(str(root / "image" / "TS_01" / "A2.jpg"), b"x" * 20)
+    doc = {"id": "A1", "image": {"size": {"width": 1, "height": 2}},
+           "dataset": {"quality1": 1.0, "quality2": 1.0, "quality3": 1.0, "quality4": 1.0, "result": "r"}}
+    _write(str(root / "labels" / "a" / "A1.json"), json.dumps(doc).encode())
+    out = str(tmp_path / "table")
+    assert cli.main(["labels", str(root / "image" / "TS*"), str(root / "labels"), out,
+                     "--rule", "one_level", "--report", "a3"]) == 0
+    assert spark.read.parquet(out).count() == 1
+    assert "png_count" in capsys.readouterr().out
