@@ -44,11 +44,16 @@ def global_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "r
 
 
 def assign_batches(df: DataFrame, order_by: Sequence[str], size: int, batch_col: str = "batch_id",
-                   index_col: str = "row_index") -> DataFrame:
-    """Cut the rows, in ``order_by`` order, into consecutive batches of ``size``."""
+                   index_col: str = "row_index", num_partitions: int | None = None) -> DataFrame:
+    """Cut the rows, in ``order_by`` order, into consecutive batches of ``size``.
+
+    ``num_partitions`` sizes the range shuffle (default
+    ``spark.sql.shuffle.partitions``); set it from the data volume so each
+    range fits a task.
+    """
     if size <= 0:
         raise ValueError("size must be positive")
-    indexed = global_row_index(df, order_by, index_col)
+    indexed = global_row_index(df, order_by, index_col, num_partitions=num_partitions)
     return indexed.withColumn(batch_col, F.floor(F.col(index_col) / F.lit(size)).cast("bigint"))
 
 

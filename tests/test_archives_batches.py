@@ -73,6 +73,8 @@ def test_assign_batches_matches_row_number(spark):
     df = spark.createDataFrame([(k, f"p{k:05d}") for k in keys], "k int, p string").repartition(5)
     out = batches.assign_batches(df, ["p"], size=3).collect()
     assert sorted((r.k, r.row_index, r.batch_id) for r in out) == [(k, k, k // 3) for k in range(1000)]
+    out16 = batches.assign_batches(df, ["p"], size=3, num_partitions=16).collect()
+    assert sorted((r.k, r.row_index, r.batch_id) for r in out16) == [(k, k, k // 3) for k in range(1000)]
 
 
 def test_preview_is_bounded_and_ordered(spark):
