@@ -66,6 +66,11 @@ def expand_archives(archives: DataFrame, path: str = "path", content: str = "con
     ``num_partitions`` spreads the archive rows round-robin first - useful
     when the archives were produced by few tasks; a ``binaryFile`` scan of
     large archives already gives each its own task.
+
+    Input batches hold whole archives: bound them with
+    ``spark.sql.execution.arrow.maxBytesPerBatch`` (``local_session`` sets
+    64 MB), or use :func:`expand_archive_files` for archives on a shared
+    mount, which never holds a whole archive in memory.
     """
     if errors not in ("raise", "record"):
         raise ValueError("errors must be 'raise' or 'record'")
