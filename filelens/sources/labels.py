@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filelens.functions import paths as P
+from filelens.session import ship_package
 
 # Shape of one label document (fields the label join uses).
 LABEL_DDL = (
@@ -24,10 +26,14 @@ LABEL_DDL = (
 
 MODES = ("PERMISSIVE", "FAILFAST", "DROPMALFORMED")
 
+# Charsets Spark's JSON reader accepts without legacy settings.
+SPARK_JSON_CHARSETS = ("iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8")
+
 
 def read_labels(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType = LABEL_DDL,
                 multi_line: bool = True, mode: str = "PERMISSIVE", corrupt_column: str | None = None,
-                with_path: bool = False, pattern: str | None = None, recursive: bool = False) -> DataFrame:
+                with_path: bool = False, pattern: str | None = None, recursive: bool = False,
+                encoding: str | None = None) -> DataFrame:
     """Read many JSON files in one job (one document per file by default).
 
     ``mode="FAILFAST"`` stops at the first malformed file; the default
@@ -35,9 +41,15 @@ def read_labels(spark: SparkSession, paths: str | Sequence[str], schema: str | T
     of bad records.  ``with_path`` adds ``label_path`` (the file read).
     ``pattern`` (e.g. ``"*.json"``) and ``recursive`` select label files in
     nested folders mixed with other files; both act in the listing.
+    ``encoding`` reads files that are not UTF-8.  The charsets Spark's JSON
+    reader knows are passed to it; any other (e.g. ``"EUC-KR"``, common for
+    Korean label files) is decoded from the raw bytes by a vectorized UDF,
+    one document per file, then parsed with the same schema.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    if encoding and encoding.lower().replace("_", "-") not in SPARK_JSON_CHARSETS:
+        return _read_labels_decoded(spark, paths, schema, encoding, mode, pattern, recursive, with_path)
     if corrupt_column:
         if isinstance(schema, T.StructType):
             schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
@@ -48,6 +60,8 @@ def read_labels(spark: SparkSession, paths: str | Sequence[str], schema: str | T
         reader = reader.option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
+    if encoding:
+        reader = reader.option("encoding", encoding)
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     paths_list = [paths] if isinstance(paths, str) else list(paths)
@@ -68,3 +82,24 @@ def infer_schema(spark: SparkSession, paths: str | Sequence[str], multi_line: bo
     paths_list = [paths] if isinstance(paths, str) else list(paths)
     return (spark.read.option("multiLine", str(multi_line).lower())
             .option("samplingRatio", sampling_ratio).json(paths_list).schema)
+
+
+def _read_labels_decoded(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType,
+                         encoding: str, mode: str, pattern: str | None, recursive: bool,
+                         with_path: bool) -> DataFrame:
+    """One label document per file in a charset Spark's JSON reader lacks."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    raw = reader.load([paths] if isinstance(paths, str) else list(paths))
+    ship_package(spark)
+
+    @F.pandas_udf("string")
+    def decode(blobs: pd.Series) -> pd.Series:
+        return blobs.map(lambda b: None if b is None else bytes(b).decode(encoding))
+
+    ddl = schema if isinstance(schema, str) else schema.simpleString()
+    parsed = raw.select(P.strip_uri("path").alias("label_path"),
+                        F.from_json(decode("content"), ddl, {"mode": mode}).alias("doc"))
+    out = parsed.select("doc.*", "label_path")
+    return out if with_path else out.drop("label_path")

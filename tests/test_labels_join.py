@@ -195,3 +195,18 @@ def test_corrupt_column_leaves_given_schema_alone(spark, bad_dir):
     schema = T.StructType([T.StructField("id", T.StringType())])
     L.read_labels(spark, bad_dir, schema=schema, corrupt_column="_bad").count()
     assert schema.fieldNames() == ["id"]
+
+
+def test_non_utf8_label_files(spark, tmp_path):
+    doc = _doc(1, result="합격")
+    (tmp_path / "k.json").write_bytes(json.dumps(doc, ensure_ascii=False, indent=1).encode("euc-kr"))
+    row = L.read_labels(spark, str(tmp_path), encoding="EUC-KR").first()
+    assert row["dataset"]["result"] == "합격"
+
+
+def test_non_utf8_label_files_with_path(spark, tmp_path):
+    doc = _doc(2, result="불합격")
+    (tmp_path / "k2.json").write_bytes(json.dumps(doc, ensure_ascii=False, indent=1).encode("cp949"))
+    row = L.read_labels(spark, str(tmp_path), encoding="cp949", with_path=True, pattern="*.json").first()
+    assert row["dataset"]["result"] == "불합격" and row["label_path"].endswith("k2.json")
+    assert row["image"]["size"]["width"] == 640
