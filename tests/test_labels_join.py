@@ -210,3 +210,70 @@ def test_non_utf8_label_files_with_path(spark, tmp_path):
     row = L.read_labels(spark, str(tmp_path), encoding="cp949", with_path=True, pattern="*.json").first()
     assert row["dataset"]["result"] == "불합격" and row["label_path"].endswith("k2.json")
     assert row["image"]["size"]["width"] == 640
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_random_documents_flatten_like_json_normalize(spark, tmp_path, seed):
+    import random
+    import warnings
+
+    import pandas as pd
+
+    from filelens.functions.flatten import flatten
+
+    rng = random.Random(seed)
+
+    def tree(depth):
+        keys = rng.sample(["a", "b", "c", "d", "e"], rng.randint(1, 4))
+        out = {}
+        for k in keys:
+            if depth < 3 and rng.random() < 0.4:
+                out[k] = tree(depth + 1)
+            else:
+                out[k] = rng.choice(["int", "str", "list"])
+        return out
+
+    shape = tree(0)
+
+    def doc(node):
+        out = {}
+        for k, v in node.items():
+            if rng.random() < 0.25:
+                continue  # missing key
+            if isinstance(v, dict):
+                out[k] = doc(v)
+            elif rng.random() < 0.1:
+                out[k] = None
+            elif v == "int":
+                out[k] = rng.randint(-5, 5)
+            elif v == "str":
+                out[k] = rng.choice(["x", "y", "한"])
+            else:
+                out[k] = [rng.randint(0, 3) for _ in range(rng.randint(0, 2))]
+        return out
+
+    docs = [dict(doc(shape), id=f"d{i}") for i in range(60)]
+    for i, d in enumerate(docs):
+        (tmp_path / f"{i}.json").write_text(json.dumps(d, ensure_ascii=False), encoding="utf-8")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", FutureWarning)
+        expected = pd.concat([pd.json_normalize(d) for d in docs], ignore_index=True).set_index("id")
+    got = flatten(spark.read.option("multiLine", "true").json(str(tmp_path)), sep=".").toPandas().set_index("id")
+    # a column that is null in every document is typed null by Spark and dropped
+    # by nothing in pandas; compare the columns that carry a value somewhere
+    exp_cols = {c for c in expected.columns if expected[c].notna().any()}
+    got_cols = {c for c in got.columns if got[c].notna().any()}
+    assert exp_cols == got_cols
+
+    def norm(v):
+        if isinstance(v, float) and pd.isna(v) or v is None:
+            return None
+        if hasattr(v, "tolist"):
+            v = v.tolist()
+        if isinstance(v, float) and v.is_integer():
+            return int(v)
+        return v
+
+    for c in exp_cols:
+        for key in expected.index:
+            assert norm(expected.at[key, c]) == norm(got.at[key, c]), (c, key)
