@@ -49,7 +49,8 @@ def read_labels(spark: SparkSession, paths: str | Sequence[str], schema: str | T
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if encoding and encoding.lower().replace("_", "-") not in SPARK_JSON_CHARSETS:
-        return _read_labels_decoded(spark, paths, schema, encoding, mode, pattern, recursive, with_path)
+        return _read_labels_decoded(spark, paths, schema, encoding, mode, pattern, recursive, with_path,
+                                    corrupt_column)
     if corrupt_column:
         if isinstance(schema, T.StructType):
             schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
@@ -86,7 +87,7 @@ def infer_schema(spark: SparkSession, paths: str | Sequence[str], multi_line: bo
 
 def _read_labels_decoded(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType,
                          encoding: str, mode: str, pattern: str | None, recursive: bool,
-                         with_path: bool) -> DataFrame:
+                         with_path: bool, corrupt_column: str | None = None) -> DataFrame:
     """One label document per file in a charset Spark's JSON reader lacks."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern:
@@ -99,7 +100,13 @@ def _read_labels_decoded(spark: SparkSession, paths: str | Sequence[str], schema
         return blobs.map(lambda b: None if b is None else bytes(b).decode(encoding))
 
     ddl = schema if isinstance(schema, str) else schema.simpleString()
+    bad = corrupt_column or "_filelens_bad_record"
+    opts = {"mode": "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE", "columnNameOfCorruptRecord": bad}
     parsed = raw.select(P.strip_uri("path").alias("label_path"),
-                        F.from_json(decode("content"), ddl, {"mode": mode}).alias("doc"))
+                        F.from_json(decode("content"), f"{ddl}, `{bad}` string", opts).alias("doc"))
     out = parsed.select("doc.*", "label_path")
+    if mode == "DROPMALFORMED":  # the caller asked to drop unparsable documents
+        out = out.filter(F.col(f"`{bad}`").isNull())
+    if not corrupt_column:
+        out = out.drop(bad)
     return out if with_path else out.drop("label_path")

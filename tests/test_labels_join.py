@@ -277,3 +277,15 @@ def test_random_documents_flatten_like_json_normalize(spark, tmp_path, seed):
     for c in exp_cols:
         for key in expected.index:
             assert norm(expected.at[key, c]) == norm(got.at[key, c]), (c, key)
+
+
+def test_decoded_labels_modes(spark, tmp_path):
+    (tmp_path / "good.json").write_bytes(json.dumps(_doc(1), ensure_ascii=False).encode("euc-kr"))
+    (tmp_path / "bad.json").write_bytes('{"id": '.encode("euc-kr"))
+    assert L.read_labels(spark, str(tmp_path), encoding="EUC-KR").count() == 2
+    assert L.read_labels(spark, str(tmp_path), encoding="EUC-KR", mode="DROPMALFORMED").count() == 1
+    with pytest.raises(Exception):
+        L.read_labels(spark, str(tmp_path), encoding="EUC-KR", mode="FAILFAST").collect()
+
+    kept = L.read_labels(spark, str(tmp_path), encoding="EUC-KR", corrupt_column="_raw").collect()
+    assert sorted(r["_raw"] is None for r in kept) == [False, True]
