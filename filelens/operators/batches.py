@@ -26,21 +26,25 @@ def global_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "r
     """0-based position of each row in the total order of ``order_by``."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    tb, mid, part, local, n, offset = (f"__filelens_{x}" for x in ("tb", "mid", "part", "local", "n", "offset"))
+    clash = {tb, mid, part, local, n, offset, index_col} & set(df.columns)
+    if clash:
+        raise ValueError(f"input already has column(s) {sorted(clash)}")
     # Ties on the key are broken by input position, so the order is total and
     # the range shuffle can cut even a key that holds a third of the rows
     # into several partitions.
-    tagged = df.withColumn("_tb", F.monotonically_increasing_id())
-    keys = [F.col(c) for c in order_by] + [F.col("_tb")]
+    tagged = df.withColumn(tb, F.monotonically_increasing_id())
+    keys = [F.col(c) for c in order_by] + [F.col(tb)]
     ranged = tagged.repartitionByRange(num_partitions, *keys) if num_partitions else tagged.repartitionByRange(*keys)
-    ordered = ranged.sortWithinPartitions(*keys).drop("_tb").withColumn("_mid", F.monotonically_increasing_id())
+    ordered = ranged.sortWithinPartitions(*keys).drop(tb).withColumn(mid, F.monotonically_increasing_id())
     ordered = ordered.checkpoint(eager=True)
-    ordered = ordered.withColumn("_part", F.shiftright("_mid", _LOCAL_BITS)).withColumn(
-        "_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-    counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
-    out = ordered.join(F.broadcast(offsets), "_part")
-    return out.withColumn(index_col, F.col("_offset") + F.col("_local")).drop("_mid", "_part", "_local", "_offset")
+    ordered = ordered.withColumn(part, F.shiftright(mid, _LOCAL_BITS)).withColumn(
+        local, F.col(mid).bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
+    counts = ordered.groupBy(part).agg(F.count(F.lit(1)).alias(n))
+    w = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(part, F.coalesce(F.sum(n).over(w), F.lit(0)).alias(offset))
+    out = ordered.join(F.broadcast(offsets), part)
+    return out.withColumn(index_col, F.col(offset) + F.col(local)).drop(mid, part, local, offset)
 
 
 def assign_batches(df: DataFrame, order_by: Sequence[str], size: int, batch_col: str = "batch_id",
