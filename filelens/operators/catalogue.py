@@ -66,6 +66,9 @@ def with_file_columns(df: DataFrame, path: str = "full_path", size: str | None =
     if size is not None:
         cols.append(F.col(size).cast("bigint").alias("file_size"))
     extra = [c for c in df.columns if c not in {path, size}]
+    clash = set(extra) & set(CATALOGUE_COLUMNS)
+    if clash:
+        raise ValueError(f"input already has catalogue column(s) {sorted(clash)}; drop or rename them first")
     return df.select(*cols, *[F.col(f"`{c}`") for c in extra])
 
 

@@ -64,3 +64,13 @@ def test_numeric_json_id_is_read_as_string_and_key_types_checked(spark, tmp_path
     files = spark.createDataFrame([(7,)], "id bigint")
     with pytest.raises(TypeError):
         join_labels(files, labels, key="id")
+
+
+def test_catalogue_columns_never_duplicated(spark):
+    from filelens.operators.catalogue import with_file_columns
+
+    df = spark.createDataFrame([("/a/b.png", 1, "x")], "full_path string, file_size bigint, file_id string")
+    with pytest.raises(ValueError, match="file_id"):
+        with_file_columns(df)
+    ok = with_file_columns(spark.createDataFrame([("/a/b.png", 1, "t")], "p string, n bigint, tag string"), "p", "n")
+    assert ok.columns == ["full_path", "file_id", "file_name", "folder_name", "file_size", "tag"]
