@@ -21,6 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from filelens.functions import paths as P
 from filelens.operators.catalogue import with_file_columns
+from filelens.session import default_parallelism
+from filelens.sources.files import LISTING_TASKS_PER_CORE
 from filelens.sources.labels import LABEL_DDL
 
 # The schema of Spark's binaryFile source.
@@ -38,7 +40,8 @@ def catalogue_stream(spark: SparkSession, root: str, pattern: str | None = None,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_file_age:
         reader = reader.option("maxFileAge", max_file_age)  # e.g. "7d"
-    files = reader.load(root).select(
+    # metadata only: merge the per-file scan splits into a few tasks per core
+    files = reader.load(root).coalesce(LISTING_TASKS_PER_CORE * default_parallelism(spark)).select(
         P.strip_uri("path").alias("full_path"),
         F.col("length").cast("bigint").alias("file_size"),
         F.col("modificationTime").alias("modified"),
