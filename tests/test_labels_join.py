@@ -289,3 +289,10 @@ def test_decoded_labels_modes(spark, tmp_path):
 
     kept = L.read_labels(spark, str(tmp_path), encoding="EUC-KR", corrupt_column="_raw").collect()
     assert sorted(r["_raw"] is None for r in kept) == [False, True]
+
+
+def test_label_files_with_utf8_bom(spark, tmp_path):
+    (tmp_path / "bom.json").write_bytes(json.dumps(_doc(5, result="합격"), ensure_ascii=False).encode("utf-8-sig"))
+    for kwargs in ({}, {"encoding": "utf-8-sig"}):
+        row = L.read_labels(spark, str(tmp_path), **kwargs).first()
+        assert row["id"] == "img_5" and row["dataset"]["result"] == "합격"
