@@ -27,3 +27,10 @@ def test_bench_prints_one_json_line(tmp_path):
     assert out["unit"] == "sec" and out["sf"] == 0.001
     assert set(out["queries"]) == set(entry.queries())
     assert out["value"] == pytest.approx(sum(out["queries"].values()), abs=1e-3)
+
+
+def test_workflow_examples_run(tmp_path):
+    proc = subprocess.run([sys.executable, os.path.join(REPO, "examples", "workflows.py")], cwd=str(tmp_path),
+                          capture_output=True, text=True, timeout=900)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    assert "png_count" in proc.stdout and "labels/L3.json" in proc.stdout
