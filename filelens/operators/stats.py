@@ -41,13 +41,14 @@ def type_counts(df: DataFrame, buckets: Sequence[tuple[str, Sequence[str]]] = BU
     """Total and per-bucket counts (and bytes when ``size`` is given).
 
     Output: ``n_files``, ``<bucket>_count`` for each bucket, ``etc_count``;
-    with ``size``: ``total_bytes`` (bigint) and ``total_size`` (formatted).
-    ``by`` groups the report (e.g. per dataset) in the same single pass.
+    with ``size``: ``total_bytes`` (bigint; 0 for no rows, as a Python sum
+    gives) and ``total_size`` (formatted).  ``by`` groups the report (e.g.
+    per dataset) in the same single pass.
     """
     ext = extension(path)
     aggs: list[Column] = [F.count(F.lit(1)).alias("n_files")]
     if size is not None:
-        aggs.append(F.sum(F.col(size)).cast("bigint").alias("total_bytes"))
+        aggs.append(F.coalesce(F.sum(F.col(size)), F.lit(0)).cast("bigint").alias("total_bytes"))
     known: list[str] = []
     for name, exts in buckets:
         aggs.append(F.count_if(ext.isin(*exts)).alias(f"{name}_count"))
@@ -87,7 +88,7 @@ def table_shape(df: DataFrame, by: Sequence[str] = (), size: str | None = None)
     n_cols = len([c for c in df.columns if c not in set(by)])
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     if size is not None:
-        aggs.append(F.sum(F.col(size)).cast("bigint").alias("total_bytes"))
+        aggs.append(F.coalesce(F.sum(F.col(size)), F.lit(0)).cast("bigint").alias("total_bytes"))
     counted = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     counted = counted.withColumn("n_cols", F.lit(n_cols).cast("bigint"))
     if size is not None:

@@ -74,3 +74,13 @@ def test_catalogue_columns_never_duplicated(spark):
         with_file_columns(df)
     ok = with_file_columns(spark.createDataFrame([("/a/b.png", 1, "t")], "p string, n bigint, tag string"), "p", "n")
     assert ok.columns == ["full_path", "file_id", "file_name", "folder_name", "file_size", "tag"]
+
+
+def test_empty_listing_reports_zero_bytes(spark):
+    from filelens.operators.stats import BUCKETS_A2, table_shape, type_counts
+
+    empty = spark.createDataFrame([], "full_path string, file_size bigint")
+    r = type_counts(empty, BUCKETS_A2, size="file_size").first()
+    assert (r.n_files, r.total_bytes, r.total_size, r.png_count) == (0, 0, "0 B", 0)
+    s = table_shape(empty, size="file_size").first()
+    assert (s.n_rows, s.n_cols, s.total_bytes, s.total_size) == (0, 2, 0, "0 B")
