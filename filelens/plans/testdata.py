@@ -9,8 +9,11 @@ the file size).  The same expressions are written in DuckDB SQL in
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Extension assigned to a document by ``doc_id % 6``, so the
 # type reports see every bucket (png, jpg, jpeg, csv, json, and tar.gz as etc).
@@ -19,29 +22,23 @@ DOC_ROOT = "/data"
 CONV_ROOT = "/conversations"
 
 
-# Column types of the driver's tables (TESTDATA.md).  Declaring
-# them means no Parquet footer is read while a query is planned.
-TABLE_SCHEMAS = {
-    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
-    "labels": "doc_id bigint, quality int, toxic int",
-    "pages": "page_id bigint, url string, html string",
-    "conversations": "conv_id bigint, turn bigint, role string, text string",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
-                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
-                "l_linestatus string, l_shipdate timestamp_ntz",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-              "o_orderdate timestamp_ntz, o_orderpriority string",
-}
+# Parquet schemas read once per file version (path, mtime, size): later
+# plans over the same file skip the footer read entirely.
+_SCHEMAS: dict[tuple[str, float, int], T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; declared schema where known, inferred otherwise."""
-    reader = spark.read
-    if name in TABLE_SCHEMAS:
-        reader = reader.schema(TABLE_SCHEMAS[name])
-    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table, read with its schema from the first read."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        st = os.stat(path)
+    except OSError:  # not a local file: let Spark resolve it
+        return spark.read.parquet(path)
+    key = (path, st.st_mtime, st.st_size)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        schema = _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def doc_extension_sql(doc_id: str = "doc_id") -> str:
