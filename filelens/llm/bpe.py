@@ -203,14 +203,6 @@ class Codec:
         return [b"".join(map(get, ids.tolist())) for ids in rows]
 
 
-_CODECS: dict[int, Codec] = {}
-
-
-def _vocabulary(spark: SparkSession, path: str):
-    with open(path, "rb") as f:
-        return spark.sparkContext.broadcast(f.read())
-
-
 def encode_decode(df: DataFrame, vocabulary_path: str, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",),
                   pattern: str = PATTERN, decoded: bool = True) -> DataFrame:
     """``keys``, ``token_ids`` (array of int) of every whole text and, with
@@ -220,7 +212,7 @@ def encode_decode(df: DataFrame, vocabulary_path: str, text_col: str = "text", k
     repeated rows and null keys too.  No special tokens.  The vocabulary is
     read on the driver (it has the size of a vocabulary) and broadcast.
     """
-    shared = _vocabulary(df.sparkSession, vocabulary_path)
+    shared = C.SharedFile.read(df.sparkSession, vocabulary_path)
     t, i, d = C.tag("t"), C.tag("i"), C.tag("d")
     rows = df.select(*keys, C.text_or_empty(text_col).alias(t))
     schema = T.StructType([*rows.drop(t).schema.fields, T.StructField(i, T.ArrayType(T.IntegerType()))])
@@ -228,7 +220,7 @@ def encode_decode(df: DataFrame, vocabulary_path: str, text_col: str = "text", k
         schema = schema.add(d, T.BinaryType())
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codec = _CODECS.get(shared.id) or _CODECS.setdefault(shared.id, Codec(shared.value, pattern))
+        codec = shared.made(Codec, pattern)
         ids = codec.encode(batch.column(t).to_pylist())
         names = [c for c in batch.schema.names if c != t]
         ends = np.cumsum([0, *map(len, ids)])
@@ -246,13 +238,13 @@ def encode_decode(df: DataFrame, vocabulary_path: str, text_col: str = "text", k
 def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "token_ids", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keys`` and the bytes ``decoded`` of an array of token ids (null: empty).
     An id that the vocabulary does not have is an error."""
-    shared = _vocabulary(df.sparkSession, vocabulary_path)
+    shared = C.SharedFile.read(df.sparkSession, vocabulary_path)
     i, d = C.tag("i"), C.tag("d")
     rows = df.select(*keys, F.coalesce(F.col(ids_col).cast("array<int>"), F.array().cast("array<int>")).alias(i))
     schema = T.StructType([*rows.drop(i).schema.fields, T.StructField(d, T.BinaryType())])
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codec = _CODECS.get(shared.id) or _CODECS.setdefault(shared.id, Codec(shared.value))
+        codec = shared.made(Codec)
         names = [c for c in batch.schema.names if c != i]
         ids = [np.array(x, dtype=np.int32) for x in batch.column(i).to_pylist()]
         arrays = [*(batch.column(c) for c in names), pa.array(codec.decode(ids), pa.binary())]

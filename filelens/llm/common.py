@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -75,3 +76,32 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
 
 def text_or_empty(col: str = "text") -> F.Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+_MADE: dict[tuple, object] = {}
+
+
+class SharedFile:
+    """A file of bounded size (a vocabulary, a model), read on the driver and
+    broadcast; ``made`` keeps what a worker builds from it for its next tasks."""
+
+    MOST_BYTES = 64 << 20
+
+    def __init__(self, spark: SparkSession, data: bytes):
+        if len(data) > self.MOST_BYTES:
+            raise ValueError(f"{len(data)} bytes are too many to broadcast")
+        self.key = hashlib.md5(data).hexdigest()
+        self.data = spark.sparkContext.broadcast(data)
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> SharedFile:
+        with open(path, "rb") as f:
+            return cls(spark, f.read())
+
+    def made(self, build: Callable, *args):
+        key = (build, self.key, args)
+        if key not in _MADE:
+            if len(_MADE) > 2:
+                _MADE.clear()
+            _MADE[key] = build(self.data.value, *args)
+        return _MADE[key]

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filelens.llm import common as C
 from filelens.llm.pretokens import Splitter, byte_alphabet
@@ -146,9 +147,6 @@ class Counter:
         return [extra + sum(map(get, units)) for extra, units in rows]
 
 
-_COUNTERS: dict[int, Counter] = {}
-
-
 def count_tokens(df: DataFrame, vocabulary_path: str, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keys``, ``n_bytes`` (UTF-8) and ``n_tokens`` of every whole text.
 
@@ -157,15 +155,13 @@ def count_tokens(df: DataFrame, vocabulary_path: str, text_col: str = "text", ke
     as one token each, as the tokenizers library does by default.  The file is
     read on the driver (its size is that of a vocabulary) and broadcast.
     """
-    with open(vocabulary_path, "rb") as f:
-        shared = df.sparkSession.sparkContext.broadcast(f.read())
+    shared = C.SharedFile.read(df.sparkSession, vocabulary_path)
     n, b, t = C.tag("n"), C.tag("b"), C.tag("t")
     rows = df.select(*keys, C.text_or_empty(text_col).alias(t)).withColumn(b, F.octet_length(t).cast("bigint"))
-    schema = rows.drop(t).schema.add(n, "bigint")
+    schema = rows.drop(t).schema.add(n, T.LongType())
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counter = _COUNTERS.get(shared.id) or _COUNTERS.setdefault(shared.id, Counter(shared.value))
-        counts = counter.count(batch.column(t).to_pylist())
+        counts = shared.made(Counter).count(batch.column(t).to_pylist())
         cols = [batch.column(c) for c in batch.schema.names if c != t]
         return pa.RecordBatch.from_arrays([*cols, pa.array(counts, pa.int64())], names=[c for c in batch.schema.names if c != t] + [n])
 
