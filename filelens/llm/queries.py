@@ -7,16 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from filelens.llm.bpe import op4_bpe_round_trip
-from filelens.llm import minhash
+from filelens.llm import decontamination, minhash
+from filelens.llm.decontamination import op2_decontamination
 from filelens.llm.minhash import op6_minhash
 from filelens.llm.token_counts import op7_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_minhash": op6_minhash,
     "op7_token_counts": op7_token_counts,
 }
 
 SQL: dict[str, str] = {
+    "op2_decontamination": decontamination.SQL,
     "op6_minhash": minhash.SQL,
 }
