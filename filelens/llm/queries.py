@@ -11,12 +11,14 @@ from filelens.llm import decontamination, minhash
 from filelens.llm.decontamination import op2_decontamination
 from filelens.llm.minhash import op6_minhash
 from filelens.llm.token_counts import op7_token_counts
+from filelens.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_minhash": op6_minhash,
     "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
 }
 
 SQL: dict[str, str] = {
