@@ -11,6 +11,7 @@ from filelens.llm import decontamination, minhash
 from filelens.llm.decontamination import op2_decontamination
 from filelens.llm.language_id import op10_language_id
 from filelens.llm.minhash import op6_minhash
+from filelens.llm.pii import op9_pii
 from filelens.llm.token_counts import op7_token_counts
 from filelens.llm.toxicity import op8_toxicity
 
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minhash": op6_minhash,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,
+    "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
 }
 
