@@ -253,14 +253,15 @@ def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "token_ids", keys
     return C.map_arrow(rows, fn, schema, size_of=i).select(*keys, F.col(d).alias("decoded"))
 
 
-def with_digests(encoded: DataFrame) -> DataFrame:
-    """Token count and digests of encoded rows, for comparison by value."""
+def with_digests(encoded: DataFrame, *more: F.Column) -> DataFrame:
+    """Token count and digests of encoded rows, for comparison by value, and ``more``."""
     ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
     return encoded.select(
         *[c for c in encoded.columns if c not in ("token_ids", "decoded")],
         F.size("token_ids").cast("bigint").alias("n_tokens"),
         F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+        *more,
     )
 
 

@@ -91,7 +91,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items`` of every row of ``docs``.
+    """``doc_id, text_key, n_words, n_hit, n_items, items`` of every row of ``docs``.
 
     A word is hit when it lies in an occurrence of a window of an item;
     ``items`` lists the ids of the items with occurring windows, sorted as
@@ -121,7 +121,7 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         found = _extended(docs, seeds, windows.where(F.col("m") == m), m)
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
-        return kept.select("doc_id", "n_words", F.lit(0).cast("bigint").alias("n_hit"), F.lit(0).cast("bigint").alias("n_items"),
+        return kept.select("doc_id", "text_key", "n_words", F.lit(0).cast("bigint").alias("n_hit"), F.lit(0).cast("bigint").alias("n_items"),
                            F.array().cast("array<string>").alias("items"))
     hits = C.stored(hits, "hits")
     key = ["doc_id", "text_key"]
@@ -138,7 +138,7 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     out = out.join(counted, out.doc_id.eqNullSafe(F.col("c_id")) & (out.text_key == F.col("c_key")), "left")
     out = out.join(listed, out.doc_id.eqNullSafe(F.col("l_id")) & (out.text_key == F.col("l_key")), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
-    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+    return out.select("doc_id", "text_key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
                       F.size(items).cast("bigint").alias("n_items"), items.alias("items"))
 
 
@@ -163,6 +163,15 @@ def is_contaminated() -> F.Column:
     return (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words"))
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated."""
+    judged = contaminated_words(docs, benchmark).where(is_contaminated())
+    k, c_id, c_key = C.tag("k"), C.tag("id"), C.tag("key")
+    bad = judged.select(F.col("doc_id").alias(c_id), F.col("text_key").alias(c_key)).distinct()
+    keyed = docs.withColumn(k, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return keyed.join(bad, keyed["doc_id"].eqNullSafe(F.col(c_id)) & (keyed[k] == F.col(c_key)), "left_anti").drop(k)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document against every benchmark item."""
     out = contaminated_words(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))

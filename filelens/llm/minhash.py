@@ -108,8 +108,9 @@ _WORDS: dict[bytes, int] = {}
 
 
 def set_features(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, node, keys`` of each row of ``doc_id, text``:
-    ``node`` names the set (equal sets, equal names), ``keys`` its buckets."""
+    """``doc_id, text_key, n_shingles, node, keys`` of each row of ``doc_id,
+    text``: ``node`` names the set (equal sets, equal names), ``keys`` its buckets."""
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column("text").to_pylist(), size, _WORDS)
@@ -120,10 +121,11 @@ def set_features(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROW
             for i, k in zip(full, band_keys(sketches([sets[i] for i in full], bands * rows), bands, rows), strict=True):
                 keys[i] = k
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.binary()),
-             pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "node", "keys"])
+            [batch.column("doc_id"), batch.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
+             pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+            names=["doc_id", "text_key", "n_shingles", "node", "keys"])
 
-    return C.map_arrow(docs, fn, "doc_id bigint, n_shingles bigint, node binary, keys array<bigint>", size_of="text")
+    return C.map_arrow(docs, fn, "doc_id bigint, text_key bigint, n_shingles bigint, node binary, keys array<bigint>", size_of="text")
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -172,18 +174,18 @@ def _lifted(labels: DataFrame, parent: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle_size: int = 5, similarity: float = 0.8, text_col: str = "text",
                     id_col: str = "doc_id", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row.
+    """``doc_id, text_key, n_shingles, component, component_id, kept`` of every row.
 
     Two rows are linked when the Jaccard similarity of their shingle sets is
     at least ``similarity``, checked on the full sets; ``component_id`` is the
     least id reachable over links, itself included; ``kept`` marks the row
-    with that id.  A null or empty text, or one without words, has no shingles
+    with that id; ``component`` names the component and is null without words.  A null or empty text, or one without words, has no shingles
     and is linked with nothing.  Every input row gives one row: repeated rows
     are in one component, a null id is never the least unless all are null.
     """
     spark = docs.sparkSession
     C.ready(spark)
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), C.text_or_empty(text_col).alias("text"))
     percent = round(similarity * 100)
     features = C.stored(set_features(docs, shingle_size, bands, rows), "features")
     classes = C.stored(features.where("node is not null").groupBy("node").agg(
@@ -230,13 +232,30 @@ def near_duplicates(docs: DataFrame, shingle_size: int = 5, similarity: float =
 
     least = classes.join(root, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     groups = least.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_node = least.join(groups, "root").select("node", "component_id")
+    of_node = least.join(groups, "root").select("node", F.col("root").alias("component"), "component_id")
     out = features.join(of_node, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    smallest = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "text_key", "n_shingles", "component", smallest.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def without_near_duplicates(docs: DataFrame, shingle_size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row of each near-duplicate component of ``docs``: the one of the
+    least id (of rows that share that id, one); rows without words, which are
+    linked with nothing, stay, once each if they are repeated."""
+    groups = C.stored(near_duplicates(docs, shingle_size, similarity), "groups").where("kept")
+    alone = groups.where("component is null").select("doc_id", "text_key").distinct()
+    first = groups.where("component is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("k"))
+    keep = alone.unionByName(first.select("k.*"))
+    k, k_id, k_key = C.tag("k"), C.tag("id"), C.tag("key")
+    keep = keep.select(F.col("doc_id").alias(k_id), F.col("text_key").alias(k_key))
+    keyed = docs.withColumn(k, F.xxhash64(C.text_or_empty()))
+    out = keyed.join(keep, keyed["doc_id"].cast("bigint").eqNullSafe(F.col(k_id)) & (keyed[k] == F.col(k_key)), "left_semi")
+    if not groups.groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates(["doc_id", k])  # the input repeats rows
+    return out.drop(k)
+
+
 def _pairs_across(active: DataFrame) -> int:
     """Pairs of different components in the same bucket, counted per bucket."""
     sizes = active.groupBy("key", "root").count().groupBy("key").agg(
@@ -246,7 +265,8 @@ def _pairs_across(active: DataFrame) -> int:
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over two-word shingles."""
-    return near_duplicates(C.table(spark, sf_dir, "documents"), shingle_size=2)
+    out = near_duplicates(C.table(spark, sf_dir, "documents"), shingle_size=2)
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 SQL = r"""

@@ -229,9 +229,9 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
     A null text stays null; other columns pass as they are.
     """
-    spans = find_spans(docs).distinct()
+    spans = find_spans(docs).where(F.size("spans") > 0).distinct()
     k, t, s_id, s_key = (C.tag(x) for x in ("k", "t", "id", "key"))
-    touched = spans.where(F.size("spans") > 0).select(F.col("doc_id").alias(s_id), F.col("text_key").alias(s_key), F.col("spans").alias(k))
+    touched = spans.select(F.col("doc_id").alias(s_id), F.col("text_key").alias(s_key), F.col("spans").alias(k))
     rows = docs.withColumn(t, F.xxhash64(C.text_or_empty()))
     joined = rows.join(touched, rows["doc_id"].cast("bigint").eqNullSafe(F.col(s_id)) & (rows[t] == F.col(s_key)), "left").drop(s_id, s_key, t)
     at = docs.columns.index("text")

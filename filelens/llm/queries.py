@@ -10,6 +10,7 @@ from filelens.llm.bpe import op4_bpe_round_trip
 from filelens.llm import decontamination, minhash
 from filelens.llm.decontamination import op2_decontamination
 from filelens.llm.fingerprints import op3_fingerprints
+from filelens.llm.html_extraction import op5_html_extraction
 from filelens.llm.language_id import op10_language_id
 from filelens.llm.minhash import op6_minhash
 from filelens.llm.pii import op9_pii
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_fingerprints": op3_fingerprints,
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op5_html_extraction": op5_html_extraction,
     "op6_minhash": op6_minhash,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,

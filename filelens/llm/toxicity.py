@@ -46,7 +46,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Network |
     return train([r.text for r in rows], [r.toxic for r in rows]) if rows else None
 
 
-def score_toxicity(docs: DataFrame, network: Network | None) -> DataFrame:
+def score_toxicity(docs: DataFrame, network: Network | None, score: str = "score", predicted: str = "predicted") -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on).
 
     Every row is scored by its whole text; a null, empty or letterless text
@@ -54,7 +54,7 @@ def score_toxicity(docs: DataFrame, network: Network | None) -> DataFrame:
     0.  Columns of ``docs`` are passed on, whatever their names.
     """
     if network is None:
-        return docs.withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
+        return docs.select("*", F.lit(0.0).alias(score), F.lit(0).alias(predicted))
     shared = C.SharedFile(docs.sparkSession, network.dump())
     t, s = C.tag("t"), C.tag("s")
     rows = docs.withColumn(t, C.text_or_empty())
@@ -66,7 +66,15 @@ def score_toxicity(docs: DataFrame, network: Network | None) -> DataFrame:
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(scores, pa.float64())], names=[*names, s])
 
     out = C.map_arrow(rows, fn, schema, size_of=t)
-    return out.select(*docs.columns, F.col(s).alias("score"), (F.col(s) >= THRESHOLD).cast("int").alias("predicted"))
+    return out.select(*docs.columns, F.col(s).alias(score), (F.col(s) >= THRESHOLD).cast("int").alias(predicted))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the network, fitted on those of them that have
+    labels, does not call toxic."""
+    score, predicted = C.tag("score"), C.tag("predicted")
+    network = fit(docs.select("doc_id", "text"), labels)
+    return score_toxicity(docs, network, score, predicted).where(F.col(predicted) == 0).drop(score, predicted)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
