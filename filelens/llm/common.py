@@ -74,6 +74,34 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     return df.mapInArrow(run, schema)
 
 
+#: Slots of the bitmap that :func:`prefiltered` broadcasts (512 KiB at any input size).
+SLOT_BITS, _MAP_BITS = 22, 15
+
+
+def slot_maps(wanted: DataFrame, slot: F.Column) -> DataFrame:
+    """``bucket, bits``: which slots occur, as at most 2^(SLOT_BITS - 15) bitmaps."""
+    rows = wanted.select(slot.cast("bigint").alias("slot"))
+    return rows.groupBy(F.shiftright("slot", _MAP_BITS).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.col("slot").bitwiseAND((1 << _MAP_BITS) - 1)).alias("bits"))
+
+
+def prefiltered(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """The rows whose ``keys`` occur in ``wanted``, and a few others.
+
+    A hash of the keys picks a slot of a bitmap of fixed size, which is
+    broadcast; rows whose slot is empty go before any shuffle.  The join that
+    follows makes the result exact.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(1 << SLOT_BITS))
+    maps = slot_maps(wanted, slot)
+    b, m, s = tag("bucket"), tag("map"), tag("slot")
+    maps = maps.select(F.col("bucket").alias(b), F.col("bits").alias(m))
+    at = F.col(s).bitwiseAND((1 << _MAP_BITS) - 1)
+    byte = F.conv(F.hex(F.substring(m, F.shiftright(at, 3).cast("int") + 1, 1)), 16, 10).cast("int")
+    found = rows.withColumn(s, slot).join(F.broadcast(maps), F.shiftright(s, _MAP_BITS) == F.col(b))
+    return found.where(F.call_function("shiftright", byte, at.bitwiseAND(7).cast("int")).bitwiseAND(1) == 1).select(*rows.columns)
+
+
 def text_or_empty(col: str = "text") -> F.Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

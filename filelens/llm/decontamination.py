@@ -117,7 +117,7 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         spans = windows.where(F.col("m") == m).select(F.split("span", " ").alias("words"))
         grams = C.stored(_with_grams(spans, m, "grams").select(F.explode("grams").alias("low")).distinct(), "grams")
         seeds = kept.select("doc_id", "text_key", F.explode(f"low_{m}").alias("low")).join(grams, "low", "left_semi")
-        seeds = seeds.groupBy("doc_id", "text_key").agg(F.collect_set("low").alias("lows"))
+        seeds = C.stored(seeds.groupBy("doc_id", "text_key").agg(F.collect_set("low").alias("lows")), "seeds")
         found = _extended(docs, seeds, windows.where(F.col("m") == m), m)
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
@@ -146,7 +146,7 @@ def _extended(docs: DataFrame, seeds: DataFrame, windows: DataFrame, m: int) ->
     """Windows of ``m`` words around the seeds that are, word by word, windows
     of an item: ``doc_id, text_key, start, m, item_id``."""
     right = seeds.select(F.col("doc_id").alias("s_id"), F.col("text_key").alias("s_key"), "lows")
-    found = docs.distinct().join(right, docs.doc_id.eqNullSafe(right.s_id) & (docs.text_key == right.s_key))
+    found = C.prefiltered(docs, seeds, "doc_id", "text_key").dropDuplicates(["doc_id", "text_key"]).join(right, docs.doc_id.eqNullSafe(right.s_id) & (docs.text_key == right.s_key))
     found = found.select("doc_id", "text_key", "lows", words_of(F.col("text")).alias("words"))
     found = _with_grams(found, m, "grams")
     places = F.filter(F.transform("grams", lambda g, i: F.when(F.array_contains("lows", g), i)), lambda p: p.isNotNull())

@@ -27,9 +27,9 @@ from filelens.llm import common as C
 #: 32 bands of 5 coordinates: a pair of similarity 0.8 shares no bucket with probability 3e-6.
 BANDS, ROWS = 32, 5
 #: Hubs tried in a bucket before the rest is compared in full ...
-HUB_ROUNDS = 8
+HUB_ROUNDS = 5
 #: ... and pairs a class for which that is done at once.
-FULL_PAIRS_PER_CLASS = 8
+FULL_PAIRS_PER_CLASS = 2
 CACHE_WORDS = 400_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -191,14 +191,18 @@ def near_duplicates(docs: DataFrame, shingle_size: int = 5, similarity: float =
     classes = C.stored(features.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "classes")
 
-    # buckets with more than one class
+    # buckets with more than one class; of buckets with the same members, one
     lead = features.join(classes, (features.node == classes.node) & features.doc_id.eqNullSafe(classes.rep), "left_semi")
-    keyed = lead.select(F.explode("keys").alias("key"), "node", F.col("n_shingles").alias("n"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("key")
-    buckets = C.stored(keyed.join(shared, "key", "left_semi").distinct(), "buckets")
-    wanted = buckets.select("node").distinct().join(classes, "node").select("rep").distinct()
-    sets = full_sets(docs.join(wanted, docs.doc_id.eqNullSafe(wanted.rep), "left_semi"), shingle_size)
-    sets = C.stored(sets.join(buckets.select("node").distinct(), "node", "left_semi"), "sets")
+    keyed = lead.select(F.explode("keys").alias("key"), "node", F.col("n_shingles").alias("n"), F.xxhash64("node").alias("h"))
+    members = keyed.groupBy("key").agg(F.min("h").alias("x"), F.max("h").alias("y"), F.expr("bit_xor(h)").alias("all"),
+                                       F.sum(F.col("h").bitwiseAND(0xFFFFFFFF)).alias("sum"), F.count(F.lit(1)).alias("size"))
+    shared = members.where("x <> y").groupBy("x", "y", "all", "sum", "size").agg(F.min("key").alias("key")).select("key")
+    buckets = C.stored(keyed.drop("h").join(shared, "key", "left_semi").distinct(), "buckets")
+    # the full sets of their classes, each from the row that leads it
+    nodes = buckets.select("node").distinct()
+    wanted = C.stored(lead.join(nodes, "node", "left_semi").select("doc_id", "text_key"), "wanted")
+    rows = docs.withColumn("text_key", F.xxhash64("text"))
+    sets = C.stored(full_sets(C.prefiltered(rows, wanted, "doc_id", "text_key").select("doc_id", "text"), shingle_size), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -208,25 +212,23 @@ def near_duplicates(docs: DataFrame, shingle_size: int = 5, similarity: float =
         return pairs.join(a, "a").join(b, "b").where(both * 100 >= union * percent).select("a", "b").distinct()
 
     n_classes = classes.count()
-    links, tried, last = None, None, False
+    links, last = None, False
     active = buckets.withColumn("root", F.col("node"))
     for turn in range(HUB_ROUNDS + 1):
         last = turn == HUB_ROUNDS or turn > 0 and _pairs_across(active) <= FULL_PAIRS_PER_CLASS * n_classes
         other = active.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
         if not last:  # one hub a bucket, another one each turn
-            pick = F.min_by(F.struct("b", "n_b", "root_b"), F.struct(F.xxhash64("b", F.lit(turn)), F.col("b")))
-            other = other.groupBy("key").agg(pick.alias("hub")).select("key", "hub.*")
+            rank = F.struct(F.xxhash64("b", F.lit(turn)), F.col("b")) if turn else F.col("b")
+            other = other.groupBy("key").agg(F.min_by(F.struct("b", "n_b", "root_b"), rank).alias("hub")).select("key", "hub.*")
         pairs = active.join(other, "key").where(F.col("root") < F.col("root_b") if last else F.col("root") != F.col("root_b"))
         pairs = pairs.where(F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent)
         pairs = pairs.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
-        pairs = C.stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
         new = C.stored(confirmed(pairs), "confirmed")
         links = new if links is None else links.unionByName(new)
         root = components(links)
         if last:
             break
-        active = buckets.join(root, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+        active = active.drop("root").join(root, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
         mixed = active.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
         active = C.stored(active.join(mixed, "key", "left_semi"), "active")
 

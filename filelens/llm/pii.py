@@ -137,11 +137,12 @@ def entity_spans(docs: DataFrame) -> DataFrame:
 def _term_lines(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, n_term``: lines of the corpus that hold each term of ``terms``."""
     ready = terms.select("term")
-    slot_rows = C.map_arrow(ready, lambda b: pa.RecordBatch.from_arrays(
-        [pa.array([_slot(t) for t in b.column("term").to_pylist()], pa.int32())], names=["slot"]), "slot int")
+    slots = C.map_arrow(ready, lambda b: pa.RecordBatch.from_arrays(
+        [pa.array([_slot(t) for t in b.column("term").to_pylist()], pa.int64())], names=["slot"]), "slot bigint")
     bits = np.zeros(1 << SLOT_BITS, dtype=bool)
-    for row in slot_rows.distinct().toLocalIterator():  # at most 2^SLOT_BITS slots
-        bits[row.slot] = True
+    for row in C.slot_maps(slots, F.col("slot")).collect():  # at most 32 bitmaps
+        part = np.unpackbits(np.frombuffer(row.bits, np.uint8), bitorder="little")
+        bits[row.bucket * len(part) : (row.bucket + 1) * len(part)] = part
     shared = C.SharedFile(docs.sparkSession, np.packbits(bits).tobytes())
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -234,17 +235,18 @@ def sanitise(docs: DataFrame) -> DataFrame:
     touched = spans.select(F.col("doc_id").alias(s_id), F.col("text_key").alias(s_key), F.col("spans").alias(k))
     rows = docs.withColumn(t, F.xxhash64(C.text_or_empty()))
     joined = rows.join(touched, rows["doc_id"].cast("bigint").eqNullSafe(F.col(s_id)) & (rows[t] == F.col(s_key)), "left").drop(s_id, s_key, t)
-    at = docs.columns.index("text")
+    names, schema = docs.columns, docs.schema
+    at = names.index("text")
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [
             replaced(x, [(s["start"], s["end"], s["kind"]) for s in found]) if found and x else x
             for x, found in zip(batch.column("text").to_pylist(), batch.column(k).to_pylist(), strict=True)]
-        arrays = [batch.column(c) for c in docs.columns]
+        arrays = [batch.column(c) for c in names]
         arrays[at] = pa.array(texts, pa.string())
-        return pa.RecordBatch.from_arrays(arrays, names=docs.columns)
+        return pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return C.map_arrow(joined, fn, docs.schema, size_of="text")
+    return C.map_arrow(joined, fn, schema, size_of="text")
 
 
 def _joined(spans: F.Column) -> F.Column:
