@@ -73,12 +73,13 @@ def extension(path: Column | str) -> Column:
 
 
 def _second_last_dot_piece(path: Column | str) -> Column:
-    # p.split('.')[-2]; null where Python raises IndexError (no dot).
+    # the text between the last two dots (or up to the only one); null without a dot
     return F.try_element_at(F.split(_c(path), r"\."), F.lit(-2))
 
 
 def file_id_legacy(path: Column | str) -> Column:
-    """Older id rule ``p.split('.')[-2].split('/')[-1]``.
+    """Older id rule: the last folder piece of what stands before the last dot,
+    back to the dot before it.
 
     ``x/a.b.png`` gives ``b`` where :func:`file_id` gives ``a.b``; null for a
     path without a dot.
@@ -87,7 +88,8 @@ def file_id_legacy(path: Column | str) -> Column:
 
 
 def folder_legacy(path: Column | str) -> Column:
-    """Older folder rule ``p.split('.')[-2].split('/')[-2]`` (null on error)."""
+    """Older folder rule: the piece before :func:`file_id_legacy`; null where
+    there is none."""
     return F.try_element_at(F.split(_second_last_dot_piece(path), "/"), F.lit(-2))
 
 

@@ -2,42 +2,41 @@
 
 Two listers produce the same ``(full_path string, file_size bigint)`` table:
 
-* :func:`list_files` - Spark's ``binaryFile`` source.  Only ``path`` and
-  ``length`` are selected, so file bodies are never read; listing runs in
-  parallel once the number of input paths passes
-  ``spark.sql.sources.parallelPartitionDiscovery.threshold``.  Works on
-  HDFS and object stores.  Like every Spark file source it skips names
-  starting with ``.`` or ``_`` and zero-length files.
-* :func:`walk_files` - an executor-side walk for exact parity with a POSIX
-  walk (hidden, ``_name`` and empty files included).  Top-level folders
-  come from :func:`glob_tops` (matched on an executor when only the last
-  segment of the glob has wildcards), are expanded one level on the
-  executors, every sub-directory is walked by its own task, and the
-  per-file ``stat`` calls are spread over all tasks, so neither one huge
-  folder tree nor one huge flat folder stays in one task.  Needs the tree
-  mounted on every executor.
-
-The reference's three listing behaviours are then predicates over one
-listing (:func:`apply_rule`), not three walkers.
+* :func:`walk_files` - an executor-side walk, the default for paths on a
+  shared mount.  The tree is read level by level: each round lists the folders
+  found by the last one, every folder a work unit of its own, spread by hash
+  over all tasks; what a round found is written to the shared scratch folder,
+  so nothing of the listing passes through the driver and a lost executor
+  costs one round at most.  Hidden, ``_name`` and empty files are included.
+* :func:`list_files` - Spark's ``binaryFile`` source, for stores that only
+  Spark reads.  Only ``path`` and ``length`` are selected, so file bodies are
+  never read.  Spark keeps the status of every listed file on the driver and,
+  like every Spark file source, skips names starting with ``.`` or ``_`` and
+  zero-length files.
+
+A folder that does not exist is an error in both; only a pattern with
+wildcards may match nothing.  The listing rules are predicates over one
+listing (:func:`apply_rule`), not walkers of their own.
 """
 
 from __future__ import annotations
 
-import glob as _glob
 import os
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filelens.functions import paths as P
-from filelens.session import default_parallelism, ship_package
+from filelens.session import default_parallelism, scratch_path, ship_package
 
 RULES = ("subdirs", "no_zip", "one_level", "all")
-
-# Scan tasks per core for a metadata-only binaryFile listing (see list_files).
-LISTING_TASKS_PER_CORE = 4
+LISTING = "full_path string, file_size bigint"
+_WILD = re.compile(r"[*?]|\[[^\]]+\]")
+_BATCH_ROWS = 20_000
 
 
 def paths_to_df(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -45,162 +44,155 @@ def paths_to_df(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(p,) for p in paths], "full_path string")
 
 
+def has_wildcards(path: str) -> bool:
+    return bool(_WILD.search(path))
+
+
+def hadoop_glob(path: str, literal: bool = False) -> str:
+    """A path or shell glob as Hadoop reads it: braces are no alternatives
+    there, and with ``literal`` nothing is a wildcard."""
+    return re.sub(r"([\\{}\[\]*?])" if literal else r"([{}])", r"\\\1", path)
+
+
 def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str | None = None,
                recursive: bool = True) -> DataFrame:
     """``binaryFile`` listing of ``root`` (a path, glob or list of them).
 
     ``pattern`` is a file-name glob pushed into the listing
-    (``pathGlobFilter``), e.g. ``"*.json"``.  A root that matches nothing
-    gives an empty listing.
+    (``pathGlobFilter``), e.g. ``"*.json"``.  A root with wildcards that match
+    nothing gives no rows; any other root that does not exist raises, also as
+    one of several.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    from pyspark.errors import AnalysisException
-
     roots = [root] if isinstance(root, str) else list(root)
     try:
         df = reader.load(roots)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc):
+        if "PATH_NOT_FOUND" not in str(exc) or not any(map(has_wildcards, roots)):
             raise
-        # a glob matching nothing lists nothing (an empty catalogue, not an error)
-        return spark.createDataFrame([], "full_path string, file_size bigint")
-    # Spark plans the scan as if it read every file (about 32 files per task
-    # under the default open cost); only metadata is read here, so merge the
-    # scan into a few tasks per core - a narrow coalesce, no shuffle.
-    df = df.coalesce(LISTING_TASKS_PER_CORE * default_parallelism(spark))
+        if len(roots) == 1:
+            return spark.createDataFrame([], LISTING)
+        parts = [list_files(spark, r, pattern, recursive) for r in roots]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
     return df.select(P.strip_uri("path").alias("full_path"), F.col("length").cast("bigint").alias("file_size"))
 
 
-def _subdirs(top: str, follow_links: bool) -> list[str]:
-    """Sub-directories of ``top`` (entry types come from ``scandir``, no ``stat``)."""
-    try:
-        with os.scandir(top) as it:
-            return [entry.path for entry in it if entry.is_dir(follow_symlinks=follow_links)]
-    except NotADirectoryError:
-        return []
-
-
-def _file_names(top: str, mode: str, follow_links: bool) -> Iterator[str]:
-    """File paths of one work unit without a ``stat`` per file: ``scandir``
-    reports the entry type from the directory itself."""
-    if mode == "files":
-        try:
-            with os.scandir(top) as it:
-                for entry in it:
-                    if entry.is_file(follow_symlinks=True):
-                        yield entry.path
-        except NotADirectoryError:
-            return
-    else:
-        for dirpath, _dirnames, filenames in os.walk(top, followlinks=follow_links):
-            for name in filenames:
-                yield os.path.join(dirpath, name)
+def _entries(folder: str, follow_links: bool) -> Iterator[tuple[str, bool]]:
+    """``path, is folder`` of what ``folder`` holds (entry types come with the
+    folder, no ``stat``); links to folders are folders if they are followed and
+    otherwise left out, dangling links are listed as files."""
+    with os.scandir(folder) as it:
+        for entry in it:
+            if entry.is_dir(follow_symlinks=follow_links):
+                yield entry.path, True
+            elif not entry.is_dir(follow_symlinks=True):
+                yield entry.path, False
+
+
+def _in_batches(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    batch: list[tuple] = []
+    for row in rows:
+        batch.append(row)
+        if len(batch) == _BATCH_ROWS:
+            yield pd.DataFrame(batch, columns=columns)
+            batch = []
+    if batch:
+        yield pd.DataFrame(batch, columns=columns)
 
 
 def walk_files(spark: SparkSession, tops: Sequence[str] | DataFrame, follow_links: bool = False,
-               num_partitions: int | None = None, recursive: bool = True,
-               spread_stat: bool = True) -> DataFrame:
-    """Executor-side walk of the given top-level directories.
-
-    A linear plan of three stages.  Stage 1 reads each top once and turns it
-    into work units - ``(top, "files")`` for its own files and
-    ``(sub, "tree")`` for each sub-directory - spread round-robin.  Stage 2
-    lists the file paths of each unit (no per-file ``stat``).  Stage 3
-    spreads the paths round-robin and reads their sizes, so even one flat
-    folder holding a third of all files has its ``stat`` calls - the slow
-    part on network file systems - done by every task.  Rows move in
-    bounded pandas batches.  ``recursive=False`` lists only the files
-    directly inside each top.  ``tops`` is a list of folders or a DataFrame
-    with a ``top`` column (see :func:`glob_tops`).  ``spread_stat=False``
-    reads sizes where the names are listed (no third shuffle) - cheaper on
-    local disks, where ``stat`` is fast.
+               num_partitions: int | None = None, recursive: bool = True, errors: str = "raise") -> DataFrame:
+    """Executor-side walk of the given folders (a list, or a DataFrame ``top``).
+
+    ``recursive=False`` lists the files directly inside each folder only.  The
+    sizes are read last, the paths spread by hash, so a flat folder that holds
+    a third of all files has its ``stat`` calls done by every task.  A folder
+    that cannot be read or a file without a size (removed meanwhile, a dangling
+    link) raises; ``errors="keep"`` keeps such a file with a null size.
     """
+    if errors not in ("raise", "keep"):
+        raise ValueError("errors must be 'raise' or 'keep'")
     n = num_partitions or default_parallelism(spark)
+    ship_package(spark)
 
-    def units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows: list[tuple[str, str]] = []
-            for top in pdf["top"]:
-                rows.append((top, "files"))
-                if recursive:
-                    rows.extend((d, "tree") for d in _subdirs(top, follow_links))
-            yield pd.DataFrame(rows, columns=["dir", "mode"])
-
-    def names(batches: Iterator[pd.DataFrame], batch_rows: int = 50_000) -> Iterator[pd.DataFrame]:
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            buf: list[str] = []
-            for d, mode in zip(pdf["dir"], pdf["mode"]):
-                for path in _file_names(d, mode, follow_links):
-                    buf.append(path)
-                    if len(buf) >= batch_rows:
-                        yield pd.DataFrame({"full_path": buf})
-                        buf = []
-            if buf:
-                yield pd.DataFrame({"full_path": buf})
+            found = (e for folder in pdf["top"] for e in _entries(folder, follow_links))
+            yield from _in_batches(found, ["full_path", "folder"])
 
     def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows: list[tuple[str, int]] = []
-            for path in pdf["full_path"]:
-                try:
-                    rows.append((path, os.stat(path).st_size))
-                except FileNotFoundError:  # removed since it was listed
-                    continue
-            yield pd.DataFrame(rows, columns=["full_path", "file_size"])
+        def one(path: str) -> int | None:
+            try:
+                return os.stat(path).st_size
+            except OSError:
+                if errors == "raise":
+                    raise
+                return None
 
-    ship_package(spark)
-    if isinstance(tops, DataFrame):
-        top_df = tops.select("top").repartition(n)
-    else:
-        top_df = spark.createDataFrame([(t,) for t in tops], "top string").repartition(max(1, min(n, len(tops) or 1)))
-    work = top_df.mapInPandas(units, "dir string, mode string").repartition(n)
-    paths = work.mapInPandas(names, "full_path string")
-    if spread_stat:
-        paths = paths.repartition(n)
-    return paths.mapInPandas(sizes, "full_path string, file_size bigint")
+        for pdf in batches:
+            yield pd.DataFrame({"full_path": pdf["full_path"], "file_size": pd.array([one(p) for p in pdf["full_path"]], "Int64")})
+
+    level = tops.select("top") if isinstance(tops, DataFrame) else spark.createDataFrame([(t,) for t in tops], "top string")
+    rounds: list[str] = []
+    while True:
+        path = scratch_path(spark, "listing")
+        level.repartition(n, "top").mapInPandas(listed, "full_path string, folder boolean").write.parquet(path)
+        rounds.append(path)
+        found = spark.read.schema("full_path string, folder boolean").parquet(path)
+        level = found.where("folder").select(F.col("full_path").alias("top"))
+        if not recursive or level.isEmpty():
+            break
+    files = spark.read.schema("full_path string, folder boolean").parquet(*rounds).where("NOT folder").select("full_path")
+    return files.repartition(n, "full_path").mapInPandas(sizes, LISTING)
 
 
 def glob_tops(spark: SparkSession, root_glob: str, skip_zip: bool = True) -> DataFrame:
     """Folders matched by ``root_glob`` as a DataFrame ``(top)``.
 
-    When only the last segment has wildcards (``/data/image/TS*``), the
-    parent folder is read on an executor and matched there, so the matched
-    names never pass through the driver.  Otherwise the glob is expanded on
-    the driver.  Names ending in ``.zip`` are skipped unless ``skip_zip`` is
-    false; hidden names follow the glob rule.
+    Each segment with wildcards is matched on the executors, in the folders
+    that the segments before it matched, so the matches never pass through the
+    driver.  Names ending in ``.zip`` are skipped unless ``skip_zip`` is false;
+    hidden names follow the glob rule.  A root without wildcards must exist.
     """
-    import posixpath
-
-    parent, last = posixpath.split(root_glob.rstrip("/"))
-    magic = set("*?[")
-    if not parent or magic & set(parent) or not magic & set(last):
-        tops = [t for t in top_entries(root_glob) if os.path.isdir(t) and not (skip_zip and t.endswith(".zip"))]
-        return spark.createDataFrame([(t,) for t in tops], "top string")
-    regex = "^" + P.glob_to_regex(last) + "$"
-
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import re
-
-        rx = re.compile(regex)
-        for pdf in batches:
-            found: list[str] = []
-            for folder in pdf["parent"]:
-                with os.scandir(folder) as it:
-                    for entry in it:
-                        if rx.match(entry.name) and entry.is_dir(follow_symlinks=True) and not (
-                                skip_zip and entry.name.endswith(".zip")):
-                            found.append(entry.path)
-            yield pd.DataFrame({"top": found})
-
     ship_package(spark)
-    return spark.createDataFrame([(parent,)], "parent string").mapInPandas(match, "top string")
-
-
-def top_entries(root_glob: str) -> list[str]:
-    """Entries matched by a glob (driver-side, one directory level)."""
-    return sorted(_glob.glob(root_glob))
+    segments = root_glob.rstrip("/").split("/")
+    first = next((i for i, s in enumerate(segments) if has_wildcards(s)), len(segments))
+    n = default_parallelism(spark)
+    start = "/".join(segments[:first]) or ("/" if root_glob.startswith("/") else ".")
+    tops = spark.createDataFrame([(start,)], "top string")
+    wild = first < len(segments)
+
+    def step(segment: str, last: bool):
+        match = re.compile("(?s)" + P.glob_to_regex(segment)).fullmatch if has_wildcards(segment) else None
+
+        def found(folder: str) -> Iterator[tuple[str]]:
+            if match is None:
+                path = os.path.join(folder, segment)
+                if os.path.isdir(path):
+                    yield (path,)
+                return
+            with os.scandir(folder) as it:
+                for e in it:
+                    if match(e.name) and e.is_dir(follow_symlinks=True) and not (last and skip_zip and e.name.endswith(".zip")):
+                        yield (e.path,)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                yield from _in_batches((r for f in pdf["top"] for r in found(f)), ["top"])
+
+        return run
+
+    for i in range(first, len(segments)):
+        last = i == len(segments) - 1
+        tops = tops.mapInPandas(step(segments[i], last), "top string")
+        if not last:
+            tops = tops.repartition(n, "top")
+    return tops if wild or not (skip_zip and start.endswith(".zip")) else tops.limit(0)
 
 
 def exclude_suffix(df: DataFrame, suffix: str = ".zip", path: str = "full_path") -> DataFrame:
@@ -223,18 +215,14 @@ def apply_rule(df: DataFrame, root: str, rule: str = "subdirs", path: str = "ful
     * ``all``       - every file below ``root`` (a directory).
 
     A wildcard at the start of a segment does not match a leading dot, as
-    with a shell glob.
+    with a shell glob.  Names may hold any character, line ends too.
     """
     p = F.col(path)
-    if rule == "subdirs":
-        g = P.glob_to_regex(root.rstrip("/"))
-        top = F.regexp_extract(p, f"^({g})/", 1)
-        return df.filter(p.rlike(f"^{g}/.+$") & ~top.endswith(".zip"))
-    if rule == "one_level":
-        g = P.glob_to_regex(root.rstrip("/"))
-        # ``folder/*``: direct children, names starting with '.' excluded
-        top = F.regexp_extract(p, f"^({g})/[^/]+$", 1)
-        return df.filter(p.rlike(f"^{g}/(?!\\.)[^/]+$") & ~top.endswith(".zip"))
+    if rule in ("subdirs", "one_level"):
+        inside = ".+" if rule == "subdirs" else r"(?!\.)[^/]+"
+        # the matched entry with its slash, or '' where the rule does not match
+        top = F.regexp_extract(p, rf"(?s)\A({P.glob_to_regex(root.rstrip('/'))}/){inside}\z", 1)
+        return df.filter((top != "") & ~top.endswith(".zip/"))
     base = root.rstrip("/") + "/"
     under = p.startswith(base) & (F.length(p) > len(base))
     if rule == "no_zip":
@@ -245,34 +233,22 @@ def apply_rule(df: DataFrame, root: str, rule: str = "subdirs", path: str = "ful
 
 
 def scan_files(spark: SparkSession, root: str, rule: str = "subdirs", pattern: str | None = None,
-               complete: bool = False) -> DataFrame:
+               complete: bool | None = None) -> DataFrame:
     """List a tree and keep what ``rule`` returns; ``(full_path, file_size)``.
 
-    ``complete=False`` lists with ``binaryFile``: for the glob rules the
-    glob itself is handed to Spark, which expands it and lists the matches
-    in parallel.  ``complete=True`` walks the matches on the executors
-    (:func:`walk_files`) and also returns hidden, ``_``-prefixed and empty
-    files; symbolic links to folders are followed only by ``no_zip``.
+    ``complete=True`` walks the matches on the executors (:func:`walk_files`);
+    links to folders are followed only by ``no_zip``.  ``complete=False`` lists
+    with ``binaryFile`` (:func:`list_files`).  The default walks plain paths and
+    lists URIs (``scheme://``) with Spark's source.
     """
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule!r}; expected one of {RULES}")
-    if complete:
-        if rule in ("subdirs", "one_level"):
-            tops = glob_tops(spark, root)
-            if rule == "one_level":
-                listing = walk_files(spark, tops, recursive=False)
-            else:
-                listing = walk_files(spark, tops, follow_links=False)
-        else:
-            listing = walk_files(spark, [root.rstrip("/")], follow_links=(rule == "no_zip"))
+    globbed = rule in ("subdirs", "one_level")
+    if complete or complete is None and "://" not in root:
+        tops = glob_tops(spark, root) if globbed else [root.rstrip("/") or "/"]
+        listing = walk_files(spark, tops, follow_links=rule == "no_zip", recursive=rule != "one_level")
     else:
-        # The name pattern also goes into the listing itself (pathGlobFilter).
-        # A folder root is handed over as ``root/*``: Spark expands the glob
-        # into one path per child and, past
-        # spark.sql.sources.parallelPartitionDiscovery.threshold paths, lists
-        # the subtrees in a distributed job instead of on the driver.
-        load_root = root if rule in ("subdirs", "one_level") else root.rstrip("/") + "/*"
-        listing = list_files(spark, load_root, pattern=pattern)
+        listing = list_files(spark, hadoop_glob(root.rstrip("/"), literal=not globbed), pattern=pattern)
     if pattern:
         listing = match_name(listing, pattern)
     return apply_rule(listing, root, rule)
@@ -280,18 +256,17 @@ def scan_files(spark: SparkSession, root: str, rule: str = "subdirs", pattern: s
 
 def match_name(df: DataFrame, pattern: str, path: str = "full_path") -> DataFrame:
     """Keep rows whose file name matches a glob such as ``*.json``."""
-    return df.filter(P.file_name(path).rlike("^" + P.glob_to_regex(pattern) + "$"))
+    return df.filter(P.file_name(path).rlike(rf"(?s)\A{P.glob_to_regex(pattern)}\z"))
 
 
-def label_paths(spark: SparkSession, root: str, pattern: str = "*.json", complete: bool = False) -> DataFrame:
-    """Label files of one folder as ``(file_id, label_paths)``."""
-    return label_path_table(scan_files(spark, root, rule="all", pattern=pattern, complete=complete))
+def label_paths(spark: SparkSession, root: str, pattern: str = "*.json", rule: str = "one_level",
+                complete: bool | None = None) -> DataFrame:
+    """Label files of one folder (not of its sub-folders, unless ``rule`` is
+    ``all``) as ``(file_id, label_paths)``."""
+    return label_path_table(scan_files(spark, root, rule=rule, pattern=pattern, complete=complete))
 
 
 def label_path_table(listing: DataFrame, path: str = "full_path") -> DataFrame:
-    """``(file_id, label_paths)`` of a label listing.
-
-    The id uses the older rule (``p.split('.')[-2].split('/')[-1]``) that the
-    label scan was written with.
-    """
+    """``(file_id, label_paths)`` of a label listing; the id follows the older
+    rule (:func:`filelens.functions.paths.file_id_legacy`)."""
     return listing.select(P.file_id_legacy(path).alias("file_id"), F.col(path).alias("label_paths"))

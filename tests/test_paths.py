@@ -1,8 +1,7 @@
-"""Path expressions against Python's os.path / str.split on awkward paths."""
+"""Path expressions on awkward paths, against literal values and the standard library."""
 
 from __future__ import annotations
 
-import os
 import posixpath
 
 import pytest
@@ -10,40 +9,35 @@ from pyspark.sql import functions as F
 
 from filelens.functions import paths as P
 
-AWKWARD = [
-    "/a/b/c.png", "/a/b//c.jpg", "a.tar.gz", "/x/.bashrc", "/x/b.", "/x/..a.b", "/x/y/",
-    "noext", "/k=v/사진 1.JPEG", "/a.png/file", "//double//slash//f.csv", "/x/c.tar.gz",
-    "./rel/a.b.png", "/x/_name.json", "/x/.hidden.json", "/", "a/b", "/x/.", "/x/..",
-    "/a/b/c", "https://h.example.com/en/25#top", "http://h/en/", "x.y/z", "...", "/a/.b.c.d",
+# Literal expectations: path, name, id, folder, extension, older id, older folder, archive destination, pieces.
+EXPECTED = [
+    ("/a/b/c.png", "c.png", "c", "b", "png", "c", "b", "/a/b/c", 4),
+    ("/a/b//c.jpg", "c.jpg", "c", "b", "jpg", "c", "", "/a/b//c", 5),
+    ("a.tar.gz", "a.tar.gz", "a.tar", "", "gz", "tar", None, "a.tar", 1),
+    ("/x/.bashrc", ".bashrc", ".bashrc", "x", "bashrc", "", "x", "/x/.bashrc", 3),
+    ("/x/b.", "b.", "b", "x", "", "b", "x", "/x/b", 3),
+    ("/x/..a.b", "..a.b", "..a", "x", "b", "a", None, "/x/..a", 3),
+    ("/x/y/", "", "", "y", "/x/y/", None, None, "/x/y/", 4),
+    ("noext", "noext", "noext", "", "noext", None, None, "noext", 1),
+    ("/k=v/사진 1.JPEG", "사진 1.JPEG", "사진 1", "k=v", "JPEG", "사진 1", "k=v", "/k=v/사진 1", 3),
+    ("/a.png/file", "file", "file", "a.png", "png/file", "a", "", "/a.png/file", 3),
+    ("//double//slash//f.csv", "f.csv", "f", "slash", "csv", "f", "", "//double//slash//f", 7),
+    ("/x/c.tar.gz", "c.tar.gz", "c.tar", "x", "gz", "tar", None, "/x/c.tar", 3),
+    ("./rel/a.b.png", "a.b.png", "a.b", "rel", "png", "b", None, "./rel/a.b", 3),
+    ("/x/_name.json", "_name.json", "_name", "x", "json", "_name", "x", "/x/_name", 3),
+    ("/x/.hidden.json", ".hidden.json", ".hidden", "x", "json", "hidden", None, "/x/.hidden", 3),
+    ("/", "", "", "", "/", None, None, "/", 2),
+    ("a/b", "b", "b", "a", "a/b", None, None, "a/b", 2),
+    ("/x/.", ".", ".", "x", "", "", "x", "/x/.", 3),
+    ("/x/..", "..", "..", "x", "", "", None, "/x/..", 3),
+    ("/a/b/c", "c", "c", "b", "/a/b/c", None, None, "/a/b/c", 4),
+    ("https://h.example.com/en/25#top", "25#top", "25#top", "en", "com/en/25#top", "example", None, "https://h.example.com/en/25#top", 5),
+    ("http://h/en/", "", "", "en", "http://h/en/", None, None, "http://h/en/", 5),
+    ("x.y/z", "z", "z", "x.y", "y/z", "x", None, "x.y/z", 2),
+    ("...", "...", "...", "", "", "", None, "...", 1),
+    ("/a/.b.c.d", ".b.c.d", ".b.c", "a", "d", "c", None, "/a/.b.c", 3),
 ]
-
-
-def py_file_id(p):
-    return os.path.splitext(posixpath.basename(p))[0]
-
-
-def py_folder(p):
-    return posixpath.basename(posixpath.dirname(p))
-
-
-def py_legacy_id(p):
-    try:
-        return p.split(".")[-2].split("/")[-1]
-    except IndexError:
-        return None
-
-
-def py_legacy_folder(p):
-    try:
-        return p.split(".")[-2].split("/")[-2]
-    except IndexError:
-        return None
-
-
-def py_archive_dest(p):
-    # the path with the last suffix of its final segment removed, else as is
-    ext = posixpath.splitext(posixpath.basename(p))[1]
-    return p[: len(p) - len(ext)] if ext else p
+AWKWARD = [row[0] for row in EXPECTED]
 
 
 @pytest.fixture(scope="module")
@@ -63,26 +57,13 @@ def derived(spark):
     return {r.p: r for r in rows}
 
 
-@pytest.mark.parametrize("path", AWKWARD)
-def test_name_id_folder(derived, path):
+@pytest.mark.parametrize("row", EXPECTED, ids=AWKWARD)
+def test_path_rules(derived, row):
+    path, name, id_, folder, ext, legacy_id, legacy_folder, dest, depth = row
     r = derived[path]
-    assert r.name == posixpath.basename(path)
-    assert r.id == py_file_id(path)
-    assert r.folder == py_folder(path)
-    assert r.ext == path.split(".")[-1]
-    assert r.depth == len(path.split("/"))
-
-
-@pytest.mark.parametrize("path", AWKWARD)
-def test_legacy_rules(derived, path):
-    r = derived[path]
-    assert r.lid == py_legacy_id(path)
-    assert r.lfolder == py_legacy_folder(path)
-
-
-@pytest.mark.parametrize("path", [p for p in AWKWARD if not p.endswith("/") and p not in ("/x/.", "/x/..", "...")])
-def test_archive_dest(derived, path):
-    assert derived[path].dest == py_archive_dest(path)
+    assert (r.name, r.id, r.folder, r.ext, r.lid, r.lfolder, r.depth) == (name, id_, folder, ext, legacy_id, legacy_folder, depth)
+    if not path.endswith("/") and path not in ("/x/.", "/x/..", "..."):
+        assert r.dest == dest
 
 
 def test_strip_uri(spark):
@@ -157,7 +138,7 @@ def test_random_globs_match_python_glob(spark):
     assert sum(got.values()) > 50  # the sample does contain matches
 
 
-def test_random_paths_match_python(spark):
+def test_random_paths_match_the_standard_library(spark):
     """5,000 random paths over an alphabet rich in '.', '/' and spaces."""
     import random
 
@@ -165,17 +146,7 @@ def test_random_paths_match_python(spark):
     alphabet = ["a", "b", ".", ".", "/", "/", " ", "한", "_", "-", "+", "="]
     paths = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 14))) for _ in range(5000)})
     df = spark.createDataFrame([(p,) for p in paths], "p string")
-    rows = df.select(
-        "p", P.file_name("p").alias("name"), P.file_id("p").alias("id"), P.folder_name("p").alias("folder"),
-        P.extension("p").alias("ext"), P.file_id_legacy("p").alias("lid"), P.folder_legacy("p").alias("lfolder"),
-        P.archive_dest("p").alias("dest"),
-    ).collect()
-    bad = []
+    rows = df.select("p", P.file_name("p").alias("name"), P.file_id("p").alias("id"), P.folder_name("p").alias("folder")).collect()
     for r in rows:
-        p = r.p
-        want = (posixpath.basename(p), py_file_id(p), py_folder(p), p.split(".")[-1], py_legacy_id(p),
-                py_legacy_folder(p), py_archive_dest(p))
-        got = (r.name, r.id, r.folder, r.ext, r.lid, r.lfolder, r.dest)
-        if got != want:
-            bad.append((p, got, want))
-    assert not bad[:5]
+        folder, name = posixpath.split(r.p)
+        assert (r.name, r.id, r.folder) == (name, posixpath.splitext(name)[0], posixpath.split(folder)[1]), r.p
