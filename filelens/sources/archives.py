@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import io
 import posixpath
+import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,31 +20,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filelens.functions import paths as P
-from filelens.session import ship_package
+from filelens.session import default_parallelism, ship_package
+from filelens.sources.files import hadoop_glob
 
 MEMBER_SCHEMA = "archive string, member string, length bigint, content binary"
 PACKED_SCHEMA = "path string, length bigint, content binary"
 DEFAULT_BATCH_BYTES = 64 << 20
+STAMP = (1980, 1, 1, 0, 0, 0)
+URI_SCHEME = re.compile(r"^file:/*(?=/)")
 
 
 def scan_archives(spark: SparkSession, root: str, pattern: str = "*.zip") -> DataFrame:
     """Archives directly inside ``root`` as ``(path, length, content)``.
 
-    The listing is the one-level glob ``root/<pattern>`` (nothing below it
-    is listed); the content column is read lazily, one file per row.  A
-    folder without archives gives an empty table.
+    ``root`` is a folder, taken literally; the content column is read lazily,
+    one file per row.  A folder without archives gives an empty table, one
+    that does not exist raises.
     """
-    from pyspark.errors import AnalysisException
-
     base = root.rstrip("/")
-    try:
-        df = spark.read.format("binaryFile").load(f"{base}/{pattern}")
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc):
-            raise
-        return spark.createDataFrame([], PACKED_SCHEMA)
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    df = reader.load(hadoop_glob(base, literal=True))  # a folder that does not exist is an error
     df = df.select(P.strip_uri("path").alias("path"), F.col("length").cast("bigint").alias("length"), "content")
-    return df.filter(F.col("path").rlike("^" + P.glob_to_regex(base) + "/[^/]+$"))
+    plain = URI_SCHEME.sub("", base)
+    return df.filter(F.col("path").startswith(plain + "/") & (F.instr(F.substring("path", len(plain) + 2, 1 << 20), "/") == 0))
 
 
 def _unsafe(name: str) -> bool:
@@ -50,6 +50,25 @@ def _unsafe(name: str) -> bool:
     return name.startswith("/") or ".." in parts
 
 
+def _content(zf: zipfile.ZipFile, info: zipfile.ZipInfo, archive: str, record: bool) -> tuple[bytes | None, str | None]:
+    """A member's bytes, or why there are none (raised unless ``record``)."""
+    if _unsafe(info.filename):
+        if not record:
+            raise ValueError(f"unsafe member name {info.filename!r} in {archive}")
+        return None, "unsafe member name"
+    try:
+        return zf.read(info), None
+    except (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError) as exc:
+        if not record:
+            raise ValueError(f"cannot read member {info.filename!r} in {archive}: {exc}") from exc
+        return None, f"bad member: {exc}"
+
+
+def _frame(rows: list[tuple], cols: list[str]) -> pd.DataFrame:
+    pdf = pd.DataFrame(rows, columns=cols)
+    return pdf.assign(length=pd.array([None if pd.isna(n) else int(n) for n in pdf["length"]], "Int64"))
+
+
 def expand_archives(archives: DataFrame, path: str = "path", content: str = "content",
                     batch_bytes: int = DEFAULT_BATCH_BYTES, num_partitions: int | None = None,
                     errors: str = "raise") -> DataFrame:
@@ -57,13 +76,15 @@ def expand_archives(archives: DataFrame, path: str = "path", content: str = "con
 
     Directory entries are skipped.  A member name that is absolute or climbs
     with ``..`` raises, since a consumer writing ``dest/member`` would leave
-    ``dest``.  ``dest`` is the archive path minus its suffix.
+    ``dest``; so does a member that cannot be read.  ``dest`` is the archive
+    path minus its suffix.
 
-    ``errors="record"`` keeps going past an unreadable archive: it yields
-    one row for it with null member fields and the reason in an extra
-    ``error`` column, so no input disappears silently.
+    ``errors="record"`` keeps going: an unreadable archive gives one row with
+    null member fields, an unsafe or unreadable member one row with its name
+    and null content, each with the reason in an extra ``error`` column, so no
+    input disappears silently.
 
-    ``num_partitions`` spreads the archive rows round-robin first - useful
+    ``num_partitions`` spreads the archive rows by hash of the path first - useful
     when the archives were produced by few tasks; a ``binaryFile`` scan of
     large archives already gives each its own task.
 
@@ -77,37 +98,38 @@ def expand_archives(archives: DataFrame, path: str = "path", content: str = "con
     record = errors == "record"
     cols = ["archive", "member", "length", "content"] + (["error"] if record else [])
 
+    def rows_of(archive: str, blob: bytes) -> Iterator[tuple]:
+        try:
+            zf = zipfile.ZipFile(io.BytesIO(blob))
+        except zipfile.BadZipFile as exc:
+            if not record:
+                raise ValueError(f"not a zip archive: {archive}") from exc
+            yield archive, None, None, None, f"bad zip: {exc}"
+            return
+        with zf:
+            for info in zf.infolist():
+                if not info.is_dir():
+                    data, error = _content(zf, info, archive, record)
+                    yield archive, info.filename, None if data is None else len(data), data, error
+
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows: list[tuple] = []
             size = 0
             for archive, blob in zip(pdf[path], pdf[content]):
-                try:
-                    zf = zipfile.ZipFile(io.BytesIO(blob))
-                except zipfile.BadZipFile as exc:
-                    if not record:
-                        raise ValueError(f"not a zip archive: {archive}") from exc
-                    rows.append((archive, None, None, None, f"bad zip: {exc}"))
-                    continue
-                with zf:
-                    for info in zf.infolist():
-                        if info.is_dir():
-                            continue
-                        if _unsafe(info.filename):
-                            raise ValueError(f"unsafe member name {info.filename!r} in {archive}")
-                        data = zf.read(info)
-                        rows.append((archive, info.filename, len(data), data) + ((None,) if record else ()))
-                        size += len(data)
-                        if size >= batch_bytes:
-                            yield pd.DataFrame(rows, columns=cols)
-                            rows, size = [], 0
+                for row in rows_of(archive, blob):
+                    rows.append(row[: len(cols)])
+                    size += row[2] or 0
+                    if size >= batch_bytes:
+                        yield _frame(rows, cols)
+                        rows, size = [], 0
             if rows:
-                yield pd.DataFrame(rows, columns=cols)
+                yield _frame(rows, cols)
 
     ship_package(archives.sparkSession)
     source = archives.select(path, content)
     if num_partitions:
-        source = source.repartition(num_partitions)
+        source = source.repartition(num_partitions, path)
     schema = MEMBER_SCHEMA + (", error string" if record else "")
     members = source.mapInPandas(expand, schema)
     extra = ["error"] if record else []
@@ -134,6 +156,7 @@ def pack_archives(members: DataFrame, archive: str = "archive", member: str = "m
         ctx = TaskContext.get()
         task = ctx.partitionId() if ctx else 0
         seq: dict[str, int] = {}
+        method = zipfile.ZIP_DEFLATED if compress_level > 0 else zipfile.ZIP_STORED
         open_parts: dict[str, tuple[io.BytesIO, zipfile.ZipFile, int]] = {}
 
         def close(name: str) -> pd.DataFrame:
@@ -152,11 +175,11 @@ def pack_archives(members: DataFrame, archive: str = "archive", member: str = "m
                     yield close(next(iter(open_parts)))
                 if name not in open_parts:
                     buf = io.BytesIO()
-                    method = zipfile.ZIP_DEFLATED if compress_level > 0 else zipfile.ZIP_STORED
                     zf = zipfile.ZipFile(buf, "w", method, compresslevel=compress_level or None)
                     open_parts[name] = (buf, zf, 0)
                 buf, zf, size = open_parts[name]
-                zf.writestr(mem, bytes(data))
+                # one fixed time stamp: the same rows always give the same bytes
+                zf.writestr(zipfile.ZipInfo(mem, STAMP), bytes(data), method, compress_level or None)
                 size += len(data)
                 open_parts[name] = (buf, zf, size)
                 if size >= max_bytes:
@@ -178,49 +201,50 @@ def expand_archive_files(spark: SparkSession, root: str, pattern: str = "*.zip",
                          batch_bytes: int = DEFAULT_BATCH_BYTES) -> DataFrame:
     """Members of the archives directly inside ``root``, read by path.
 
-    For archives on a mount every executor sees.  Stage 1 opens each
-    archive and reads only its central directory, giving one row per member;
-    the member rows are spread round-robin; stage 2 reads each task's
-    members, opening every archive once per task.  One archive holding a
-    large share of the data is thus read by many tasks, and memory is bound
-    by the largest member rather than by the archive (no 2 GB row limit).
-    Same output as :func:`expand_archives`.
+    For archives on a mount every executor sees.  Stage 1 opens each archive
+    and reads only its central directory, giving one row per member; these
+    rows, not the content, are spread by hash; stage 2 reads each task's
+    members in archive order, opening every archive once per task.  A member
+    is known by its place in the directory, so equal names keep their own
+    content.  One archive holding a large share of the data is thus read by
+    many tasks, and memory is bound by the largest member rather than by the
+    archive (no 2 GB row limit).  Same output as :func:`expand_archives`.
     """
-    from filelens.session import default_parallelism
-
     ship_package(spark)
     n = num_partitions or default_parallelism(spark)
     listed = scan_archives(spark, root, pattern).select("path")
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows: list[tuple[str, str, int]] = []
+            rows: list[tuple[str, int]] = []
             for archive in pdf["path"]:
                 with zipfile.ZipFile(archive) as zf:
-                    for info in zf.infolist():
-                        if info.is_dir():
-                            continue
-                        if _unsafe(info.filename):
-                            raise ValueError(f"unsafe member name {info.filename!r} in {archive}")
-                        rows.append((archive, info.filename, info.file_size))
-            yield pd.DataFrame(rows, columns=["archive", "member", "size"])
+                    rows += [(archive, i) for i, info in enumerate(zf.infolist()) if not info.is_dir()]
+            yield pd.DataFrame(rows, columns=["archive", "entry"])
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols = ["archive", "member", "length", "content"]
+        zf = name = None
         for pdf in batches:
-            out: list[tuple[str, str, int, bytes]] = []
+            out: list[tuple] = []
             size = 0
-            for archive, group in pdf.groupby("archive", sort=False):
-                with zipfile.ZipFile(archive) as zf:
-                    for name in group["member"]:
-                        data = zf.read(name)
-                        out.append((archive, name, len(data), data))
-                        size += len(data)
-                        if size >= batch_bytes:
-                            yield pd.DataFrame(out, columns=["archive", "member", "length", "content"])
-                            out, size = [], 0
+            for archive, entry in zip(pdf["archive"], pdf["entry"]):
+                if archive != name:
+                    if zf is not None:
+                        zf.close()
+                    zf, name = zipfile.ZipFile(archive), archive
+                info = zf.infolist()[entry]
+                data, _ = _content(zf, info, archive, record=False)
+                out.append((archive, info.filename, len(data), data))
+                size += len(data)
+                if size >= batch_bytes:
+                    yield _frame(out, cols)
+                    out, size = [], 0
             if out:
-                yield pd.DataFrame(out, columns=["archive", "member", "length", "content"])
+                yield _frame(out, cols)
+        if zf is not None:
+            zf.close()
 
-    member_rows = listed.mapInPandas(members, "archive string, member string, size bigint").repartition(n)
-    got = member_rows.mapInPandas(read, MEMBER_SCHEMA)
+    rows = listed.mapInPandas(members, "archive string, entry bigint").repartition(n, "archive", "entry")
+    got = rows.sortWithinPartitions("archive", "entry").mapInPandas(read, MEMBER_SCHEMA)
     return got.select("archive", P.archive_dest("archive").alias("dest"), "member", "length", "content")

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import io
 import os
+import warnings
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from filelens.operators import batches, constraints
 from filelens.operators.catalogue import file_catalogue
@@ -171,3 +173,45 @@ def test_type_counts_with_a_hot_group(spark):
     assert hot.n_files == 1000 and hot.png_count == 500 and hot.json_count == 500
     assert hot.total_bytes == sum(range(0, 3000, 3))
     assert sum(r.n_files for r in rows.values()) == 3000
+
+
+def _zip(members, corrupt=None):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_STORED) as zf, warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        for name, data in members:
+            zf.writestr(name, data)
+    blob = buf.getvalue()
+    return blob.replace(corrupt, b"#" * len(corrupt), 1) if corrupt else blob
+
+
+def test_bad_members_are_recorded_and_the_rest_is_kept(spark):
+    rows = [("/a/crc.zip", _zip([("x", b"good data"), ("y", b"bad-bytes")], corrupt=b"bad-bytes")),
+            ("/a/unsafe.zip", _zip([("../up", b"u"), ("ok", b"k")])), ("/a/none.zip", b"no zip")]
+    df = spark.createDataFrame(rows, "path string, content binary")
+    got = {(r.archive, r.member): (r.length, r.error) for r in archives.expand_archives(df, errors="record").collect()}
+    assert got[("/a/crc.zip", "x")] == (9, None) and got[("/a/unsafe.zip", "ok")] == (1, None)
+    assert got[("/a/crc.zip", "y")][0] is None and "CRC" in got[("/a/crc.zip", "y")][1]
+    assert got[("/a/unsafe.zip", "../up")] == (None, "unsafe member name") and "bad zip" in got[("/a/none.zip", None)][1]
+    for path, _ in rows:
+        with pytest.raises(Exception, match="cannot read member|unsafe member|not a zip"):
+            archives.expand_archives(df.where(F.col("path") == path)).collect()
+
+
+def test_members_of_equal_name_keep_their_content(spark, tmp_path):
+    (tmp_path / "dup.zip").write_bytes(_zip([("m", b"12345"), ("m", b"1234567"), ("d/", b"")]))
+    by_path = archives.expand_archive_files(spark, str(tmp_path)).collect()
+    by_rows = archives.expand_archives(archives.scan_archives(spark, str(tmp_path))).collect()
+    assert sorted(bytes(r.content) for r in by_path) == sorted(bytes(r.content) for r in by_rows) == [b"12345", b"1234567"]
+
+
+def test_packed_bytes_are_the_same_on_every_run(spark):
+    df = spark.createDataFrame([("a.zip", f"m{i}", b"x" * i) for i in range(5)], "archive string, member string, content binary").coalesce(1)
+    first, second = (archives.pack_archives(df).first().content for _ in range(2))
+    assert bytes(first) == bytes(second)
+
+
+def test_a_missing_archive_folder_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)not_found|does not exist"):
+        archives.scan_archives(spark, str(tmp_path / "none"))
+    assert archives.scan_archives(spark, str(tmp_path)).count() == 0
