@@ -33,7 +33,7 @@ def image_label_table(spark: SparkSession, image_glob: str, label_glob: str,
     """Image folders one level deep + one JSON label per image -> the joined
     table (file_id dropped) and its count/bytes report; saved if ``table``."""
     files = catalogue_files(spark, image_glob, rule="one_level")
-    joined = label_catalogue(files, read_labels(spark, label_glob, mode="FAILFAST"), broadcast_max_rows=500_000)
+    joined = label_catalogue(files, read_labels(spark, label_glob))
     if table:
         save_table(joined, table)
     return joined, type_counts(joined, BUCKETS_A3, size="file_size")

@@ -66,22 +66,20 @@ def flatten(df: DataFrame, sep: str = "_", depth: int | None = None, case_sensit
     return df.select(*[nested_field(path).alias(name) for name, path in leaves])
 
 
-def flatten_map(df: DataFrame, column: str, keys: list[str] | None = None, sep: str = "_",
-                max_keys: int = 1000) -> DataFrame:
+def map_keys(df: DataFrame, column: str) -> list[str]:
+    """All keys of a map column, sorted: a job of its own over the whole
+    column.  They become column names, so the list is as wide as the table
+    that is made of it."""
+    keys = df.select(F.explode(F.map_keys(F.col(f"`{column}`"))).alias("k")).distinct()
+    return sorted(str(r.k) for r in keys.collect())
+
+
+def flatten_map(df: DataFrame, column: str, keys: list[str], sep: str = "_") -> DataFrame:
     """Turn a map column into one column per key (``m{k}`` -> ``m_k``).
 
-    Map keys vary by row, so the output columns come from ``keys`` when
-    given; otherwise the distinct keys are found by a distributed
-    ``explode(map_keys)`` + ``distinct`` job, and more than ``max_keys`` of
-    them raises instead of silently keeping a subset.  Rows without a key
-    get null in its column.
+    Map keys vary by row, so the output columns are named by ``keys``
+    (:func:`map_keys` finds them).  Rows without a key get null in its column.
     """
-    if keys is None:
-        found = (df.select(F.explode(F.map_keys(F.col(f"`{column}`"))).alias("k")).distinct()
-                 .limit(max_keys + 1).collect())
-        if len(found) > max_keys:
-            raise ValueError(f"map column {column!r} has more than {max_keys} distinct keys; pass keys=")
-        keys = sorted(str(r.k) for r in found)
     others = [F.col(f"`{c}`") for c in df.columns if c != column]
     taken = set(df.columns) - {column}
     new_cols = []

@@ -17,7 +17,8 @@ def format_bytes(size: Column | str) -> Column:
 
     Division by a power of two is exact in binary floating point, so one
     division by ``STEP**k`` equals k repeated divisions.  Sizes beyond the
-    last unit give null (the loop it mirrors has no label for them).
+    last unit (over 1024 TB) have no label and give null; the byte total stands
+    beside it in every report.
     """
     n = F.col(size) if isinstance(size, str) else size
     expr = F.when(n <= STEP, F.concat(n.cast("bigint").cast("string"), F.lit(" B")))

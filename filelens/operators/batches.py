@@ -58,7 +58,7 @@ def assign_batches(df: DataFrame, order_by: Sequence[str], size: int, batch_col:
     if size <= 0:
         raise ValueError("size must be positive")
     indexed = global_row_index(df, order_by, index_col, num_partitions=num_partitions)
-    return indexed.withColumn(batch_col, F.floor(F.col(index_col) / F.lit(size)).cast("bigint"))
+    return indexed.withColumn(batch_col, F.expr(f"`{index_col}` div {size}"))
 
 
 def preview(df: DataFrame, n: int, order_by: Sequence[str] | None = None, ascending: bool = True) -> DataFrame:

@@ -104,33 +104,17 @@ def _check_key_types(left: DataFrame, right: DataFrame, key: str) -> None:
         )
 
 
-def labels_fit(labels: DataFrame, max_rows: int) -> bool:
-    """True when ``labels`` has at most ``max_rows`` rows.
-
-    Counts at most ``max_rows + 1`` rows (a ``limit`` before the count), so
-    the check stops early on a large table.
-    """
-    return labels.limit(max_rows + 1).count() <= max_rows
-
-
-def join_labels(files: DataFrame, labels: DataFrame, key: str = "file_id", drop_key: bool = True,
-                broadcast_max_rows: int | None = None) -> DataFrame:
+def join_labels(files: DataFrame, labels: DataFrame, key: str = "file_id", drop_key: bool = True) -> DataFrame:
     """Inner equi-join of files and labels; many-to-many multiplicity kept.
 
-    With ``broadcast_max_rows`` the labels side is broadcast only after a
-    measured check that it has at most that many rows (label rows have a
-    fixed, declared width, so this bounds its bytes); beyond it the join is
-    pinned to a sort-merge join (``shuffle_merge`` hint), whose skewed key
-    partitions AQE splits.  Without it the
-    planner decides from its size estimate (``autoBroadcastJoinThreshold``).
-    Key types must agree up front, so a numeric JSON id never turns into an
-    implicit cast of the path-derived side.
+    The planner chooses: a side is broadcast only below
+    ``spark.sql.autoBroadcastJoinThreshold``, by the sizes that the scans, or
+    with adaptive execution the shuffles, report; otherwise it is a sort-merge
+    join whose skewed partitions are split.  Key types must agree up front, so
+    a numeric JSON id never turns into an implicit cast of the path-derived
+    side.
     """
     _check_key_types(files, labels, key)
-    if broadcast_max_rows is not None:
-        # measured: broadcast when it fits; otherwise forbid a broadcast the
-        # planner might pick from a compressed-size estimate
-        labels = F.broadcast(labels) if labels_fit(labels, broadcast_max_rows) else labels.hint("shuffle_merge")
     joined = files.join(labels, on=key, how="inner")
     return joined.drop(key) if drop_key else joined
 
@@ -159,12 +143,21 @@ def flag_quality(labels: DataFrame, rules: Sequence[tuple[str, str, str, float]]
     return out
 
 
+def legacy_columns(paths: DataFrame, path: str = "full_path", size: str = "file_size") -> DataFrame:
+    """Catalogue with the older keys: ``full_path, file_id, folder, file_name,
+    file_size`` by :func:`~filelens.functions.paths.file_id_legacy` and
+    :func:`~filelens.functions.paths.folder_legacy`."""
+    p = F.col(path)
+    return paths.select(p.alias("full_path"), P.file_id_legacy(p).alias("file_id"), P.folder_legacy(p).alias("folder"),
+                        P.file_name(p).alias("file_name"), F.col(size).cast("bigint").alias("file_size"))
+
+
 def label_catalogue(files: DataFrame, labels: DataFrame,
-                    fields: Sequence[tuple[str, str]] = LABEL_FIELDS,
-                    broadcast_max_rows: int | None = None) -> DataFrame:
-    """Files joined to selected label fields, join key dropped."""
-    return join_labels(files, select_label_fields(labels, fields), key=fields[0][1], drop_key=True,
-                       broadcast_max_rows=broadcast_max_rows)
+                    fields: Sequence[tuple[str, str]] = LABEL_FIELDS) -> DataFrame:
+    """Files joined to selected label fields, join key dropped.  ``files`` is a
+    catalogue with the current keys (:func:`file_catalogue`) or the older ones
+    (:func:`legacy_columns`); its columns come first."""
+    return join_labels(files, select_label_fields(labels, fields), key=fields[0][1], drop_key=True)
 
 
 def union_labels(frames: Sequence[DataFrame]) -> DataFrame:

@@ -79,9 +79,19 @@ def parquet_to_table(spark: SparkSession, path: str, name: str, mode: str = "ove
     return save_table(spark.read.parquet(path), name, mode=mode, path=location)
 
 
-# The target-table DDL of the catalogue, as database column types.
+# The catalogue's target table in a database, and the same
+# columns as a Spark table (which has no keys: check_constraints tells).
+CATALOGUE_DDL = (
+    "full_path TEXT NOT NULL, file_id VARCHAR(20) PRIMARY KEY, file_name VARCHAR(255) NOT NULL, "
+    "folder_name VARCHAR(255) NOT NULL, file_size BIGINT NOT NULL"
+)
+CATALOGUE_SPARK_DDL = (
+    "full_path STRING NOT NULL, file_id VARCHAR(20) NOT NULL, file_name VARCHAR(255) NOT NULL, "
+    "folder_name VARCHAR(255) NOT NULL, file_size BIGINT NOT NULL"
+)
+# Column types for a table that Spark creates through JDBC.
 CATALOGUE_JDBC_TYPES = (
-    "full_path VARCHAR(4096), file_id VARCHAR(20), file_name VARCHAR(255), "
+    "full_path TEXT, file_id VARCHAR(20), file_name VARCHAR(255), "
     "folder_name VARCHAR(255), file_size BIGINT"
 )
 

@@ -31,14 +31,14 @@ SPARK_JSON_CHARSETS = ("iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le
 
 
 def read_labels(spark: SparkSession, paths: str | Sequence[str], schema: str | T.StructType = LABEL_DDL,
-                multi_line: bool = True, mode: str = "PERMISSIVE", corrupt_column: str | None = None,
+                multi_line: bool = True, mode: str | None = None, corrupt_column: str | None = None,
                 with_path: bool = False, pattern: str | None = None, recursive: bool = False,
                 encoding: str | None = None) -> DataFrame:
     """Read many JSON files in one job (one document per file by default).
 
-    ``mode="FAILFAST"`` stops at the first malformed file; the default
-    keeps going and leaves nulls, and ``corrupt_column`` keeps the raw text
-    of bad records.  ``with_path`` adds ``label_path`` (the file read).
+    The default stops at the first malformed file.  ``corrupt_column`` keeps
+    going instead (``mode="PERMISSIVE"``, which needs it) and holds the raw
+    text of bad records, so none of them turns into a row of nulls unseen.  ``with_path`` adds ``label_path`` (the file read).
     ``pattern`` (e.g. ``"*.json"``) and ``recursive`` select label files in
     nested folders mixed with other files; both act in the listing.
     ``encoding`` reads files that are not UTF-8.  The charsets Spark's JSON
@@ -46,8 +46,11 @@ def read_labels(spark: SparkSession, paths: str | Sequence[str], schema: str | T
     Korean label files) is decoded from the raw bytes by a vectorized UDF,
     one document per file, then parsed with the same schema.
     """
+    mode = mode or ("PERMISSIVE" if corrupt_column else "FAILFAST")
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    if mode == "PERMISSIVE" and not corrupt_column:
+        raise ValueError("PERMISSIVE needs corrupt_column, to keep what could not be read")
     if encoding and encoding.lower().replace("_", "-") not in SPARK_JSON_CHARSETS:
         return _read_labels_decoded(spark, paths, schema, encoding, mode, pattern, recursive, with_path,
                                     corrupt_column)

@@ -36,7 +36,7 @@ def test_image_label_table(spark, tmp_path):
 
     files = catalogue_files(spark, str(root / "image" / "TS*"), rule="one_level")
     labels = read_labels(spark, str(root / "label_data" / "*.json"), mode="FAILFAST")
-    table = label_catalogue(files, labels, broadcast_max_rows=1000)
+    table = label_catalogue(files, labels)
     name = save_table(table, unique_table_name("tb_meta_info"), path=scratch_path(spark, "tb"))
     back = read_table(spark, name)
 

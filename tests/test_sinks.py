@@ -3,6 +3,8 @@ from __future__ import annotations
 import glob
 import os
 
+import pytest
+
 from filelens.session import local_dir, scratch_path
 from filelens.sinks import tables as K
 from filelens.sources import tables as S
@@ -45,11 +47,13 @@ def test_save_table_and_list(spark):
 
 def test_create_table_ddl(spark):
     db = _database(spark)
-    K.create_table(spark, f"{db}.file_data", K.CATALOGUE_JDBC_TYPES.replace("VARCHAR(4096)", "STRING")
-                   .replace("VARCHAR(20)", "STRING").replace("VARCHAR(255)", "STRING"),
-                   location=scratch_path(spark, "ddl"))
-    assert spark.table(f"{db}.file_data").columns == ["full_path", "file_id", "file_name", "folder_name",
-                                                       "file_size"]
+    name = K.create_table(spark, f"{db}.file_data", K.CATALOGUE_SPARK_DDL, location=scratch_path(spark, "ddl"))
+    assert spark.table(name).columns == ["full_path", "file_id", "file_name", "folder_name", "file_size"]
+    spark.createDataFrame([("/a/b.png", "b", "b.png", "a", 1)], spark.table(name).schema).write.insertInto(name)
+    assert spark.table(name).count() == 1
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):  # VARCHAR(20) is enforced
+        spark.sql(f"INSERT INTO {name} VALUES ('/a', '{'x' * 21}', 'n', 'f', 1)")
+    assert "PRIMARY KEY" in K.CATALOGUE_DDL and K.CATALOGUE_DDL.count("NOT NULL") == 4
 
 
 def test_jdbc_options():
