@@ -21,6 +21,17 @@ SELECT {PATH} AS full_path, {FILE_ID} AS file_id, {FILE_NAME} AS file_name,
 FROM documents"""
 
 
+# ``doc_id % 8`` -> place, as in filelens.plans.testdata.TREE_PLACES.
+TREE = """
+SELECT doc_id, source, lang, CAST(n_chars AS BIGINT) AS file_size, '/data/' || source || CASE doc_id % 8
+    WHEN 0 THEN '-' || doc_id || '.zip' WHEN 1 THEN '-' || doc_id || '.png'
+    WHEN 2 THEN '/' || lang || '/in_' || doc_id || '.zip' WHEN 3 THEN '/' || lang || '/.dot_' || doc_id || '.json'
+    WHEN 4 THEN '.zip/' || lang || '/doc_' || doc_id || '.csv'
+    WHEN 5 THEN '/' || lang || '/two' || chr(10) || 'lines_' || doc_id || '.csv'
+    ELSE '/' || lang || '/doc_' || doc_id || '.txt' END AS full_path
+FROM documents"""
+
+
 def _fmt(n: str) -> str:
     """format_bytes in SQL: strict '>' steps of 1024, B as integer text."""
     parts = [f"WHEN {n} <= 1024 THEN CAST({n} AS VARCHAR) || ' B'"]
@@ -69,8 +80,6 @@ A3 = A1[:2]
 
 LONG_TYPES = [("jpg", 1), ("jpeg", 2), ("png", 0), ("csv", 3), ("json", 4)]
 
-ORDERS_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
-
 LI_EXT = ("CASE (l_orderkey + l_linenumber) % 6 WHEN 0 THEN 'png' WHEN 1 THEN 'jpg' WHEN 2 THEN 'jpeg' "
           "WHEN 3 THEN 'csv' WHEN 4 THEN 'json' ELSE 'tar.gz' END")
 LI_STEM = ("'part_' || CAST(l_partkey AS VARCHAR) || '_' || CAST(l_orderkey AS VARCHAR) || '_' "
@@ -109,14 +118,13 @@ FROM documents""",
 SELECT {PATH} AS full_path, {EXT} AS extension, CAST(n_chars AS BIGINT) AS file_size
 FROM documents WHERE doc_id % 6 <> 5""",
     "subdir_rule": f"""
-SELECT {PATH} AS full_path, CAST(n_chars AS BIGINT) AS file_size, CAST(5 AS BIGINT) AS depth
-FROM documents WHERE source LIKE 'src1%'""",
+SELECT full_path, file_size, CAST(5 AS BIGINT) AS depth FROM ({TREE})
+WHERE source LIKE 'src1%' AND doc_id % 8 IN (2, 3, 5, 6, 7)""",
     "one_level_rule": f"""
-SELECT {PATH} AS full_path, CAST(n_chars AS BIGINT) AS file_size, CAST(5 AS BIGINT) AS depth
-FROM documents WHERE source LIKE 'src1%' AND lang LIKE 'e%'""",
+SELECT full_path, file_size, CAST(5 AS BIGINT) AS depth FROM ({TREE})
+WHERE source LIKE 'src1%' AND lang LIKE 'e%' AND doc_id % 8 IN (2, 4, 5, 6, 7)""",
     "no_zip_rule": f"""
-SELECT {PATH} AS full_path, CAST(n_chars AS BIGINT) AS file_size
-FROM documents WHERE source = 'src3'""",
+SELECT full_path, file_size FROM ({TREE}) WHERE doc_id % 8 NOT IN (0, 2)""",
     "type_counts_a1": _type_counts(A1, "doc_id % 6 = 5", with_size=False),
     "type_counts_a2": _type_counts(A2, "doc_id % 6 IN (4, 5)", with_size=True),
     "type_counts_a3": _type_counts(A3, "doc_id % 6 IN (3, 4, 5)", with_size=True),
@@ -169,12 +177,19 @@ SELECT {PATH} AS full_path, {FILE_NAME} AS file_name, d.lang AS folder_name,
        p.p_retailprice / 250.0::DOUBLE AS "안전성", CAST(p.p_size AS DOUBLE) AS "잔입자_통과량",
        p.p_brand AS target_data
 FROM documents d JOIN part p ON {FILE_ID} = 'doc_' || CAST(p.p_partkey AS VARCHAR)""",
+    "legacy_label_catalogue": f"""
+SELECT '/data/' || source || '/' || lang || '/scan.doc_' || CAST(doc_id AS VARCHAR) || '.' || {EXT} AS full_path,
+       NULL::VARCHAR AS folder, 'scan.doc_' || CAST(doc_id AS VARCHAR) || '.' || {EXT} AS file_name,
+       CAST(d.n_chars AS BIGINT) AS file_size,
+       CAST(p.p_size AS BIGINT) AS width, CAST(p.p_size * 2 AS BIGINT) AS height,
+       p.p_retailprice / 500.0::DOUBLE AS "밀도", p.p_size / 10.0::DOUBLE AS "흡수율",
+       p.p_retailprice / 250.0::DOUBLE AS "안전성", CAST(p.p_size AS DOUBLE) AS "잔입자_통과량",
+       p.p_brand AS target_data
+FROM documents d JOIN part p ON d.doc_id = p.p_partkey WHERE doc_id % 6 <> 5""",
     "union_labels": """
-SELECT event_id, user_id, value FROM events WHERE event_type = 'click'
-UNION ALL BY NAME
-SELECT event_id, props FROM events WHERE event_type = 'view'
-UNION ALL BY NAME
-SELECT event_id, event_type, user_id FROM events WHERE event_type NOT IN ('click', 'view')""",
+SELECT doc_id, quality, toxic FROM labels
+UNION ALL BY NAME SELECT p_partkey AS doc_id, p_brand AS result FROM part
+UNION ALL BY NAME SELECT conv_id AS doc_id, turn, role AS result FROM conversations""",
     "catalogue_datasets": f"""
 WITH s AS (
   SELECT 'documents' AS dataset, count(*) AS n_rows, CAST(sum(n_chars) AS BIGINT) AS total_bytes FROM documents
@@ -188,29 +203,36 @@ SELECT full_path, file_size, row_number() OVER (ORDER BY full_path) - 1 AS row_i
 FROM f""",
     "preview_top": f"""
 SELECT * FROM ({DOC_CATALOGUE}) ORDER BY file_size DESC, full_path DESC LIMIT 10""",
-    "check_constraints": f"""
-WITH c AS ({_url_catalogue()}),
-g AS (
-  SELECT file_id, count(*) AS pk,
-         count(*) FILTER (WHERE length(file_id) > 20) AS kl,
-         count(*) FILTER (WHERE length(file_name) > 255) AS nl,
-         count(*) FILTER (WHERE length(folder_name) > 255) AS fl,
-         count(*) FILTER (WHERE full_path IS NULL OR file_id IS NULL OR file_name IS NULL
-                          OR folder_name IS NULL OR file_size IS NULL) AS nn
-  FROM c GROUP BY file_id)
-SELECT 'primary_key' AS violation, file_id, pk AS n_rows FROM g WHERE pk > 1
-UNION ALL SELECT 'key_length', file_id, kl FROM g WHERE kl > 0
-UNION ALL SELECT 'file_name_length', file_id, nl FROM g WHERE nl > 0
-UNION ALL SELECT 'folder_name_length', file_id, fl FROM g WHERE fl > 0
-UNION ALL SELECT 'not_null', file_id, nn FROM g WHERE nn > 0""",
+    "check_constraints": """
+SELECT 'primary_key' AS violation, 'same' AS file_id, count(*) AS n_rows FROM pages WHERE page_id % 5 = 0 HAVING count(*) > 1
+UNION ALL SELECT 'key_length', 'a_very_long_page_identifier_' || page_id, count(*) FROM pages WHERE page_id % 5 = 1 GROUP BY ALL
+UNION ALL SELECT 'key_length', page_id || repeat('n', 260), count(*) FROM pages WHERE page_id % 5 = 2 GROUP BY ALL
+UNION ALL SELECT 'file_name_length', page_id || repeat('n', 260), count(*) FROM pages WHERE page_id % 5 = 2 GROUP BY ALL
+UNION ALL SELECT 'folder_name_length', CAST(page_id AS VARCHAR), count(*) FROM pages WHERE page_id % 5 = 3 GROUP BY ALL
+UNION ALL SELECT 'not_null', CAST(page_id AS VARCHAR), count(*) FROM pages WHERE page_id % 5 = 4 GROUP BY ALL""",
     "expand_archives": """
 SELECT source, lang || '/doc_' || CAST(doc_id AS VARCHAR) || '.txt' AS member,
        CAST(strlen(text) AS BIGINT) AS length, md5(text) AS content_md5
 FROM documents""",
-    "table_roundtrip": f"SELECT {ORDERS_COLS} FROM orders",
-    "parquet_gzip_roundtrip": f"SELECT {ORDERS_COLS} FROM orders",
+    "table_roundtrip": "SELECT * FROM orders",
+    "parquet_gzip_roundtrip": "SELECT * FROM orders",
+    "parquet_to_table": "SELECT * FROM orders",
+    "create_table": DOC_CATALOGUE,
     "json_records": DOC_CATALOGUE,
-    "partitioned_catalogue": f"SELECT *, 'pages' AS dataset FROM ({_url_catalogue()})",
+    "json_documents": """
+SELECT CAST(p_partkey AS VARCHAR) AS file_id, CAST(p_size AS BIGINT) AS width, CAST(p_size * 2 AS BIGINT) AS height,
+       p_retailprice / 500.0::DOUBLE AS "밀도", p_size / 10.0::DOUBLE AS "흡수율",
+       p_retailprice / 250.0::DOUBLE AS "안전성", CAST(p_size AS DOUBLE) AS "잔입자_통과량", p_brand AS target_data
+FROM part""",
+    "partitioned_catalogue": f"""
+SELECT *, 'documents' AS dataset FROM ({DOC_CATALOGUE})
+UNION ALL SELECT *, 'pages' FROM ({_url_catalogue()})
+UNION ALL SELECT '/conversations/' || conv_id || '/' || turn || '_' || role || '.txt', turn || '_' || role, turn || '_' || role || '.txt',
+       CAST(conv_id AS VARCHAR), CAST(strlen(text) AS BIGINT), 'conversations' FROM conversations""",
+    "list_tables": """
+SELECT 'filelens_catalogues' AS table_schema, 'documents_files' AS table_name, count(*) AS n_rows FROM documents
+UNION ALL SELECT 'filelens_catalogues', 'pages_files', count(*) FROM pages
+UNION ALL SELECT 'filelens_catalogues', 'conversations_files', count(*) FROM conversations""",
     "lineitem_catalogue": LI_CATALOGUE,
     "lineitem_type_counts": _li_type_counts(),
     "label_paths": f"""

@@ -25,10 +25,6 @@ from filelens.sources import files as scan
 from filelens.sources import labels as lbl
 from filelens.sources import tables as srcs
 
-# Label sides up to this many rows are broadcast after a measured check;
-# larger ones are joined by sort-merge with AQE skew splitting.
-LABEL_BROADCAST_MAX_ROWS = 500_000
-
 
 def _three_catalogues(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three datasets of the multi-dataset report, each as a catalogue."""
@@ -64,20 +60,17 @@ def q_extension_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_subdir_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = td.documents_as_files(spark, sf_dir)
-    picked = scan.apply_rule(files, "/data/src1*", rule="subdirs")
+    picked = scan.apply_rule(td.documents_as_tree(spark, sf_dir), "/data/src1*", rule="subdirs")
     return picked.select("full_path", "file_size", P.path_depth("full_path").alias("depth"))
 
 
 def q_one_level_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = td.documents_as_files(spark, sf_dir)
-    picked = scan.apply_rule(files, "/data/src1*/e*", rule="one_level")
+    picked = scan.apply_rule(td.documents_as_tree(spark, sf_dir), "/data/src1*/e*", rule="one_level")
     return picked.select("full_path", "file_size", P.path_depth("full_path").alias("depth"))
 
 
 def q_no_zip_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = td.documents_as_files(spark, sf_dir)
-    picked = scan.apply_rule(files, "/data/src3", rule="no_zip")
+    picked = scan.apply_rule(td.documents_as_tree(spark, sf_dir), "/data", rule="no_zip")
     return picked.select("full_path", "file_size")
 
 
@@ -133,7 +126,7 @@ def q_flatten_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A map-typed label column flattened into one column per key."""
     events = td.table(spark, sf_dir, "events").select("event_id", "props")
     parsed = lbl.parse_labels(events, "props", "map<string,bigint>")
-    return flatten_map(parsed, "props")
+    return flatten_map(parsed, "props", keys=["k"])
 
 
 def q_json_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,8 +145,7 @@ def q_select_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_label_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = catalogue.file_catalogue(td.documents_as_files(spark, sf_dir))
     labels = td.labels_as_documents(spark, sf_dir)
-    return catalogue.join_labels(files, labels, key="file_id", drop_key=True,
-                                 broadcast_max_rows=LABEL_BROADCAST_MAX_ROWS)
+    return catalogue.join_labels(files, labels, key="file_id", drop_key=True)
 
 
 def q_meta_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,16 +153,21 @@ def q_meta_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields, join key dropped."""
     files = catalogue.file_catalogue(td.documents_as_files(spark, sf_dir))
     labels = td.part_as_labels(spark, sf_dir, id_prefix="doc_")
-    return catalogue.label_catalogue(files, labels, broadcast_max_rows=LABEL_BROADCAST_MAX_ROWS)
+    return catalogue.label_catalogue(files, labels)
+
+
+def q_legacy_label_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The everyday label table: files by their older keys, joined to label fields."""
+    files = catalogue.legacy_columns(td.documents_as_files(spark, sf_dir, stem="scan.doc_"))
+    return catalogue.label_catalogue(files, td.part_as_labels(spark, sf_dir, id_prefix="doc_"))
 
 
 def q_union_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = td.table(spark, sf_dir, "events")
-    clicks = events.filter(F.col("event_type") == "click").select("event_id", "user_id", "value")
-    views = events.filter(F.col("event_type") == "view").select("event_id", "props")
-    others = events.filter(~F.col("event_type").isin("click", "view")).select(
-        "event_id", "event_type", "user_id")
-    return catalogue.union_labels([clicks, views, others])
+    """Three tables with different columns stacked by name."""
+    labels = td.table(spark, sf_dir, "labels")
+    parts = td.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.col("p_brand").alias("result"))
+    turns = td.table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), "turn", F.col("role").alias("result"))
+    return catalogue.union_labels([labels, parts, turns])
 
 
 def q_catalogue_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +186,7 @@ def q_preview_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_check_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return constraints.check_constraints(catalogue.file_catalogue(td.pages_as_files(spark, sf_dir)))
+    return constraints.check_constraints(catalogue.file_catalogue(td.pages_as_odd_files(spark, sf_dir)))
 
 
 def q_expand_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,17 +204,44 @@ def q_expand_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = td.table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    name = sinks.save_table(orders, sinks.unique_table_name("orders_copy"),
-                            path=scratch_path(spark, "orders-table"))
+    orders = td.table(spark, sf_dir, "orders")
+    name = sinks.save_table(orders, "filelens_orders_copy", path=scratch_path(spark, "orders-table"))
     return srcs.read_table(spark, name)
 
 
+def q_parquet_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Parquet folder loaded into a catalog table."""
+    path = sinks.write_parquet(td.table(spark, sf_dir, "orders"), scratch_path(spark, "orders-parquet"))
+    name = sinks.parquet_to_table(spark, path, "filelens_orders_loaded", location=scratch_path(spark, "orders-loaded"))
+    return srcs.read_table(spark, name)
+
+
+def q_create_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue's target table by its declared types, filled and read back."""
+    spark.sql("DROP TABLE IF EXISTS filelens_file_data")
+    name = sinks.create_table(spark, "filelens_file_data", sinks.CATALOGUE_SPARK_DDL, location=scratch_path(spark, "file-data"))
+    cat = catalogue.file_catalogue(td.documents_as_files(spark, sf_dir))
+    cat.write.insertInto(name)
+    return srcs.read_table(spark, name)
+
+
+def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label documents, several lines each, written and read back strictly
+    from a list of paths under the declared schema."""
+    nested = td.part_as_labels(spark, sf_dir)
+    body = F.to_json(F.struct(*nested.columns), {"pretty": "true"})
+    path = scratch_path(spark, "label-json")
+    # one array a file: the multi-line reader takes whole files
+    files = nested.select(body.alias("value"), F.pmod(F.xxhash64("id"), F.lit(max(8, default_parallelism(spark)))).alias("file"))
+    grouped = files.repartition("file").groupBy("file").agg(F.concat_ws(",\n", F.collect_list("value")).alias("value"))
+    grouped.select(F.concat(F.lit("["), "value", F.lit("]")).alias("value"), "file").write.partitionBy("file").text(path)
+    folders = scan.paths_to_df(spark, [path])
+    read = lbl.read_labels(spark, [r.full_path for r in folders.collect()], multi_line=True)
+    return catalogue.select_label_fields(read)
+
+
 def q_parquet_gzip_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = td.table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    path = sinks.write_parquet(orders, scratch_path(spark, "orders-gzip"), compression="gzip")
+    path = sinks.write_parquet(td.table(spark, sf_dir, "orders"), scratch_path(spark, "orders-gzip"), compression="gzip")
     return srcs.read_catalogue(spark, path)
 
 
@@ -237,12 +261,12 @@ def q_lineitem_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_partitioned_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the three catalogues partitioned by dataset, read one back: the
-    scan prunes the other datasets' folders (PartitionFilters)."""
+    """Write the three catalogues partitioned by dataset and read them back
+    by name (PartitionFilters prune what is not named)."""
     sets = _three_catalogues(spark, sf_dir)
     path = sinks.write_parquet(catalogue.catalogue_datasets(sets), scratch_path(spark, "catalogues"),
                                partition_by=["dataset"])
-    return srcs.read_catalogue(spark, path, datasets=["pages"])
+    return srcs.read_catalogue(spark, path, datasets=list(sets))
 
 
 def q_label_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,12 +275,18 @@ def q_label_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Save the three catalogues as tables of a fresh database, then list it."""
-    db = sinks.unique_table_name("filelens_catalogues")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, 'catalogues-db')}'")
+    """The three catalogues saved as tables of one database; the listing of
+    that database with the rows of each table."""
+    db = "filelens_catalogues"
+    spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'catalogues-db')}'")
+    names = []
     for name, cat in _three_catalogues(spark, sf_dir).items():
-        sinks.save_table(cat, f"{db}.{name}_files", path=scratch_path(spark, f"{name}-files"))
-    return srcs.list_tables(spark, db)
+        names.append(sinks.save_table(cat, f"{db}.{name}_files", path=scratch_path(spark, f"{name}-files")))
+    rows = [srcs.read_table(spark, n).groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(n.split(".")[1]).alias("table_name"), "n_rows") for n in names]
+    return srcs.list_tables(spark, db).join(catalogue.union_labels(rows), "table_name").select(
+        "table_schema", "table_name", "n_rows")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -281,6 +311,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "select_labels": q_select_labels,
     "label_catalogue": q_label_catalogue,
     "meta_info": q_meta_info,
+    "legacy_label_catalogue": q_legacy_label_catalogue,
     "union_labels": q_union_labels,
     "catalogue_datasets": q_catalogue_datasets,
     "assign_batches": q_assign_batches,
@@ -290,6 +321,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_roundtrip": q_table_roundtrip,
     "parquet_gzip_roundtrip": q_parquet_gzip_roundtrip,
     "json_records": q_json_records,
+    "json_documents": q_json_documents,
+    "parquet_to_table": q_parquet_to_table,
+    "create_table": q_create_table,
     "partitioned_catalogue": q_partitioned_catalogue,
     "label_paths": q_label_paths,
     "lineitem_catalogue": q_lineitem_catalogue,

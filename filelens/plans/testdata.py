@@ -9,11 +9,8 @@ the file size).  The same expressions are written in DuckDB SQL in
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Extension assigned to a document by ``doc_id % 6``, so the
 # type reports see every bucket (png, jpg, jpeg, csv, json, and tar.gz as etc).
@@ -22,23 +19,10 @@ DOC_ROOT = "/data"
 CONV_ROOT = "/conversations"
 
 
-# Parquet schemas read once per file version (path, mtime, size): later
-# plans over the same file skip the footer read entirely.
-_SCHEMAS: dict[tuple[str, float, int], T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table, read with its schema from the first read."""
+    """One driver table."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        st = os.stat(path)
-    except OSError:  # not a local file: let Spark resolve it
-        return spark.read.parquet(path)
-    key = (path, st.st_mtime, st.st_size)
-    schema = _SCHEMAS.get(key)
-    if schema is None:
-        schema = _SCHEMAS[key] = spark.read.parquet(path).schema
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.parquet(path)
 
 
 def doc_extension_sql(doc_id: str = "doc_id") -> str:
@@ -47,22 +31,58 @@ def doc_extension_sql(doc_id: str = "doc_id") -> str:
     return f"CASE pmod({doc_id}, {len(DOC_EXTENSIONS)}) {branches} END"
 
 
-def doc_path(source: str = "source", lang: str = "lang", doc_id: str = "doc_id") -> F.Column:
+def doc_path(source: str = "source", lang: str = "lang", doc_id: str = "doc_id", stem: str = "doc_") -> F.Column:
     """``/data/<source>/<lang>/doc_<id>.<ext>``."""
     return F.expr(
-        f"concat('{DOC_ROOT}/', {source}, '/', {lang}, '/doc_', CAST({doc_id} AS STRING), '.', "
+        f"concat('{DOC_ROOT}/', {source}, '/', {lang}, '/{stem}', CAST({doc_id} AS STRING), '.', "
         f"{doc_extension_sql(doc_id)})"
     )
 
 
-def documents_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents_as_files(spark: SparkSession, sf_dir: str, stem: str = "doc_") -> DataFrame:
     """Listing ``(full_path, file_size)`` over ``documents``; n_chars is the size.
 
     Only ``doc_id, source, lang, n_chars`` are read - the text column is
     pruned at the scan.
     """
     docs = table(spark, sf_dir, "documents")
-    return docs.select(doc_path().alias("full_path"), F.col("n_chars").cast("bigint").alias("file_size"))
+    return docs.select(doc_path(stem=stem).alias("full_path"), F.col("n_chars").cast("bigint").alias("file_size"))
+
+
+# Where a document lies in the listing tree, by ``doc_id % 8``:
+# an archive at the top, a loose file at the top, an archive two levels down,
+# a dot file, a file below an entry named like an archive, a file whose name
+# has a line end; the others lie at /data/<source>/<lang>/.
+TREE_PLACES = {
+    0: "concat('/data/', source, '-', doc_id, '.zip')",
+    1: "concat('/data/', source, '-', doc_id, '.png')",
+    2: "concat('/data/', source, '/', lang, '/in_', doc_id, '.zip')",
+    3: "concat('/data/', source, '/', lang, '/.dot_', doc_id, '.json')",
+    4: "concat('/data/', source, '.zip/', lang, '/doc_', doc_id, '.csv')",
+    5: "concat('/data/', source, '/', lang, '/two\\nlines_', doc_id, '.csv')",
+}
+
+
+def documents_as_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing over ``documents`` in which every clause of the listing rules
+    meets files that it keeps and files that it drops (``TREE_PLACES``)."""
+    docs = table(spark, sf_dir, "documents")
+    branches = " ".join(f"WHEN {k} THEN {place}" for k, place in TREE_PLACES.items())
+    path = f"CASE pmod(doc_id, 8) {branches} ELSE concat('/data/', source, '/', lang, '/doc_', doc_id, '.txt') END"
+    return docs.select(F.expr(path).alias("full_path"), F.col("n_chars").cast("bigint").alias("file_size"))
+
+
+def pages_as_odd_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing over ``pages`` with names that break each rule of the target
+    table: by ``page_id % 5`` a repeated id, an id over 20, a name over 255, a
+    folder over 255 characters, a missing size."""
+    pages = table(spark, sf_dir, "pages")
+    path = ("CASE pmod(page_id, 5) WHEN 0 THEN concat('/p/', page_id, '/same.html') "
+            "WHEN 1 THEN concat('/p/a_very_long_page_identifier_', page_id, '.html') "
+            "WHEN 2 THEN concat('/p/', page_id, repeat('n', 260), '.html') "
+            "WHEN 3 THEN concat('/p/', repeat('f', 260), '/', page_id, '.html') ELSE concat('/p/', page_id, '.html') END")
+    size = F.when(F.expr("pmod(page_id, 5)") != 4, F.octet_length("html").cast("bigint"))
+    return pages.select(F.expr(path).alias("full_path"), size.alias("file_size"))
 
 
 def lineitem_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,9 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"list_tables"}
+    from filelens.plans.queries import QUERIES
+
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
@@ -59,8 +61,3 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "밀도" in df.columns and "file_id" not in df.columns
-
-
-def test_list_tables_rows_only(spark):
-    rows = entry.queries()["list_tables"](spark, SF).collect()
-    assert [r.table_name for r in rows] == ["conversations_files", "documents_files", "pages_files"]

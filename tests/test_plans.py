@@ -50,6 +50,7 @@ def test_python_only_in_archive_expansion(spark):
     assert summary(spark, "expand_archives")["python"] == "MapInPandas"
 
 
-def test_filters_reach_the_scan(spark):
-    assert "EqualTo(event_type,click)" in summary(spark, "union_labels")["scans"]
+def test_columns_reach_the_scans(spark):
+    # each of the three tables once, with the columns asked for
+    assert summary(spark, "union_labels")["scans"] == "doc_id,quality,toxic; p_partkey,p_brand; conv_id,turn,role"
     assert "partitions:" in summary(spark, "partitioned_catalogue")["scans"]
