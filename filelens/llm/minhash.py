@@ -8,14 +8,23 @@ all elements go to the bin ``i - t``, so every coordinate is filled after
 buckets; a pair in a bucket is a candidate and is confirmed on the full sets.
 
 Documents with equal sets form one class and only classes are compared, so a
-group of copies costs no pairs.  Inside a bucket classes are first compared
-with one hub only; what the links found so far do not connect is compared with
-further hubs, and in full once few pairs are left, so no link between
-different components is lost and no group is expanded into all its pairs.
+group of copies costs no pairs.  Every class of a bucket is compared with one
+hub, the member that shares most buckets (in a group of edited copies that is
+the original).  What the hubs do not link may still be linked with each other.
+Relative to a common hub h, a set x differs by s(x) = x ^ h, and
+
+    |x ^ y| = |s(x)| + |s(y)| - 2 |s(x) & s(y)|,
+
+so two sets that are alike, of which one is not alike the hub, must share a
+known number of difference elements.  Prefix and position filters on these
+(few, mostly unique) elements leave hardly any pair to check, and drop none
+that is alike.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,10 +35,6 @@ from filelens.llm import common as C
 
 #: 32 bands of 5 coordinates: a pair of similarity 0.8 shares no bucket with probability 3e-6.
 BANDS, ROWS = 32, 5
-#: Hubs tried in a bucket before the rest is compared in full ...
-HUB_ROUNDS = 5
-#: ... and pairs a class for which that is done at once.
-FULL_PAIRS_PER_CLASS = 2
 CACHE_WORDS = 400_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -141,6 +146,57 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
     return C.map_arrow(docs, fn, "node binary, shingles array<bigint>", size_of="text")
 
 
+def hub_differences(pairs: DataFrame, percent: int) -> DataFrame:
+    """``hub, node, linked, n, s, prefix`` of rows ``hub, node, hub_set,
+    node_set``: whether the two are alike, sizes of the node's set and of its
+    difference to the hub's, and the first elements of that difference, those
+    that only the node has before those that only the hub has.
+
+    The prefix is long enough to share an element with the prefix of every set
+    that is alike and has the same hub, unless both are alike the hub.
+    """
+    t = percent / 100
+    c = (1 - t) / (1 + t)  # alike: the sets differ by at most c times their sizes
+
+    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [(x.offsets.to_numpy(), x.values.to_numpy().view(np.uint64)) for x in (batch.column("hub_set"), batch.column("node_set"))]
+        linked, sizes, diffs, prefixes = [], [], [], []
+        for i in range(batch.num_rows):
+            h, x = (values[at[i] : at[i + 1]] for at, values in sets)
+            own, gone = np.setdiff1d(x, h, assume_unique=True), np.setdiff1d(h, x, assume_unique=True)
+            both = len(x) - len(own)
+            alike = both * 100 >= (len(h) + len(own)) * percent
+            s = len(own) + len(gone)
+            least = (s + c * (len(h) - len(x))) / 2 if alike else (s - c * len(x) * (1 + 1 / t)) / 2
+            order = [own[np.argsort(mix(own))], gone[np.argsort(mix(gone))]]
+            prefixes.append(np.concatenate(order)[: s - max(1, math.ceil(least - 1e-6)) + 1].view(np.int64))
+            linked.append(alike)
+            sizes.append(len(x))
+            diffs.append(s)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("hub"), batch.column("node"), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()),
+             pa.array(diffs, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
+            names=["hub", "node", "linked", "n", "s", "prefix"])
+
+    return C.map_arrow(pairs, fn, "hub binary, node binary, linked boolean, n bigint, s bigint, prefix array<bigint>", size_of="node_set")
+
+
+def pairs_beside_hubs(differences: DataFrame, root: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: the pairs of sets with a common hub that may be alike although
+    the links so far do not connect them; none that is alike is missing."""
+    t = percent / 100
+    c = (1 - t) / (1 + t)
+    rows = differences.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = rows.select("hub", "node", "linked", "n", "s", "root", F.posexplode("prefix").alias("at", "element"))
+    other = rows.select("hub", "element", *[F.col(x).alias(f"{x}_b") for x in ("node", "linked", "n", "s", "root", "at")])
+    met = rows.where(~F.col("linked")).join(other, ["hub", "element"]).where("root <> root_b AND (linked_b OR node < node_b)")
+    met = met.where(F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent)
+    # elements still to come on either side must make up the shared ones that the pair needs
+    needed = (F.col("s") + F.col("s_b") - c * (F.col("n") + F.col("n_b"))) / 2
+    met = met.where(F.least(F.col("s") - F.col("at"), F.col("s_b") - F.col("at_b")) >= needed - 1e-6)
+    return met.select(F.greatest("node", "node_b").alias("a"), F.least("node", "node_b").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` of every node that is not the least of its component in
     the graph of ``links`` (columns ``a``, ``b``).
@@ -189,15 +245,15 @@ def near_duplicates(docs: DataFrame, shingle_size: int = 5, similarity: float =
     percent = round(similarity * 100)
     features = C.stored(set_features(docs, shingle_size, bands, rows), "features")
     classes = C.stored(features.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "classes")
+        F.min("doc_id").alias("rep")), "classes")
 
     # buckets with more than one class; of buckets with the same members, one
     lead = features.join(classes, (features.node == classes.node) & features.doc_id.eqNullSafe(classes.rep), "left_semi")
-    keyed = lead.select(F.explode("keys").alias("key"), "node", F.col("n_shingles").alias("n"), F.xxhash64("node").alias("h"))
+    keyed = lead.select(F.explode("keys").alias("key"), "node", F.xxhash64("node").alias("h"))
     members = keyed.groupBy("key").agg(F.min("h").alias("x"), F.max("h").alias("y"), F.expr("bit_xor(h)").alias("all"),
                                        F.sum(F.col("h").bitwiseAND(0xFFFFFFFF)).alias("sum"), F.count(F.lit(1)).alias("size"))
     shared = members.where("x <> y").groupBy("x", "y", "all", "sum", "size").agg(F.min("key").alias("key")).select("key")
-    buckets = C.stored(keyed.drop("h").join(shared, "key", "left_semi").distinct(), "buckets")
+    buckets = C.stored(keyed.select("key", "node").join(shared, "key", "left_semi").distinct(), "buckets")
     # the full sets of their classes, each from the row that leads it
     nodes = buckets.select("node").distinct()
     wanted = C.stored(lead.join(nodes, "node", "left_semi").select("doc_id", "text_key"), "wanted")
@@ -211,26 +267,18 @@ def near_duplicates(docs: DataFrame, shingle_size: int = 5, similarity: float =
         union = F.size("sa") + F.size("sb") - both
         return pairs.join(a, "a").join(b, "b").where(both * 100 >= union * percent).select("a", "b").distinct()
 
-    n_classes = classes.count()
-    links, last = None, False
-    active = buckets.withColumn("root", F.col("node"))
-    for turn in range(HUB_ROUNDS + 1):
-        last = turn == HUB_ROUNDS or turn > 0 and _pairs_across(active) <= FULL_PAIRS_PER_CLASS * n_classes
-        other = active.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-        if not last:  # one hub a bucket, another one each turn
-            rank = F.struct(F.xxhash64("b", F.lit(turn)), F.col("b")) if turn else F.col("b")
-            other = other.groupBy("key").agg(F.min_by(F.struct("b", "n_b", "root_b"), rank).alias("hub")).select("key", "hub.*")
-        pairs = active.join(other, "key").where(F.col("root") < F.col("root_b") if last else F.col("root") != F.col("root_b"))
-        pairs = pairs.where(F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent)
-        pairs = pairs.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
-        new = C.stored(confirmed(pairs), "confirmed")
-        links = new if links is None else links.unionByName(new)
-        root = components(links)
-        if last:
-            break
-        active = active.drop("root").join(root, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-        mixed = active.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-        active = C.stored(active.join(mixed, "key", "left_semi"), "active")
+    # every class of a bucket against the member that shares most buckets
+    size = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    weight = buckets.join(size, "key").groupBy("node").agg(F.sum("size").alias("weight"))
+    hubs = buckets.join(weight, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
+    star = buckets.join(hubs, "key").where("node <> hub").select("hub", "node").distinct()
+    hub_sets = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_set"))
+    star = star.join(hub_sets, "hub").join(sets.withColumnRenamed("shingles", "node_set"), "node")
+    differences = C.stored(hub_differences(star.select("hub", "node", "hub_set", "node_set"), percent), "differences")
+    links = differences.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    root = components(links)
+    more = C.stored(confirmed(pairs_beside_hubs(differences, root, percent)), "confirmed")
+    root = components(links.unionByName(more))
 
     least = classes.join(root, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
     groups = least.groupBy("root").agg(F.min("rep").alias("component_id"))
@@ -258,13 +306,6 @@ def without_near_duplicates(docs: DataFrame, shingle_size: int = 5, similarity:
     return out.drop(k)
 
 
-def _pairs_across(active: DataFrame) -> int:
-    """Pairs of different components in the same bucket, counted per bucket."""
-    sizes = active.groupBy("key", "root").count().groupBy("key").agg(
-        F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("same"))
-    return int(sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0)
-
-
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over two-word shingles."""
     out = near_duplicates(C.table(spark, sf_dir, "documents"), shingle_size=2)

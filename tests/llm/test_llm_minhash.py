@@ -59,15 +59,29 @@ def test_random_groups(spark, k):
     assert run(spark.createDataFrame(docs, "doc_id bigint, text string"), k) == brute(docs, k)
 
 
-@pytest.mark.parametrize("full", [0, 8])
-def test_a_chain_of_edits_stays_one_component(spark, monkeypatch, full):
+@pytest.mark.parametrize("step", [3, 11, 17])
+def test_a_chain_of_edits_stays_as_it_is(spark, step):
     """Neighbours are alike, the ends are not: hubs alone would not do."""
-    monkeypatch.setattr(M, "FULL_PAIRS_PER_CLASS", full)
-    monkeypatch.setattr(M, "HUB_ROUNDS", 2)
     words = [f"a{i}" for i in range(200)]
     docs = []
     for i in range(60):
-        words[3 * i % 200] = f"b{i}"
+        for j in range(step):
+            words[(step * i + 7 * j) % 200] = f"b{i}-{j}"
+        docs.append((i, " ".join(words)))
+    assert run(spark.createDataFrame(docs, "doc_id bigint, text string"), 2) == brute(docs, 2)
+
+
+def test_edited_copies_of_one_text_beside_their_hub(spark):
+    """Many copies around the threshold of being alike the original and each other."""
+    rng = random.Random(9)
+    base = [f"a{i}" for i in range(150)]
+    docs = [(0, " ".join(base))]
+    for i in range(1, 220):
+        words = [w if rng.random() > (i % 12) / 60 else rng.choice(["", f"z{rng.randint(0, 40)}"]) for w in base]
+        docs.append((i, " ".join(words)))
+    for i in range(220, 260):  # edits of edited copies
+        words = docs[i - 150][1].split()
+        words[rng.randrange(len(words))] = f"y{i}"
         docs.append((i, " ".join(words)))
     assert run(spark.createDataFrame(docs, "doc_id bigint, text string"), 2) == brute(docs, 2)
 
