@@ -20,6 +20,7 @@ whatever slips through it is dropped by the join on the terms themselves.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -97,12 +98,22 @@ def contexts(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[str, st
     at most ``NEAR`` on either side, in the same line, outside all spans;
     ``context`` is a hash of those words, the same for copies of the passage."""
     out = []
+    starts, ends = [], []  # the spans as disjoint stretches of text
+    for a, b, _ in spans:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
     for a, b, kind in spans:
-        left, right = text.rfind("\n", 0, a) + 1, text.find("\n", b)
-        left, right = max(left, a - 40 * NEAR), min(len(text) if right < 0 else right, b + 40 * NEAR)
+        # the line, as far as words of usual length may reach
+        left, right = max(0, a - 40 * NEAR), min(len(text), b + 40 * NEAR)
+        left, line_end = text.rfind("\n", left, a) + 1 or left, text.find("\n", b, right)
+        right = right if line_end < 0 else line_end
         before = list(_WORD.finditer(text, left, a))[-NEAR:]
         after = list(_WORD.finditer(text, b, right))[:NEAR]
-        words = [m for m in before + after if not any(m.start() < y and x < m.end() for x, y, _ in spans)]
+        # outside all spans: the last stretch that begins before the word's end is over when the word begins
+        words = [m for m in before + after if (i := bisect_left(starts, m.end())) == 0 or ends[i - 1] <= m.start()]
         entity = f"{kind}:{text[a:b].lower()}"
         context = xxhash.xxh64_intdigest(" ".join(m[0].lower() for m in words)) >> 1
         out += [(entity, m[0].lower(), m.start(), m.end(), context) for m in words]
@@ -167,12 +178,16 @@ class _Slots:
         self._seen: dict[str, bool] = {}
 
     def among(self, words: set[str]) -> list[str]:
-        seen = self._seen
+        seen, found = self._seen, []
         if len(seen) > self.MOST:
             seen.clear()
-        for w in words - seen.keys():
-            seen[w] = bool(self._bits[_slot(w)])
-        return [w for w in words if seen[w]]
+        for w in words:
+            known = seen.get(w)
+            if known is None:
+                known = seen[w] = bool(self._bits[_slot(w)])
+            if known:
+                found.append(w)
+        return found
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
