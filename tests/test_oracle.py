@@ -2,36 +2,18 @@
 
 from __future__ import annotations
 
-import math
 import os
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from scripts.check_oracle import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
-          "pages benchmark labels conversations").split()
-
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
 
-def _norm(v):
-    if v is None:
-        return "null"
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{v:.9g}"
-    if isinstance(v, (bytes, bytearray, memoryview)):
-        return bytes(v).hex()
-    return str(v)
-
-
-def _rows(cols, records):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted(tuple(_norm(r[i]) for i in order) for r in records)
-
-
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -54,7 +36,7 @@ def test_query_matches_oracle(spark, duck, name):
     d_cols, d_rows = [d[0] for d in rel.description], rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
-    assert _rows(s_cols, s_rows) == _rows(d_cols, d_rows)
+    assert rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
 
 
 def test_entry_smoke(spark):
