@@ -252,13 +252,16 @@ def near_duplicates(docs: DataFrame, shingle_size: int = 5, similarity: float =
     keyed = lead.select(F.explode("keys").alias("key"), "node", F.xxhash64("node").alias("h"))
     members = keyed.groupBy("key").agg(F.min("h").alias("x"), F.max("h").alias("y"), F.expr("bit_xor(h)").alias("all"),
                                        F.sum(F.col("h").bitwiseAND(0xFFFFFFFF)).alias("sum"), F.count(F.lit(1)).alias("size"))
-    shared = members.where("x <> y").groupBy("x", "y", "all", "sum", "size").agg(F.min("key").alias("key")).select("key")
-    buckets = C.stored(keyed.select("key", "node").join(shared, "key", "left_semi").distinct(), "buckets")
+    shared = members.where("x <> y").groupBy("x", "y", "all", "sum", "size").agg(
+        F.min("key").alias("key"), (F.col("size") * F.count(F.lit(1))).alias("weight")).select("key", "weight")
+    buckets = C.stored(keyed.select("key", "node").join(shared, "key").distinct(), "buckets")
     # the full sets of their classes, each from the row that leads it
     nodes = buckets.select("node").distinct()
     wanted = C.stored(lead.join(nodes, "node", "left_semi").select("doc_id", "text_key"), "wanted")
     rows = docs.withColumn("text_key", F.xxhash64("text"))
-    sets = C.stored(full_sets(C.prefiltered(rows, wanted, "doc_id", "text_key").select("doc_id", "text"), shingle_size), "sets")
+    sets = full_sets(C.prefiltered(rows, wanted, "doc_id", "text_key").select("doc_id", "text"), shingle_size)
+    # a copy may slip through the bitmap: one row a class
+    sets = C.stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
@@ -268,9 +271,8 @@ def near_duplicates(docs: DataFrame, shingle_size: int = 5, similarity: float =
         return pairs.join(a, "a").join(b, "b").where(both * 100 >= union * percent).select("a", "b").distinct()
 
     # every class of a bucket against the member that shares most buckets
-    size = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    weight = buckets.join(size, "key").groupBy("node").agg(F.sum("size").alias("weight"))
-    hubs = buckets.join(weight, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
+    weight = buckets.groupBy("node").agg(F.sum("weight").alias("weight"))
+    hubs = buckets.drop("weight").join(weight, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
     star = buckets.join(hubs, "key").where("node <> hub").select("hub", "node").distinct()
     hub_sets = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_set"))
     star = star.join(hub_sets, "hub").join(sets.withColumnRenamed("shingles", "node_set"), "node")
