@@ -14,10 +14,12 @@ from filelens.llm.html_extraction import op5_html_extraction
 from filelens.llm.language_id import op10_language_id
 from filelens.llm.minhash import op6_minhash
 from filelens.llm.pii import op9_pii
+from filelens.llm.substring_dedup import op1_substring_dedup
 from filelens.llm.token_counts import op7_token_counts
 from filelens.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_decontamination": op2_decontamination,
     "op3_fingerprints": op3_fingerprints,
     "op4_bpe_round_trip": op4_bpe_round_trip,
