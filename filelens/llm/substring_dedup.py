@@ -1,18 +1,30 @@
-"""Repeated lines across documents: units are hashed after normalisation, the
-earliest occurrence (by id, then offset) of each digest stays, the rest are
-removed; offsets are those of the original text."""
+"""Repeated passages across documents: units are hashed after normalisation, the
+earliest occurrence (by id, text hash, then offset) of each digest stays, the
+rest are removed; offsets are those of the original text.
+
+Units are lines and, finer, sentences.  A sentence never crosses a line end and
+equal lines are cut into equal sentences, so the repeated sentences hold every
+repeated line; adjacent ones are joined to one span.
+"""
 
 from __future__ import annotations
 
 import hashlib
+import re
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filelens.llm import common as C
 
 
+# Fixed value: what ends a sentence.
+_END = re.compile(r"""[.!?]+["'”’»)\]]*(?=\s)|[。！？]+|\n""")
+
+
 def units(text: str) -> list[tuple[int, int, bytes]]:
     """``start, end, digest`` of the lines of a text that are not blank; case
     and runs of white space do not count."""
@@ -25,6 +37,79 @@ def units(text: str) -> list[tuple[int, int, bytes]]:
     return out
 
 
+def sentences(text: str) -> list[tuple[int, int, bytes]]:
+    """``start, end, digest`` of the sentences of each line that are not blank,
+    without the white space around them; folded like :func:`units`."""
+    out, at = [], 0
+    for stop in (*(m.end() for m in _END.finditer(text)), len(text)):
+        piece = text[at:stop]
+        if words := piece.lower().split():
+            start = stop - len(piece.lstrip())
+            out.append((start, start + len(piece.strip()), xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))))
+        at = stop
+    return out
+
+
+def _sentence_rows(rows: DataFrame) -> DataFrame:
+    """``doc_id, text_key, at, start, end, h1, h2`` of every sentence of
+    ``doc_id, text``: ``at`` counts them within the text, ``h1, h2`` is the digest."""
+
+    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [sentences(t) for t in batch.column("text").to_pylist()]
+        flat = [u for us in found for u in us]
+        row = pa.array(np.repeat(np.arange(len(found)), [len(us) for us in found]), pa.int64())
+        digests = np.frombuffer(b"".join(u[2] for u in flat), np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([
+            batch.column("doc_id").take(row), batch.column("text_key").take(row), pa.array([i for us in found for i in range(len(us))], pa.int32()),
+            pa.array([u[0] for u in flat], pa.int32()), pa.array([u[1] for u in flat], pa.int32()),
+            pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy())], names=["doc_id", "text_key", "at", "start", "end", "h1", "h2"])
+
+    rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    return C.map_arrow(rows, fn, "doc_id bigint, text_key bigint, at int, start int, end int, h1 bigint, h2 bigint", size_of="text")
+
+
+def _joined_spans(found: DataFrame) -> DataFrame:
+    """``doc_id, text_key, spans`` from the repeated sentences of each text:
+    runs of adjacent ones are one span, whose first one tells where it stood before."""
+    span = "struct<start:bigint,end:bigint,first_doc_id:bigint,first_start:bigint>"
+    rows = found.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(F.struct("at", "start", "end", "first_doc_id", "first_start"))).alias("u"))
+
+    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+        spans = []
+        for units_ in batch.column("u").to_pylist():
+            runs, last = [], None
+            for u in units_:
+                if last is not None and u["at"] == last + 1:
+                    runs[-1]["end"] = u["end"]
+                else:
+                    runs.append({k: u[k] for k in ("start", "end", "first_doc_id", "first_start")})
+                last = u["at"]
+            spans.append(runs)
+        kind = pa.list_(pa.struct([(k, pa.int64()) for k in ("start", "end", "first_doc_id", "first_start")]))
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(spans, kind)], names=["doc_id", "text_key", "spans"])
+
+    return C.map_arrow(rows, fn, f"doc_id bigint, text_key bigint, spans array<{span}>", size_of="u")
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, spans`` of every document that repeats a sentence:
+    ``start, end, first_doc_id, first_start`` of each run of sentences that
+    stood before, in an earlier document or earlier in the same one.
+
+    A null text has no sentences; a null id comes first; rows with the same id
+    and text are one document.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), C.text_or_empty().alias("text"))
+    found = C.stored(_sentence_rows(rows), "sentences")
+    often = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = C.prefiltered(found, often, "h1", "h2")
+    # what slipped through the bitmap alone is its own first
+    first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "text_key", "start")).alias("first"))
+    again = found.join(first, ["h1", "h2"]).where(~F.struct("doc_id", "text_key", "start").eqNullSafe(F.col("first")))
+    return _joined_spans(again.select("doc_id", "text_key", "at", "start", "end", F.col("first.doc_id").alias("first_doc_id"),
+                                      F.col("first.start").alias("first_start")))
+
+
 def repeated_units(docs: DataFrame) -> DataFrame:
     """``doc_id, start, end, first_doc_id, first_start`` of every unit that an
     earlier one repeats.  A null text has no units; a null id comes first; rows
@@ -45,5 +130,6 @@ def repeated_units(docs: DataFrame) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every repeated line of all documents."""
-    return repeated_units(C.table(spark, sf_dir, "documents"))
+    """Every repeated passage of all documents."""
+    spans = repeated_spans(C.table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.*")

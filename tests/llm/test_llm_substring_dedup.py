@@ -14,3 +14,40 @@ def test_repeated_lines_against_brute_force(spark, odd, none, documents):
             seen.setdefault(d, (i, a))
     assert sorted(map(tuple, S.repeated_units(df).collect())) == sorted(want)
     assert S.repeated_units(odd).count() == 0 and S.repeated_units(none).count() == 0
+
+
+def test_passage_spliced_into_a_line(spark):
+    passage = "Oratin thesntth hathly. Of thtior enwh, thintionor? It are here!"
+    texts = [(1, f"One own start. {passage} One own end.\nAnother line of the first."),
+             (2, f"Zwei eigen anfang\nund mitten. {passage.upper()}  zwei eigen rest"), (3, "Version 1.5 only.\nNo. 7"), (4, None)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    assert S.repeated_units(df).count() == 0
+    rows = S.repeated_spans(df).collect()
+    assert [(r.doc_id, [texts[1][1][s.start : s.end] for s in r.spans]) for r in rows] == [(2, [passage.upper()])]
+    assert [(s.first_doc_id, s.first_start) for s in rows[0].spans] == [(1, texts[0][1].index(passage))]
+
+
+def test_repeated_spans_against_brute_force(spark, odd, none, documents):
+    df = spark.createDataFrame([d[:2] for d in documents], "doc_id bigint, text string")
+    seen, want, lines = {}, [], set()
+    for i, text, *_ in documents:
+        last = None
+        for k, (a, b, d) in enumerate(S.sentences(text)):
+            assert "\n" not in text[a:b] and text[a:b].strip() == text[a:b] != ""
+            if d in seen:
+                if last is not None and last == k - 1:
+                    want[-1] = (*want[-1][:2], b, *want[-1][3:])
+                else:
+                    want.append((i, a, b, *seen[d]))
+                last = k
+            seen.setdefault(d, (i, a))
+    got = {(r.doc_id, *s) for r in S.repeated_spans(df).collect() for s in r.spans}
+    assert got == set(want)
+    covered = {(i, x) for i, a, b, *_ in got for x in range(a, b)}
+    for r in S.repeated_units(df).collect():
+        text = documents[[d[0] for d in documents].index(r.doc_id)][1]
+        lines |= {(r.doc_id, x) for x in range(r.start, r.end) if not text[x].isspace()}
+    assert lines <= covered
+    assert S.repeated_spans(none).count() == 0
+    copies = odd.where("doc_id = 5 OR doc_id = 6")
+    assert S.repeated_spans(copies.union(copies)).count() == 0
