@@ -9,8 +9,11 @@ of term and entity is held against the information content of the entity,
 
 which is 1 where the term occurs only beside the entity (it tells as much as
 the entity itself) and near 0 for a common word.  Terms near an entity that
-pass the disclosure threshold, on evidence from enough different contexts, are
-sensitive as well: they are removed, the entities are generalised to their kind.
+pass the disclosure threshold are sensitive as well, unless chance explains
+them: by chance a term and an entity meet in about m = n(t) n(e) / N contexts,
+and in k or more with a probability of at most exp(k - m) (m / k)^k (Chernoff's
+bound), which, times the pairs rated, has to stay below ``CHANCE``.  They are
+removed, the entities are generalised to their kind.
 
 Counts cover the whole corpus.  Only the terms seen near entities need one; a
 bitmap of fixed size (one bit a hash slot) tells the tasks which those are, and
@@ -19,6 +22,7 @@ whatever slips through it is dropped by the join on the terms themselves.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -34,8 +38,8 @@ from filelens.llm import common as C
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on either side of an entity, in its line, that may reveal it.
 NEAR = 8
-#: Different contexts in which a term must stand beside an entity.
-SUPPORT = 3
+#: Pairs expected to pass by chance among all pairs rated.
+CHANCE = 0.01
 #: Share of an entity's information that a term may reveal.
 DISCLOSURE = 0.9
 #: Hash slots of the bitmap of terms (128 KiB).
@@ -190,18 +194,27 @@ class _Slots:
         return found
 
 
+def _surprise(k: F.Column, m: F.Column) -> F.Column:
+    """Bound of -log of the chance of ``k`` or more where ``m`` are expected."""
+    return F.when(k > m, k * F.log(k / m) - k + m).otherwise(0.0)
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``entity, term, disclosure`` of the terms over the threshold."""
+    """``entity, term, disclosure`` of the terms over the threshold, chance ruled out."""
     near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.*")
     pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("support"), F.count(F.lit(1)).alias("n_both"))
-    pairs = C.stored(pairs.where(F.col("support") >= SUPPORT), "pairs")
+    pairs = C.stored(pairs, "pairs")
     entities = found.select(F.explode("near").alias("x")).select("x.entity", "x.context").groupBy("entity").agg(
         F.count_distinct("context").alias("n_entity"))
-    terms = _term_lines(docs, pairs.select("term").distinct())
     n = int(found.agg(F.sum("lines")).first()[0] or 1)
-    rated = pairs.join(entities, "entity").join(terms, "term")
+    least = math.log(max(pairs.count(), 1) / CHANCE)
+    # a term is in as many lines as it has contexts, or more: pairs that fail with so few fail with its count
+    rated = pairs.join(entities, "entity").where(_surprise(F.col("support"), F.col("support") * F.col("n_entity") / n) >= least)
+    rated = C.stored(rated, "rated")
+    rated = rated.join(_term_lines(docs, rated.select("term").distinct()), "term")
     told = 1 - F.log(F.greatest(F.col("n_term") / F.col("n_both"), F.lit(1.0))) / F.log(F.lit(float(max(n, 2))) / F.col("n_entity"))
-    return rated.where(F.col("n_entity") < n).withColumn("disclosure", told).where(F.col("disclosure") >= DISCLOSURE).select(
+    sure = _surprise(F.col("support"), F.col("n_term") * F.col("n_entity") / n) >= least
+    return rated.where((F.col("n_entity") < n) & sure).withColumn("disclosure", told).where(F.col("disclosure") >= DISCLOSURE).select(
         "entity", "term", "disclosure")
 
 

@@ -95,3 +95,10 @@ def test_counts_of_terms_cover_all_lines(spark):
     df = spark.createDataFrame([(i, "alpha beta\nalpha\nGamma alpha alpha") for i in range(50)], "doc_id bigint, text string")
     terms = spark.createDataFrame([("alpha",), ("gamma",), ("none",)], "term string")
     assert {r.term: r.n_term for r in pii._term_lines(df, terms).collect()} == {"alpha": 150, "gamma": 50}
+
+
+def test_two_contexts_are_evidence_for_a_rare_term(spark):
+    docs = [d for d in _corpus() if d[0] < 500] + [(700, "ask quixote under dq@mancha.example today"), (701, "quixote rides again, dq@mancha.example")]
+    rows = {r.doc_id: r.spans for r in pii.find_spans(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert [[t[s.start : s.end] for s in rows[i] if s.kind == "term"] for i, t in docs[-2:]] == [["quixote"]] * 2
+    assert not any(rows[i] for i in range(400))
