@@ -8,14 +8,15 @@ of term and entity is held against the information content of the entity,
     PMI(t; e) / IC(e) = 1 - log(n(t) / n(t, e)) / log(N / n(e)),
 
 which is 1 where the term occurs only beside the entity (it tells as much as
-the entity itself) and near 0 for a common word.  Terms near an entity that
+the entity itself) and near 0 for a common word.  Terms on a line with an entity that
 pass the disclosure threshold are sensitive as well, unless chance explains
 them: by chance a term and an entity meet in about m = n(t) n(e) / N contexts,
 and in k or more with a probability of at most exp(k - m) (m / k)^k (Chernoff's
 bound), which, times the pairs rated, has to stay below ``CHANCE``.  They are
-removed, the entities are generalised to their kind.
+removed wherever they stand in a document that holds the entity, the entities
+are generalised to their kind.
 
-Counts cover the whole corpus.  Only the terms seen near entities need one; a
+Counts cover the whole corpus.  Only the terms seen beside entities need one; a
 bitmap of fixed size (one bit a hash slot) tells the tasks which those are, and
 whatever slips through it is dropped by the join on the terms themselves.
 """
@@ -36,8 +37,6 @@ from pyspark.sql import functions as F
 from filelens.llm import common as C
 
 KINDS = ("email", "ip", "card", "phone", "term")
-#: Words on either side of an entity, in its line, that may reveal it.
-NEAR = 8
 #: Pairs expected to pass by chance among all pairs rated.
 CHANCE = 0.01
 #: Share of an entity's information that a term may reveal.
@@ -97,31 +96,44 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, KINDS[k]) for a, b, k in sorted(found, key=lambda s: (s[0], s[2]))]
 
 
-def contexts(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[str, str, int, int, int]]:
-    """``entity, term, start, end, context`` of the words near each entity:
-    at most ``NEAR`` on either side, in the same line, outside all spans;
-    ``context`` is a hash of those words, the same for copies of the passage."""
-    out = []
-    starts, ends = [], []  # the spans as disjoint stretches of text
+def _stretches(spans: list[tuple[int, int, str]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the spans as disjoint stretches of text."""
+    starts, ends = [], []
     for a, b, _ in spans:
         if ends and a < ends[-1]:
             ends[-1] = max(ends[-1], b)
         else:
             starts.append(a)
             ends.append(b)
+    return starts, ends
+
+
+def _words(text: str, left: int, right: int, starts: list[int], ends: list[int]) -> list[re.Match[str]]:
+    """Words between two places outside all stretches: the last stretch that
+    begins before the word's end is over when the word begins."""
+    return [m for m in _WORD.finditer(text, left, right) if (i := bisect_left(starts, m.end())) == 0 or ends[i - 1] <= m.start()]
+
+
+def contexts(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[list[str], list[str], int]]:
+    """``entities, terms, context`` of each line with entities: the words are
+    those outside all spans; ``context`` is a hash of them, the same for copies
+    of the line."""
+    out: list[tuple[set[str], list[str], int]] = []
+    starts, ends = _stretches(spans)
+    line_end = -1
     for a, b, kind in spans:
-        # the line, as far as words of usual length may reach
-        left, right = max(0, a - 40 * NEAR), min(len(text), b + 40 * NEAR)
-        left, line_end = text.rfind("\n", left, a) + 1 or left, text.find("\n", b, right)
-        right = right if line_end < 0 else line_end
-        before = list(_WORD.finditer(text, left, a))[-NEAR:]
-        after = list(_WORD.finditer(text, b, right))[:NEAR]
-        # outside all spans: the last stretch that begins before the word's end is over when the word begins
-        words = [m for m in before + after if (i := bisect_left(starts, m.end())) == 0 or ends[i - 1] <= m.start()]
-        entity = f"{kind}:{text[a:b].lower()}"
-        context = xxhash.xxh64_intdigest(" ".join(m[0].lower() for m in words)) >> 1
-        out += [(entity, m[0].lower(), m.start(), m.end(), context) for m in words]
-    return out
+        if a > line_end:
+            left, line_end = text.rfind("\n", 0, a) + 1, text.find("\n", b)
+            line_end = len(text) if line_end < 0 else line_end
+            words = [m[0].lower() for m in _words(text, left, line_end, starts, ends)]
+            out.append((set(), sorted(set(words)), xxhash.xxh64_intdigest(" ".join(words)) >> 1))
+        out[-1][0].add(f"{kind}:{text[a:b].lower()}")
+    return [(sorted(entities), terms, context) for entities, terms, context in out]
+
+
+def term_spans(text: str, spans: list[tuple[int, int, str]], terms: set[str]) -> list[tuple[int, int]]:
+    """``start, end`` of every occurrence of ``terms`` outside the spans."""
+    return [(m.start(), m.end()) for m in _words(text, 0, len(text), *_stretches(spans)) if m[0].lower() in terms]
 
 
 def _slot(term: str) -> int:
@@ -130,7 +142,7 @@ def _slot(term: str) -> int:
 
 def entity_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, lines, spans, near`` of every row of ``doc_id, text``:
-    the pattern matches and the words near them."""
+    the pattern matches and the words of their lines."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -138,15 +150,15 @@ def entity_spans(docs: DataFrame) -> DataFrame:
         spans = [base_spans(t) for t in texts]
         near = [contexts(t, s) if s else [] for t, s in zip(texts, spans, strict=True)]
         span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
-        near_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("context", pa.int64())]))
+        near_type = pa.list_(pa.struct([("entities", pa.list_(pa.string())), ("terms", pa.list_(pa.string())), ("context", pa.int64())]))
         return pa.RecordBatch.from_arrays([
             batch.column("doc_id"), batch.column("text_key"), pa.array([t.count("\n") + 1 for t in texts], pa.int64()),
             pa.array([[{"start": a, "end": b, "kind": k} for a, b, k in s] for s in spans], span_type),
-            pa.array([[dict(zip(("entity", "term", "start", "end", "context"), n, strict=True)) for n in ns] for ns in near], near_type),
+            pa.array([[dict(zip(("entities", "terms", "context"), n, strict=True)) for n in ns] for ns in near], near_type),
         ], names=["doc_id", "text_key", "lines", "spans", "near"])
 
     return C.map_arrow(rows, fn, "doc_id bigint, text_key bigint, lines bigint, spans array<struct<start:bigint,end:bigint,kind:string>>, "
-                       "near array<struct<entity:string,term:string,start:bigint,end:bigint,context:bigint>>", size_of="text")
+                       "near array<struct<entities:array<string>,terms:array<string>,context:bigint>>", size_of="text")
 
 
 def _term_lines(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -169,7 +181,8 @@ def _term_lines(docs: DataFrame, terms: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
 
     partial = C.map_arrow(docs.select("text"), fn, "term string, n bigint", size_of="text")
-    return partial.groupBy("term").agg(F.sum("n").alias("n_term")).join(ready, "term", "left_semi")
+    # a semi-join would be moved below the aggregate, onto the counts of every batch
+    return partial.groupBy("term").agg(F.sum("n").alias("n_term")).join(ready.distinct(), "term")
 
 
 class _Slots:
@@ -201,15 +214,15 @@ def _surprise(k: F.Column, m: F.Column) -> F.Column:
 
 def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``entity, term, disclosure`` of the terms over the threshold, chance ruled out."""
-    near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.*")
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("context").alias("support"), F.count(F.lit(1)).alias("n_both"))
+    lines = found.select(F.explode("near").alias("x")).select(F.explode("x.entities").alias("entity"), "x.terms", "x.context")
+    entities = lines.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    pairs = lines.select("entity", F.explode("terms").alias("term"), "context").groupBy("entity", "term").agg(
+        F.count_distinct("context").alias("support"), F.count(F.lit(1)).alias("n_both"))
     pairs = C.stored(pairs, "pairs")
-    entities = found.select(F.explode("near").alias("x")).select("x.entity", "x.context").groupBy("entity").agg(
-        F.count_distinct("context").alias("n_entity"))
     n = int(found.agg(F.sum("lines")).first()[0] or 1)
     least = math.log(max(pairs.count(), 1) / CHANCE)
-    # a term is in as many lines as it has contexts, or more: pairs that fail with so few fail with its count
-    rated = pairs.join(entities, "entity").where(_surprise(F.col("support"), F.col("support") * F.col("n_entity") / n) >= least)
+    # a term is in as many lines as it shares with the entity, or more: pairs that fail with so few fail with its count
+    rated = pairs.join(entities, "entity").where(_surprise(F.col("support"), F.col("n_both") * F.col("n_entity") / n) >= least)
     rated = C.stored(rated, "rated")
     rated = rated.join(_term_lines(docs, rated.select("term").distinct()), "term")
     told = 1 - F.log(F.greatest(F.col("n_term") / F.col("n_both"), F.lit(1.0))) / F.log(F.lit(float(max(n, 2))) / F.col("n_entity"))
@@ -218,6 +231,28 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
         "entity", "term", "disclosure")
 
 
+def _marked(docs: DataFrame, found: DataFrame, told: DataFrame) -> DataFrame:
+    """``e_id, e_key, extra``: all occurrences of the disclosing terms in the
+    documents that hold their entities."""
+    holds = found.select("doc_id", "text_key", F.explode("near").alias("x")).select(
+        "doc_id", "text_key", F.explode("x.entities").alias("entity")).distinct()
+    terms = holds.join(told, "entity").groupBy("doc_id", "text_key").agg(F.collect_set("term").alias("terms"))
+    terms = C.stored(terms, "told").select(F.col("doc_id").alias("e_id"), F.col("text_key").alias("e_key"), "terms")
+    texts = docs.select(F.col("doc_id").alias("e_id"), F.xxhash64("text").alias("e_key"), "text")
+    texts = C.prefiltered(texts, terms, "e_id", "e_key").alias("d")
+    same = F.col("d.e_id").eqNullSafe(F.col("t.e_id")) & (F.col("d.e_key") == F.col("t.e_key"))
+    texts = texts.join(terms.alias("t"), same).select("d.e_id", "d.e_key", "d.text", "t.terms")
+
+    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+        extra = [[{"start": a, "end": b, "kind": "term"} for a, b in term_spans(t, base_spans(t), set(ts))]
+                 for t, ts in zip(batch.column("text").to_pylist(), batch.column("terms").to_pylist(), strict=True)]
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
+        return pa.RecordBatch.from_arrays([batch.column("e_id"), batch.column("e_key"), pa.array(extra, kind)], names=["e_id", "e_key", "extra"])
+
+    return C.map_arrow(texts, fn, "e_id bigint, e_key bigint, extra array<struct<start:bigint,end:bigint,kind:string>>",
+                       size_of="text").dropDuplicates(["e_id", "e_key"])
+
+
 def find_spans(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key, spans`` of every row of ``docs``: ``start, end, kind``
     (code points, end exclusive) by start, then kind as listed.
@@ -229,11 +264,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), C.text_or_empty().alias("text"))
     found = C.stored(entity_spans(docs), "entities")
     told = disclosing_terms(docs, found)
-    near = found.select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.*")
-    extra = near.join(told, ["entity", "term"], "left_semi").select("doc_id", "text_key", F.struct(
-        "start", "end", F.lit("term").alias("kind")).alias("s")).distinct()
-    extra = extra.groupBy("doc_id", "text_key").agg(F.collect_list("s").alias("extra")).select(
-        F.col("doc_id").alias("e_id"), F.col("text_key").alias("e_key"), "extra")
+    extra = _marked(docs, found, told)
     out = found.join(extra, found.doc_id.eqNullSafe(F.col("e_id")) & (found.text_key == F.col("e_key")), "left")
     spans = F.concat("spans", F.coalesce("extra", F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>")))
     keyed = F.transform(spans, lambda s: F.struct(

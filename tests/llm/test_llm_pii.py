@@ -102,3 +102,18 @@ def test_two_contexts_are_evidence_for_a_rare_term(spark):
     rows = {r.doc_id: r.spans for r in pii.find_spans(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
     assert [[t[s.start : s.end] for s in rows[i] if s.kind == "term"] for i, t in docs[-2:]] == [["quixote"]] * 2
     assert not any(rows[i] for i in range(400))
+
+
+def test_terms_go_wherever_they_stand_beside_their_entity(spark):
+    far = " ".join(["Wb" + "x" * 60] * 12)
+    docs = [d for d in _corpus() if d[0] < 505] + [
+        (710, "zed@mail.example.com is here\nand Zorro stands on the next line, ZORRO again"), (711, f"zorro {far} zed@mail.example.com"),
+        (712, "zorro@other.example or zorro")]
+    df = spark.createDataFrame(docs + docs[-3:-2], "doc_id bigint, text string")
+    rows = pii.find_spans(df).collect()
+    found = {r.doc_id: [dict(docs)[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "term"] for r in rows}
+    assert len(rows) == len(docs) + 1
+    assert [w for w in found[710] if w.lower() == "zorro"] == ["Zorro", "ZORRO"] and "zorro" in found[711] and not found[712]
+    clean = {r.doc_id: r.text.lower() for r in pii.sanitise(df).collect()}
+    assert "zorro" not in clean[710] + clean[711] and "zorro" in clean[712]
+    assert pii.contexts(docs[-2][1], pii.base_spans(docs[-2][1]))[0][:2] == (["email:zed@mail.example.com"], [("Wb" + "x" * 60).lower(), "zorro"])
