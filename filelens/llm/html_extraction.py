@@ -6,8 +6,9 @@ role it stands in.  Tokens of a host that occur equally often on every page -
 that share an occurrence vector - form an equivalence class.  Classes that are
 large and frequent are valid; nested by their roles they are the template, and
 what stands between template tokens are the slots.  The slot of the main text
-is the innermost template container that holds nearly all the text that varies
-between the host's pages and is not marked as menu, footer, advert and so on.
+is the innermost template container that holds all the text that varies between
+the host's pages and is not marked as menu, footer, advert and so on; it is
+neither inside an article or main element nor in a list, figure or quote.
 
 Occurrence vectors are never put together: a vector is represented by the
 number of its pages and the exclusive-or of a hash of (page, count), which adds
@@ -29,10 +30,6 @@ from filelens.llm import common as C
 
 #: Share of a host's pages that hold a valid class's tokens; tokens of a class.
 SUPPORT, CLASS_SIZE = 0.5, 2
-#: Share of the varying text that the main slot holds.
-MAIN_SHARE = 0.8
-#: What fixed text weighs beside text that varies (it decides on hosts of one page).
-FIXED_WEIGHT = 0.01
 
 # HTML element classes, and the names that mark what is not main text.
 CONTAINERS = frozenset("html body div article section main nav header footer aside form ul ol dl table figure details dialog "
@@ -47,6 +44,8 @@ ASIDE_NAMES = frozenset(
     "share sharing social related recommended comment comments disqus replies respond pagination pager toolbar skip hidden".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 MAIN_NAMES = frozenset("has with no content article post entry".split())
+#: Roles that are never the main slot: below an article or main element, in a list, figure or quote, a table itself.
+NO_SLOT = r"/(article|main)(\.[^/]*)?/|/(ul|ol|dl|menu|figure|blockquote)(\.[^/]*)?(/|$)|/table(\.[^/]*)?$"
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>.*?(?:</\1\s*>|\Z)|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -125,34 +124,17 @@ def read_page(html: str) -> tuple[list[Block], list[str]]:
     return blocks, roles
 
 
-def _ancestors(role: str) -> list[str]:
-    parts = role.split("/")[1:]
-    return ["/" + "/".join(parts[:i]) for i in range(1, len(parts) + 1)]
-
-
 def _inside(role: str, main: str) -> bool:
     return role == main or role.startswith(main + "/")
 
 
-def own_main(blocks: list[Block]) -> str | None:
-    """The main slot of a page that its host's template does not fit."""
-    chars: Counter[str] = Counter()
-    for b in blocks:
-        if not b.aside:
-            for a in _ancestors(b.role):
-                chars[a] += len(b.text)
-    most = max(chars.values(), default=0)
-    fit = [a for a, n in chars.items() if n >= MAIN_SHARE * most]
-    return max(fit, key=lambda a: (a.count("/"), chars[a], a)) if fit else None
-
-
 def main_text(html: str | None, main: str | None) -> str:
-    """Text of the main slot ``main``; without a usable one, of the page's own."""
+    """Text of the main slot ``main``; without a usable one, all text that is not marked."""
     if not html:
         return ""
     blocks, roles = read_page(html)
     if main is None or main not in roles:
-        main = own_main(blocks)
+        main = None
     kept = [b.text for b in blocks if not b.aside and (main is None or _inside(b.role, main))]
     return "\n\n".join(kept)
 
@@ -197,17 +179,20 @@ def main_slots(pages: DataFrame) -> DataFrame:
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     classes = tokens.join(sizes, "host").where(F.col("n") >= SUPPORT * F.col("pages")).groupBy("host", "n", "vector").agg(
         F.count(F.lit(1)).alias("members")).where(F.col("members") >= CLASS_SIZE).select("host", "n", "vector", F.lit(True).alias("valid"))
-    marked = tokens.join(classes, ["host", "n", "vector"], "left")
-    weight = F.col("chars") * F.when(F.col("valid"), FIXED_WEIGHT).otherwise(1.0)
-    text = marked.where(F.col("block").isNotNull() & ~F.col("aside")).groupBy("host", "role").agg(F.sum(weight).alias("w"))
+    marked = tokens.join(classes, ["host", "n", "vector"], "left").join(sizes, "host")
+    # what counts is the text that varies; on hosts where none does (one page, say) all text
+    fixed = F.col("n") >= SUPPORT * F.col("pages")
+    sums = F.sum(F.when(fixed, 0).otherwise(F.col("chars"))).alias("varying"), F.sum("chars").alias("any")
+    text = marked.where(F.col("block").isNotNull() & ~F.col("aside")).groupBy("host", "role").agg(*sums)
     parts = F.slice(F.split("role", "/"), 2, 1000)
     up = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/")))
-    by_slot = text.where(F.col("role") != "").select("host", F.explode(up).alias("slot"), "w").groupBy("host", "slot").agg(F.sum("w").alias("w"))
+    by_slot = text.where(F.col("role") != "").select("host", F.explode(up).alias("slot"), "varying", "any").groupBy("host", "slot").agg(
+        F.sum("varying").alias("varying"), F.sum("any").alias("any"))
     template = marked.where(F.col("block").isNull() & F.col("valid")).select("host", F.col("role").alias("slot")).distinct()
-    slots = by_slot.join(template, ["host", "slot"], "left_semi")
-    most = slots.groupBy("host").agg(F.max("w").alias("most"))
-    fit = slots.join(most, "host").where(F.col("w") >= MAIN_SHARE * F.col("most"))
-    rank = F.struct(F.size(F.split("slot", "/")), F.col("w"), F.col("slot"))
+    slots = by_slot.join(template, ["host", "slot"], "left_semi").where(~F.col("slot").rlike(NO_SLOT))
+    whole = text.groupBy("host").agg(F.sum("varying").alias("all_varying"), F.sum("any").alias("all_any"))
+    fit = slots.join(whole, "host").where((F.col("varying") == F.col("all_varying")) & ((F.col("all_varying") > 0) | (F.col("any") == F.col("all_any"))))
+    rank = F.struct(F.size(F.split("slot", "/")), F.col("any"), F.col("slot"))
     return fit.groupBy("host").agg(F.max_by("slot", rank).alias("main"))
 
 

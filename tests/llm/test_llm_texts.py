@@ -89,6 +89,23 @@ def test_slot_of_a_host_without_article_marks(spark):
         assert rows[i] == f"Title {n}\n\nFirst & only paragraph {n}.\n\nSecond bold, {n} line"
 
 
+LONG_LIST = "<article><h1>Head {n}</h1><p>Intro {n}.</p><ul>" + "<li>A long item of the list, {n}</li>" * 20 + "</ul></article>"
+BODY = ("<article><h1>Head {n}</h1><div class=body>" + "<p>A long paragraph of the body, {n}</p>" * 20 + "</div><section class=faq><h2>FAQ {n}</h2></section>"
+        "<blockquote>Quote {n}</blockquote></article>")
+PLAIN = "<div class=top><h1>Head {n}</h1></div><div class=text><table><tr><td>Cell {n}</td></tr></table>" + "<p>A long paragraph, {n}</p>" * 20 + "</div>"
+
+
+def test_nothing_unmarked_is_dropped(spark):
+    frame = "<html><body><nav><a>Menu {n}</a></nav>%s<footer>Foot {n}</footer></body></html>"
+    pages = [(k * 100 + i, f"http://{k}.example/{i}", (frame % page).format(n=f"number {i}")) for k, page in enumerate((LONG_LIST, BODY, PLAIN))
+             for i in range(6)]
+    pages += [(900 + k, f"http://one{k}.example/", (frame % page).format(n="x")) for k, page in enumerate((LONG_LIST, BODY, PLAIN))]
+    rows = {r.page_id: r.text for r in X.extract_text(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    for i, _, page in pages:
+        inner = page[page.index("</nav>") + 6 : page.index("<footer>")]
+        assert rows[i] == "\n\n".join(p for p in re.split(r"<[^>]*>", inner) if p)
+
+
 def test_odd_pages(spark):
     pages = [(1, None, None), (2, "http://a.b/", ""), (3, "http://a.b/x", "plain text &lt; only"), (3, "http://a.b/x", "plain text &lt; only"),
              (None, "no url", "<p>open <b>tags"), (5, "http://a.b/", "<article><p>cut off &am"), (6, "http://a.b/", "<div><script>never closed <p>x"),
