@@ -1,6 +1,6 @@
 """Command line: catalogue a tree, report it, or join labels to it.
 
-    python -m filelens.cli catalogue ROOT OUT [--rule subdirs] [--format json|parquet] [--complete]
+    python -m filelens.cli catalogue ROOT OUT [--rule subdirs] [--format json|parquet] [--complete | --spark-listing]
     python -m filelens.cli report ROOT [--rule subdirs] [--buckets a1|a2|a3]
     python -m filelens.cli labels ROOT LABELS OUT [--rule one_level] [--report a3]
 
@@ -48,7 +48,11 @@ def main(argv: list[str] | None = None) -> int:
     lab.add_argument("out")
     for p in (cat, rep, lab):
         p.add_argument("--rule", choices=RULES, default="subdirs")
-        p.add_argument("--complete", action="store_true", help="walk on executors (hidden/empty files too)")
+        how = p.add_mutually_exclusive_group()
+        how.add_argument("--complete", dest="complete", action="store_const", const=True, default=None,
+                         help="walk on executors, hidden and empty files too (the default for plain paths)")
+        how.add_argument("--spark-listing", dest="complete", action="store_const", const=False,
+                         help="list with Spark's file source, which leaves hidden and empty files out")
     for p in (cat, lab):
         p.add_argument("--format", choices=("json", "parquet"), default="parquet")
     lab.add_argument("--report", choices=sorted(BUCKETS), default=None,

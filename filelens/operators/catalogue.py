@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from filelens.functions import paths as P
 from filelens.functions.flatten import nested_field
+from filelens.operators.skew import skew_join
 
 CATALOGUE_COLUMNS = ("full_path", "file_id", "file_name", "folder_name", "file_size")
 CATALOGUE_SCHEMA = T.StructType(
@@ -78,14 +79,15 @@ def file_catalogue(paths: DataFrame, path: str = "full_path", size: str = "file_
 
 
 def catalogue_files(spark: SparkSession, root: str, rule: str = "subdirs", pattern: str | None = None,
-                    complete: bool = False) -> DataFrame:
-    """List a tree and build its catalogue in one lazy plan."""
+                    complete: bool | None = None) -> DataFrame:
+    """List a tree and build its catalogue; plain paths are walked, hidden and
+    empty files included (see :func:`~filelens.sources.files.scan_files`)."""
     from filelens.sources.files import scan_files
 
     return file_catalogue(scan_files(spark, root, rule=rule, pattern=pattern, complete=complete))
 
 
-def catalogue_roots(spark: SparkSession, roots: Mapping[str, str], rule: str = "subdirs", complete: bool = False,
+def catalogue_roots(spark: SparkSession, roots: Mapping[str, str], rule: str = "subdirs", complete: bool | None = None,
                     name: str = "dataset") -> DataFrame:
     """Catalogue several dataset roots into one table tagged by dataset name
     (``{"cctv": "/mnt/cctv/*", "sand": "/mnt/sand/*"}``); report it with
@@ -104,7 +106,8 @@ def _check_key_types(left: DataFrame, right: DataFrame, key: str) -> None:
         )
 
 
-def join_labels(files: DataFrame, labels: DataFrame, key: str = "file_id", drop_key: bool = True) -> DataFrame:
+def join_labels(files: DataFrame, labels: DataFrame, key: str = "file_id", drop_key: bool = True,
+                hot_keys: bool = False) -> DataFrame:
     """Inner equi-join of files and labels; many-to-many multiplicity kept.
 
     The planner chooses: a side is broadcast only below
@@ -112,10 +115,12 @@ def join_labels(files: DataFrame, labels: DataFrame, key: str = "file_id", drop_
     with adaptive execution the shuffles, report; otherwise it is a sort-merge
     join whose skewed partitions are split.  Key types must agree up front, so
     a numeric JSON id never turns into an implicit cast of the path-derived
-    side.
+    side.  ``hot_keys=True`` looks for keys that hold a large share of the files
+    first and joins their rows apart (:func:`~filelens.operators.skew.skew_join`);
+    ``files`` is then read more than once.
     """
     _check_key_types(files, labels, key)
-    joined = files.join(labels, on=key, how="inner")
+    joined = skew_join(files, labels, [key]) if hot_keys else files.join(labels, on=key, how="inner")
     return joined.drop(key) if drop_key else joined
 
 
