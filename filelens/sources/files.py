@@ -3,11 +3,12 @@
 Two listers produce the same ``(full_path string, file_size bigint)`` table:
 
 * :func:`walk_files` - an executor-side walk, the default for paths on a
-  shared mount.  The tree is read level by level: each round lists the folders
-  found by the last one, every folder a work unit of its own, spread by hash
-  over all tasks; what a round found is written to the shared scratch folder,
-  so nothing of the listing passes through the driver and a lost executor
-  costs one round at most.  Hidden, ``_name`` and empty files are included.
+  shared mount.  The folders of the tree are found level by level, every folder
+  a row of a table in the shared scratch folder, so nothing of the listing
+  passes through the driver and a lost executor costs one round at most; the
+  files are then listed and sized by the ``file_tree`` data source
+  (:mod:`filelens.sources.tree`), in as many partitions as their number asks
+  for.  Hidden, ``_name`` and empty files are included.
 * :func:`list_files` - Spark's ``binaryFile`` source, for stores that only
   Spark reads.  Only ``path`` and ``length`` are selected, so file bodies are
   never read.  Spark keeps the status of every listed file on the driver and,
@@ -31,12 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filelens.functions import paths as P
-from filelens.session import default_parallelism, scratch_path, ship_package
+from filelens.session import default_parallelism, ship_package
+from filelens.sources import tree
+from filelens.sources.tree import LISTING, in_batches
 
 RULES = ("subdirs", "no_zip", "one_level", "all")
-LISTING = "full_path string, file_size bigint"
 _WILD = re.compile(r"[*?]|\[[^\]]+\]")
-_BATCH_ROWS = 20_000
 
 
 def paths_to_df(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -82,73 +83,27 @@ def list_files(spark: SparkSession, root: str | Sequence[str], pattern: str | No
     return df.select(P.strip_uri("path").alias("full_path"), F.col("length").cast("bigint").alias("file_size"))
 
 
-def _entries(folder: str, follow_links: bool) -> Iterator[tuple[str, bool]]:
-    """``path, is folder`` of what ``folder`` holds (entry types come with the
-    folder, no ``stat``); links to folders are folders if they are followed and
-    otherwise left out, dangling links are listed as files."""
-    with os.scandir(folder) as it:
-        for entry in it:
-            if entry.is_dir(follow_symlinks=follow_links):
-                yield entry.path, True
-            elif not entry.is_dir(follow_symlinks=True):
-                yield entry.path, False
-
-
-def _in_batches(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
-    batch: list[tuple] = []
-    for row in rows:
-        batch.append(row)
-        if len(batch) == _BATCH_ROWS:
-            yield pd.DataFrame(batch, columns=columns)
-            batch = []
-    if batch:
-        yield pd.DataFrame(batch, columns=columns)
-
-
 def walk_files(spark: SparkSession, tops: Sequence[str] | DataFrame, follow_links: bool = False,
-               num_partitions: int | None = None, recursive: bool = True, errors: str = "raise") -> DataFrame:
+               num_partitions: int | None = None, recursive: bool = True, errors: str = "raise",
+               pattern: str | None = None) -> DataFrame:
     """Executor-side walk of the given folders (a list, or a DataFrame ``top``).
 
-    ``recursive=False`` lists the files directly inside each folder only.  The
-    sizes are read last, the paths spread by hash, so a flat folder that holds
-    a third of all files has its ``stat`` calls done by every task.  A folder
-    that cannot be read or a file without a size (removed meanwhile, a dangling
+    ``recursive=False`` lists the files directly inside each folder only;
+    ``pattern`` is a glob for file names, applied before a file is sized.  The
+    folders are found first (:func:`filelens.sources.tree.folders`), then listed
+    by the ``file_tree`` data source in slices, so a flat folder that holds a
+    third of all files is sized by many tasks; ``num_partitions`` replaces the
+    number of tasks that follows from the number of files.  A folder that
+    cannot be read or a file without a size (removed meanwhile, a dangling
     link) raises; ``errors="keep"`` keeps such a file with a null size.
     """
     if errors not in ("raise", "keep"):
         raise ValueError("errors must be 'raise' or 'keep'")
-    n = num_partitions or default_parallelism(spark)
-    ship_package(spark)
-
-    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = (e for folder in pdf["top"] for e in _entries(folder, follow_links))
-            yield from _in_batches(found, ["full_path", "folder"])
-
-    def sizes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def one(path: str) -> int | None:
-            try:
-                return os.stat(path).st_size
-            except OSError:
-                if errors == "raise":
-                    raise
-                return None
-
-        for pdf in batches:
-            yield pd.DataFrame({"full_path": pdf["full_path"], "file_size": pd.array([one(p) for p in pdf["full_path"]], "Int64")})
-
-    level = tops.select("top") if isinstance(tops, DataFrame) else spark.createDataFrame([(t,) for t in tops], "top string")
-    rounds: list[str] = []
-    while True:
-        path = scratch_path(spark, "listing")
-        level.repartition(n, "top").mapInPandas(listed, "full_path string, folder boolean").write.parquet(path)
-        rounds.append(path)
-        found = spark.read.schema("full_path string, folder boolean").parquet(path)
-        level = found.where("folder").select(F.col("full_path").alias("top"))
-        if not recursive or level.isEmpty():
-            break
-    files = spark.read.schema("full_path string, folder boolean").parquet(*rounds).where("NOT folder").select("full_path")
-    return files.repartition(n, "full_path").mapInPandas(sizes, LISTING)
+    if not isinstance(tops, DataFrame):
+        tops = spark.createDataFrame([(t,) for t in tops], "top string")
+    found = tree.folders(spark, tops, follow_links, recursive)
+    named = f"(?s){P.glob_to_regex(pattern)}" if pattern else None
+    return tree.listing(spark, found, num_partitions, errors, named)
 
 
 def glob_tops(spark: SparkSession, root_glob: str, skip_zip: bool = True) -> DataFrame:
@@ -183,7 +138,7 @@ def glob_tops(spark: SparkSession, root_glob: str, skip_zip: bool = True) -> Dat
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                yield from _in_batches((r for f in pdf["top"] for r in found(f)), ["top"])
+                yield from in_batches((r for f in pdf["top"] for r in found(f)), ["top"])
 
         return run
 
@@ -237,7 +192,8 @@ def scan_files(spark: SparkSession, root: str, rule: str = "subdirs", pattern: s
     """List a tree and keep what ``rule`` returns; ``(full_path, file_size)``.
 
     ``complete=True`` walks the matches on the executors (:func:`walk_files`);
-    links to folders are followed only by ``no_zip``.  ``complete=False`` lists
+    links to folders are followed only by ``no_zip``, loops of them end.
+    ``complete=False`` lists
     with ``binaryFile`` (:func:`list_files`).  The default walks plain paths and
     lists URIs (``scheme://``) with Spark's source.
     """
@@ -246,7 +202,7 @@ def scan_files(spark: SparkSession, root: str, rule: str = "subdirs", pattern: s
     globbed = rule in ("subdirs", "one_level")
     if complete or complete is None and "://" not in root:
         tops = glob_tops(spark, root) if globbed else [root.rstrip("/") or "/"]
-        listing = walk_files(spark, tops, follow_links=rule == "no_zip", recursive=rule != "one_level")
+        listing = walk_files(spark, tops, follow_links=rule == "no_zip", recursive=rule != "one_level", pattern=pattern)
     else:
         listing = list_files(spark, hadoop_glob(root.rstrip("/"), literal=not globbed), pattern=pattern)
     if pattern:
