@@ -1,59 +1,87 @@
 """Global order positions without a single-partition window.
 
 ``row_number() over (order by k)`` with no partition moves every row into
-one task.  :func:`assign_batches` gets the same numbers from a range
-shuffle: rows are range-partitioned and sorted by the key, the sorted
-frame is checkpointed (so every later read sees the same order, and lineage
-is cut), per-partition counts give each partition its offset, and the small
-offsets table - one row per partition, so its size is bounded by the
-partition count - is broadcast back.
+one task.  :func:`global_row_index` cuts the order into ranges whose bounds are
+fixed first: rows chosen by the least hashes, a bounded number for each range,
+give the bounds; each row finds its range by bisection over them.  Only the
+bounds (on the driver) and the rows of each range (a table of one row a range,
+broadcast) are kept; the frame itself is neither checkpointed nor stored.  Ties
+on the key are broken by hashes of the whole row, which a repeated task gives
+again, so the positions do not hang on how the input is split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filelens.session import ensure_checkpoint_dir
+#: Rows of a range, on average, and the chosen rows that bound each range.
+ROWS_A_RANGE, CHOSEN_A_RANGE = 500_000, 20
+#: Ranges at most: their bounds are literals of the plan.
+MOST_RANGES = 4096
 
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | row in partition
+
+def _named(c: str) -> Column:
+    return F.col(f"`{c}`")
+
+
+def _place(bounds: Column, n: int, key: Column, df: DataFrame, out: str, step_col: str) -> DataFrame:
+    """Column ``out``: how many of the ``n`` sorted ``bounds`` are not above ``key``."""
+    df = df.withColumn(step_col, key).withColumn(out, F.lit(0))
+    step = 1 << max(n.bit_length() - 1, 0)
+    while step and n:
+        ahead = F.col(out) + step
+        fits = F.when(ahead <= n, F.element_at(bounds, F.least(ahead, F.lit(n))) <= F.col(step_col)).otherwise(F.lit(False))
+        df = df.withColumn(out, F.when(fits, ahead).otherwise(F.col(out)))
+        step >>= 1
+    return df.drop(step_col)
 
 
 def global_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "row_index",
                      num_partitions: int | None = None) -> DataFrame:
-    """0-based position of each row in the total order of ``order_by``."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    tb, mid, part, local, n, offset = (f"__filelens_{x}" for x in ("tb", "mid", "part", "local", "n", "offset"))
-    clash = {tb, mid, part, local, n, offset, index_col} & set(df.columns)
+    """0-based position of each row in the total order of ``order_by`` (nulls first).
+
+    ``num_partitions`` is the number of ranges; by default it follows from the
+    number of rows.  The frame is read three times (the bounds, the counts, the
+    result): give it a table or a plan that gives the same rows each time.
+    Rows that are equal in every column are interchangeable; they lie in one
+    range.
+    """
+    key, tie1, tie2, at, local, n, offset = (f"__filelens_{x}" for x in ("key", "tie1", "tie2", "range", "local", "n", "offset"))
+    clash = {key, tie1, tie2, at, local, n, offset, index_col} & set(df.columns)
     if clash:
         raise ValueError(f"input already has column(s) {sorted(clash)}")
-    # Ties on the key are broken by input position, so the order is total and
-    # the range shuffle can cut even a key that holds a third of the rows
-    # into several partitions.
-    tagged = df.withColumn(tb, F.monotonically_increasing_id())
-    keys = [F.col(c) for c in order_by] + [F.col(tb)]
-    ranged = tagged.repartitionByRange(num_partitions, *keys) if num_partitions else tagged.repartitionByRange(*keys)
-    ordered = ranged.sortWithinPartitions(*keys).drop(tb).withColumn(mid, F.monotonically_increasing_id())
-    ordered = ordered.checkpoint(eager=True)
-    ordered = ordered.withColumn(part, F.shiftright(mid, _LOCAL_BITS)).withColumn(
-        local, F.col(mid).bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-    counts = ordered.groupBy(part).agg(F.count(F.lit(1)).alias(n))
-    w = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(part, F.coalesce(F.sum(n).over(w), F.lit(0)).alias(offset))
-    out = ordered.join(F.broadcast(offsets), part)
-    return out.withColumn(index_col, F.col(offset) + F.col(local)).drop(mid, part, local, offset)
+    whole = [_named(c) for c in df.columns]
+    tied = df.withColumn(tie1, F.xxhash64(*whole)).withColumn(tie2, F.hash(*whole))
+    order = [*order_by, tie1, tie2]
+    ranges = num_partitions or -(-df.count() // ROWS_A_RANGE)
+    ranges = max(1, min(ranges, MOST_RANGES))
+    if ranges > 1:
+        chosen = tied.orderBy(F.xxhash64(F.col(tie1), F.col(tie2)), *map(_named, order)).limit(ranges * CHOSEN_A_RANGE).select(*map(_named, order))
+        # a bounded number of rows, sorted by Spark's own order
+        rows = chosen.orderBy(*[_named(c).asc_nulls_first() for c in order]).collect()
+        rows = [rows[i * len(rows) // ranges] for i in range(1, ranges)] if rows else []
+        types = {f.name: f.dataType for f in tied.schema.fields}
+        as_struct = lambda values: F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order, values, strict=True)])
+        tied = _place(F.array(*map(as_struct, rows)), len(rows), F.struct(*map(_named, order)), tied, at, key) if rows else tied.withColumn(at, F.lit(0))
+    else:
+        tied = tied.withColumn(at, F.lit(0))
+    counts = tied.groupBy(at).agg(F.count(F.lit(1)).alias(n))
+    before = Window.orderBy(at).rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = counts.select(F.col(at).alias(key), F.coalesce(F.sum(n).over(before), F.lit(0)).alias(offset))
+    inside = Window.partitionBy(at).orderBy(*[_named(c).asc_nulls_first() for c in order])
+    placed = tied.withColumn(local, F.row_number().over(inside).cast("bigint") - 1)
+    out = placed.join(F.broadcast(offsets), F.col(at) == F.col(key))
+    return out.withColumn(index_col, F.col(offset) + F.col(local)).select(*whole, index_col)
 
 
 def assign_batches(df: DataFrame, order_by: Sequence[str], size: int, batch_col: str = "batch_id",
                    index_col: str = "row_index", num_partitions: int | None = None) -> DataFrame:
     """Cut the rows, in ``order_by`` order, into consecutive batches of ``size``.
 
-    ``num_partitions`` sizes the range shuffle (default
-    ``spark.sql.shuffle.partitions``); set it from the data volume so each
-    range fits a task.
+    ``num_partitions`` is the number of ranges (default: by the number of rows).
     """
     if size <= 0:
         raise ValueError("size must be positive")

@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WRITE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
@@ -61,6 +64,57 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "pa
     return name
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: the length of text and binary ones, eight of
+    any other, none of a null."""
+    total = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        n = F.octet_length(c) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.when(c.isNotNull(), 8)
+        total = total + F.coalesce(n, F.lit(0))
+    return total
+
+
+class Replaced(NamedTuple):
+    """What :func:`replace_table` wrote: rows and bytes of values as counted
+    by the write itself, where they lie now and where the table lay before."""
+
+    rows: int
+    value_bytes: int
+    location: str
+    before: str | None
+
+
+def replace_table(df: DataFrame, name: str, root: str) -> Replaced:
+    """Replace the rows of an external Parquet table without a gap.
+
+    The rows are written to a fresh folder under ``root`` (the write counts them
+    on its way), and only then the table's location is set to it: readers see
+    the old rows or the new ones, and a write that fails leaves the table as it
+    was.  The table is created if there is none; its columns have to stay the
+    same, a frame of other columns raises before anything is written.  The
+    folder of the version before is left to the caller, as queries may still be
+    reading it; ``df`` may read the table itself.
+    """
+    spark = df.sparkSession
+    before = None
+    if spark.catalog.tableExists(name):
+        have, new = (f.simpleString() for f in (spark.table(name).schema, df.schema))
+        if have != new:
+            raise ValueError(f"{name} has the columns {have}, the new rows {new}")
+        before = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}["Location"]
+    location = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("value_bytes"))
+    counted.write.mode("error").parquet(location)
+    if before is None:
+        create_table(spark, name, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), location=location)
+    else:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(name)
+    return Replaced(seen.get["rows"], seen.get["value_bytes"], location, before)
+
+
 def create_table(spark: SparkSession, name: str, columns_ddl: str, using: str = "parquet",
                  partition_by: Sequence[str] = (), location: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS`` with declared column types."""
@@ -75,7 +129,8 @@ def create_table(spark: SparkSession, name: str, columns_ddl: str, using: str =
 
 def parquet_to_table(spark: SparkSession, path: str, name: str, mode: str = "overwrite",
                      location: str | None = None) -> str:
-    """Load a Parquet folder into a catalog table (external at ``location``)."""
+    """Load a Parquet folder into a catalog table (external at ``location``);
+    :func:`replace_table` of the folder's rows does so without a gap."""
     return save_table(spark.read.parquet(path), name, mode=mode, path=location)
 
 

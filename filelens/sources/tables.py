@@ -6,12 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_catalogue(spark: SparkSession, path: str, datasets: list[str] | None = None,
+def read_catalogue(spark: SparkSession, path: str, datasets: list[str] | DataFrame | None = None,
                    partition: str = "dataset") -> DataFrame:
     """A saved catalogue (Parquet, any compression) - filters and column
     choices downstream are pushed into the scan.  ``datasets`` keeps only
-    those values of the partition column, so only their folders are read."""
+    those values of the partition column, so only their folders are read.
+
+    ``datasets`` may be a table of names (its first column; repeated names
+    count once): the names then stay in Spark, and the scan is pruned at run
+    time by the filtered table (dynamic partition pruning)."""
     df = spark.read.parquet(path)
+    if isinstance(datasets, DataFrame):
+        names = datasets.select(F.col(f"`{datasets.columns[0]}`").alias(partition))
+        # the optimizer prunes by a side with a comparison only; this one every name passes
+        names = names.where(F.length(partition) >= 0)
+        return df.join(names, partition, "left_semi").select(*df.columns)
     if datasets is not None:
         df = df.filter(F.col(partition).isin(*datasets))
     return df
