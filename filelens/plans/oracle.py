@@ -105,6 +105,16 @@ FROM lineitem GROUP BY l_returnflag"""
     return f"SELECT *, {_fmt('total_bytes')} AS total_size FROM ({inner})"
 
 
+def _crc_table() -> list[int]:
+    """What one byte does to a CRC-32 (reflected polynomial 0xEDB88320)."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return table
+
+
 SQL: dict[str, str] = {
     "file_catalogue": DOC_CATALOGUE,
     "url_catalogue": _url_catalogue(),
@@ -230,12 +240,39 @@ UNION ALL SELECT *, 'pages' FROM ({_url_catalogue()})
 UNION ALL SELECT '/conversations/' || conv_id || '/' || turn || '_' || role || '.txt', turn || '_' || role, turn || '_' || role || '.txt',
        CAST(conv_id AS VARCHAR), CAST(strlen(text) AS BIGINT), 'conversations' FROM conversations""",
     "list_tables": """
-SELECT 'filelens_catalogues' AS table_schema, 'documents_files' AS table_name, count(*) AS n_rows FROM documents
-UNION ALL SELECT 'filelens_catalogues', 'pages_files', count(*) FROM pages
-UNION ALL SELECT 'filelens_catalogues', 'conversations_files', count(*) FROM conversations""",
+SELECT 'filelens_catalogues' AS table_schema, 'documents_files' AS table_name, 2 AS position, count(*) AS n_rows FROM documents
+UNION ALL SELECT 'filelens_catalogues', 'pages_files', 3, count(*) FROM pages
+UNION ALL SELECT 'filelens_catalogues', 'conversations_files', 1, count(*) FROM conversations""",
+    "listed_files": f"""
+WITH t AS (SELECT t.*, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes FROM ({TREE}) t JOIN documents d ON d.doc_id = t.doc_id)
+SELECT 'subdirs' AS rule, full_path, n_bytes AS file_size FROM t WHERE source LIKE 'src1%' AND doc_id % 8 IN (2, 3, 5, 6, 7)
+UNION ALL SELECT 'one_level', full_path, n_bytes FROM t WHERE source LIKE 'src1%' AND lang LIKE 'e%' AND doc_id % 8 IN (2, 4, 5, 6, 7)
+UNION ALL SELECT 'no_zip', full_path, n_bytes FROM t WHERE doc_id % 8 NOT IN (0, 2)""",
+    "archive_members": f"""
+WITH b AS (SELECT source, lang, doc_id, text, CASE WHEN text = '' THEN [] ELSE
+             list_transform(range(0, strlen(text)), lambda i: CAST('0x' || substr(hex(text), 2 * i + 1, 2) AS BIGINT)) END AS bs FROM documents)
+SELECT source, lang || '/doc_' || CAST(doc_id AS VARCHAR) || '.txt' AS member, CAST(strlen(text) AS BIGINT) AS length,
+       xor(list_reduce(list_prepend(4294967295::BIGINT, bs), lambda h, b: xor(h >> 8, CAST(({_crc_table()})[xor(h & 255, b) + 1] AS BIGINT))),
+           4294967295::BIGINT) AS crc32, true AS ok
+FROM b""",
+    "undeclared_labels": """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS "props.k",
+       CASE WHEN event_id % 2 <> 0 THEN value END AS "props.more.deep.v", CASE WHEN event_id % 2 <> 0 THEN event_type END AS "props.more.kind"
+FROM events""",
+    "replaced_table": """
+SELECT *, count(*) OVER () AS n_written FROM orders WHERE o_orderstatus <> 'O'""",
+    "datasets_by_table": f"""
+SELECT * FROM (SELECT *, 'documents' AS dataset FROM ({DOC_CATALOGUE})
+UNION ALL SELECT '/conversations/' || conv_id || '/' || turn || '_' || role || '.txt', turn || '_' || role, turn || '_' || role || '.txt',
+       CAST(conv_id AS VARCHAR), CAST(strlen(text) AS BIGINT), 'conversations' FROM conversations)""",
+    "hot_label_catalogue": """
+SELECT CAST(p_partkey AS VARCHAR) AS file_id, l_orderkey AS order_key, l_linenumber AS line, p_brand AS brand
+FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 3 <> 0
+UNION ALL SELECT 'hot', l_orderkey, l_linenumber, p_brand FROM lineitem, part WHERE l_orderkey % 3 = 0 AND p_partkey <= 3""",
     "lineitem_catalogue": LI_CATALOGUE,
     "lineitem_type_counts": _li_type_counts(),
     "label_paths": f"""
 SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS file_id, {PATH} AS label_paths
 FROM documents WHERE doc_id % 6 = 4""",
 }
+SQL["constraint_batches"] = SQL["check_constraints"]

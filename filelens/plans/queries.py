@@ -20,12 +20,17 @@ from filelens.operators import batches, catalogue, constraints, stats
 from filelens.plans import testdata as td
 from filelens.session import default_parallelism, scratch_path
 from filelens.sinks import tables as sinks
-from filelens.sources import archives
+from filelens.sinks.files import write_files
+from filelens.sources import archives, members, variants
 from filelens.sources import files as scan
 from filelens.sources import labels as lbl
 from filelens.sources import tables as srcs
 
 
+#: Label documents of one multi-line JSON file.
+LABELS_A_FILE = 10_000
+
+
 def _three_catalogues(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three datasets of the multi-dataset report, each as a catalogue."""
     return {
@@ -190,39 +195,49 @@ def q_check_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_expand_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = td.table(spark, sf_dir, "documents")
-    members = docs.select(
-        F.concat(F.lit("/archives/"), F.col("source"), F.lit(".zip")).alias("archive"),
-        F.concat_ws("/", F.col("lang"), F.concat(F.lit("doc_"), F.col("doc_id").cast("string"),
-                                                    F.lit(".txt"))).alias("member"),
-        F.encode("text", "UTF-8").alias("content"),
-    )
-    packed = archives.pack_archives(members)
+    packed = archives.pack_archives(td.documents_as_members(spark, sf_dir))
     out = archives.expand_archives(packed, num_partitions=default_parallelism(spark))
     return out.select(P.folder_name("archive").alias("source"), "member", "length",
                       F.md5("content").alias("content_md5"))
 
 
+def _resolved(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of an external table of this run, whose name goes again; its files stay."""
+    df = srcs.read_table(spark, name)
+    df.schema  # noqa: B018 - resolved while the table is known
+    spark.sql(f"DROP TABLE {name}")
+    return df
+
+
 def q_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = td.table(spark, sf_dir, "orders")
-    name = sinks.save_table(orders, "filelens_orders_copy", path=scratch_path(spark, "orders-table"))
-    return srcs.read_table(spark, name)
+    name = sinks.save_table(orders, sinks.unique_table_name("filelens_orders_copy"), path=scratch_path(spark, "orders-table"))
+    return _resolved(spark, name)
 
 
 def q_parquet_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Parquet folder loaded into a catalog table."""
     path = sinks.write_parquet(td.table(spark, sf_dir, "orders"), scratch_path(spark, "orders-parquet"))
-    name = sinks.parquet_to_table(spark, path, "filelens_orders_loaded", location=scratch_path(spark, "orders-loaded"))
-    return srcs.read_table(spark, name)
+    name = sinks.parquet_to_table(spark, path, sinks.unique_table_name("filelens_orders_loaded"), location=scratch_path(spark, "orders-loaded"))
+    return _resolved(spark, name)
+
+
+def q_replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of orders replaced, from itself, by those that are not open,
+    and the rows that the write counted."""
+    name, root = sinks.unique_table_name("filelens_orders"), scratch_path(spark, "orders-versions")
+    sinks.replace_table(td.table(spark, sf_dir, "orders"), name, root)
+    closed = srcs.read_table(spark, name).where("o_orderstatus <> 'O'")
+    done = sinks.replace_table(closed, name, root)
+    return _resolved(spark, name).withColumn("n_written", F.lit(done.rows).cast("bigint"))
 
 
 def q_create_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue's target table by its declared types, filled and read back."""
-    spark.sql("DROP TABLE IF EXISTS filelens_file_data")
-    name = sinks.create_table(spark, "filelens_file_data", sinks.CATALOGUE_SPARK_DDL, location=scratch_path(spark, "file-data"))
+    name = sinks.create_table(spark, sinks.unique_table_name("filelens_file_data"), sinks.CATALOGUE_SPARK_DDL, location=scratch_path(spark, "file-data"))
     cat = catalogue.file_catalogue(td.documents_as_files(spark, sf_dir))
     cat.write.insertInto(name)
-    return srcs.read_table(spark, name)
+    return _resolved(spark, name)
 
 
 def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,15 +246,41 @@ def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = td.part_as_labels(spark, sf_dir)
     body = F.to_json(F.struct(*nested.columns), {"pretty": "true"})
     path = scratch_path(spark, "label-json")
-    # one array a file: the multi-line reader takes whole files
-    files = nested.select(body.alias("value"), F.pmod(F.xxhash64("id"), F.lit(max(8, default_parallelism(spark)))).alias("file"))
-    grouped = files.repartition("file").groupBy("file").agg(F.concat_ws(",\n", F.collect_list("value")).alias("value"))
+    # one array a file, as the multi-line reader takes whole files; the files follow from the rows
+    n_files = -(-nested.count() // LABELS_A_FILE)
+    files = nested.select(body.alias("value"), F.pmod(F.xxhash64("id"), F.lit(max(1, n_files))).alias("file"))
+    grouped = files.groupBy("file").agg(F.concat_ws(",\n", F.collect_list("value")).alias("value"))
     grouped.select(F.concat(F.lit("["), "value", F.lit("]")).alias("value"), "file").write.partitionBy("file").text(path)
     folders = scan.paths_to_df(spark, [path])
     read = lbl.read_labels(spark, [r.full_path for r in folders.collect()], multi_line=True)
     return catalogue.select_label_fields(read)
 
 
+def q_undeclared_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON of two shapes under no declared schema, one column a field."""
+    return variants.flatten_undeclared(td.events_as_mixed_json(spark, sf_dir), "props")
+
+
+def q_listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as files, listed and sized by each rule."""
+    root = write_files(td.documents_as_tree_files(spark, sf_dir), scratch_path(spark, "tree"))
+    found = [scan.scan_files(spark, f"{root}/data{glob}", rule=rule).select(F.lit(rule).alias("rule"), "full_path", "file_size")
+             for rule, glob in (("subdirs", "/src1*"), ("one_level", "/src1*/e*"), ("no_zip", ""))]
+    paths = catalogue.union_labels(found)
+    return paths.select("rule", F.expr(f"substring(full_path, {len(root) + 1})").alias("full_path"), "file_size")
+
+
+def q_archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed to archives on disk, which are found, read in
+    chunks and checked: size and checksum of each member."""
+    packed = archives.pack_archives(td.documents_as_members(spark, sf_dir))
+    flat = packed.select(F.regexp_replace(F.substring("path", 2, 1 << 20), "/", "=").alias("path"), "content")
+    root = write_files(flat, scratch_path(spark, "archives"))
+    totals = members.member_totals(members.member_chunks(spark, root, chunk_bytes=4096))
+    source = F.split_part(P.file_name("archive"), F.lit("="), F.lit(2))
+    return totals.select(source.alias("source"), "member", "length", "crc32", "ok")
+
+
 def q_parquet_gzip_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.write_parquet(td.table(spark, sf_dir, "orders"), scratch_path(spark, "orders-gzip"), compression="gzip")
     return srcs.read_catalogue(spark, path)
@@ -276,17 +317,43 @@ def q_label_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three catalogues saved as tables of one database; the listing of
-    that database with the rows of each table."""
-    db = "filelens_catalogues"
-    spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    that database, in its order, with the rows of each table."""
+    db = sinks.unique_table_name("filelens_catalogues")
     spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'catalogues-db')}'")
-    names = []
     for name, cat in _three_catalogues(spark, sf_dir).items():
-        names.append(sinks.save_table(cat, f"{db}.{name}_files", path=scratch_path(spark, f"{name}-files")))
-    rows = [srcs.read_table(spark, n).groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(n.split(".")[1]).alias("table_name"), "n_rows") for n in names]
-    return srcs.list_tables(spark, db).join(catalogue.union_labels(rows), "table_name").select(
-        "table_schema", "table_name", "n_rows")
+        sinks.save_table(cat, f"{db}.{name}_files", path=scratch_path(spark, f"{name}-files"))
+    shown = [tuple(r) for r in srcs.list_tables(spark, db).collect()]  # a catalog's listing is on the driver anyway
+    rows = [_resolved(spark, f"{schema}.{name}").groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(schema.replace(db, "filelens_catalogues")).alias("table_schema"), F.lit(name).alias("table_name"), F.lit(at).alias("position"), "n_rows")
+        for at, (schema, name) in enumerate(shown, 1)]
+    spark.sql(f"DROP DATABASE {db}")
+    return catalogue.union_labels(rows)
+
+
+def q_datasets_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogues whose names a table lists, its inactive ones left out."""
+    path = sinks.write_parquet(catalogue.catalogue_datasets(_three_catalogues(spark, sf_dir)), scratch_path(spark, "catalogues"), partition_by=["dataset"])
+    names = td.dataset_names(spark, sf_dir)
+    listed = sinks.write_parquet(names, scratch_path(spark, "dataset-names"))
+    return srcs.read_catalogue(spark, path, datasets=spark.read.parquet(listed).where("active").select("name"))
+
+
+def q_constraint_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Constraints of a catalogue that arrives in three batches."""
+    cat = catalogue.file_catalogue(td.pages_as_odd_files(spark, sf_dir))
+    state = constraints.ConstraintState(spark, scratch_path(spark, "constraint-state"), buckets=default_parallelism(spark))
+    for batch in range(3):
+        state.add(cat.where(F.pmod(F.xxhash64("full_path"), F.lit(3)) == batch))
+    out = state.violations()
+    out.schema  # noqa: B018 - resolved while the table is known
+    state.drop()
+    return out
+
+
+def q_hot_label_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels joined to files of which a third carries one key."""
+    files, labels = td.lineitem_by_hot_key(spark, sf_dir), td.part_labels_with_hot_key(spark, sf_dir)
+    return catalogue.join_labels(files, labels, drop_key=False, hot_keys=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -329,4 +396,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lineitem_catalogue": q_lineitem_catalogue,
     "lineitem_type_counts": q_lineitem_type_counts,
     "list_tables": q_list_tables,
+    "listed_files": q_listed_files,
+    "archive_members": q_archive_members,
+    "undeclared_labels": q_undeclared_labels,
+    "replaced_table": q_replaced_table,
+    "constraint_batches": q_constraint_batches,
+    "datasets_by_table": q_datasets_by_table,
+    "hot_label_catalogue": q_hot_label_catalogue,
 }

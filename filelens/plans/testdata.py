@@ -63,13 +63,57 @@ TREE_PLACES = {
 }
 
 
+def _tree_place() -> F.Column:
+    branches = " ".join(f"WHEN {k} THEN {place}" for k, place in TREE_PLACES.items())
+    return F.expr(f"CASE pmod(doc_id, 8) {branches} ELSE concat('/data/', source, '/', lang, '/doc_', doc_id, '.txt') END")
+
+
 def documents_as_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing over ``documents`` in which every clause of the listing rules
     meets files that it keeps and files that it drops (``TREE_PLACES``)."""
     docs = table(spark, sf_dir, "documents")
-    branches = " ".join(f"WHEN {k} THEN {place}" for k, place in TREE_PLACES.items())
-    path = f"CASE pmod(doc_id, 8) {branches} ELSE concat('/data/', source, '/', lang, '/doc_', doc_id, '.txt') END"
-    return docs.select(F.expr(path).alias("full_path"), F.col("n_chars").cast("bigint").alias("file_size"))
+    return docs.select(_tree_place().alias("full_path"), F.col("n_chars").cast("bigint").alias("file_size"))
+
+
+def documents_as_tree_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tree as files to write: ``path`` (relative) and ``content``, the text."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(F.substring(_tree_place(), 2, 1 << 20).alias("path"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"))
+
+
+def documents_as_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as archive members: ``/archives/<source>.zip`` holds ``<lang>/doc_<id>.txt``."""
+    docs = table(spark, sf_dir, "documents")
+    member = F.concat_ws("/", F.col("lang"), F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    return docs.select(F.concat(F.lit("/archives/"), F.col("source"), F.lit(".zip")).alias("archive"), member.alias("member"),
+                       F.encode("text", "UTF-8").alias("content"))
+
+
+def events_as_mixed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_id, props``: every other event's JSON has more fields, nested two deep."""
+    events = table(spark, sf_dir, "events")
+    more = F.expr("concat(left(props, length(props) - 1), ', \"more\": {\"kind\": \"', event_type, '\", \"deep\": {\"v\": ', CAST(value AS STRING), '}}}')")
+    return events.select("event_id", F.when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(more).alias("props"))
+
+
+def dataset_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``name, active``: names of datasets, some twice, some inactive, from ``region``."""
+    names = F.element_at(F.array(*map(F.lit, ("documents", "pages", "conversations", "documents", "missing"))), F.col("r_regionkey").cast("int") + 1)
+    return table(spark, sf_dir, "region").select(names.alias("name"), (F.col("r_regionkey") != 1).alias("active"))
+
+
+def lineitem_by_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``file_id, order_key, line``: every third order's lines carry one key."""
+    li = table(spark, sf_dir, "lineitem")
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit("hot")).otherwise(F.col("l_partkey").cast("string"))
+    return li.select(key.alias("file_id"), F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line"))
+
+
+def part_labels_with_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``file_id, brand`` of every part, and labels of the hot key from the parts of key 1 to 3."""
+    part = table(spark, sf_dir, "part")
+    hot = part.where("p_partkey <= 3").select(F.lit("hot").alias("file_id"), F.col("p_brand").alias("brand"))
+    return part.select(F.col("p_partkey").cast("string").alias("file_id"), F.col("p_brand").alias("brand")).unionByName(hot)
 
 
 def pages_as_odd_files(spark: SparkSession, sf_dir: str) -> DataFrame:
