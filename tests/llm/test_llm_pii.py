@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import time
+from collections import Counter, defaultdict
 
 from filelens.llm import pii
 
@@ -34,6 +37,57 @@ def test_patterns_on_random_texts():
         assert pii.base_spans(t) == brute(t)
 
 
+def test_long_runs_of_digits_take_linear_time_and_no_crash():
+    t0 = time.perf_counter()
+    assert pii.base_spans("0" * 200_000) == []
+    assert pii.base_spans("7" * 200_000 + ".1.2.3") == []
+    assert pii.base_spans("1." * 100_000 + "1") == [(8 * i, 8 * i + 7, "ip") for i in range(25_000)]
+    assert pii.base_spans("x " + "0" * 6000 + "12.0.00.255 y") == [(2, 6013, "ip")]
+    assert time.perf_counter() - t0 < 2
+
+
+def brute_disclosing(docs):
+    """``(entity, term): disclosure`` by counting lines one by one."""
+    words = re.compile(r"[^\W\d_]+")
+    n, n_term, n_entity, contexts, both = 0, Counter(), Counter(), defaultdict(set), Counter()
+    for _, text in docs:
+        spans, at = brute(text or ""), 0
+        for line in (text or "").split("\n"):
+            n += 1
+            n_term.update({m[0] for m in words.finditer(line.lower())})
+            own = [s for s in spans if at <= s[0] <= at + len(line)]
+            free = [m[0].lower() for m in words.finditer(line) if not any(a < m.end() + at and m.start() + at < b for a, b, _ in own)]
+            for e in {f"{k}:{text[a:b].lower()}" for a, b, k in own}:
+                n_entity[e] += 1
+                for t in set(free):
+                    both[e, t] += 1
+                    contexts[e, t].add(tuple(free))
+            at += len(line) + 1
+    told, least = {}, math.log(max(len(both), 1) / pii.CHANCE)
+    for (e, t), k in both.items():
+        m, support = n_term[t] * n_entity[e] / n, len(contexts[e, t])
+        surprise = support * math.log(support / m) - support + m if support > m else 0.0
+        if n_entity[e] < n and surprise >= least:
+            share = 1 - math.log(n_term[t] / k) / math.log(n / n_entity[e])
+            if share >= pii.DISCLOSURE:
+                told[e, t] = share
+    return told
+
+
+def test_disclosing_terms_against_counting(spark, documents):
+    rng = random.Random(4)
+    docs = _corpus() + [(1000 + i, t) for i, t, *_ in documents]
+    for i in range(300):  # entities with terms of their own, shared ones, and copies of lines
+        who = rng.randrange(8)
+        extra = rng.choice(["", f"nick{'abcdefgh'[who]}", "team", f"nick{'abcdefgh'[rng.randrange(8)]}"])
+        docs.append((3000 + i, f"{extra} {rng.choice(['met', 'saw', 'called'])} user{who}@site.example.org {rng.choice(['here', 'there', 'then'])}\n{extra}"))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("doc_id", "coalesce(text, '') AS text")
+    got = {(r.entity, r.term): r.disclosure for r in pii.disclosing_terms(df, pii.entity_spans(df)).collect()}
+    want = brute_disclosing(docs)
+    assert got.keys() == want.keys() and len(want) > 5
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_luhn():
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
 
@@ -94,7 +148,7 @@ def test_replacement_of_overlapping_spans():
 def test_counts_of_terms_cover_all_lines(spark):
     df = spark.createDataFrame([(i, "alpha beta\nalpha\nGamma alpha alpha") for i in range(50)], "doc_id bigint, text string")
     terms = spark.createDataFrame([("alpha",), ("gamma",), ("none",)], "term string")
-    assert {r.term: r.n_term for r in pii._term_lines(df, terms).collect()} == {"alpha": 150, "gamma": 50}
+    assert {r.term: r.n_term for r in pii.term_lines(df, terms).collect()} == {"alpha": 150, "gamma": 50}
 
 
 def test_two_contexts_are_evidence_for_a_rare_term(spark):
