@@ -6,6 +6,7 @@ import hashlib
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,12 @@ def tag(stem: str) -> str:
     return f"__{stem}_{uuid.uuid4().hex[:8]}"
 
 
+def refuse(df: DataFrame, *names: str) -> None:
+    """Raise if ``df`` has a column of a name that a result adds (case does not count)."""
+    if clash := {n.lower() for n in names} & {c.lower() for c in df.columns}:
+        raise ValueError(f"input already has column(s) {sorted(clash)}; rename them first")
+
+
 def ready(spark: SparkSession) -> None:
     """Ship the package to the executors; have a checkpoint folder."""
     ensure_checkpoint_dir(spark)
@@ -102,6 +109,42 @@ def prefiltered(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
     return found.where(F.call_function("shiftright", byte, at.bitwiseAND(7).cast("int")).bitwiseAND(1) == 1).select(*rows.columns)
 
 
+def split_by(rows: DataFrame, wanted: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those whose ``keys`` occur in ``wanted`` and a few others,
+    and those whose slot of the bitmap (see :func:`prefiltered`) is empty, which
+    need no shuffle to meet ``wanted``."""
+    slot = F.pmod(F.xxhash64(*keys), F.lit(1 << SLOT_BITS))
+    b, m, s = tag("bucket"), tag("map"), tag("slot")
+    maps = slot_maps(wanted, slot).select(F.col("bucket").alias(b), F.col("bits").alias(m))
+    at = F.col(s).bitwiseAND((1 << _MAP_BITS) - 1)
+    byte = F.conv(F.hex(F.substring(m, F.shiftright(at, 3).cast("int") + 1, 1)), 16, 10).cast("int")
+    found = rows.withColumn(s, slot).join(F.broadcast(maps), F.shiftright(s, _MAP_BITS) == F.col(b), "left")
+    hit = F.coalesce(F.call_function("shiftright", byte, at.bitwiseAND(7).cast("int")).bitwiseAND(1) == 1, F.lit(False))
+    return found.where(hit).select(*rows.columns), found.where(~hit).select(*rows.columns)
+
+
+class Slots:
+    """Which hashes occur in a column of evenly spread 64-bit hashes, as a
+    broadcast bitmap: eight slots a distinct hash, within bounds (512 KiB to
+    16 MiB), so a task can drop most rows that have no partner before a shuffle.
+    A hash that occurs is always held."""
+
+    LEAST, MOST = 22, 27
+
+    def __init__(self, spark: SparkSession, hashes: DataFrame, column: str):
+        n = max(hashes.count(), 1)
+        self.bits = min(max((8 * n - 1).bit_length(), self.LEAST), self.MOST)
+        bitmap = np.zeros((1 << self.bits) // 8, np.uint8)
+        size = (1 << _MAP_BITS) // 8
+        for row in slot_maps(hashes, F.col(column).bitwiseAND(F.lit((1 << self.bits) - 1))).toLocalIterator():  # at most 4096 bitmaps
+            bitmap[row.bucket * size : (row.bucket + 1) * size] |= np.frombuffer(row.bits, np.uint8)
+        self.shared = spark.sparkContext.broadcast(bitmap)
+
+    def hold(self, hashes: np.ndarray) -> np.ndarray:
+        slot = hashes & ((1 << self.bits) - 1)
+        return (self.shared.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
 def text_or_empty(col: str = "text") -> F.Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from filelens.llm.bpe import op4_bpe_round_trip
-from filelens.llm import decontamination, filter_audit, minhash, quality_rules, spelling_variants
+from filelens.llm import decontamination, filter_audit, minhash, quality_rules, spelling_variants, substring_dedup
 from filelens.llm.decontamination import op2_decontamination
 from filelens.llm.filter_audit import op12_filter_audit
 from filelens.llm.fingerprints import op3_fingerprints
@@ -38,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_substring_dedup": substring_dedup.SQL,
     "op2_decontamination": decontamination.SQL,
     "op6_minhash": minhash.SQL,
     "op11_spelling_variants": spelling_variants.SQL,
