@@ -39,6 +39,30 @@ def _place(bounds: Column, n: int, key: Column, df: DataFrame, out: str, step_co
     return df.drop(step_col)
 
 
+def cut_ranges(df: DataFrame, order: Sequence[str], ranges: int, out: str) -> DataFrame:
+    """``df`` with an integer column ``out``, the range of each row: at most
+    ``ranges`` of them, ascending in the order of ``order`` (nulls first), of
+    about as many rows each.
+
+    The bounds come from ``CHOSEN_A_RANGE`` rows a range, those of the least
+    hashes of ``order``: equal rows give equal bounds however they are split,
+    and equal keys lie in one range.  One job over the columns of ``order``.
+    """
+    ranges = max(1, min(ranges, MOST_RANGES))
+    rows = []
+    if ranges > 1:
+        keys = df.select(*map(_named, order))
+        chosen = keys.orderBy(F.xxhash64(*map(_named, order)), *map(_named, order)).limit(ranges * CHOSEN_A_RANGE)
+        # a bounded number of rows, sorted by Spark's own order
+        rows = chosen.orderBy(*[_named(c).asc_nulls_first() for c in order]).collect()
+        rows = [rows[i * len(rows) // ranges] for i in range(1, ranges)] if rows else []
+    if not rows:
+        return df.withColumn(out, F.lit(0))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    bounds = F.array(*[F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order, r, strict=True)]) for r in rows])
+    return _place(bounds, len(rows), F.struct(*map(_named, order)), df, out, f"__{out}_key")
+
+
 def global_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "row_index",
                      num_partitions: int | None = None) -> DataFrame:
     """0-based position of each row in the total order of ``order_by`` (nulls first).
@@ -54,20 +78,9 @@ def global_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "r
     if clash:
         raise ValueError(f"input already has column(s) {sorted(clash)}")
     whole = [_named(c) for c in df.columns]
-    tied = df.withColumn(tie1, F.xxhash64(*whole)).withColumn(tie2, F.hash(*whole))
     order = [*order_by, tie1, tie2]
     ranges = num_partitions or -(-df.count() // ROWS_A_RANGE)
-    ranges = max(1, min(ranges, MOST_RANGES))
-    if ranges > 1:
-        chosen = tied.orderBy(F.xxhash64(F.col(tie1), F.col(tie2)), *map(_named, order)).limit(ranges * CHOSEN_A_RANGE).select(*map(_named, order))
-        # a bounded number of rows, sorted by Spark's own order
-        rows = chosen.orderBy(*[_named(c).asc_nulls_first() for c in order]).collect()
-        rows = [rows[i * len(rows) // ranges] for i in range(1, ranges)] if rows else []
-        types = {f.name: f.dataType for f in tied.schema.fields}
-        as_struct = lambda values: F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order, values, strict=True)])
-        tied = _place(F.array(*map(as_struct, rows)), len(rows), F.struct(*map(_named, order)), tied, at, key) if rows else tied.withColumn(at, F.lit(0))
-    else:
-        tied = tied.withColumn(at, F.lit(0))
+    tied = cut_ranges(df.withColumn(tie1, F.xxhash64(*whole)).withColumn(tie2, F.hash(*whole)), order, ranges, at)
     counts = tied.groupBy(at).agg(F.count(F.lit(1)).alias(n))
     before = Window.orderBy(at).rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     offsets = counts.select(F.col(at).alias(key), F.coalesce(F.sum(n).over(before), F.lit(0)).alias(offset))
