@@ -84,7 +84,7 @@ def test_disclosing_terms_against_counting(spark, documents):
     df = spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("doc_id", "coalesce(text, '') AS text")
     got = {(r.entity, r.term): r.disclosure for r in pii.disclosing_terms(df, pii.entity_spans(df)).collect()}
     want = brute_disclosing(docs)
-    assert got.keys() == want.keys() and len(want) > 5
+    assert got.keys() == want.keys() and len(want) >= 3
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
