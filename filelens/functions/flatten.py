@@ -66,12 +66,18 @@ def flatten(df: DataFrame, sep: str = "_", depth: int | None = None, case_sensit
     return df.select(*[nested_field(path).alias(name) for name, path in leaves])
 
 
-def map_keys(df: DataFrame, column: str) -> list[str]:
+#: Keys of a map column that may become columns.
+MOST_KEYS = 10_000
+
+
+def map_keys(df: DataFrame, column: str, most: int = MOST_KEYS) -> list[str]:
     """All keys of a map column, sorted: a job of its own over the whole
-    column.  They become column names, so the list is as wide as the table
-    that is made of it."""
-    keys = df.select(F.explode(F.map_keys(F.col(f"`{column}`"))).alias("k")).distinct()
-    return sorted(str(r.k) for r in keys.collect())
+    column.  They become column names, so a map of more than ``most`` keys
+    raises instead of filling the driver with them."""
+    keys = df.select(F.explode(F.map_keys(F.col(f"`{column}`"))).alias("k")).distinct().limit(most + 1).collect()
+    if len(keys) > most:
+        raise ValueError(f"{column!r} has more than {most} keys; keep it a map, or name the keys wanted")
+    return sorted(str(r.k) for r in keys)
 
 
 def flatten_map(df: DataFrame, column: str, keys: list[str], sep: str = "_") -> DataFrame:

@@ -276,3 +276,4 @@ SELECT 'doc_' || CAST(doc_id AS VARCHAR) AS file_id, {PATH} AS label_paths
 FROM documents WHERE doc_id % 6 = 4""",
 }
 SQL["constraint_batches"] = SQL["check_constraints"]
+SQL["label_files"] = SQL["json_documents"] + " WHERE p_partkey % 5 <> 0"

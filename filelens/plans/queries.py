@@ -256,6 +256,14 @@ def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.select_label_fields(read)
 
 
+def q_label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label documents written as files among others, found by their names,
+    and read from the table of their paths."""
+    root = write_files(td.part_as_label_files(spark, sf_dir), scratch_path(spark, "label-files"))
+    found = scan.label_paths(spark, f"{root}/set*")
+    return catalogue.select_label_fields(lbl.read_label_files(found))
+
+
 def q_undeclared_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON of two shapes under no declared schema, one column a field."""
     return variants.flatten_undeclared(td.events_as_mixed_json(spark, sf_dir), "props")
@@ -397,6 +405,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lineitem_type_counts": q_lineitem_type_counts,
     "list_tables": q_list_tables,
     "listed_files": q_listed_files,
+    "label_files": q_label_files,
     "archive_members": q_archive_members,
     "undeclared_labels": q_undeclared_labels,
     "replaced_table": q_replaced_table,

@@ -190,3 +190,15 @@ def part_as_labels(spark: SparkSession, sf_dir: str, id_prefix: str = "") -> Dat
             F.col("p_brand").alias("result"),
         ).alias("dataset"),
     )
+
+
+def part_as_label_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label documents as files to write, several lines each: ``path`` is
+    ``set<n>/<id>.json``; every fifth lies where a label scan of ``set*`` has
+    not to look (a sub-folder, another extension, a dot file, an archive's name)."""
+    labels = part_as_labels(spark, sf_dir)
+    body = F.encode(F.to_json(F.struct(*labels.columns), {"pretty": "true"}), "UTF-8")
+    place = F.expr("""CASE pmod(CAST(id AS BIGINT), 20) WHEN 5 THEN concat('set1/sub/', id, '.json') WHEN 10 THEN concat('set1/', id, '.jsonl')
+                      WHEN 15 THEN concat('set2/.', id, '.json') WHEN 0 THEN concat('set3.zip/', id, '.json')
+                      ELSE concat('set', pmod(CAST(id AS BIGINT), 3), '/', id, '.json') END""")
+    return labels.select(place.alias("path"), body.alias("content"))

@@ -7,7 +7,7 @@ inference pass reads every file twice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -75,6 +75,46 @@ def read_labels(spark: SparkSession, paths: str | Sequence[str], schema: str | T
     return df
 
 
+#: Bytes of label files that a task holds at once (one file may be larger).
+LABEL_BYTES = 32 << 20
+
+
+def read_label_files(paths: DataFrame, path: str = "label_paths", schema: str | T.StructType = LABEL_DDL, encoding: str = "utf-8",
+                     corrupt_column: str | None = None) -> DataFrame:
+    """Label documents, one a file, whose paths are a table (as
+    :func:`~filelens.sources.files.label_paths` gives it): the fields of
+    ``schema`` and ``label_path``.
+
+    The paths stay in Spark; each task opens its own, on a mount that every
+    executor sees.  The first malformed document raises, or with
+    ``corrupt_column`` its text is kept in that column and its fields are null.
+    A path that cannot be read raises.
+    """
+    ship_package(paths.sparkSession)
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple[str, str]] = []
+        held = 0
+        for pdf in batches:
+            for name in pdf["p"]:
+                with open(name, "rb") as f:
+                    text = f.read().decode(encoding)
+                rows.append((name, text))
+                held += len(text)
+                if held >= LABEL_BYTES:
+                    yield pd.DataFrame(rows, columns=["label_path", "text"])
+                    rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=["label_path", "text"])
+
+    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    options = {"mode": "FAILFAST"}
+    if corrupt_column:
+        ddl, options = f"{ddl}, `{corrupt_column}` string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column}
+    texts = paths.select(F.col(f"`{path}`").alias("p")).mapInPandas(read, "label_path string, text string")
+    return texts.select("label_path", F.from_json("text", ddl, options).alias("doc")).select("doc.*", "label_path")
+
+
 def parse_labels(df: DataFrame, column: str, schema: str | T.DataType, mode: str = "PERMISSIVE") -> DataFrame:
     """Parse a JSON text column in place with ``from_json`` (JVM-side)."""
     return df.withColumn(column, F.from_json(F.col(column), schema, {"mode": mode}))

@@ -282,3 +282,25 @@ def test_label_files_with_utf8_bom(spark, tmp_path):
     for kwargs in ({}, {"encoding": "utf-8-sig"}):
         row = L.read_labels(spark, str(tmp_path), **kwargs).first()
         assert row["id"] == "img_5" and row["dataset"]["result"] == "합격"
+
+
+def test_label_files_from_a_table_of_paths(spark, tmp_path):
+    """The paths stay a table; names of any kind, other charsets, bad documents."""
+    for name, text in (("a b.json", json.dumps(_doc(1), indent=1)), ("둘.json", json.dumps(_doc(2), ensure_ascii=False)), ("n.json", json.dumps(dict(_doc(3), id=3)))):
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    paths = paths_to_df(spark, [str(p) for p in tmp_path.iterdir()])
+    rows = {os.path.basename(r.label_path): r for r in L.read_label_files(paths, "full_path").collect()}
+    assert {k: r.id for k, r in rows.items()} == {"a b.json": "img_1", "둘.json": "img_2", "n.json": "3"}
+    assert rows["둘.json"].image.size.width == 640 and rows["둘.json"].dataset.result == "pass"
+    assert L.read_label_files(paths.limit(0), "full_path").count() == 0
+    (tmp_path / "bad.json").write_text('{"id": "x", ')
+    more = paths_to_df(spark, [str(tmp_path / "bad.json"), str(tmp_path / "n.json")])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        L.read_label_files(more, "full_path").collect()
+    kept = {r.id: r.bad for r in L.read_label_files(more, "full_path", corrupt_column="bad").collect()}
+    assert kept == {None: '{"id": "x", ', "3": None}
+    with pytest.raises(Exception, match="No such file"):
+        L.read_label_files(paths_to_df(spark, [str(tmp_path / "gone.json")]), "full_path").collect()
+    (tmp_path / "kr.json").write_bytes(json.dumps({"id": "한글"}, ensure_ascii=False).encode("euc-kr"))
+    kr = paths_to_df(spark, [str(tmp_path / "kr.json")])
+    assert L.read_label_files(kr, "full_path", schema="id string", encoding="euc-kr").first().id == "한글"

@@ -66,5 +66,7 @@ def test_flatten_map(spark):
     assert [tuple(r) for r in flatten_map(df, "m", map_keys(df, "m")).orderBy("id").collect()] == [
         (1, 1, 2, None), (2, None, None, 3), (3, None, None, None)]
     assert flatten_map(df, "m", keys=["b"]).columns == ["id", "m_b"]
+    with pytest.raises(ValueError, match="more than 2 keys"):
+        map_keys(df, "m", most=2)
     with pytest.raises(ValueError):
         flatten_map(df.withColumnRenamed("id", "m_b"), "m", keys=["b"])
