@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filelens.llm import common as C
+from filelens.operators.batches import MOST_RANGES, cut_ranges
 
 LEAST, NORMAL, MOST = 16, 40, 128
 HARD, EASY = np.uint32(0xFC000000), np.uint32(0xF0000000)
 SPAN = 32  # bytes that a hash depends on
-DIGEST, ENTRY = 10, 12  # hex digits of a digest; of a digest and its chunk's length
+DIGEST, ENTRY = 16, 18  # hex digits of a digest (64 bits); of a digest and its chunk's length
 
 # a fixed pseudo-random number for each byte value
 _GEAR = np.frombuffer(b"".join(hashlib.sha256(bytes([b])).digest()[:4] for b in range(256)), dtype="<u4").astype(np.uint32)
@@ -82,7 +83,7 @@ def chunk_ends(parts: list[bytes], skips: list[int] | None = None) -> list[list[
 def _entries(data: bytes, ends: list[int], start: int = 0) -> list[str]:
     out, view = [], memoryview(data)
     for end in ends:
-        out.append(xxhash.xxh64_hexdigest(view[start:end])[:DIGEST] + f"{end - start:02x}")
+        out.append(xxhash.xxh64_hexdigest(view[start:end]) + f"{end - start:02x}")
         start = end
     return out
 
@@ -144,19 +145,17 @@ def compare_with_next(docs: DataFrame, text_col: str = "text", id_col: str = "do
 
     A null text is empty.  Rows of equal id follow each other by the hash of
     their text, null ids come first; a single row is its own next.  The rows
-    are cut into ranges of ids; a range's first row is also given to the range
-    before it, so every range is worked through in order on its own, a few
-    texts in memory at a time.
+    are cut into ranges of (id, hash of the text), so an id of many texts is cut
+    too; a range's first row is also given to the range before it, so every
+    range is worked through in order on its own, a few texts in memory at a
+    time.  Rows that share both are copies and lie in one range.
     """
     spark = docs.sparkSession
     C.ready(spark)
-    n_ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n_ranges = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_RANGES))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), C.text_or_empty(text_col).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
-    splits = rows.agg(F.percentile_approx("doc_id", [i / n_ranges for i in range(1, n_ranges)] or [0.5], 1000)).first()[0]
-    splits = sorted(set(splits or []))
-    where = F.size(F.filter(F.array(*map(F.lit, splits)).cast("array<bigint>"), lambda s: s < F.col("doc_id"))) if splits else F.lit(0)
-    rows = rows.withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(where))
+    rows = cut_ranges(rows, ["doc_id", "h"], n_ranges, "part")
     firsts = sorted(rows.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id", "h")).alias("f")).collect(), key=lambda r: r.part)
     # one row a range: which range each range's first row is shown to
     shown = [(r.f.doc_id, r.f.h, firsts[i - 1].part) for i, r in enumerate(firsts)]
@@ -166,7 +165,7 @@ def compare_with_next(docs: DataFrame, text_col: str = "text", id_col: str = "do
         F.struct(F.col("part").alias("part"), F.lit(False).alias("guest")),
         F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("part"), F.lit(True).alias("guest")))))
     rows = rows.select("doc_id", "text", "h", F.explode(places).alias("p")).select("doc_id", "text", "h", "p.part", "p.guest")
-    rows = rows.repartitionById(max(len(splits) + 1, 1), F.col("part")).sortWithinPartitions("part", "guest", "doc_id", "h")
+    rows = rows.repartitionById(n_ranges, F.col("part")).sortWithinPartitions("part", "guest", "doc_id", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # rows whose next one is not known yet: at most the last of a batch
