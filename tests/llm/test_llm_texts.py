@@ -60,6 +60,51 @@ def test_next_rows_across_ranges(spark, n):
         assert got[i] == hashlib.sha256((t[: len(t) - cut] + after[:cut]).encode()).hexdigest()
 
 
+def brute_chunks(data):
+    """Chunks by rolling the hash byte by byte over the last ``SPAN`` bytes."""
+    gear = [int.from_bytes(hashlib.sha256(bytes([b])).digest()[:4], "little") for b in range(256)]
+
+    def hash_at(i):
+        h = 0
+        for b in data[max(0, i - FP.SPAN + 1) : i + 1]:
+            h = (h << 1) + gear[b] & 0xFFFFFFFF
+        return h
+
+    out, start = [], 0
+    while start < len(data):
+        end = min(start + FP.MOST, len(data))
+        for i in range(start + FP.LEAST - 1, end):
+            mask = int(FP.HARD) if i < start + FP.NORMAL else int(FP.EASY)
+            if hash_at(i) & mask == 0:
+                end = i + 1
+                break
+        out.append(data[start:end])
+        start = end
+    return out
+
+
+def test_fingerprints_against_a_rolling_loop(documents):
+    import xxhash
+
+    rng = random.Random(9)
+    texts = [d[1] for d in documents][:60] + ["", "é" * 300, "".join(rng.choices("ab \n", k=3000))]
+    for text, got in zip(texts, FP.fingerprints(texts), strict=True):
+        chunks = set(brute_chunks(text.encode()))
+        assert got == "".join(sorted(xxhash.xxh64_hexdigest(c) + f"{len(c):02x}" for c in chunks))
+    a, b = (set(brute_chunks(t.encode())) for t in texts[:2])
+    both, least = sum(map(len, a & b)), min(sum(map(len, a)), sum(map(len, b)))
+    assert FP.likeness(*FP.fingerprints(texts[:2])) == pytest.approx(both / least)
+
+
+def test_ranges_are_even_at_two_thousand_partitions(spark):
+    """Also where one id has a third of the rows, with texts of its own."""
+    from filelens.operators.batches import cut_ranges
+
+    df = spark.range(0, 200_000, 1, 8).selectExpr("IF(id % 3 = 0, 77, id) AS doc_id", "xxhash64(id) AS h")
+    sizes = [r["count"] for r in cut_ranges(df, ["doc_id", "h"], 2000, "part").groupBy("part").count().collect()]
+    assert len(sizes) > 1900 and max(sizes) < 4 * 200_000 / 2000
+
+
 def test_articles_of_the_pages(spark, sf):
     import duckdb
 
@@ -109,7 +154,7 @@ def test_nothing_unmarked_is_dropped(spark):
 def test_odd_pages(spark):
     pages = [(1, None, None), (2, "http://a.b/", ""), (3, "http://a.b/x", "plain text &lt; only"), (3, "http://a.b/x", "plain text &lt; only"),
              (None, "no url", "<p>open <b>tags"), (5, "http://a.b/", "<article><p>cut off &am"), (6, "http://a.b/", "<div><script>never closed <p>x"),
-             (7, "http://long.example/", "<body><article>" + "<p>x y</p>" * 20000 + "</article>"), (8, "http://deep.example/", "<div>" * 3000 + "deep")]
+             (7, "http://long.example/", "<body><article>" + "<p>x y</p>" * 20000 + "</article>"), (8, "http://deep.example/", "<div>" * 20000 + "deep")]
     df = spark.createDataFrame([(*p, "extra") for p in pages], "page_id bigint, url string, html string, text string")
     rows = X.extract_text(df).collect()
     texts = {r.page_id: r.text for r in rows}
@@ -139,3 +184,104 @@ def test_pipeline_stages(spark, sf, documents):
     for name, stage in P.STAGES[:-1]:
         kept = stage(spark, docs.limit(0), sf)
         assert kept.columns == docs.columns and kept.count() == 0, name
+
+
+def _extract(spark, pages):
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    return {r.page_id: r.text for r in X.extract_text(df).collect()}
+
+
+MENU = ("<html><body><div class=x1><p>Start page</p><p>All stories</p><p>Our team</p></div><div class=x2><h1>Head {n}</h1><p>A paragraph, {n}, which is the longest of the page by far.</p>"
+        "<p>Read our terms before you go.</p><p>Another one, {n}, is not so long.</p></div></body></html>")
+
+
+def test_template_text_leaves_the_page_by_deduction_alone(spark):
+    """An unmarked menu and a fixed line: without the deduction both would stay on every page."""
+    pages = [(i, f"http://m.example/{i}", MENU.format(n=f"number {i}")) for i in range(20)]
+    got = _extract(spark, pages)
+    want = {i: f"Head {n}\n\nA paragraph, {n}, which is the longest of the page by far.\n\nAnother one, {n}, is not so long."
+            for i, n in ((i, f"number {i}") for i in range(20))}
+    assert got == want
+    alone = X.main_text(pages[0][2], X.Template())
+    assert "Start page" in alone and "Read our terms" in alone and alone != want[0]
+
+
+def brute_template(pages):
+    """``pages`` of one host: template containers, common and fixed blocks by whole occurrence vectors."""
+    vectors = {}
+    for k, page in enumerate(pages):
+        blocks, containers = X.read_page(page)
+        for token in [(b.key, True) for b in blocks] + [(c.role, False) for c in containers]:
+            vectors.setdefault(token, [0] * len(pages))[k] += 1
+    classes = {}
+    for token, v in vectors.items():
+        if sum(map(bool, v)) >= X.SUPPORT * len(pages):
+            classes.setdefault(tuple(v), []).append(token)
+    valid = {t: v for v, ts in classes.items() if len(ts) >= X.CLASS_SIZE for t in ts}
+    often = [t for ts in classes.values() for t in ts]
+    return ({k for k, block in valid if not block}, {k for k, block in often if block},
+            {k for (k, block), v in valid.items() if block and len(pages) >= X.MIN_PAGES and sum(map(bool, v)) >= X.FIXED * len(pages)})
+
+
+def test_templates_against_whole_occurrence_vectors(spark, sf):
+    import duckdb
+
+    pages = duckdb.sql(f"SELECT url, html FROM '{sf}/pages.parquet'").fetchall()
+    hosts = {"menu.example": [MENU.format(n=i) for i in range(9)], "mixed.example": [PAGE.format(n=i % 3) for i in range(7)] + [MENU.format(n=1)] * 2}
+    for url, html in pages:
+        hosts.setdefault(re.match(r"\w+://([^/?#]*)", url)[1].lower(), []).append(html)
+    rows = [(h, f"http://{h}/{k}", p) for h, ps in hosts.items() for k, p in enumerate(ps)]
+    got = {r.host: (set(r.frame), set(r.common), set(r.fixed)) for r in X.templates(spark.createDataFrame(rows, "host string, url string, html string")).collect()}
+    assert got == {h: brute_template(ps) for h, ps in hosts.items()} and any(f for *_, f in got.values())
+
+
+def test_names_need_the_template(spark):
+    """A section of one article keeps its name; a part that all pages have goes by it."""
+    page = ("<html><body><article><h1>Head {n}</h1><p>Long paragraph {n} of the article, with all it has to say.</p>{own}"
+            "<div class=\"post-comments\"><p>Nice {n}!</p></div><div class=article-sidebar><p>More on {n}</p></div>"
+            "<article class=\"comment\"><p>I agree {n}</p></article></article></body></html>")
+    own = {0: "<section class=\"social-history\"><p>Social history.</p></section>", 1: "<section id=\"notice-of-death\"><p>They died.</p></section>"}
+    pages = [(i, f"http://n.example/{i}", page.format(n=f"number {i}", own=own.get(i, ""))) for i in range(8)]
+    got = _extract(spark, pages)
+    for i in range(8):
+        extra = {0: "\n\nSocial history.", 1: "\n\nThey died."}.get(i, "")
+        assert got[i] == f"Head number {i}\n\nLong paragraph number {i} of the article, with all it has to say." + extra
+
+
+def test_attributes_as_html_reads_them():
+    page = "<p title=it's>First para.</p><p>Second don't stop.</p><div data-x='a>b' class=\"a > b\">Third</div><br/><p a=\"x>Never closed"
+    assert X.main_text(page, X.Template()) == "First para.\n\nSecond don't stop.\n\nThird\n\nNever closed"
+    assert X.main_text("<DIV CLASS='Cookie-Notice'>no</DIV><div class=no-sidebar>yes</div><p hidden>x</p>", X.Template()) == "yes\n\nx"
+    assert X.main_text("<script a='>'>no</script x><p>a < b</p><div hidden>no</div><div aria-hidden=true>no</div>", X.Template()) == "a < b"
+
+
+def test_deep_pages_take_linear_memory():
+    import tracemalloc
+
+    page = "<div>" * 20_000 + "deep" + "</div>" * 20_000
+    tracemalloc.start()
+    assert X.main_text(page, X.Template()) == "deep"
+    assert X.slot_sums(page, X.Template())[0][2:] == (4, 4)
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
+def test_pipeline_over_repeated_rows_and_extra_columns(spark, sf, documents):
+    """Every stage passes columns of any name on; of a repeated row one is left from the second stage on."""
+    import corpus_pipeline as P
+
+    rows = [(d[0], d[1], d[2], d[3], d[4], "x", 0.5, 1, [1], None) for d in documents[:60]]
+    extra = "score string, predicted double, h1 int, spans array<int>, text_key string"
+    docs = spark.createDataFrame(rows + rows[:20] + [(None, None, None, None, None, None, None, None, None, None)] * 2,
+                                 f"doc_id bigint, text string, lang string, source string, n_chars bigint, {extra}")
+    for k, (name, stage) in enumerate(P.STAGES):
+        out = stage(spark, docs, sf)
+        kept = out.collect()
+        if k < len(P.STAGES) - 1:
+            assert out.columns == docs.columns, name
+            assert all((r.score, r.h1, r.spans) == ("x", 1, [1]) for r in kept if r.doc_id is not None), name
+            docs = spark.createDataFrame(kept, docs.schema)
+        if k:
+            ids = [r.doc_id for r in kept]
+            assert len(ids) == len(set(ids)), name
+    assert {"token_ids", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(out.columns) and len(kept) > 30
