@@ -23,6 +23,8 @@ from filelens.session import ensure_checkpoint_dir
 WINDOW = 13
 #: A document is contaminated when this many times its hit words reach its words.
 SHARE = 20
+#: Kept hashes of a text up to which each k-gram is looked up one by one; beyond, by bisection in this many steps.
+FEW_LOWS, LOG_LOWS = 64, 30
 #: What a word is, and the letters that are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -142,15 +144,32 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WIND
                       F.size(items).cast("bigint").alias("n_items"), items.alias("items"))
 
 
+def _found_in(values: str, sorted_: str) -> F.Column:
+    """For each element of array ``values`` whether the sorted array holds it:
+    bisection, all elements one step at a time."""
+    def ahead(step: int):
+        def moved(p: F.Column, v: F.Column) -> F.Column:
+            fits = (p + step <= F.size(sorted_)) & (F.try_element_at(sorted_, p + step) <= v)
+            return F.when(fits, p + step).otherwise(p)
+
+        return moved
+
+    at = F.transform(values, lambda v: F.lit(0))
+    for k in range(LOG_LOWS - 1, -1, -1):
+        at = F.zip_with(at, values, ahead(1 << k))
+    return F.zip_with(at, values, lambda p, v: (p > 0) & F.coalesce(F.try_element_at(sorted_, F.greatest(p, F.lit(1))) == v, F.lit(False)))
+
+
 def _extended(docs: DataFrame, seeds: DataFrame, windows: DataFrame, m: int) -> DataFrame:
     """Windows of ``m`` words around the seeds that are, word by word, windows
     of an item: ``doc_id, text_key, start, m, item_id``."""
     right = seeds.select(F.col("doc_id").alias("s_id"), F.col("text_key").alias("s_key"), "lows")
     found = C.prefiltered(docs, seeds, "doc_id", "text_key").dropDuplicates(["doc_id", "text_key"]).join(right, docs.doc_id.eqNullSafe(right.s_id) & (docs.text_key == right.s_key))
     found = found.select("doc_id", "text_key", "lows", words_of(F.col("text")).alias("words"))
-    found = _with_grams(found, m, "grams")
-    places = F.filter(F.transform("grams", lambda g, i: F.when(F.array_contains("lows", g), i)), lambda p: p.isNotNull())
-    found = found.withColumn("places", places)
+    found = _with_grams(found, m, "grams").withColumn("sorted", F.sort_array("lows"))
+    few = F.transform("grams", lambda g, i: F.when(F.array_contains("lows", g), i))
+    places = F.when(F.size("lows") <= FEW_LOWS, few).otherwise(F.transform(_found_in("grams", "sorted"), lambda hit, i: F.when(hit, i)))
+    found = found.withColumn("places", F.filter(places, lambda p: p.isNotNull()))
     around = F.transform("places", lambda p: F.sequence(F.greatest(p - (m - _gram_width(m)), F.lit(0)),
                                                         F.least(p, F.size("words") - m)))
     found = found.withColumn("starts", F.array_distinct(F.flatten(around)))

@@ -77,3 +77,31 @@ def test_main_path_is_native(spark, sf):
 
     plan = QUERIES["op2_decontamination"](spark, sf)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_long_text_that_is_an_item_takes_time_in_proportion(spark):
+    """Its kept hashes are found by bisection, not one by one."""
+    import random
+    import time
+
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(60_000)]
+    took = {}
+    for n in (2_000, 20_000, 60_000):  # the first one warms up
+        text = " ".join(words[:n])
+        docs = spark.createDataFrame([(1, f"before it {text} after it"), (2, "no word of it at all")], "doc_id bigint, text string")
+        t0 = time.perf_counter()
+        rows = {r.doc_id: r for r in D.contaminated_words(docs, spark.createDataFrame([("x", text)], "item_id string, text string")).collect()}
+        took[n] = time.perf_counter() - t0
+        assert (rows[1].n_hit, rows[1].n_words, rows[2].n_hit) == (n, n + 4, 0)
+    assert took[60_000] < 4 * took[20_000]
+
+
+def test_bisection_finds_what_is_held(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(sorted(rng.sample(range(-500, 500), k)), [rng.randrange(-510, 510) for _ in range(40)]) for k in (0, 1, 2, 3, 64, 65, 300)]
+    df = spark.createDataFrame(rows, "s array<bigint>, v array<bigint>")
+    got = df.select("s", "v", D._found_in("v", "s").alias("hit")).collect()
+    assert all(r.hit == [x in set(r.s) for x in r.v] for r in got)
