@@ -19,8 +19,8 @@ WINDOW, STRIDE = 48, 32
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION, CHAR_ROWS = 8, 8, 8, 8, 4096
 #: Words kept as inputs of their own: seen in so many training texts, at most so many words.
 MIN_TEXTS, MAX_WORDS = 3, 20_000
-#: Training: steps, documents a step, windows of a document (spread over the whole text).
-STEPS, BATCH, TRAIN_WINDOWS = 400, 32, 40
+#: Training: steps, and documents a step (all windows of each are looked at).
+STEPS, BATCH = 400, 32
 RATE, DECAY = 0.01, 1e-4
 CACHE_WORDS = 150_000
 #: Windows that the network works on at once when it scores.
@@ -196,12 +196,7 @@ def train(texts: list[str | None], y: list[int], seed: int = 7) -> Network:
     names = list(vocab)
     tri, counts = trigrams(names)
     begin = np.cumsum(counts) - counts
-    rows = []
-    for words in docs:
-        starts = windows_of(len(words))
-        if len(starts) > TRAIN_WINDOWS:
-            starts = starts[np.linspace(0, len(starts) - 1, TRAIN_WINDOWS).astype(int)]
-        rows.append([np.array([vocab[w] for w in words[s : s + WINDOW]]) for s in starts])
+    rows = [np.array([vocab[w] for w in words]) for words in docs]
     m1, m2 = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     ids = np.array([net.ids.get(w, 0) for w in names])
     order = np.zeros(0, int)
@@ -209,19 +204,16 @@ def train(texts: list[str | None], y: list[int], seed: int = 7) -> Network:
         if len(order) < BATCH:
             order = np.r_[order, rng.permutation(len(rows))]
         take, order = order[:BATCH], order[BATCH:]
-        wins = [(i, w) for i in take for w in rows[i]]
-        owner = np.array([i for i, _ in wins])
-        idx = np.zeros((len(wins), WINDOW), np.int64)
-        inside = np.arange(WINDOW) < np.array([len(w) for _, w in wins])[:, None]
-        idx[inside] = np.concatenate([w for _, w in wins])
+        idx, inside, owner = padded([rows[i] for i in take])
         used, idx = np.unique(idx, return_inverse=True)
         idx = idx.reshape(inside.shape)
         n = counts[used]
         t = tri[np.repeat(begin[used] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         X = np.concatenate([p["E_w"][ids[used]], np.add.reduceat(p["E_c"][t], np.cumsum(n) - n, axis=0) / n[:, None].astype(np.float32)], axis=1)
-        logit = net.logits(X, idx, inside)
-        best = [int(np.flatnonzero(owner == i)[logit[owner == i].argmax()]) for i in dict.fromkeys(take.tolist())]
-        g, d_X = net.gradients(X, idx[best], inside[best], y_all[owner[best]])
+        parts = [slice(a, a + WINDOWS_AT_ONCE) for a in range(0, len(idx), WINDOWS_AT_ONCE)]
+        logit = np.concatenate([net.logits(X, idx[part], inside[part]) for part in parts])
+        best = [int(np.flatnonzero(owner == k)[logit[owner == k].argmax()]) for k in range(len(take))]
+        g, d_X = net.gradients(X, idx[best], inside[best], y_all[take])
         g["E_w"], g["E_c"] = np.zeros_like(p["E_w"]), np.zeros_like(p["E_c"])
         np.add.at(g["E_w"], ids[used], d_X[:, :WORD_DIM])
         np.add.at(g["E_c"], t, np.repeat(d_X[:, WORD_DIM:] / n[:, None], n, axis=0))

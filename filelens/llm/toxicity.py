@@ -51,8 +51,9 @@ def score_toxicity(docs: DataFrame, network: Network | None, score: str = "score
 
     Every row is scored by its whole text; a null, empty or letterless text
     gets the score of a text without words.  Without a network all scores are
-    0.  Columns of ``docs`` are passed on, whatever their names.
+    0.  Columns of ``docs`` are passed on; one of the two names is refused.
     """
+    C.refuse(docs, score, predicted)
     if network is None:
         return docs.select("*", F.lit(0.0).alias(score), F.lit(0).alias(predicted))
     shared = C.SharedFile(docs.sparkSession, network.dump())
