@@ -21,8 +21,10 @@ from pyspark.sql import types as T
 from filelens.llm import common as C
 
 FOLDS, HELD_OUT = 4, 2
-#: Labelled texts that are learned from, at most, and how much of each.
-MAX_TRAIN, MAX_TRAIN_CHARS = 2400, 4000
+#: Labelled texts that are learned from, at most; each is learned from whole.
+MAX_TRAIN = 2400
+#: Shares that a language's labelled texts are dealt to before the least hashes are taken of all.
+SHARES = 64
 FEATURES = 4096
 STEPS, RATE, DECAY = 250, 0.2, 1e-4
 UNKNOWN = "und"
@@ -108,8 +110,11 @@ class Machines:
 
     @classmethod
     def fit(cls, texts: list[str], langs: list[str]) -> Machines:
+        return cls.fit_features(features(texts)[0], langs)
+
+    @classmethod
+    def fit_features(cls, X: np.ndarray, langs: list[str]) -> Machines:
         made = cls(sorted(set(langs)), np.zeros((FEATURES + 1, 0), np.float32))
-        X, _ = features([t[:MAX_TRAIN_CHARS] for t in texts])
         of = np.array([made.langs.index(x) for x in langs])
         rows = [_machine(X, np.where(np.isin(of, m), 1.0, -1.0).astype(np.float32)) for m in made.members] if len(made.members) > 1 else []
         for a, b in made.pairs:
@@ -161,27 +166,43 @@ def training_sample(docs: DataFrame, most: int = MAX_TRAIN) -> DataFrame:
     rows = rows.select("doc_id", "lang", F.xxhash64("text").alias("text_key"))
     n = rows.agg(F.count_distinct("lang")).first()[0]
     once = rows.groupBy("lang", "text_key").agg(F.min("doc_id").alias("doc_id"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text_key"), "text_key"))
-    picked = once.withColumn("rank", rank).where(F.col("rank") <= max(1, most // max(1, n)))
+    each = max(1, most // max(1, n))
+    order = [F.xxhash64("text_key"), F.col("text_key")]
+    # a language of most texts is dealt out first: its least hashes are among the least of each share
+    share = F.pmod(F.xxhash64("text_key", F.lit("share")), F.lit(SHARES))
+    picked = once.withColumn("share", share).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("rank") <= each)
+    picked = picked.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= each)
     picked = picked.select(F.col("lang").alias("p_lang"), F.col("text_key").alias("p_key"), F.col("doc_id").alias("p_id"))
     same = (docs.doc_id == F.col("p_id")) & (F.xxhash64(docs.text) == F.col("p_key"))
     # at most `most` rows
-    return docs.join(F.broadcast(picked), same).select(
-        "p_lang", "p_key", F.substring("text", 1, MAX_TRAIN_CHARS).alias("text")).dropDuplicates(["p_lang", "p_key"])
+    return docs.join(F.broadcast(picked), same).select("p_lang", "p_key", "text").dropDuplicates(["p_lang", "p_key"])
 
 
 def fit(docs: DataFrame, most: int = MAX_TRAIN) -> Machines | None:
-    """The machines, or None where no labelled text may be learned from."""
-    rows = sorted(training_sample(docs, most).collect(), key=lambda r: (r.p_lang, r.p_key))
-    return Machines.fit([r.text for r in rows], [r.p_lang for r in rows]) if rows else None
+    """The machines, or None where no labelled text may be learned from.
+
+    The sampled texts are read whole in tasks; what comes to the driver is one
+    row of ``FEATURES`` numbers for each."""
+
+    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+        X, _ = features(batch.column("text").to_pylist())
+        return pa.RecordBatch.from_arrays([batch.column("p_lang"), batch.column("p_key"), pa.array([x.tobytes() for x in X], pa.binary())],
+                                          names=["p_lang", "p_key", "x"])
+
+    sample = C.map_arrow(training_sample(docs, most), fn, "p_lang string, p_key bigint, x binary", size_of="text")
+    rows = sorted(sample.collect(), key=lambda r: (r.p_lang, r.p_key))
+    X = np.stack([np.frombuffer(r.x, np.float32) for r in rows]) if rows else None
+    return Machines.fit_features(X, [r.p_lang for r in rows]) if rows else None
 
 
 def identify(docs: DataFrame, machines: Machines | None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1) for every row.
 
     A null text or one without a letter gets ``und`` and 0, and so does every
-    text where nothing could be learned.  Columns of ``docs`` are passed on.
+    text where nothing could be learned.  Columns of ``docs`` are passed on;
+    one of the two names is refused.
     """
+    C.refuse(docs, "lang_pred", "score")
     if machines is None:
         return docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
     shared = C.SharedFile(docs.sparkSession, machines.dump())

@@ -136,6 +136,27 @@ def test_languages_over_odd_rows(spark, odd, none, documents):
     assert L.training_sample(learn, most=8).count() <= 8
 
 
+def test_the_sample_reads_whole_texts_and_deals_out_a_hot_language(spark, monkeypatch):
+    """A late part of a long text counts, and the least hashes of a language are the same in any number of shares."""
+    rows = [(i, "die der das und " * 400 + "the of and to " * 800, "en") for i in range(4)] + [(i, f"nicht die {i} der", "de") for i in range(4, 40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    picked = []
+    for shares in (1, 7, 64):
+        monkeypatch.setattr(L, "SHARES", shares)
+        picked.append(sorted((r.p_lang, r.p_key) for r in L.training_sample(df, most=10).collect()))
+    assert picked[0] == picked[1] == picked[2] and sum(x == "de" for x, _ in picked[0]) == 5
+    assert L.fit(df).predict(["the and of to", "der und die"])[0] == ["en", "de"]
+
+
+def test_names_that_a_result_adds_are_refused(spark, odd):
+    with pytest.raises(ValueError, match="score"):
+        toxicity.score_toxicity(odd, None)
+    with pytest.raises(ValueError, match="score"):
+        L.identify(odd, None)
+    with pytest.raises(ValueError, match="lang_pred"):
+        L.identify(odd.drop("score").withColumn("LANG_PRED", F.lit(1)), None)
+
+
 def test_one_language_and_one_family():
     one = L.Machines.fit(["abc def"], ["qq"])
     assert one.predict(["hello", ""])[0] == ["qq", "und"]
