@@ -87,9 +87,11 @@ def _chunks(f: BinaryIO, info: zipfile.ZipInfo, size: int, first: int, last: int
         if not pending:
             pending = f.read(min(_READ, left))
             left -= len(pending)
-            if not pending:
-                raise ValueError("compressed data ends early")
-        out += inflater.decompress(pending, size - len(out))
+        # a chunk that is full may leave output inside the inflater after the last byte of input
+        more = inflater.decompress(pending, size - len(out))
+        if not pending and not more and not inflater.eof:
+            raise ValueError("compressed data ends early")
+        out += more
         pending = inflater.unconsumed_tail
         if len(out) == size:
             yield k, bytes(out)

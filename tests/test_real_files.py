@@ -147,6 +147,35 @@ def test_members_larger_than_a_batch_come_in_ordered_chunks(spark, archive_dir,
     assert totals["한글.txt"].dest == f"{d}/b"
 
 
+@pytest.mark.parametrize("chunk_bytes", [64, 1000, 4096])
+def test_a_full_chunk_does_not_end_a_member_early(spark, tmp_path, chunk_bytes):
+    # the last bytes of input stand for more output than the chunk they are read in has room for
+    data = {f"m{n:05d}": b"a" * n for n in (0, 1, 63, 64, 65, 999, 1000, 4095, 4096, 4097, 5000, 8192, 20_000)}
+    data |= {f"t{n}": b"some words over and over; " * n for n in (40, 157, 158, 500)}
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+        for name, content in data.items():
+            zf.writestr(name, content)
+    chunks = members.member_chunks(spark, str(tmp_path), chunk_bytes=chunk_bytes).cache()
+    got = {name: b"" for name in data}
+    for r in chunks.orderBy("member", "chunk").collect():
+        assert r.length == len(r.content) <= chunk_bytes and r.start == len(got[r.member])
+        got[r.member] += bytes(r.content)
+    assert got == data and all(r.ok and r.crc32 == zlib.crc32(data[r.member]) for r in members.member_totals(chunks).collect())
+
+
+def test_a_member_cut_short_is_an_error(tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_DEFLATED) as zf:
+        zf.writestr("m", random.Random(3).randbytes(5000))
+        info = zf.getinfo("m")
+    whole = info.compress_size
+    with open(tmp_path / "a.zip", "rb") as f:
+        assert len(b"".join(c for _, c in members._chunks(f, info, 512, 0, -1))) == 5000
+        for left in (whole - 1, whole // 2, 1, 0):
+            info.compress_size = left
+            with pytest.raises(ValueError, match="ends early"):
+                list(members._chunks(f, info, 512, 0, -1))
+
+
 def test_damaged_members_are_told_by_their_checksum(spark, tmp_path):
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w", zipfile.ZIP_STORED) as zf:
