@@ -196,7 +196,8 @@ def q_check_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_expand_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = archives.pack_archives(td.documents_as_members(spark, sf_dir))
-    out = archives.expand_archives(packed, num_partitions=default_parallelism(spark))
+    n = 4 * default_parallelism(spark)  # tasks that take less at a time, and even out the parts' sizes
+    out = archives.expand_archives(packed, num_partitions=n)
     return out.select(P.folder_name("archive").alias("source"), "member", "length",
                       F.md5("content").alias("content_md5"))
 

@@ -16,6 +16,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,10 @@ from filelens.sources.files import hadoop_glob
 
 MEMBER_SCHEMA = "archive string, member string, length bigint, content binary"
 PACKED_SCHEMA = "path string, length bigint, content binary"
-DEFAULT_BATCH_BYTES = 64 << 20
+#: Bytes of members in one batch handed to Spark; a task holds them twice for a moment.
+DEFAULT_BATCH_BYTES = 8 << 20
+#: What a member costs a task besides its bytes: its row in a batch, its entry in an open archive.
+MEMBER_BYTES = 1 << 10
 STAMP = (1980, 1, 1, 0, 0, 0)
 URI_SCHEME = re.compile(r"^file:/*(?=/)")
 
@@ -69,6 +73,22 @@ def _frame(rows: list[tuple], cols: list[str]) -> pd.DataFrame:
     return pdf.assign(length=pd.array([None if pd.isna(n) else int(n) for n in pdf["length"]], "Int64"))
 
 
+def _in_batches(rows: Iterator[tuple], cols: list[str], batch_bytes: int) -> Iterator[pd.DataFrame]:
+    """Member rows in frames of about ``batch_bytes``; empty members count as well."""
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row[: len(cols)])
+        size += (row[2] or 0) + MEMBER_BYTES
+        if size >= batch_bytes:
+            del row  # a frame handed on is not held while the next one is filled
+            out, held, size = _frame(held, cols), [], 0
+            yield out
+            del out
+    if held:
+        yield _frame(held, cols)
+
+
 def expand_archives(archives: DataFrame, path: str = "path", content: str = "content",
                     batch_bytes: int = DEFAULT_BATCH_BYTES, num_partitions: int | None = None,
                     errors: str = "raise") -> DataFrame:
@@ -88,17 +108,17 @@ def expand_archives(archives: DataFrame, path: str = "path", content: str = "con
     when the archives were produced by few tasks; a ``binaryFile`` scan of
     large archives already gives each its own task.
 
-    Input batches hold whole archives: bound them with
-    ``spark.sql.execution.arrow.maxBytesPerBatch`` (``local_session`` sets
-    64 MB), or use :func:`expand_archive_files` for archives on a shared
-    mount, which never holds a whole archive in memory.
+    Input batches hold whole archives: they are bounded by
+    ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB by default).
+    :func:`expand_archive_files`, for archives on a shared mount, never holds
+    a whole archive in memory.
     """
     if errors not in ("raise", "record"):
         raise ValueError("errors must be 'raise' or 'record'")
     record = errors == "record"
     cols = ["archive", "member", "length", "content"] + (["error"] if record else [])
 
-    def rows_of(archive: str, blob: bytes) -> Iterator[tuple]:
+    def rows_of(archive: str, blob: bytes | None) -> Iterator[tuple]:
         try:
             zf = zipfile.ZipFile(io.BytesIO(blob))
         except zipfile.BadZipFile as exc:
@@ -113,18 +133,8 @@ def expand_archives(archives: DataFrame, path: str = "path", content: str = "con
                     yield archive, info.filename, None if data is None else len(data), data, error
 
     def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows: list[tuple] = []
-            size = 0
-            for archive, blob in zip(pdf[path], pdf[content]):
-                for row in rows_of(archive, blob):
-                    rows.append(row[: len(cols)])
-                    size += row[2] or 0
-                    if size >= batch_bytes:
-                        yield _frame(rows, cols)
-                        rows, size = [], 0
-            if rows:
-                yield _frame(rows, cols)
+        blobs = (row for pdf in batches for row in zip(pdf[path], pdf[content]))
+        yield from _in_batches((row for archive, blob in blobs for row in rows_of(archive, blob)), cols, batch_bytes)
 
     ship_package(archives.sparkSession)
     source = archives.select(path, content)
@@ -136,9 +146,16 @@ def expand_archives(archives: DataFrame, path: str = "path", content: str = "con
     return members.select("archive", P.archive_dest("archive").alias("dest"), "member", "length", "content", *extra)
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of an Arrow batch, each made when its turn comes: large values are not held twice."""
+    columns = batch.columns
+    for i in range(batch.num_rows):
+        yield tuple(column[i].as_py() for column in columns)
+
+
 def pack_archives(members: DataFrame, archive: str = "archive", member: str = "member",
                   content: str = "content", max_bytes: int = 16 << 20, compress_level: int = 1,
-                  max_open: int = 32) -> DataFrame:
+                  max_open: int = 32, max_held: int = 32 << 20) -> DataFrame:
     """Zip member rows into archives, ``(path, length, content)``.
 
     Packing runs per input partition without a shuffle: rows of one archive
@@ -147,48 +164,58 @@ def pack_archives(members: DataFrame, archive: str = "archive", member: str = "m
     the rows still yields many bounded archives built by many tasks.
     Members are deflated at ``compress_level`` (0 stores them).  At most
     ``max_open`` parts are built at once per task (the oldest is closed
-    first), so memory stays below ``max_open * max_bytes`` however many
-    archive names a task sees.
+    first), and when all of them hold ``max_held`` bytes as packed, their
+    directories included, the largest is closed: a task's memory follows
+    neither from its rows nor from the number of archive names.
     """
     from pyspark import TaskContext
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([("path", pa.string()), ("length", pa.int64()), ("content", pa.binary())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ctx = TaskContext.get()
         task = ctx.partitionId() if ctx else 0
         seq: dict[str, int] = {}
         method = zipfile.ZIP_DEFLATED if compress_level > 0 else zipfile.ZIP_STORED
-        open_parts: dict[str, tuple[io.BytesIO, zipfile.ZipFile, int]] = {}
+        open_parts: dict[str, tuple[io.BytesIO, zipfile.ZipFile, int, int]] = {}
+        held = 0
 
-        def close(name: str) -> pd.DataFrame:
-            buf, zf, _ = open_parts.pop(name)
+        def close(name: str) -> pa.RecordBatch:
+            nonlocal held
+            buf, zf, _, cost = open_parts.pop(name)
+            held -= cost
             zf.close()
             n = seq.get(name, 0)
             seq[name] = n + 1
             stem = _strip_suffix(name)
             blob = buf.getvalue()
-            return pd.DataFrame([(f"{stem}/part-{task:05d}-{n:05d}.zip", len(blob), blob)],
-                                columns=["path", "length", "content"])
-
-        for pdf in batches:
-            for name, mem, data in zip(pdf[archive], pdf[member], pdf[content]):
-                if name not in open_parts and len(open_parts) >= max_open:
-                    yield close(next(iter(open_parts)))
-                if name not in open_parts:
-                    buf = io.BytesIO()
-                    zf = zipfile.ZipFile(buf, "w", method, compresslevel=compress_level or None)
-                    open_parts[name] = (buf, zf, 0)
-                buf, zf, size = open_parts[name]
-                # one fixed time stamp: the same rows always give the same bytes
-                zf.writestr(zipfile.ZipInfo(mem, STAMP), bytes(data), method, compress_level or None)
-                size += len(data)
-                open_parts[name] = (buf, zf, size)
-                if size >= max_bytes:
-                    yield close(name)
+            return pa.RecordBatch.from_arrays([pa.array([v], field.type) for v, field in zip((f"{stem}/part-{task:05d}-{n:05d}.zip", len(blob), blob), schema)],
+                                              schema=schema)
+
+        for name, mem, data in (row for batch in batches for row in _rows(batch)):
+            if name not in open_parts and len(open_parts) >= max_open:
+                yield close(next(iter(open_parts)))
+            if name not in open_parts:
+                buf = io.BytesIO()
+                zf = zipfile.ZipFile(buf, "w", method, compresslevel=compress_level or None)
+                open_parts[name] = (buf, zf, 0, 0)
+            buf, zf, size, cost = open_parts[name]
+            # one fixed time stamp: the same rows always give the same bytes
+            zf.writestr(zipfile.ZipInfo(mem, STAMP), bytes(data), method, compress_level or None)
+            size += len(data)
+            now = buf.tell() + MEMBER_BYTES * len(zf.infolist())
+            held += now - cost
+            open_parts[name] = (buf, zf, size, now)
+            del buf, zf, data  # a closed part is not held while the next batch is read
+            if size >= max_bytes:
+                yield close(name)
+            while held > max_held:
+                yield close(max(open_parts, key=lambda part: open_parts[part][3]))
         for name in list(open_parts):
             yield close(name)
 
     ship_package(members.sparkSession)
-    return members.select(archive, member, content).mapInPandas(pack, PACKED_SCHEMA)
+    return members.select(archive, member, content).mapInArrow(pack, PACKED_SCHEMA)
 
 
 def _strip_suffix(name: str) -> str:
@@ -222,29 +249,23 @@ def expand_archive_files(spark: SparkSession, root: str, pattern: str = "*.zip",
                     rows += [(archive, i) for i, info in enumerate(zf.infolist()) if not info.is_dir()]
             yield pd.DataFrame(rows, columns=["archive", "entry"])
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cols = ["archive", "member", "length", "content"]
+    def contents(entries: Iterator[tuple]) -> Iterator[tuple]:
         zf = name = None
-        for pdf in batches:
-            out: list[tuple] = []
-            size = 0
-            for archive, entry in zip(pdf["archive"], pdf["entry"]):
-                if archive != name:
-                    if zf is not None:
-                        zf.close()
-                    zf, name = zipfile.ZipFile(archive), archive
-                info = zf.infolist()[entry]
-                data, _ = _content(zf, info, archive, record=False)
-                out.append((archive, info.filename, len(data), data))
-                size += len(data)
-                if size >= batch_bytes:
-                    yield _frame(out, cols)
-                    out, size = [], 0
-            if out:
-                yield _frame(out, cols)
+        for archive, entry in entries:
+            if archive != name:
+                if zf is not None:
+                    zf.close()
+                zf, name = zipfile.ZipFile(archive), archive
+            info = zf.infolist()[entry]
+            data, _ = _content(zf, info, archive, record=False)
+            yield archive, info.filename, len(data), data
         if zf is not None:
             zf.close()
 
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        entries = (row for pdf in batches for row in zip(pdf["archive"], pdf["entry"]))
+        yield from _in_batches(contents(entries), ["archive", "member", "length", "content"], batch_bytes)
+
     rows = listed.mapInPandas(members, "archive string, entry bigint").repartition(n, "archive", "entry")
     got = rows.sortWithinPartitions("archive", "entry").mapInPandas(read, MEMBER_SCHEMA)
     return got.select("archive", P.archive_dest("archive").alias("dest"), "member", "length", "content")

@@ -215,3 +215,27 @@ def test_a_missing_archive_folder_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)not_found|does not exist"):
         archives.scan_archives(spark, str(tmp_path / "none"))
     assert archives.scan_archives(spark, str(tmp_path)).count() == 0
+
+
+def test_a_task_holds_a_bounded_part_of_its_open_archives(spark):
+    import random
+
+    rows = [(f"a{i % 10}.zip", f"m{i}", random.Random(i).randbytes(2_000)) for i in range(600)] + [("a0.zip", f"e{i}", b"") for i in range(300)]
+    df = spark.createDataFrame(rows, "archive string, member string, content binary").coalesce(1)
+    packed = archives.pack_archives(df, max_held=100_000)
+    sizes = [r.length for r in packed.select("length").collect()]
+    # with ten archives open at once none can hold more than all are allowed to
+    assert len(sizes) > 10 and max(sizes) <= 110_000
+    back = archives.expand_archives(packed).select("dest", "member", "content").collect()
+    assert sorted((r.dest.split("/")[0] + ".zip", r.member, bytes(r.content)) for r in back) == sorted(rows)
+    # empty members have a cost too: their entries in the directory are held until the archive is closed
+    empty = spark.createDataFrame([("a.zip", f"e{i}", b"") for i in range(1000)], "archive string, member string, content binary").coalesce(1)
+    assert archives.pack_archives(empty, max_held=100_000).count() >= 10
+
+
+def test_empty_members_fill_a_batch():
+    cols = ["archive", "member", "length", "content"]
+    rows = [("a.zip", f"m{i}", 0, b"", None) for i in range(10)] + [("a.zip", None, None, None, "bad zip")]
+    frames = list(archives._in_batches(iter(rows), cols, 4 * archives.MEMBER_BYTES))
+    assert [len(f) for f in frames] == [4, 4, 3] and list(frames[0].columns) == cols
+    assert [m for f in frames for m in f["member"]] == [r[1] for r in rows]
