@@ -75,8 +75,26 @@ def read_labels(spark: SparkSession, paths: str | Sequence[str], schema: str | T
     return df
 
 
-#: Bytes of label files that a task holds at once (one file may be larger).
-LABEL_BYTES = 32 << 20
+#: Bytes of label files that a task holds at once (one file may be larger), and what a file costs besides its bytes.
+LABEL_BYTES, FILE_BYTES = 8 << 20, 1 << 10
+
+
+def _texts(names: Iterator[str], encoding: str) -> Iterator[pd.DataFrame]:
+    """``label_path, text`` of files, in frames of about ``LABEL_BYTES``; empty files count as well."""
+    rows: list[tuple[str, str]] = []
+    held = 0
+    for name in names:
+        with open(name, "rb") as f:
+            data = f.read()
+        rows.append((name, data.decode(encoding)))
+        held += len(data) + FILE_BYTES
+        del data
+        if held >= LABEL_BYTES:
+            out, rows, held = pd.DataFrame(rows, columns=["label_path", "text"]), [], 0
+            yield out
+            del out  # not held while the next one is filled
+    if rows:
+        yield pd.DataFrame(rows, columns=["label_path", "text"])
 
 
 def read_label_files(paths: DataFrame, path: str = "label_paths", schema: str | T.StructType = LABEL_DDL, encoding: str = "utf-8",
@@ -85,33 +103,23 @@ def read_label_files(paths: DataFrame, path: str = "label_paths", schema: str |
     :func:`~filelens.sources.files.label_paths` gives it): the fields of
     ``schema`` and ``label_path``.
 
-    The paths stay in Spark; each task opens its own, on a mount that every
-    executor sees.  The first malformed document raises, or with
+    The paths stay in Spark, dealt out by hash; each task opens its own, on a
+    mount that every executor sees, and holds ``LABEL_BYTES`` of them at a
+    time.  What lists the paths in Python thus runs in a stage before, not
+    beside the reading, and its slices need not be even.  The first malformed document raises, or with
     ``corrupt_column`` its text is kept in that column and its fields are null.
     A path that cannot be read raises.
     """
     ship_package(paths.sparkSession)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple[str, str]] = []
-        held = 0
-        for pdf in batches:
-            for name in pdf["p"]:
-                with open(name, "rb") as f:
-                    text = f.read().decode(encoding)
-                rows.append((name, text))
-                held += len(text)
-                if held >= LABEL_BYTES:
-                    yield pd.DataFrame(rows, columns=["label_path", "text"])
-                    rows, held = [], 0
-        if rows:
-            yield pd.DataFrame(rows, columns=["label_path", "text"])
+        yield from _texts((name for pdf in batches for name in pdf["p"]), encoding)
 
     ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     options = {"mode": "FAILFAST"}
     if corrupt_column:
         ddl, options = f"{ddl}, `{corrupt_column}` string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column}
-    texts = paths.select(F.col(f"`{path}`").alias("p")).mapInPandas(read, "label_path string, text string")
+    texts = paths.select(F.col(f"`{path}`").alias("p")).repartition("p").mapInPandas(read, "label_path string, text string")
     return texts.select("label_path", F.from_json("text", ddl, options).alias("doc")).select("doc.*", "label_path")
 
 

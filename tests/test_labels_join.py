@@ -11,7 +11,7 @@ from py4j.protocol import Py4JJavaError
 
 from filelens.operators import catalogue as C
 from filelens.sources import labels as L
-from filelens.sources.files import paths_to_df
+from filelens.sources.files import label_paths, paths_to_df
 
 
 def _doc(i, w=640, h=480, q=(2.6, 1.0, 4.0, 10.0), result="pass"):
@@ -304,3 +304,26 @@ def test_label_files_from_a_table_of_paths(spark, tmp_path):
     (tmp_path / "kr.json").write_bytes(json.dumps({"id": "한글"}, ensure_ascii=False).encode("euc-kr"))
     kr = paths_to_df(spark, [str(tmp_path / "kr.json")])
     assert L.read_label_files(kr, "full_path", schema="id string", encoding="euc-kr").first().id == "한글"
+
+
+def test_label_files_are_held_in_bounded_frames(spark, tmp_path, monkeypatch):
+    names = []
+    for k in range(300):  # every third is empty, the others are multi-byte
+        names.append(str(tmp_path / f"{k:03d}.json"))
+        with open(names[-1], "w", encoding="utf-8") as f:
+            f.write("" if k % 3 == 0 else json.dumps({"id": "한" * 400 + str(k)}, ensure_ascii=False))
+    monkeypatch.setattr(L, "LABEL_BYTES", 20 * L.FILE_BYTES)
+    frames = list(L._texts(iter(names), "utf-8"))
+    assert [n for frame in frames for n in frame["label_path"]] == names and max(map(len, frames)) <= 20
+    assert sum(len(t.encode()) for t in frames[0]["text"]) <= 20 * L.FILE_BYTES
+    rows = L.read_label_files(paths_to_df(spark, [n for k, n in enumerate(names) if k % 3]), "full_path", schema="id string").collect()
+    assert sorted(r.id for r in rows) == sorted("한" * 400 + str(k) for k in range(300) if k % 3)
+
+
+def test_label_files_are_read_in_a_stage_after_their_listing(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.json").write_text('{"id": "1"}')
+    got = L.read_label_files(label_paths(spark, str(tmp_path / "a*")))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    read, listing = plan.index("MapInPandas read"), plan.index("BatchScan")
+    assert "Exchange" in plan[read:listing] and [r.id for r in got.collect()] == ["1"]
