@@ -9,6 +9,10 @@ point update; links to the previous and next live position skip merged bytes.
 Short pre-tokens are worked on as a forest: one numpy row per pre-token, the
 same tree shape for all rows of a size class, one merge of every row per step.
 Longer ones get a tree of their own.
+
+Around the merges a batch stays in Arrow columns: its distinct units are found
+there, their ids are taken from a list column of the pre-tokens' ids, and texts
+come back by taking the tokens' bytes.
 """
 
 from __future__ import annotations
@@ -22,10 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filelens.llm import common as C
-from filelens.llm.pretokens import PATTERN, Splitter
+from filelens.llm.pretokens import PATTERN, Splitter, binary_column, raw_column
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Units, and pre-tokens, whose ids a worker keeps; it starts afresh beyond that.
+#: Pre-tokens whose ids a worker keeps; it starts afresh beyond that.
 CACHE_UNITS = 300_000
 #: Pre-tokens up to this many bytes are merged in the forest.
 FOREST_BYTES = 64
@@ -39,7 +43,8 @@ class Vocabulary:
 
     def __init__(self, data: bytes):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line)}
-        self.tokens = {i: t for t, i in self.ranks.items()}
+        tokens = {i: t for t, i in self.ranks.items()}
+        self.tokens = pa.array([tokens.get(i) for i in range(max(tokens) + 1)], pa.large_binary())
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         get, pairs = self.ranks.get, {}
         for token, rank in self.ranks.items():
@@ -155,52 +160,67 @@ class Codec:
     def __init__(self, data: bytes, pattern: str = PATTERN):
         self.vocab = Vocabulary(data)
         self._split = Splitter(pattern)
-        self._cache: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self._place: dict[str, int] = {}
+        self._ids = pa.array([], pa.list_(pa.int32()))
 
-    def _merge(self, words: list[str]) -> None:
-        """Learn the ids of pre-tokens, as the bytes of an int32 array."""
-        classes: dict[int, list[str]] = {}
+    def _learn(self, words: list[str]) -> None:
+        """Keep the ids of new pre-tokens."""
+        known, classes = [], {}
         for w in words:
             raw = w.encode()
             rank = self.vocab.ranks.get(raw)
             if rank is not None:  # a pre-token of the vocabulary is one token
-                self._words[w] = np.int32(rank).tobytes()
+                known.append((w, [rank]))
             elif len(raw) > FOREST_BYTES:
-                self._words[w] = np.array(merge_one(raw, self.vocab), dtype=np.int32).tobytes()
+                known.append((w, merge_one(raw, self.vocab)))
             else:
-                classes.setdefault(1 << (len(raw) - 1).bit_length(), []).append(w)
+                classes.setdefault(1 << (len(raw) - 1).bit_length(), []).append((w, raw))
+        names, lists = [w for w, _ in known], [self._ids, pa.array([ids for _, ids in known], self._ids.type)]
         for width, group in classes.items():
-            flat, ends = merge_forest([w.encode() for w in group], width, self.vocab)
-            data, at = flat.tobytes(), (4 * ends).tolist()
-            self._words.update((w, data[a:b]) for w, a, b in zip(group, [0, *at[:-1]], at, strict=True))
-
-    def _learn(self, units: set[str]) -> None:
-        for cache in (self._cache, self._words):
-            if len(cache) > CACHE_UNITS:
-                cache.clear()
-        new = [u for u in units if u not in self._cache]
-        if not new:
-            return
-        parts = [self._split.tokens(u) for u in new]
-        self._merge([t for t in {t for p in parts for t in p} if t not in self._words])
-        get = self._words.__getitem__
-        self._cache.update((u, get(p[0]) if len(p) == 1 else b"".join(map(get, p))) for u, p in zip(new, parts, strict=True))
+            flat, ends = merge_forest([raw for _, raw in group], width, self.vocab)
+            names += [w for w, _ in group]
+            lists.append(pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(flat)))
+        self._place.update(zip(names, range(len(self._ids), len(self._ids) + len(names)), strict=True))
+        self._ids = pa.concat_arrays(lists)
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of a column of texts without nulls, one after the other, and
+        where each text's begin."""
+        units, first = self._split.cut(texts.cast(pa.large_string()))
+        units = units.dictionary_encode()
+        words, first_word, place = self._split.tokens_of(units.dictionary)
+        if len(self._place) > CACHE_UNITS:
+            self._forget()
+        if new := [w for w in set(words) if w not in self._place]:
+            self._learn(new)
+        at = np.fromiter(map(self._place.__getitem__, words), np.int64, len(words))
+        by_word = self._ids.take(pa.array(at))
+        first_id = by_word.offsets.to_numpy()[first_word]
+        by_unit = pa.ListArray.from_arrays(pa.array(first_id), by_word.values)
+        ids = by_unit.take(pa.array(place[units.indices.to_numpy()]))
+        return ids.values.to_numpy(), ids.offsets.to_numpy()[first]
+
+    def decode_column(self, ids: pa.Array, ends: np.ndarray) -> pa.Array:
+        """The bytes that each row's ids stand for, as a binary column; row i has
+        the ``ids`` from ``ends[i]`` to ``ends[i + 1]``."""
+        taken = self.vocab.tokens.take(ids)
+        if taken.null_count:
+            raise KeyError("a token id that the vocabulary does not have")
+        at, data = raw_column(taken)
+        return binary_column(at[ends], data).cast(pa.binary())
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text."""
-        rows = [self._split.units(t) for t in texts]
-        seen: set[str] = set()
-        for units in rows:
-            seen.update(units)
-        self._learn(seen)
-        get = self._cache.__getitem__
-        return [np.frombuffer(b"".join(map(get, units)), dtype=np.int32) for units in rows]
+        flat, ends = self.encode_column(pa.array(texts, pa.large_string()))
+        return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
     def decode(self, rows: list[np.ndarray]) -> list[bytes]:
         """The bytes that each row's ids stand for."""
-        get = self.vocab.tokens.__getitem__
-        return [b"".join(map(get, ids.tolist())) for ids in rows]
+        flat = np.concatenate([np.zeros(0, np.int32), *rows])
+        return self.decode_column(pa.array(flat), np.cumsum([0, *map(len, rows)])).to_pylist()
 
 
 def encode_decode(df: DataFrame, vocabulary_path: str, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",),
@@ -221,13 +241,12 @@ def encode_decode(df: DataFrame, vocabulary_path: str, text_col: str = "text", k
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         codec = shared.made(Codec, pattern)
-        ids = codec.encode(batch.column(t).to_pylist())
+        flat, ends = codec.encode_column(batch.column(t))
+        ids = pa.array(flat)
         names = [c for c in batch.schema.names if c != t]
-        ends = np.cumsum([0, *map(len, ids)])
-        flat = np.concatenate([np.zeros(0, np.int32), *ids])
-        arrays = [*(batch.column(c) for c in names), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))]
+        arrays = [*(batch.column(c) for c in names), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)]
         if decoded:
-            arrays.append(pa.array(codec.decode(ids), pa.binary()))
+            arrays.append(codec.decode_column(ids, ends))
         return pa.RecordBatch.from_arrays(arrays, names=[*names, i, *([d] if decoded else [])])
 
     out = C.map_arrow(rows, fn, schema, size_of=t)
@@ -246,8 +265,8 @@ def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "token_ids", keys
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         codec = shared.made(Codec)
         names = [c for c in batch.schema.names if c != i]
-        ids = [np.array(x, dtype=np.int32) for x in batch.column(i).to_pylist()]
-        arrays = [*(batch.column(c) for c in names), pa.array(codec.decode(ids), pa.binary())]
+        ends = batch.column(i).offsets.to_numpy()
+        arrays = [*(batch.column(c) for c in names), codec.decode_column(batch.column(i).flatten(), ends - ends[0])]
         return pa.RecordBatch.from_arrays(arrays, names=[*names, d])
 
     return C.map_arrow(rows, fn, schema, size_of=i).select(*keys, F.col(d).alias("decoded"))

@@ -7,12 +7,14 @@ import hashlib
 import random
 
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
 from filelens.llm import bpe, token_counts
-from filelens.llm.pretokens import PATTERN, Splitter
+from filelens.llm.pretokens import PATTERN, SPACE, WIDE_SPACE, Splitter
 
 ODD = ["", " ", "a  b", "a   b\n\n c \t d", "\n\n", "<|endoftext|> x<|endoftext|>", "a" * 700, "don't we'll I'M", "日本語 と 123٣",
        "a\x1cb \x1f c\x85d\x0be", "🙂👍🏽 ok", " lead", "trail ", "ab" * 2000, "a\nb \nc\n d", " x 　y"]
@@ -43,6 +45,47 @@ def test_units_keep_the_pre_tokens(texts):
         assert [x for u in split.units(t) for x in split.tokens(u)] == split.tokens(t)
 
 
+def test_white_space_is_the_patterns():
+    assert set(SPACE + WIDE_SPACE) == {chr(c) for c in range(0x110000) if regex.match(r"\s", chr(c))}
+
+
+def test_a_column_is_cut_into_units_with_the_same_pre_tokens(texts):
+    rng = random.Random(6)
+    spaces = SPACE + WIDE_SPACE + "\x1c\x1f"
+    runs = ["".join(rng.choice(spaces + "ab'1.é日🙂ʀ\u2030\u0105") for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+    texts = texts + runs
+    for pattern in (PATTERN, r"\w+\s*|\W"):
+        split, find = Splitter(pattern), regex.compile(pattern).findall
+        for column, want in ((pa.array(texts, pa.large_string()), texts), (pa.array(texts, pa.large_string()).slice(7, 500), texts[7:507])):
+            units, first = split.cut(column)
+            coded = units.dictionary_encode()
+            tokens, starts, place = split.tokens_of(coded.dictionary)
+            places = [place[i] for i in coded.indices.to_pylist()]
+            got = [[x for p in places[a:b] for x in tokens[starts[p] : starts[p + 1]]] for a, b in zip(first[:-1], first[1:], strict=True)]
+            assert got == [find(t) for t in want]
+
+
+def test_the_pattern_runs_over_a_batch_and_not_unit_by_unit(encoding, monkeypatch):
+    with open(P.path(bpe.VOCABULARY), "rb") as f:
+        codec = bpe.Codec(f.read())
+    calls, find = [], codec._split._find
+    monkeypatch.setattr(codec._split, "_find", lambda text: calls.append(text) or find(text))
+    texts = [" ".join(f"word{chr(97 + i)}{j:x}" for j in range(300)) for i in range(5)]
+    assert [x.tolist() for x in codec.encode(texts)] == [encoding.encode_ordinary(t) for t in texts]
+    assert len(calls) <= 1 + 2 * len(texts)
+
+
+def test_columns_of_nothing_and_unknown_ids():
+    with open(P.path(bpe.VOCABULARY), "rb") as f:
+        codec = bpe.Codec(f.read())
+    assert codec.encode([]) == [] and codec.decode([]) == []
+    assert [x.tolist() for x in codec.encode(["", ""])] == [[], []]
+    assert codec.decode(codec.encode(["", "a", ""])) == [b"", b"a", b""]
+    for wrong in (-1, 10**8):
+        with pytest.raises((KeyError, IndexError)):
+            codec.decode([[wrong]])
+
+
 def test_codec_equals_the_library_and_round_trips(texts, documents, encoding):
     with open(P.path(bpe.VOCABULARY), "rb") as f:
         codec = bpe.Codec(f.read())
