@@ -149,7 +149,20 @@ def text_or_empty(col: str = "text") -> F.Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-_MADE: dict[tuple, object] = {}
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple, build: Callable[[], object]):
+    """What a worker keeps under ``key`` from batch to batch.
+
+    Workers are used again by the tasks of later operators, so a worker keeps
+    the state of one: another's (a vocabulary, ids or hashes of words seen) goes
+    before this is built, and memory does not add up over a pipeline.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
 
 
 class SharedFile:
@@ -170,9 +183,4 @@ class SharedFile:
             return cls(spark, f.read())
 
     def made(self, build: Callable, *args):
-        key = (build, self.key, args)
-        if key not in _MADE:
-            if len(_MADE) > 2:
-                _MADE.clear()
-            _MADE[key] = build(self.data.value, *args)
-        return _MADE[key]
+        return kept((build, self.key, args), lambda: build(self.data.value, *args))

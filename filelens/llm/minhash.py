@@ -23,8 +23,6 @@ that is alike.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -109,7 +107,9 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-_WORDS: dict[bytes, int] = {}
+def _words() -> dict[bytes, int]:
+    """Hashes of the words that this worker has seen."""
+    return C.kept(("hashes of words",), dict)
 
 
 def set_features(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -118,7 +118,7 @@ def set_features(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROW
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = shingle_sets(batch.column("text").to_pylist(), size, _WORDS)
+        sets = shingle_sets(batch.column("text").to_pylist(), size, _words())
         nodes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
         full = [i for i, s in enumerate(sets) if len(s)]
         keys: list[np.ndarray | None] = [None] * len(sets)
@@ -137,7 +137,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
     """``node, shingles`` of each row of ``doc_id, text``."""
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = shingle_sets(batch.column("text").to_pylist(), size, _WORDS)
+        sets = shingle_sets(batch.column("text").to_pylist(), size, _words())
         nodes = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
         return pa.RecordBatch.from_arrays(
             [pa.array(nodes, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
@@ -157,28 +157,28 @@ def hub_differences(pairs: DataFrame, percent: int) -> DataFrame:
     """
     t = percent / 100
     c = (1 - t) / (1 + t)  # alike: the sets differ by at most c times their sizes
+    # what tasks hand to Python are the differences, not the sets: a hub's would come once for each of its nodes
+    own, gone = F.array_except("node_set", "hub_set"), F.array_except("hub_set", "node_set")
+    pairs = pairs.select("hub", "node", F.size("hub_set").alias("n_hub"), F.size("node_set").alias("n"), F.size(own).alias("n_own"),
+                         F.concat(own, gone).alias("difference"))
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [(x.offsets.to_numpy(), x.values.to_numpy().view(np.uint64)) for x in (batch.column("hub_set"), batch.column("node_set"))]
-        linked, sizes, diffs, prefixes = [], [], [], []
+        at, values = batch.column("difference").offsets.to_numpy(), batch.column("difference").values.to_numpy().view(np.uint64)
+        n_hub, n, n_own = (batch.column(x).to_numpy().astype(np.int64) for x in ("n_hub", "n", "n_own"))
+        s = np.diff(at)
+        alike = (n - n_own) * 100 >= (n_hub + n_own) * percent
+        least = np.where(alike, s + c * (n_hub - n), s - c * n * (1 + 1 / t)) / 2
+        length = s - np.maximum(1, np.ceil(least - 1e-6).astype(np.int64)) + 1
+        prefixes = []
         for i in range(batch.num_rows):
-            h, x = (values[at[i] : at[i + 1]] for at, values in sets)
-            own, gone = np.setdiff1d(x, h, assume_unique=True), np.setdiff1d(h, x, assume_unique=True)
-            both = len(x) - len(own)
-            alike = both * 100 >= (len(h) + len(own)) * percent
-            s = len(own) + len(gone)
-            least = (s + c * (len(h) - len(x))) / 2 if alike else (s - c * len(x) * (1 + 1 / t)) / 2
-            order = [own[np.argsort(mix(own))], gone[np.argsort(mix(gone))]]
-            prefixes.append(np.concatenate(order)[: s - max(1, math.ceil(least - 1e-6)) + 1].view(np.int64))
-            linked.append(alike)
-            sizes.append(len(x))
-            diffs.append(s)
+            order = [x[np.argsort(mix(x))] for x in np.split(values[at[i] : at[i + 1]], [n_own[i]])]
+            prefixes.append(np.concatenate(order)[: length[i]].view(np.int64))
         return pa.RecordBatch.from_arrays(
-            [batch.column("hub"), batch.column("node"), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()),
-             pa.array(diffs, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
+            [batch.column("hub"), batch.column("node"), pa.array(alike, pa.bool_()), pa.array(n, pa.int64()),
+             pa.array(s, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
             names=["hub", "node", "linked", "n", "s", "prefix"])
 
-    return C.map_arrow(pairs, fn, "hub binary, node binary, linked boolean, n bigint, s bigint, prefix array<bigint>", size_of="node_set")
+    return C.map_arrow(pairs, fn, "hub binary, node binary, linked boolean, n bigint, s bigint, prefix array<bigint>", size_of="difference")
 
 
 def pairs_beside_hubs(differences: DataFrame, root: DataFrame, percent: int) -> DataFrame:

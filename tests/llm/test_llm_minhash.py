@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 import re
+import weakref
 
 import numpy as np
 import pytest
 
+from filelens.llm import common as C
 from filelens.llm import minhash as M
 
 
@@ -111,3 +113,46 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(f"{i:03d}".encode(), f"{i + 1:03d}".encode()) for i in range(70)], "a binary, b binary")
     roots = {bytes(r.node): bytes(r.root) for r in M.components(links).collect()}
     assert set(roots.values()) == {b"000"} and len(roots) == 70
+
+
+def test_differences_of_hubs_and_nodes(spark, monkeypatch):
+    """By brute force; what goes to Python are the elements that differ, once, not the sets."""
+    rng = random.Random(4)
+    draw = lambda n: [rng.getrandbits(64) - 2**63 for _ in range(n)]
+    hub, pairs = draw(300), []
+    for i, off in enumerate([0, 1, 5, 20, 33, 34, 60, 300]):
+        node = [*hub[: 300 - off], *draw(rng.randint(off // 2, off) + (i == 0))]
+        pairs.append((b"hub", f"{i}".encode(), *(sorted(x, key=lambda v: v % 2**64) for x in (hub, node))))
+    df = spark.createDataFrame(pairs, "hub binary, node binary, hub_set array<bigint>, node_set array<bigint>")
+    found = {bytes(r.node): r for r in M.hub_differences(df, 80).collect()}
+    handed, map_arrow = [], C.map_arrow
+    monkeypatch.setattr(C, "map_arrow", lambda rows, *a, **k: (handed.append(rows), map_arrow(rows, *a, **k))[1])
+    M.hub_differences(df, 80)
+    given = {bytes(r.node): r for r in handed[0].collect()}
+    assert len(found) == len(given) == len(pairs)
+    for _, name, h, x in pairs:
+        r, own, gone = found[name], set(x) - set(h), set(h) - set(x)
+        assert (r.n, r.s, r.linked) == (len(x), len(own) + len(gone), 5 * len(set(h) & set(x)) >= 4 * len(set(h) | set(x)))
+        least = (r.s + (len(h) - len(x)) / 9) / 2 if r.linked else (r.s - len(x) / 4) / 2
+        kept = min(r.s, r.s - max(1, int(np.ceil(least - 1e-6))) + 1)
+        assert len(r.prefix) == kept and set(r.prefix[: len(own)]) <= own and set(r.prefix[len(own) :]) <= gone
+        assert sum(len(v) for v in given[name] if isinstance(v, list)) == r.s
+
+
+def test_a_worker_keeps_the_state_of_one_operator(spark):
+    """The words of one operator, the vocabularies of others: each goes when the next one's state is built."""
+
+    class State:
+        def __init__(self, data):
+            self.data = data
+
+    files = [C.SharedFile(spark, data) for data in (b"one", b"two", b"three")]
+    seen = []
+    for f in files:
+        assert f.made(State) is f.made(State)
+        seen.append(weakref.ref(f.made(State)))
+    assert [x() is not None for x in seen] == [False, False, True]
+    words = M._words()
+    words[b"word"] = 1
+    assert seen[-1]() is None and M._words() is words
+    assert files[0].made(State).data == b"one" and M._words() == {}
