@@ -81,8 +81,15 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     return df.mapInArrow(run, schema)
 
 
-#: Slots of the bitmap that :func:`prefiltered` broadcasts (512 KiB at any input size).
+#: Slots of the bitmap that :func:`prefiltered` broadcasts (512 KiB at any input size, if no other number is given).
 SLOT_BITS, _MAP_BITS = 22, 15
+#: Most slots of a bitmap (16 MiB).
+MOST_BITS = 27
+
+
+def slot_bits(n: int, each: int = 8) -> int:
+    """Bits of a slot's number, so that each of ``n`` keys has ``each`` slots, within bounds."""
+    return min(max((each * max(n, 1) - 1).bit_length(), SLOT_BITS), MOST_BITS)
 
 
 def slot_maps(wanted: DataFrame, slot: F.Column) -> DataFrame:
@@ -92,14 +99,14 @@ def slot_maps(wanted: DataFrame, slot: F.Column) -> DataFrame:
         F.bitmap_construct_agg(F.col("slot").bitwiseAND((1 << _MAP_BITS) - 1)).alias("bits"))
 
 
-def prefiltered(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+def prefiltered(rows: DataFrame, wanted: DataFrame, *keys: str, bits: int = SLOT_BITS) -> DataFrame:
     """The rows whose ``keys`` occur in ``wanted``, and a few others.
 
-    A hash of the keys picks a slot of a bitmap of fixed size, which is
-    broadcast; rows whose slot is empty go before any shuffle.  The join that
-    follows makes the result exact.
+    A hash of the keys picks a slot of a bitmap of fixed size (``2^bits``
+    slots), which is broadcast; rows whose slot is empty go before any shuffle.
+    The join that follows makes the result exact.
     """
-    slot = F.pmod(F.xxhash64(*keys), F.lit(1 << SLOT_BITS))
+    slot = F.pmod(F.xxhash64(*keys), F.lit(1 << bits))
     maps = slot_maps(wanted, slot)
     b, m, s = tag("bucket"), tag("map"), tag("slot")
     maps = maps.select(F.col("bucket").alias(b), F.col("bits").alias(m))
@@ -125,15 +132,12 @@ def split_by(rows: DataFrame, wanted: DataFrame, *keys: str) -> tuple[DataFrame,
 
 class Slots:
     """Which hashes occur in a column of evenly spread 64-bit hashes, as a
-    broadcast bitmap: eight slots a distinct hash, within bounds (512 KiB to
+    broadcast bitmap: eight slots a distinct hash (or ``each``), within bounds (512 KiB to
     16 MiB), so a task can drop most rows that have no partner before a shuffle.
     A hash that occurs is always held."""
 
-    LEAST, MOST = 22, 27
-
-    def __init__(self, spark: SparkSession, hashes: DataFrame, column: str):
-        n = max(hashes.count(), 1)
-        self.bits = min(max((8 * n - 1).bit_length(), self.LEAST), self.MOST)
+    def __init__(self, spark: SparkSession, hashes: DataFrame, column: str, each: int = 8):
+        self.bits = slot_bits(hashes.count(), each)
         bitmap = np.zeros((1 << self.bits) // 8, np.uint8)
         size = (1 << _MAP_BITS) // 8
         for row in slot_maps(hashes, F.col(column).bitwiseAND(F.lit((1 << self.bits) - 1))).toLocalIterator():  # at most 4096 bitmaps

@@ -19,6 +19,10 @@ so two sets that are alike, of which one is not alike the hub, must share a
 known number of difference elements.  Prefix and position filters on these
 (few, mostly unique) elements leave hardly any pair to check, and drop none
 that is alike.
+
+What is shuffled are mostly hashes: keys of buckets first alone, to find those
+that occur twice; a candidate pair's parities before its sets (two sets differ
+by at least as many elements as the parities of their elements' slots do).
 """
 
 from __future__ import annotations
@@ -133,17 +137,70 @@ def set_features(docs: DataFrame, size: int, bands: int = BANDS, rows: int = ROW
     return C.map_arrow(docs, fn, "doc_id bigint, text_key bigint, n_shingles bigint, node binary, keys array<bigint>", size_of="text")
 
 
+def bucket_members(rows: DataFrame, shared: C.Slots) -> DataFrame:
+    """``key, node`` of rows ``node, keys``: the keys that ``shared`` holds, and a few others."""
+
+    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys, lengths = batch.column("keys").flatten().to_numpy(), batch.column("keys").value_lengths().to_numpy()
+        held = shared.hold(keys)
+        of_row = np.repeat(np.arange(batch.num_rows), lengths)[held]
+        return pa.RecordBatch.from_arrays([pa.array(keys[held], pa.int64()), batch.column("node").take(pa.array(of_row))],
+                                          names=["key", "node"])
+
+    return C.map_arrow(rows.select("node", "keys"), fn, "key bigint, node binary", size_of="keys")
+
+
+def parities(s: np.ndarray) -> bytes:
+    """Whether each slot has an odd number of the elements of ``s``: a bit a
+    slot, the least power of two of slots that gives an element four."""
+    slots = 1 << max(6, (4 * len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(slots - 1)).view(np.int64), minlength=slots) & 1, bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """How many elements two sets of these :func:`parities` differ by at least."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):  # the parities of half as many slots
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``node, shingles`` of each row of ``doc_id, text``."""
+    """``node, shingles, n, parity`` of each row of ``doc_id, text``."""
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column("text").to_pylist(), size, _words())
         nodes = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
         return pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-            names=["node", "shingles"])
+            [pa.array(nodes, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+             pa.array([len(s) for s in sets], pa.int64()), pa.array([parities(s) for s in sets], pa.binary())],
+            names=["node", "shingles", "n", "parity"])
+
+    return C.map_arrow(docs, fn, "node binary, shingles array<bigint>, n bigint, parity binary", size_of="text")
+
+
+def one_a_node(rows: DataFrame) -> DataFrame:
+    """One row of each ``node`` of ``rows``; only rows of repeated nodes (and a few others) are shuffled for it."""
+    repeated = rows.groupBy("node").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    some, single = C.split_by(rows, repeated, "node")
+    first = some.groupBy("node").agg(*[F.first(c).alias(c) for c in rows.columns if c != "node"])
+    return single.unionByName(first)
+
+
+def perhaps_alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (``a, b``) whose sets may be alike by their parities; none that is alike is missing."""
+    each = sets.select("node", "n", "parity")
+    for x in ("a", "b"):
+        pairs = pairs.join(each.select(*[F.col(c).alias(d) for c, d in zip(each.columns, (x, f"n_{x}", f"parity_{x}"), strict=True)]), x)
+
+    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+        least = map(least_difference, batch.column("parity_a").to_pylist(), batch.column("parity_b").to_pylist())
+        least = np.fromiter(least, np.int64, batch.num_rows)
+        total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+        # |x ^ y| (100 + percent) <= (|x| + |y|) (100 - percent), if the two are alike
+        return batch.select(["a", "b"]).filter(pa.array(least * (100 + percent) <= total * (100 - percent)))
 
-    return C.map_arrow(docs, fn, "node binary, shingles array<bigint>", size_of="text")
+    return C.map_arrow(pairs, fn, "a binary, b binary", size_of="parity_a").distinct()
 
 
 def hub_differences(pairs: DataFrame, percent: int) -> DataFrame:
@@ -186,10 +243,17 @@ def pairs_beside_hubs(differences: DataFrame, root: DataFrame, percent: int) ->
     the links so far do not connect them; none that is alike is missing."""
     t = percent / 100
     c = (1 - t) / (1 + t)
-    rows = differences.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = rows.select("hub", "node", "linked", "n", "s", "root", F.posexplode("prefix").alias("at", "element"))
-    other = rows.select("hub", "element", *[F.col(x).alias(f"{x}_b") for x in ("node", "linked", "n", "s", "root", "at")])
-    met = rows.where(~F.col("linked")).join(other, ["hub", "element"]).where("root <> root_b AND (linked_b OR node < node_b)")
+    # hubs with one row, or with rows that all are alike the hub, have no such pair
+    hubs = differences.groupBy("hub").agg(F.count(F.lit(1)).alias("rows"), F.bool_and("linked").alias("linked")).where("rows > 1 AND NOT linked")
+    hubs = C.stored(hubs.select("hub"), "hubs")
+    rows = C.prefiltered(differences, hubs, "hub", bits=C.slot_bits(hubs.count()))
+    # differences of alike sets differ by c (n + n_b) at most, and n_b is n / t at most: all but so many elements are shared
+    first = F.slice("prefix", 1, F.floor(F.col("n") * c * (1 + 1 / t) + 1e-6).cast("int") + 1)
+    rows = rows.withColumn("prefix", first).join(root, "node", "left").withColumn("root", F.xxhash64(F.coalesce("root", "node")))
+    rows = rows.select(F.posexplode("prefix").alias("at", "element"), "hub", "node", "linked", "n", "s", "root")
+    rows = rows.withColumn("met", F.xxhash64("hub", "element")).drop("hub", "element")
+    other = rows.select("met", *[F.col(x).alias(f"{x}_b") for x in ("node", "linked", "n", "s", "root", "at")])
+    met = rows.where(~F.col("linked")).join(other, "met").where("root <> root_b AND (linked_b OR node < node_b)")
     met = met.where(F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent)
     # elements still to come on either side must make up the shared ones that the pair needs
     needed = (F.col("s") + F.col("s_b") - c * (F.col("n") + F.col("n_b"))) / 2
@@ -244,28 +308,39 @@ def near_duplicates(docs: DataFrame, shingle_size: int = 5, similarity: float =
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), C.text_or_empty(text_col).alias("text"))
     percent = round(similarity * 100)
     features = C.stored(set_features(docs, shingle_size, bands, rows), "features")
-    classes = C.stored(features.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep")), "classes")
+    full = features.where("node is not null")
+    classes = C.stored(full.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows")), "classes")
+    copied, alone = C.split_by(full, classes.where("rows > 1"), "node")
+    copied = copied.join(classes, (copied.node == classes.node) & copied.doc_id.eqNullSafe(classes.rep), "left_semi")
+    lead = alone.unionByName(copied)
 
     # buckets with more than one class; of buckets with the same members, one
-    lead = features.join(classes, (features.node == classes.node) & features.doc_id.eqNullSafe(classes.rep), "left_semi")
-    keyed = lead.select(F.explode("keys").alias("key"), "node", F.xxhash64("node").alias("h"))
-    members = keyed.groupBy("key").agg(F.min("h").alias("x"), F.max("h").alias("y"), F.expr("bit_xor(h)").alias("all"),
-                                       F.sum(F.col("h").bitwiseAND(0xFFFFFFFF)).alias("sum"), F.count(F.lit(1)).alias("size"))
+    often = C.stored(lead.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+                     .where("rows > 1").select("key"), "keys")
+    keyed = C.stored(bucket_members(lead, C.Slots(spark, often, "key", 32)), "keyed")
+    members = keyed.withColumn("h", F.xxhash64("node")).groupBy("key").agg(
+        F.min("h").alias("x"), F.max("h").alias("y"), F.expr("bit_xor(h)").alias("all"),
+        F.sum(F.col("h").bitwiseAND(0xFFFFFFFF)).alias("sum"), F.count(F.lit(1)).alias("size"))
     shared = members.where("x <> y").groupBy("x", "y", "all", "sum", "size").agg(
         F.min("key").alias("key"), (F.col("size") * F.count(F.lit(1))).alias("weight")).select("key", "weight")
-    buckets = C.stored(keyed.select("key", "node").join(shared, "key").distinct(), "buckets")
+    buckets = C.stored(keyed.join(shared, "key").distinct(), "buckets")
     # the full sets of their classes, each from the row that leads it
     nodes = buckets.select("node").distinct()
     wanted = C.stored(lead.join(nodes, "node", "left_semi").select("doc_id", "text_key"), "wanted")
     rows = docs.withColumn("text_key", F.xxhash64("text"))
-    sets = full_sets(C.prefiltered(rows, wanted, "doc_id", "text_key").select("doc_id", "text"), shingle_size)
+    bits = C.slot_bits(wanted.count(), 32)
+    some = C.prefiltered(rows, wanted, "doc_id", "text_key", bits=bits).select("doc_id", "text")
     # a copy may slip through the bitmap: one row a class
-    sets = C.stored(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+    sets = C.stored(full_sets(some, shingle_size), "sets")
+    each = one_a_node(sets.select("node", "shingles"))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-        b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+        pairs = C.stored(perhaps_alike(pairs, one_a_node(sets.select("node", "n", "parity")), percent), "pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+        few = C.prefiltered(sets.select("node", "shingles"), ends, "node", bits=C.slot_bits(2 * pairs.count(), 32))
+        few = few.groupBy("node").agg(F.first("shingles").alias("shingles"))
+        a = few.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+        b = few.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
         both = F.size(F.array_intersect("sa", "sb"))
         union = F.size("sa") + F.size("sb") - both
         return pairs.join(a, "a").join(b, "b").where(both * 100 >= union * percent).select("a", "b").distinct()
@@ -274,8 +349,10 @@ def near_duplicates(docs: DataFrame, shingle_size: int = 5, similarity: float =
     weight = buckets.groupBy("node").agg(F.sum("weight").alias("weight"))
     hubs = buckets.drop("weight").join(weight, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
     star = buckets.join(hubs, "key").where("node <> hub").select("hub", "node").distinct()
-    hub_sets = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_set"))
-    star = star.join(hub_sets, "hub").join(sets.withColumnRenamed("shingles", "node_set"), "node")
+    # both sides rename alike, so that Spark deals the sets out once for the two
+    hub_sets = each.select(F.col("node").alias("hub_node"), F.col("shingles").alias("hub_set"))
+    node_sets = each.select(F.col("node").alias("set_node"), F.col("shingles").alias("node_set"))
+    star = star.join(hub_sets, F.col("hub") == F.col("hub_node")).join(node_sets, F.col("node") == F.col("set_node"))
     differences = C.stored(hub_differences(star.select("hub", "node", "hub_set", "node_set"), percent), "differences")
     links = differences.where("linked").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     root = components(links)

@@ -156,3 +156,75 @@ def test_a_worker_keeps_the_state_of_one_operator(spark):
     words[b"word"] = 1
     assert seen[-1]() is None and M._words() is words
     assert files[0].made(State).data == b"one" and M._words() == {}
+
+
+def test_parities_bound_differences():
+    """No more than sets of any two sizes differ by, and near it for sets that are far from alike."""
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(0, 2**63, 9000).astype(np.uint64))
+    for n in (1, 2, 15, 16, 17, 400, 3000):
+        assert len(M.parities(pool[:n])) * 8 >= 4 * n and M.least_difference(M.parities(pool[:n]), M.parities(pool[:n])) == 0
+        for shift, longer in ((0, n // 4), (n // 10, 0), (n // 3, n // 5), (n, 3 * n)):
+            a, b = pool[:n], pool[shift : n + shift + longer]
+            differ = len(np.setxor1d(a, b))
+            for x, y in ((a, b), (b, a)):
+                assert M.least_difference(M.parities(x), M.parities(y)) <= differ
+            if n >= 400 and shift == n // 3:
+                assert M.least_difference(M.parities(a), M.parities(b)) * 180 > (len(a) + len(b)) * 20
+
+
+def test_pairs_beside_hubs_miss_none_and_pass_few(spark):
+    """Edits of a far relative of the hub: by brute force, after the parities of full sets too."""
+    rng = random.Random(8)
+    hub = sorted(rng.getrandbits(63) for _ in range(200))
+    far = hub[:140] + [rng.getrandbits(63) for _ in range(60)]
+    sets = {b"hub": hub}
+    for i in range(30):
+        near = [x if rng.random() > (i % 10) / 40 else rng.getrandbits(63) for x in (far if i % 3 else hub)]
+        sets[f"{i:02d}".encode()] = sorted(set(near[: rng.randint(170, 200)]))
+    alike = lambda a, b: 5 * len(set(a) & set(b)) >= 4 * len(set(a) | set(b))
+    star = spark.createDataFrame([(b"hub", k, hub, v) for k, v in sets.items() if k != b"hub"],
+                                 "hub binary, node binary, hub_set array<bigint>, node_set array<bigint>")
+    differences = C.stored(M.hub_differences(star, 80), "differences")
+    root = spark.createDataFrame([], "node binary, root binary")
+    linked = {bytes(r.node): r.linked for r in differences.collect()}
+    pairs = C.stored(M.pairs_beside_hubs(differences, root, 80), "met")
+    rows = [(k, len(v), M.parities(np.array(v, np.uint64))) for k, v in sets.items()]
+    few = M.perhaps_alike(pairs, spark.createDataFrame(rows, "node binary, n bigint, parity binary"), 80)
+    found, met = ({(bytes(r.a), bytes(r.b)) for r in df.collect()} for df in (few, pairs))
+    names = sorted(linked)
+    wanted = {(b, a) for b in names for a in names if a < b and not (linked[a] and linked[b]) and alike(sets[a], sets[b])}
+    assert wanted and wanted <= found <= met
+
+
+def test_sets_and_keys_are_not_shuffled_for_nothing(spark, monkeypatch):
+    """Keys are dealt out alone, once; sets go to no shuffle before those of hubs and of pairs that may be alike."""
+    rng = random.Random(6)
+    docs = [(i, " ".join(f"w{rng.randint(0, 5000)}" for _ in range(60))) for i in range(300)]
+    docs += [(300 + i, docs[i][1] + " end") for i in range(20)]
+    plans, stored = {}, C.stored
+    monkeypatch.setattr(C, "stored", lambda df, name: (plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()), stored(df, name))[1])
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert sum(r.kept for r in M.near_duplicates(df, shingle_size=2).collect()) == 300
+    lines = {name: [x for x in plan.splitlines() if "Exchange hashpartitioning" in x] for name, plan in plans.items()}
+    assert any("hashpartitioning(key#" in x for x in lines["keys"])
+    assert "keyed" in plans and not lines["keyed"] or all("key#" not in x for x in lines["keyed"])
+    # the bitmap's slots are grouped; rows of texts and sets are not
+    assert all("_groupingexpression" in x for x in lines["sets"]) and "keys#" not in plans["wanted"].split("Scan")[0]
+    assert {"keys", "keyed", "pairs", "hubs"} <= set(plans)
+
+
+def test_classes_of_many_copies_beside_single_rows(spark):
+    """Copies, repeated rows and a null id: one row a class leads, whichever rows the bitmap lets through."""
+    rng = random.Random(12)
+    docs = []
+    for g in range(12):
+        words = [f"g{g}-{rng.randint(0, 90)}" for _ in range(40)]
+        docs += [(1000 - len(docs), " ".join(words)) for _ in range(1 + 4 * (g % 3))]
+        docs += [(2000 + len(docs), " ".join([*words[:38], "x", f"y{g}"]))] * (1 + g % 2)
+    docs += [(None, docs[0][1]), (None, docs[0][1]), (None, "one two three"), (None, "one two three")]
+    rng.shuffle(docs)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert run(df, 2) == brute(docs, 2)
+    rows = spark.createDataFrame([(f"{i % 7}".encode(), [i % 7]) for i in range(20)] + [(b"alone", [9])], "node binary, shingles array<bigint>")
+    assert sorted((bytes(r.node), r.shingles) for r in M.one_a_node(rows).collect()) == [*((f"{i}".encode(), [i]) for i in range(7)), (b"alone", [9])]
